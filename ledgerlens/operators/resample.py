@@ -50,12 +50,12 @@ def even_copies(seeds: DataFrame, total: int, n_seeds: int, seed: int) -> DataFr
     each, extra = divmod(total, n_seeds)
     if extra == 0:
         return seeds.selectExpr("*", f"{each}L as copies")
-    keys = seeds.selectExpr("1 as grp", f"{key_hash(schema.KEY, str(seed))} as h", f"{schema.KEY} as id")
+    order = key_hash(schema.KEY, "'copies'", str(seed))
+    keys = seeds.selectExpr("1 as grp", f"{order} as h", f"{schema.KEY} as id")
     ranks = seeds.sparkSession.range(1).selectExpr("1 as grp", "'c' as cut", f"{extra}L as pos")
     last = cut_points(keys, ranks).selectExpr("struct(h, id)").scalar()
     return (seeds.withColumn("_c", last)
-            .selectExpr("* except (_c)", f"{each}L + int(struct({key_hash(schema.KEY, repr('copies'), str(seed))} as h, {schema.KEY} as id)"
-                                         " <= _c) as copies"))
+            .selectExpr("* except (_c)", f"{each}L + int(struct({order} as h, {schema.KEY} as id) <= _c) as copies"))
 
 
 def interpolate(seeds: DataFrame, nearest: DataFrame, k: int, seed: int, stride: int,

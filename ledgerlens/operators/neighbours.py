@@ -13,10 +13,12 @@ most k rows per query.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import expr
@@ -24,6 +26,9 @@ from pyspark.sql.functions import expr
 from ledgerlens import schema
 from ledgerlens.session import cut_lineage
 
+# Task functions travel with their code, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BROADCAST_CELLS = 8_000_000   # query cells (rows x features x (k + 1)) sent to every task at most
 BROADCAST_PAIRS = 2e11        # comparisons beyond which tiles pay off
 NO_ID = np.iinfo(np.int64).max
@@ -178,10 +183,11 @@ class _Tiles:
 
 
 def _build_tiles(queries: DataFrame, points: DataFrame, n: int, features: list[str], tile_rows: int, max_tiles: int) -> _Tiles:
-    spread = points.selectExpr(*[f"var_pop({f}) as {f}" for f in features]).first()
-    ranges = points.unionByName(queries).selectExpr(*[f"max({f}) - min({f}) as {f}" for f in features]).first()
-    a, b = sorted(features, key=lambda f: -(spread[f] or 0.0))[:2] if len(features) > 1 else (features[0], features[0])
-    slack = sum((ranges[f] or 0.0) ** 2 for f in features if f not in (a, b))
+    sides = points.select(*features).unionByName(queries.select(*features))
+    shape = sides.selectExpr(*[f"var_pop({f}) as {f}" for f in features],
+                             *[f"max({f}) - min({f}) as {f}__range" for f in features]).first()
+    a, b = sorted(features, key=lambda f: -(shape[f] or 0.0))[:2] if len(features) > 1 else (features[0], features[0])
+    slack = sum((shape[f"{f}__range"] or 0.0) ** 2 for f in features if f not in (a, b))
     side = max(1, math.ceil(math.sqrt(min(max_tiles, n / tile_rows))))
     marks = [i / side for i in range(1, side)]
     first = np.unique(points.approxQuantile(a, marks, 0.25 / side)) if marks else np.array([])
@@ -214,7 +220,6 @@ def _tile_search(queries: DataFrame, points: DataFrame, n_points: int, k: int, f
     tiles.set_boxes(placed.groupBy("tile").agg(
         expr("count(*) as n"), expr(f"min({a}) as a0"), expr(f"max({a}) as a1"),
         expr(f"min({b}) as b0"), expr(f"max({b}) as b1")).collect())  # at most max_tiles rows
-    sent = spark.sparkContext.broadcast(tiles)
     pivot = features.index(a)
 
     def run(visits: DataFrame) -> DataFrame:
@@ -240,7 +245,7 @@ def _tile_search(queries: DataFrame, points: DataFrame, n_points: int, k: int, f
         return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, FOUND_TYPES)
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = sent.value
+        t = tiles
         for batch in batches:
             xs, ys = batch.column(a).to_numpy(), batch.column(b).to_numpy()
             spot = t.locate(xs, ys)
@@ -256,7 +261,7 @@ def _tile_search(queries: DataFrame, points: DataFrame, n_points: int, k: int, f
                .join(limits, homes["id"] == limits["q_id"], "left").drop("q_id"))
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = sent.value
+        t = tiles
         for batch in batches:
             xs, ys = batch.column(a).to_numpy(), batch.column(b).to_numpy()
             homes_, kth = _ids(batch, "home"), batch.column("kth").to_numpy(zero_copy_only=False).astype(float)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ledgerlens import schema
 from ledgerlens.functions.scalar import ratio
 from ledgerlens.operators.running import quantiles_of_counts, value_counts
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import broadcast_if_small
 
 _FRACTIONAL = (T.FloatType, T.DoubleType)
 
@@ -87,9 +87,8 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None, broadcas
     """
     names = list(columns or [c for c in df.columns if c != schema.KEY])
     rows = df.selectExpr(*names, f"xxhash64({', '.join(names)}) as _h")
-    shared = cut_lineage(rows.groupBy("_h").count().where("count > 1").select("_h"))
-    if shared.count() <= broadcast_limit:
-        rows = rows.join(F.broadcast(shared), "_h", "left_semi")
+    shared = broadcast_if_small(rows.groupBy("_h").count().where("count > 1").select("_h"), broadcast_limit)
+    rows = rows.join(shared, "_h", "left_semi")
     return rows.groupBy(*names).count().selectExpr("coalesce(sum(count - 1), 0L) as duplicates")
 
 

@@ -17,7 +17,7 @@ from ledgerlens import schema
 from ledgerlens.functions.scalar import key_hash, key_unit, ratio
 from ledgerlens.operators.neighbours import knn, vectors_of
 from ledgerlens.operators.split import choose_strategy, class_weight, cut_points, imbalance
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import broadcast_if_small, cut_lineage
 
 
 class CannotResample(ValueError):
@@ -100,7 +100,7 @@ def danger_rows(train: DataFrame, m: int = 5) -> DataFrame:
 def borderline_smote(train: DataFrame, target: float = 0.03, k: int = 3, m: int = 5, seed: int = 42) -> DataFrame:
     """SMOTE whose seeds are the minority rows in danger; no such row gives no synthetic row."""
     need = _need(train, target, k)
-    danger = cut_lineage(danger_rows(train, m))
+    danger = broadcast_if_small(danger_rows(train, m))
     n = danger.count()
     if n == 0:
         return interpolate(_minority(train).selectExpr("*", "0L as copies"), knn(_minority(train), _minority(train), k), k, seed, 1)
@@ -132,30 +132,43 @@ def tomek_links(rows: DataFrame) -> DataFrame:
 
     Only minority rows and the majority rows they hit are looked up.
     """
-    hits = cut_lineage(knn(_minority(rows), rows, 1).where("nn_label = 0").select("q_id", "nn_id"))
-    hit = rows.join(hits.selectExpr(f"nn_id as {schema.KEY}").distinct(), schema.KEY, "left_semi")
+    hits = broadcast_if_small(knn(_minority(rows), rows, 1).where("nn_label = 0").select("q_id", "nn_id"))
+    hit = cut_lineage(rows.join(hits, expr(f"{schema.KEY} = nn_id"), "left_semi"))
     back = knn(hit, rows, 1).selectExpr("q_id as nn_id", "nn_id as q_id")
-    return hits.join(back, ["q_id", "nn_id"]).selectExpr("q_id as minority_id", "nn_id as majority_id")
+    return back.join(hits, ["q_id", "nn_id"]).selectExpr("q_id as minority_id", "nn_id as majority_id")
 
 
-def remove_tomek(rows: DataFrame) -> DataFrame:
-    """Drop both members of every Tomek link."""
-    gone = tomek_links(rows).selectExpr(f"explode(array(minority_id, majority_id)) as {schema.KEY}")
-    return rows.join(gone, schema.KEY, "left_anti")
-
-
-def smote_tomek(train: DataFrame, target: float = 0.08, k: int = 5, seed: int = 42) -> DataFrame:
-    """Original and synthetic rows after SMOTE, without Tomek links."""
-    return remove_tomek(cut_lineage(with_synthetic(train, smote(train, target, k, seed))))
+def tomek_members(rows: DataFrame) -> DataFrame:
+    """tx_id of both members of every Tomek link."""
+    return tomek_links(rows).selectExpr(f"explode(array(minority_id, majority_id)) as {schema.KEY}")
 
 
 @dataclass(frozen=True)
 class Balanced:
-    """A rebalanced train table, how it was made, and the class weight if it had to be used instead."""
-    rows: DataFrame
+    """A rebalanced train table as changes to the stored one: rows added, keys removed (both may be none).
+
+    `positive_weight` is set where a class weight has to stand in for resampling.
+    """
+    train: DataFrame
     method: str
+    synthetic: DataFrame | None = None
+    removed: DataFrame | None = None
     positive_weight: float | None = None
 
+    @property
+    def rows(self) -> DataFrame:
+        original = self.train if self.removed is None else self.train.join(self.removed, schema.KEY, "left_anti")
+        if self.synthetic is None:
+            return original.selectExpr(schema.KEY, *schema.FEATURES, schema.LABEL, "false as is_synthetic")
+        return with_synthetic(original, self.synthetic)
+
+
+def smote_tomek(train: DataFrame, target: float = 0.08, k: int = 5, seed: int = 42, method: str = "smote_tomek") -> Balanced:
+    """SMOTE, then removal of both members of every Tomek link among original and synthetic rows."""
+    synthetic = cut_lineage(smote(train, target, k, seed))
+    gone = broadcast_if_small(tomek_members(with_synthetic(train, synthetic)))
+    return Balanced(train, method, synthetic.join(gone, schema.KEY, "left_anti"), gone)
+
 
 def resample(train: DataFrame, seed: int = 42, weight_cap: float = 100.0) -> Balanced:
     """Pick the method by imbalance and apply it; where it cannot apply, keep the rows and use a class weight."""
@@ -166,15 +179,15 @@ def resample(train: DataFrame, seed: int = 42, weight_cap: float = 100.0) -> Bal
         if plan["imbalance"] is None:
             raise CannotResample("no positive row")
         if plan["method"] == "smote_tomek":
-            return Balanced(smote_tomek(train, target, k, seed), label)
+            return smote_tomek(train, target, k, seed, label)
         new = {"smote": lambda: smote(train, target, k, seed),
                "adasyn": lambda: adasyn(train, target, k, seed),
                "borderline_smote": lambda: borderline_smote(train, target, k, m, seed)}[plan["method"]]()
-        return Balanced(with_synthetic(train, new), label)
+        return Balanced(train, label, cut_lineage(new))
     except CannotResample:
         weight = class_weight(train, weight_cap).first()[0]
-        return Balanced(train.selectExpr(schema.KEY, *schema.FEATURES, schema.LABEL, "false as is_synthetic"),
-                        f"class_weight ({weight if weight is None else round(weight, 1)})", weight)
+        label = "class_weight" if weight is None else f"class_weight ({weight:.1f})"
+        return Balanced(train, label, positive_weight=weight)
 
 
 def resample_summary(original: DataFrame, balanced: DataFrame, method: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ledgerlens.functions.scalar import ratio
 
@@ -25,9 +25,6 @@ class Grid:
         """Expression for the i-th point (0-based)."""
         return f"case when {i} = {self.n - 1} then {self.high!r}D else {i} * {self.step!r}D + {self.low!r}D end"
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.range(self.n).selectExpr("cast(id as int) as i", f"{self.value('id')} as threshold")
-
 
 @dataclass(frozen=True)
 class Preset:
@@ -66,8 +63,8 @@ def threshold_sweep(scored: DataFrame, grid: Grid, by: Sequence[str] = ()) -> Da
               .groupBy(*by, "i").agg({"label": "sum", "*": "count"})
               .selectExpr(*by, "i", "`sum(label)` as pos", "`count(1)` - `sum(label)` as neg"))
     groups = counts.groupBy(*by).agg({"pos": "sum", "neg": "sum"}).selectExpr(*by, "`sum(pos)` as p_all", "`sum(neg)` as n_all")
-    points = grid.table(scored.sparkSession)
-    board = groups.crossJoin(points).join(counts, [*by, "i"], "left")  # groups x grid points
+    points = groups.selectExpr("*", f"explode(sequence(0, {grid.n - 1})) as i").selectExpr("*", f"{grid.value('i')} as threshold")
+    board = points.join(counts, [*by, "i"], "left")  # at most n rows per group on either side
     over = (f"partition by {', '.join(by)} " if by else "") + "order by i desc rows between unbounded preceding and current row"
     return (board.selectExpr(*by, "threshold", "p_all", "n_all",
                              f"coalesce(sum(pos) over ({over}), 0L) as tp", f"coalesce(sum(neg) over ({over}), 0L) as fp")

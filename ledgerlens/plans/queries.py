@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from ledgerlens import schema
 from ledgerlens.operators import clean, evaluate, features as fe, neighbours, profile, report, resample as rs
 from ledgerlens.operators import split as sp, threshold as th, training as tr
 from ledgerlens.plans import fixture, runner
-from ledgerlens.session import cut_lineage, ensure_checkpoint_dir
+from ledgerlens.session import cut_lineage, scratch_path
 from ledgerlens.sources import stages
 from ledgerlens.sources.transactions import append_chunks, read_transactions
 
@@ -29,10 +28,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                            for c, t in df.dtypes])
 
 
-def _scratch(spark: SparkSession) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/ledgerlens-{uuid.uuid4().hex}"
-
-
 _tx = fixture.transactions
 
 
@@ -82,7 +77,7 @@ def _summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    path = _scratch(spark)
+    path = scratch_path(spark)
     _tx(spark, sf).select(*schema.CSV_SCHEMA.names).write.option("header", True).csv(path)
     return rounded(read_transactions(spark, path).drop(schema.KEY))
 
@@ -93,10 +88,8 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    work = _scratch(spark)
-    splits = _splits(spark, sf).selectExpr("*", "false as is_synthetic", "split = 'train' as in_balanced")
-    metadata = spark.createDataFrame([("none", None)], "sampling_method string, positive_weight double")
-    stages.write_splits(splits, metadata, work)
+    work = scratch_path(spark)
+    stages.write_splits(_splits(spark, sf), work)
     return rounded(stages.read_split(spark, work, "test").select(schema.KEY, "amount_log", "hour", schema.LABEL, "split"))
 
 
@@ -126,7 +119,7 @@ def _smote_synthetic(train: DataFrame) -> DataFrame:
 
 
 def _tomek_rows(train: DataFrame) -> DataFrame:
-    return rs.smote_tomek(train, 0.08, 5).select(schema.KEY, schema.LABEL, "is_synthetic")
+    return rs.smote_tomek(train, 0.08, 5).rows.select(schema.KEY, schema.LABEL, "is_synthetic")
 
 
 def _tomek_links(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,7 +184,7 @@ def _run_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _full_run(spark: SparkSession, sf: str) -> DataFrame:
-    work = _scratch(spark)
+    work = scratch_path(spark)
     _tx(spark, sf).select(*schema.CSV_SCHEMA.names).write.option("header", True).csv(f"{work}/raw")
     settings = runner.Settings(n_trials=2, max_iter=4)
     return runner.run_all(spark, f"{work}/raw", work, settings).select("step", "module", "success", "error")

@@ -45,23 +45,14 @@ def feature_step(spark: SparkSession, source: str, work: str, settings: Settings
 
 def split_step(spark: SparkSession, source: str, work: str, settings: Settings) -> None:
     table = stages.read_features(spark, work)
-    parts = stages.write_table(sp.stratified_split(table, seed=settings.seed), work, "parts", ["split"])
-    train = parts.where("split = 'train'").drop("split")
+    stages.write_splits(sp.stratified_split(table, seed=settings.seed), work)
+    train = stages.read_split(spark, work, "train").drop("split", "is_synthetic")
     balanced = rs.resample(train, settings.seed, settings.weight_cap)
-    kept = balanced.rows.select(schema.KEY, "is_synthetic")
-    synthetic = balanced.rows.where("is_synthetic").selectExpr("*", "true as in_balanced", "'synthetic' as split")
-    if balanced.method.startswith("smote_tomek"):
-        marked = parts.join(kept.where("not is_synthetic").selectExpr(schema.KEY, "true as _in"), schema.KEY, "left")
-        original = marked.selectExpr(*table.columns, "false as is_synthetic",
-                                     "split = 'train' and coalesce(_in, false) as in_balanced", "split")
-    else:
-        original = parts.selectExpr(*table.columns, "false as is_synthetic", "split = 'train' as in_balanced", "split")
-    metadata = spark.createDataFrame([(balanced.method, balanced.positive_weight)],
-                                     "sampling_method string, positive_weight double")
-    stages.write_splits(original.unionByName(synthetic), metadata, work)
+    stages.add_balancing(work, balanced.synthetic, balanced.removed, spark)
+    stages.write_table(spark.createDataFrame([(balanced.method, balanced.positive_weight)],
+                                             "sampling_method string, positive_weight double"), work, "split_metadata")
     after = stages.read_split(spark, work, "train_balanced")
-    sets = stages.read_table(spark, work, "splits", schema.split_table_schema())
-    everything = sets.where("split <> 'synthetic'").unionByName(
+    everything = stages.read_table(spark, work, "splits", schema.split_table_schema()).where("split <> 'synthetic'").unionByName(
         after.drop("split").selectExpr("*", "'train_balanced' as split"))
     stages.write_table(profile.split_balance(everything), work, "split_balance")
     stages.write_table(profile.split_audit(everything), work, "split_audit")

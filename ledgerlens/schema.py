@@ -51,6 +51,4 @@ def feature_table_schema() -> T.StructType:
 
 def split_table_schema() -> T.StructType:
     return T.StructType(feature_table_schema().fields
-                        + [T.StructField("is_synthetic", T.BooleanType()),
-                           T.StructField("in_balanced", T.BooleanType()),
-                           T.StructField("split", T.StringType())])
+                        + [T.StructField("is_synthetic", T.BooleanType()), T.StructField("split", T.StringType())])

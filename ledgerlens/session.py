@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 
 def local_session(cores: int | str = "*", app: str = "ledgerlens", memory: str = "8g") -> SparkSession:
@@ -32,7 +34,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A fresh path in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` once to the reliable checkpoint folder and continue from the written copy."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` once as a table in the shared folder and continue from it.
+
+    A lost executor then costs a re-read, not a recomputation, and later steps still read only the columns they use.
+    """
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 2_000_000) -> DataFrame:
+    """A narrow key table, written once and counted: sent to every task if it is small, shuffled otherwise."""
+    stored = cut_lineage(df)
+    return broadcast(stored) if stored.count() <= limit else stored

@@ -36,21 +36,34 @@ def read_features(spark: SparkSession, work: str) -> DataFrame:
     return read_table(spark, work, "features", schema.feature_table_schema())
 
 
-def write_splits(splits: DataFrame, metadata: DataFrame, work: str) -> DataFrame:
-    """One table partitioned by split.  Synthetic rows are a partition of their own, so train is stored once;
-    `in_balanced` marks the rows of train and synthetic that make up the balanced train set."""
-    order = [f.name for f in schema.split_table_schema().fields]
-    written = write_table(splits.select(*order), work, "splits", ["split"])
-    write_table(metadata, work, "split_metadata")
-    return written
+def write_splits(splits: DataFrame, work: str) -> DataFrame:
+    """The original rows, one partition per split; train is stored once and never rewritten."""
+    order = [f.name for f in schema.split_table_schema().fields if f.name != "is_synthetic"]
+    rows = splits.selectExpr(*order[:-1], "false as is_synthetic", "split")
+    return write_table(rows, work, "splits", ["split"])
+
+
+def add_balancing(work: str, synthetic: DataFrame | None, removed: DataFrame | None, spark: SparkSession) -> None:
+    """Append synthetic rows as a partition of their own, and list the original keys left out of balanced train."""
+    if synthetic is not None:
+        order = [f.name for f in schema.split_table_schema().fields][:-2]
+        rows = synthetic.selectExpr(*order, "true as is_synthetic", "'synthetic' as split")
+        rows.write.mode("append").partitionBy("split").parquet(_path(work, "splits"))
+    none = spark.createDataFrame([], f"{schema.KEY} long")
+    write_table(none if removed is None else removed.select(schema.KEY).where(f"{schema.KEY} >= 0"), work, "removed")
 
 
 def read_split(spark: SparkSession, work: str, name: str) -> DataFrame:
     """train, val, test or train_balanced."""
     rows = read_table(spark, work, "splits", schema.split_table_schema())
-    if name == "train_balanced":
-        return rows.where("split in ('train', 'synthetic') and in_balanced")
-    return rows.where(f"split = '{name}'")
+    if name != "train_balanced":
+        return rows.where(f"split = '{name}'")
+    removed = read_table(spark, work, "removed")
+    n = removed.count()
+    balanced = rows.where("split in ('train', 'synthetic')")
+    if n == 0:
+        return balanced
+    return balanced.join(removed.hint("broadcast") if n <= 2_000_000 else removed, schema.KEY, "left_anti")
 
 
 def write_model(model: PipelineModel, work: str) -> str:

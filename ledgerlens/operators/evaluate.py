@@ -98,9 +98,9 @@ def score_histogram(scored: DataFrame, bins: int = 50) -> DataFrame:
     edge = "case when {i} = %d then hi else {i} * ((hi - lo) / %d) + lo end" % (bins, bins)
     spans = broadcast(spans)  # one row per class
     placed = (rows.join(spans, "label")
-              .selectExpr("label", "p", "lo", "hi", f"least(cast(floor((p - lo) / (hi - lo) * {bins}) as int), {bins - 1}) as g")
-              .selectExpr("label", f"case when p < ({edge.format(i='g')}) then g - 1 when g < {bins - 1} and "
-                                   f"p >= ({edge.format(i='(g + 1)')}) then g + 1 else g end as bin")
+              .selectExpr("label", "p", "lo", "hi", f"least(cast(floor((p - lo) / (hi - lo) * {bins}) as int), {bins - 1}) as _g")
+              .selectExpr("label", f"case when p < ({edge.format(i='_g')}) then _g - 1 when _g < {bins - 1} and "
+                                   f"p >= ({edge.format(i='(_g + 1)')}) then _g + 1 else _g end as bin")
               .groupBy("label", "bin").count().withColumnRenamed("count", "n"))
     full = spans.selectExpr("*", f"explode(sequence(0, {bins - 1})) as bin")
     return (full.join(placed, ["label", "bin"], "left")

@@ -186,8 +186,7 @@ def resample(train: DataFrame, seed: int = 42, weight_cap: float = 100.0) -> Bal
         return Balanced(train, label, cut_lineage(new))
     except CannotResample:
         weight = class_weight(train, weight_cap).first()[0]
-        label = "class_weight" if weight is None else f"class_weight ({weight:.1f})"
-        return Balanced(train, label, positive_weight=weight)
+        return Balanced(train, f"class_weight ({weight:.1f})", positive_weight=weight)
 
 
 def resample_summary(original: DataFrame, balanced: DataFrame, method: str) -> DataFrame:

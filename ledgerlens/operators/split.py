@@ -96,7 +96,7 @@ def choose_strategy(measured: DataFrame) -> DataFrame:
 
 
 def class_weight(train: DataFrame, cap: float = 100.0, label: str = schema.LABEL) -> DataFrame:
-    """One row: weight of a positive row, majority over minority, at most `cap`."""
+    """One row: weight of a positive row, majority over minority, at most `cap` (the cap itself without positives)."""
     return imbalance(train, label).selectExpr(f"least(imbalance, {float(cap)!r}D) as positive_weight")
 
 

@@ -58,14 +58,14 @@ def threshold_sweep(scored: DataFrame, grid: Grid, by: Sequence[str] = ()) -> Da
     by = list(by)
     guess = f"cast(floor((p - {grid.low!r}D) / {grid.step!r}D) as int)"
     reached = (f"case when p is null or isnan(p) or p < {grid.low!r}D then -1 when p >= {grid.high!r}D then {grid.n - 1} "
-               f"when p < ({grid.value('g')}) then g - 1 when p >= ({grid.value('(g + 1)')}) then g + 1 else g end")
-    counts = (scored.selectExpr(*by, "label", "p", f"{guess} as g").selectExpr(*by, "label", f"{reached} as i")
-              .groupBy(*by, "i").agg({"label": "sum", "*": "count"})
-              .selectExpr(*by, "i", "`sum(label)` as pos", "`count(1)` - `sum(label)` as neg"))
+               f"when p < ({grid.value('_g')}) then _g - 1 when p >= ({grid.value('(_g + 1)')}) then _g + 1 else _g end")
+    counts = (scored.selectExpr(*by, "label", "p", f"{guess} as _g").selectExpr(*by, "label", f"{reached} as _i")
+              .groupBy(*by, "_i").agg({"label": "sum", "*": "count"})
+              .selectExpr(*by, "_i", "`sum(label)` as pos", "`count(1)` - `sum(label)` as neg"))
     groups = counts.groupBy(*by).agg({"pos": "sum", "neg": "sum"}).selectExpr(*by, "`sum(pos)` as p_all", "`sum(neg)` as n_all")
-    points = groups.selectExpr("*", f"explode(sequence(0, {grid.n - 1})) as i").selectExpr("*", f"{grid.value('i')} as threshold")
-    board = points.join(counts, [*by, "i"], "left")  # at most n rows per group on either side
-    over = (f"partition by {', '.join(by)} " if by else "") + "order by i desc rows between unbounded preceding and current row"
+    points = groups.selectExpr("*", f"explode(sequence(0, {grid.n - 1})) as _i").selectExpr("*", f"{grid.value('_i')} as threshold")
+    board = points.join(counts, [*by, "_i"], "left")  # at most n rows per group on either side
+    over = (f"partition by {', '.join(by)} " if by else "") + "order by _i desc rows between unbounded preceding and current row"
     return (board.selectExpr(*by, "threshold", "p_all", "n_all",
                              f"coalesce(sum(pos) over ({over}), 0L) as tp", f"coalesce(sum(neg) over ({over}), 0L) as fp")
             .selectExpr(*by, "threshold", "tp", "fp", "p_all - tp as fn", "n_all - fp as tn")

@@ -5,7 +5,10 @@ Text keeps plan building cheap: one call to the JVM per projection instead of on
 
 from __future__ import annotations
 
-HASH_RANGE = 2 ** 32
+from zlib import crc32
+
+# Hash range: a prime below 2^31, so every product below stays within a bigint.
+HASH_RANGE = 2 ** 31 - 1
 
 
 def ratio(num: str, den: str, default: str = "0.0D") -> str:
@@ -18,15 +21,20 @@ def no_nan(col: str) -> str:
     return f"nanvl({col}, null)"
 
 
-def key_hash(*parts: str) -> str:
-    """Deterministic 32-bit hash of the parts as a bigint, the same in any engine that has md5."""
-    text = ", ".join(f"cast({p} as string)" for p in parts)
-    return f"cast(conv(substring(md5(concat_ws('|', {text})), 1, 8), 16, 10) as bigint)"
+def key_hash(key: str, seed: int, copy: str = "0", purpose: str = "") -> str:
+    """Deterministic hash of a key >= 0 (and a copy number) in [0, HASH_RANGE), never NULL.
+
+    Plain bigint arithmetic: it stays inside generated code, costs a few nanoseconds, and any engine can repeat it.
+    """
+    salt = crc32(f"{purpose}|{seed}".encode()) % HASH_RANGE
+    base = f"((({key} & 2147483647) * 902433191 + shiftright({key}, 31) * 1048573 + {copy} * 715827883 + {salt}L) % {HASH_RANGE}L)"
+    first = f"((({base} ^ shiftright({base}, 15)) * 1597334677L) % {HASH_RANGE}L)"
+    return f"coalesce((({first} ^ shiftright({first}, 13)) * 747796405L) % {HASH_RANGE}L, 0L)"
 
 
-def key_unit(*parts: str) -> str:
-    """Deterministic value in [0, 1) from the parts."""
-    return f"({key_hash(*parts)} / {HASH_RANGE}.0D)"
+def key_unit(key: str, seed: int, copy: str = "0", purpose: str = "") -> str:
+    """Deterministic value in [0, 1)."""
+    return f"({key_hash(key, seed, copy, purpose)} / {HASH_RANGE}.0D)"
 
 
 def log_bucket(col: str, per_fold: int = 2048) -> str:

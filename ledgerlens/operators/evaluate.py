@@ -91,10 +91,8 @@ def base_rate(scored: DataFrame) -> DataFrame:
 def score_histogram(scored: DataFrame, bins: int = 50) -> DataFrame:
     """label, bin, left, right, n, density; each class has its own range and its last bin is closed."""
     rows = scored.where("p is not null and not isnan(p)").select("label", "p")
-    spans = (rows.groupBy("label").agg({"p": "min", "*": "count"}).withColumnRenamed("count(1)", "total")
-             .join(rows.groupBy("label").agg({"p": "max"}), "label")
-             .selectExpr("label", "total", "if(`min(p)` = `max(p)`, `min(p)` - 0.5D, `min(p)`) as lo",
-                         "if(`min(p)` = `max(p)`, `max(p)` + 0.5D, `max(p)`) as hi"))
+    spans = (rows.groupBy("label").agg(expr("count(*) as total"), expr("min(p) as a"), expr("max(p) as b"))
+             .selectExpr("label", "total", "if(a = b, a - 0.5D, a) as lo", "if(a = b, b + 0.5D, b) as hi"))
     edge = "case when {i} = %d then hi else {i} * ((hi - lo) / %d) + lo end" % (bins, bins)
     spans = broadcast(spans)  # one row per class
     placed = (rows.join(spans, "label")

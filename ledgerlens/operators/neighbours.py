@@ -30,7 +30,7 @@ from ledgerlens.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BROADCAST_CELLS = 8_000_000   # query cells (rows x features x (k + 1)) sent to every task at most
-BROADCAST_PAIRS = 2e11        # comparisons beyond which tiles pay off
+BROADCAST_PAIRS = 1e10        # comparisons beyond which tiles pay off
 NO_ID = np.iinfo(np.int64).max
 
 

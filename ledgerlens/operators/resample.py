@@ -50,7 +50,7 @@ def even_copies(seeds: DataFrame, total: int, n_seeds: int, seed: int) -> DataFr
     each, extra = divmod(total, n_seeds)
     if extra == 0:
         return seeds.selectExpr("*", f"{each}L as copies")
-    order = key_hash(schema.KEY, "'copies'", str(seed))
+    order = key_hash(schema.KEY, seed, purpose="copies")
     keys = seeds.selectExpr("1 as grp", f"{order} as h", f"{schema.KEY} as id")
     ranks = seeds.sparkSession.range(1).selectExpr("1 as grp", "'c' as cut", f"{extra}L as pos")
     last = cut_points(keys, ranks).selectExpr("struct(h, id)").scalar()
@@ -69,8 +69,8 @@ def interpolate(seeds: DataFrame, nearest: DataFrame, k: int, seed: int, stride:
     rows = (seeds.where("copies > 0").selectExpr(schema.KEY, "copies")
             .join(cells, expr(f"{schema.KEY} = id")).join(lists, expr("id = q_id"))
             .selectExpr("id", "v", "near", "explode(sequence(1L, copies)) as copy"))
-    rows = rows.selectExpr("id", "v", "copy", f"near[cast({key_hash('id', 'copy', repr('pick'), str(seed))} % {k} as int)].nn_v as w",
-                           f"{key_unit('id', 'copy', repr('gap'), str(seed))} as gap")
+    rows = rows.selectExpr("id", "v", "copy", f"near[cast({key_hash('id', seed, 'copy', 'pick')} % {k} as int)].nn_v as w",
+                           f"{key_unit('id', seed, 'copy', 'gap')} as gap")
     return rows.selectExpr(f"-(id * {stride}L + copy) as {schema.KEY}",
                            *[f"cast(v[{i}] + gap * (w[{i}] - v[{i}]) as float) as {f}" for i, f in enumerate(features)],
                            f"1 as {schema.LABEL}")

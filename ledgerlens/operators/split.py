@@ -15,11 +15,11 @@ STRATEGIES = [("borderline_smote", 300, 0.03, 3, 5), ("adasyn", 150, 0.05, 3, No
 def cut_points(keys: DataFrame, ranks: DataFrame) -> DataFrame:
     """The (h, id) found at given ranks of each group, without sorting the groups.
 
-    keys: (grp, h, id) with a 32-bit hash h.  ranks: (grp, cut, pos), a few rows.  A histogram of the top 16 hash
+    keys: (grp, h, id) with a 31-bit hash h.  ranks: (grp, cut, pos), a few rows.  A histogram of the top 16 hash
     bits finds the bucket that holds each rank; only that bucket, about 1/65536 of a group, is ordered.
     """
     return keys.sparkSession.sql("""
-        with hist as (select grp, shiftright(h, 16) as b, count(*) as n from {keys} group by grp, shiftright(h, 16)),
+        with hist as (select grp, shiftright(h, 15) as b, count(*) as n from {keys} group by grp, shiftright(h, 15)),
         run as (select grp, b, n, sum(n) over (partition by grp order by b
                                                rows between unbounded preceding and current row) as c from hist),
         cell as (select r.grp, r.cut, run.b, r.pos - (run.c - run.n) as within
@@ -27,7 +27,7 @@ def cut_points(keys: DataFrame, ranks: DataFrame) -> DataFrame:
         select grp, cut, h, id from (
             select /*+ broadcast(c) */ k.grp, c.cut, k.h, k.id, c.within,
                    row_number() over (partition by k.grp, c.cut order by k.h, k.id) as rn
-            from {keys} k join cell c on k.grp = c.grp and shiftright(k.h, 16) = c.b)
+            from {keys} k join cell c on k.grp = c.grp and shiftright(k.h, 15) = c.b)
         where rn = within""", keys=keys, ranks=ranks)
 
 
@@ -60,7 +60,7 @@ def stratified_split(df: DataFrame, label: str = schema.LABEL, test: float = 0.2
     Rows of a class are ordered by a seeded hash of the key: the first ones are test, the next ones val.  The cut
     keys come from two narrow scans of key and label; the rows themselves are only labelled in place, never moved.
     """
-    keys = df.selectExpr(f"cast({label} as int) as grp", f"{key_hash(schema.KEY, str(seed))} as h", f"{schema.KEY} as id")
+    keys = df.selectExpr(f"cast({label} as int) as grp", f"{key_hash(schema.KEY, seed)} as h", f"{schema.KEY} as id")
     counts = keys.groupBy("grp").count().selectExpr("grp as label", "count as n")
     ranks = (split_sizes(counts, test, nested)
              .selectExpr("label as grp", "inline(array(struct('test' as cut, n_test as pos), "
@@ -70,7 +70,7 @@ def stratified_split(df: DataFrame, label: str = schema.LABEL, test: float = 0.2
     ends = cuts.groupBy("grp").pivot("cut", ["test", "val"]).agg({"h": "max", "id": "max"})
     ends = ends.selectExpr("grp as _g", "`test_max(h)` as _th", "`test_max(id)` as _ti", "`val_max(h)` as _vh", "`val_max(id)` as _vi")
     before = "coalesce(_h < {h} or (_h = {h} and " + schema.KEY + " <= {i}), false)"
-    rows = df.selectExpr("*", f"{key_hash(schema.KEY, str(seed))} as _h", f"cast({label} as int) as _g")
+    rows = df.selectExpr("*", f"{key_hash(schema.KEY, seed)} as _h", f"cast({label} as int) as _g")
     return (rows.join(ends.hint("broadcast"), "_g", "left")
             .selectExpr(*df.columns, f"case when {before.format(h='_th', i='_ti')} then 'test' "
                                      f"when {before.format(h='_vh', i='_vi')} then '{'val' if nested else 'train'}' "

@@ -54,12 +54,13 @@ def threshold_sweep(scored: DataFrame, grid: Grid, by: Sequence[str] = ()) -> Da
 
     Each row is counted once, under the number of grid points its score reaches; a running sum over at most
     n + 1 counts per group then gives every threshold.  The false positive rate is 1 where no negative exists.
+    The grid position is never NULL, so the join on it adds no filter and the scored rows are scanned once.
     """
     by = list(by)
     guess = f"cast(floor((p - {grid.low!r}D) / {grid.step!r}D) as int)"
     reached = (f"case when p is null or isnan(p) or p < {grid.low!r}D then -1 when p >= {grid.high!r}D then {grid.n - 1} "
                f"when p < ({grid.value('_g')}) then _g - 1 when p >= ({grid.value('(_g + 1)')}) then _g + 1 else _g end")
-    counts = (scored.selectExpr(*by, "label", "p", f"{guess} as _g").selectExpr(*by, "label", f"{reached} as _i")
+    counts = (scored.selectExpr(*by, "label", "p", f"{guess} as _g").selectExpr(*by, "label", f"coalesce({reached}, -1) as _i")
               .groupBy(*by, "_i").agg({"label": "sum", "*": "count"})
               .selectExpr(*by, "_i", "`sum(label)` as pos", "`count(1)` - `sum(label)` as neg"))
     groups = counts.groupBy(*by).agg({"pos": "sum", "neg": "sum"}).selectExpr(*by, "`sum(pos)` as p_all", "`sum(neg)` as n_all")

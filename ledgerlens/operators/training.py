@@ -52,7 +52,7 @@ def sample_params(spark: SparkSession, n: int, seed: int = 42, space: str = "nar
     """(trial, params): one seeded draw per trial and parameter, mapped to its range."""
     entries = []
     for name, kind, low, high in SEARCH_SPACES[space]:
-        u = key_unit("id", repr(name), str(seed))
+        u = key_unit("id", seed, purpose=name)
         value = {"int": f"cast({low} + floor({u} * {high - low + 1}) as double)",
                  "uniform": f"{float(low)!r}D + {u} * {float(high - low)!r}D",
                  "log": f"exp(ln({float(low)!r}D) + {u} * (ln({float(high)!r}D) - ln({float(low)!r}D)))"}[kind]

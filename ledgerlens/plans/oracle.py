@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from ledgerlens import schema
 from ledgerlens.operators.threshold import CURVE_GRID, PRESETS, Grid
 from ledgerlens.plans.fixture import transactions_sql
@@ -22,9 +24,12 @@ def _tx(limit: int = 150) -> str:
     return f"tx as ({transactions_sql('events', limit)})"
 
 
-def _hash(*parts: str) -> str:
-    text = ", ".join(f"cast({p} as varchar)" for p in parts)
-    return f"cast('0x' || substr(md5(concat_ws('|', {text})), 1, 8) as bigint)"
+def _hash(key: str, copy: str = "0", purpose: str = "", seed: int = 42) -> str:
+    prime = 2147483647
+    base = (f"((({key} & {prime}) * 902433191 + ({key} >> 31) * 1048573 + {copy} * 715827883"
+            f" + {crc32(f'{purpose}|{seed}'.encode()) % prime}) % {prime})")
+    first = f"((xor({base}, {base} >> 15) * 1597334677) % {prime})"
+    return f"((xor({first}, {first} >> 13) * 747796405) % {prime})"
 
 
 TX = _tx()
@@ -83,7 +88,7 @@ def _sizes(source: str, nested: bool = True) -> list[str]:
 def _split(source: str = "feats") -> list[str]:
     return [*_sizes(source), f"""splits as (select {source}.*, case when pos.rn <= n_test then 'test' when pos.rn <= n_test + n_val then 'val'
             else 'train' end as split
-        from {source} join (select tx_id, row_number() over (partition by isFraud order by {_hash('tx_id', "'42'")}, tx_id) as rn
+        from {source} join (select tx_id, row_number() over (partition by isFraud order by {_hash('tx_id')}, tx_id) as rn
                          from {source}) pos using (tx_id) join s3 on s3.label = {source}.isFraud)""",
             f"train as (select * exclude (split) from splits where split = 'train')"]
 
@@ -111,7 +116,7 @@ def _need(target: float) -> str:
 
 
 def _even(seeds: str) -> str:
-    return f"""copies as (select s.tx_id, n_new // m + case when row_number() over (order by {_hash('s.tx_id', "'copies'", "'42'")}, s.tx_id)
+    return f"""copies as (select s.tx_id, n_new // m + case when row_number() over (order by {_hash('s.tx_id', purpose='copies')}, s.tx_id)
         <= n_new % m then 1 else 0 end as copies from {seeds} s, need, (select count(*) as m from {seeds}) n)"""
 
 
@@ -122,8 +127,8 @@ def _stride(seeds: str) -> str:
 def _synthetic(k: int) -> str:
     return f"""synthetic as (select -(tx_id * stride + copy) as tx_id, {', '.join(
         f"cast({_vec('s', f)} + gap * ({_vec('w', f)} - {_vec('s', f)}) as float) as {f}" for f in F)}, 1 as isFraud
-        from (select c.tx_id as id, copy, {_hash('c.tx_id', 'copy', "'pick'", "'42'")} % {k} + 1 as pick,
-                     {_hash('c.tx_id', 'copy', "'gap'", "'42'")} / 4294967296.0::double as gap
+        from (select c.tx_id as id, copy, {_hash('c.tx_id', 'copy', 'pick')} % {k} + 1 as pick,
+                     {_hash('c.tx_id', 'copy', 'gap')} / 2147483647.0::double as gap
               from copies c, lateral (select unnest(generate_series(1, c.copies)) as copy))
         join minority s on s.tx_id = id join nn on nn.q_id = id and nn.rank = pick
         join (select tx_id as w_id, {', '.join(F)} from minority) w on w.w_id = nn.nn_id, stride)"""

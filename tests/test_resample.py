@@ -77,7 +77,7 @@ def test_split_equals_row_numbers(spark, nested, shift):
         assert abs(counts["test", y] - 0.2 * n[y]) <= 1
         ends = [counts["test", y], counts["test", y] + counts.get(("val", y), 0)]
         from ledgerlens.functions.scalar import key_hash
-        want = df.where(f"isFraud = {y}").selectExpr("tx_id", f"row_number() over (order by {key_hash('tx_id', '42')}, tx_id) as rn")
+        want = df.where(f"isFraud = {y}").selectExpr("tx_id", f"row_number() over (order by {key_hash('tx_id', 42)}, tx_id) as rn")
         both = want.join(got, "tx_id").collect()
         assert all(r.split == ("test" if r.rn <= ends[0] else "val" if r.rn <= ends[1] else "train") for r in both)
 

@@ -79,9 +79,11 @@ def classifier(params: dict[str, float], features: Sequence[str], max_iter: int
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", seed=seed, maxIter=min(rounds, max_iter) if max_iter else rounds,
         maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-        featureSubsetStrategy=f"{float(p['colsample_bytree']):.6f}", minInstancesPerNode=int(p["min_child_weight"]),
-        minInfoGain=float(p["gamma"]) / 1000, maxBins=int(p.get("max_bin", 32)), checkpointInterval=10)
+        featureSubsetStrategy=f"{float(p['colsample_bytree']):.6f}",
+        minInstancesPerNode=int(p["min_child_weight"]),
+        minInfoGain=float(p["gamma"]) / 1000, validationTol=0.0, maxBins=int(p.get("max_bin", 32)), checkpointInterval=10)
     if validated:
+        # stop at the first round that does not lower the validation loss; rates here are small, so is each gain
         trees = trees.setValidationIndicatorCol("is_validation")
     if weighted:
         trees = trees.setWeightCol("weight")
@@ -96,17 +98,43 @@ def model_rows(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)
                            *extra)
 
 
-def fit(train: DataFrame, validation: DataFrame, params: dict[str, float], max_iter: int | None = None,
+def fit(train: DataFrame, validation: DataFrame | None, params: dict[str, float], max_iter: int | None = None,
         weight_cap: float | None = None, features: Sequence[str] = tuple(schema.FEATURES), seed: int = 42) -> PipelineModel:
-    """Fit on train, stop early on validation; `weight_cap` turns on class weights."""
+    """Fit on train, stopping early on validation if given; `weight_cap` turns on class weights."""
     ensure_checkpoint_dir(train.sparkSession)
     if weight_cap is not None:
         train = add_class_weight(train, weight_cap)
-        validation = validation.selectExpr("*", "1.0D as weight")
-    parts = [p.select(schema.KEY, *features, schema.LABEL, *(["weight"] if weight_cap is not None else []))
-             for p in (train, validation)]
-    both = parts[0].selectExpr("*", "false as is_validation").unionByName(parts[1].selectExpr("*", "true as is_validation"))
-    return classifier(params, features, max_iter, weight_cap is not None, seed=seed).fit(model_rows(both, features))
+        validation = validation.selectExpr("*", "1.0D as weight") if validation is not None else None
+    names = [schema.KEY, *features, schema.LABEL, *(["weight"] if weight_cap is not None else [])]
+    rows = train.select(*names)
+    if validation is not None:
+        rows = rows.selectExpr("*", "false as is_validation").unionByName(
+            validation.select(*names).selectExpr("*", "true as is_validation"))
+    learner = classifier(params, features, max_iter, weight_cap is not None, validation is not None, seed)
+    return learner.fit(model_rows(rows, features))
+
+
+def best_round(curve: Sequence[tuple[int, float]], patience: int) -> int:
+    """Round with the highest score before `patience` rounds pass without a better one."""
+    best, top = 0, float("-inf")
+    for number, value in sorted(curve):
+        if value is not None and value > top:
+            best, top = number, value
+        elif number - best >= patience:
+            break
+    return max(best, 1)
+
+
+def fit_final(train: DataFrame, validation: DataFrame, params: dict[str, float], max_iter: int | None = None,
+              weight_cap: float | None = None, patience: int = 50, seed: int = 42) -> PipelineModel:
+    """Fit all rounds, find the round with the best validation AUC-PR, and keep that many rounds.
+
+    The boosting seed fixes the sequence of trees, so the shorter fit repeats the first rounds of the longer one.
+    """
+    model = fit(train, None, params, max_iter, weight_cap, seed=seed)
+    curve = [(r["round"], r["auc_pr"]) for r in learning_curve(model, {"val": validation}).collect()]  # one row per round
+    rounds = best_round(curve, patience)
+    return model if rounds == len(curve) else fit(train, None, params, rounds, weight_cap, seed=seed)
 
 
 def score(model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:

@@ -141,7 +141,7 @@ def _appended(spark: SparkSession, sf: str) -> DataFrame:
 def _fitted(spark: SparkSession, sf: str):
     splits = cut_lineage(_splits(spark, sf))
     train, val, test = (splits.where(f"split = '{n}'").drop("split") for n in ("train", "val", "test"))
-    return tr.fit(train, val, SMALL_FIT, weight_cap=100.0), train, val, test
+    return tr.fit_final(train, val, SMALL_FIT, weight_cap=100.0), train, val, test
 
 
 def _model_scores(spark: SparkSession, sf: str) -> DataFrame:

@@ -81,7 +81,7 @@ def train_step(spark: SparkSession, source: str, work: str, settings: Settings)
     split_info = _split_metadata(spark, work)
     params = dict(stages.read_table(spark, work, "best_params").first()["params"])
     cap = settings.weight_cap if split_info["positive_weight"] is not None else None
-    model = tr.fit(balanced, validation, params, settings.max_iter, cap, seed=settings.seed)
+    model = tr.fit_final(balanced, validation, params, settings.max_iter, cap, seed=settings.seed)
     stages.write_model(model, work)
     on_validation = stages.write_table(tr.score(model, validation), work, "scored_val")
     chosen = stages.write_table(th.choose_threshold(on_validation, settings.threshold_preset), work, "threshold")

@@ -66,6 +66,20 @@ def test_fallback_parameters():
     assert tr.fallback_params("wide")["max_bin"] == 1024.0
 
 
+def test_best_round_waits_as_long_as_patience():
+    assert tr.best_round([(1, 0.2), (2, 0.5), (3, 0.4), (4, 0.4), (5, 0.9)], 2) == 2
+    assert tr.best_round([(1, 0.2), (2, 0.5), (3, 0.4), (4, 0.4), (5, 0.9)], 3) == 5
+    assert tr.best_round([(1, None), (2, None)], 2) == 1
+
+
+def test_final_fit_keeps_the_best_round(parts):
+    long = tr.fit(parts[0], None, SMALL_FIT)
+    curve = {r.round: r.auc_pr for r in tr.learning_curve(long, {"val": parts[1]}).collect()}
+    kept = tr.fit_final(parts[0], parts[1], SMALL_FIT).stages[-1]
+    assert len(curve) == 8 and curve[kept.getNumTrees] == max(curve.values())
+    assert kept.treeWeights == long.stages[-1].treeWeights[:kept.getNumTrees]
+
+
 def test_failed_trial_scores_zero(parts):
     record = tr.run_trial(0, {"max_depth": 99.0}, parts[0], parts[1], max_iter=1)
     assert record["score"] == 0.0 and record["state"].startswith("FAILED")

@@ -6,6 +6,7 @@ from zlib import crc32
 
 from ledgerlens import schema
 from ledgerlens.operators.threshold import CURVE_GRID, PRESETS, Grid
+from ledgerlens.operators.training import FALLBACK, SEARCH_SPACES
 from ledgerlens.plans.fixture import transactions_sql
 from ledgerlens.plans.queries import LIMITS, TRIAL_SCALES
 
@@ -264,7 +265,21 @@ SPLIT_STATS = f"""audit as (select split, {' + '.join(f'count(*) filter (where {
     ({' + '.join(f'sum(coalesce(cast({f} as double), 0))' for f in F)}) / ({' + '.join(f'count({f})' for f in F)}) as grand_mean from splits group by split)"""
 REPORT = [*METRICS, *GRADES, *CHANGE, GRADE_SUM, RADAR, READY, FLAGS]
 
+WEIGHT = "weight as (select (count(*) - sum(isFraud)) / sum(isFraud) as w from kept)"
+
+
+def _draw(name: str, kind: str, low: float, high: float) -> str:
+    u = f"({_hash('i', purpose=name)} / 2147483647.0::double)"
+    value = {"int": f"{low} + floor({u} * {high - low + 1})", "uniform": f"{_num(low)} + {u} * ({_num(high)} - {_num(low)})",
+             "log": f"exp(ln({_num(low)}) + {u} * (ln({_num(high)}) - ln({_num(low)})))"}[kind]
+    return f"select cast(i as int) as trial, '{name}' as name, round(cast({value} as double), 6) as value, round(least(w, 100), 6) as positive_weight from range(30) t(i), weight"
+
+
 ORACLE: dict[str, str] = {
+    "trial_parameters": _with(TX, KEPT, WEIGHT, select=" union all ".join(_draw(*p) for p in SEARCH_SPACES["narrow"])),
+    "fallback_parameters": _with(TX, KEPT, WEIGHT, select=f"""select name, cast(value as double) as value from (values
+        {', '.join(f"('{n}', {v})" for n, v in FALLBACK.items())}) t(name, value)
+        union all select 'scale_pos_weight', round(least(w, 50), 6) from weight"""),
     "read_transactions": _with(TX, select=f"select {', '.join(TX_OTHERS)}, {_round(TX_FLOATS, 6)} from tx"),
     "append_chunks": _with(TX, select="select type, count(*) as n from tx group by type"),
     "narrow_floats": _with(TX, select="select tx_id, round(cast(cast(cast(amount as double) / 3 as float) as double), 6) as third from tx"),

@@ -167,13 +167,14 @@ def _search_trials(spark: SparkSession, sf: str) -> DataFrame:
 def _trial_parameters(spark: SparkSession, sf: str) -> DataFrame:
     """Drawn parameter sets together with the positive weight measured on the data."""
     weight = sp.class_weight(_kept(spark, sf)).scalar()
-    return tr.sample_params(spark, 30).withColumn("positive_weight", weight)
+    draws = tr.sample_params(spark, 30).selectExpr("trial", "explode(params) as (name, value)")
+    return rounded(draws.withColumn("positive_weight", weight))
 
 
 def _fallback_parameters(spark: SparkSession, sf: str) -> DataFrame:
     weight = sp.class_weight(_kept(spark, sf)).first()[0]
     rows = [(n, float(v)) for n, v in tr.fallback_params("narrow", weight).items()]
-    return spark.createDataFrame(rows, "name string, value double")
+    return rounded(spark.createDataFrame(rows, "name string, value double"))
 
 
 def _run_log(spark: SparkSession, sf: str) -> DataFrame:

@@ -41,6 +41,15 @@ def vectors_of(df: DataFrame, features: Sequence[str], label: str = schema.LABEL
     return df.selectExpr(f"{schema.KEY} as id", f"{y} as y", *cells)
 
 
+def _thin(ids: np.ndarray, points: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the rows that can matter: of equal vectors only the k + 1 lowest ids can be among the k nearest."""
+    raw = np.ascontiguousarray(points)
+    _, group = np.unique(raw.view(np.dtype((np.void, raw.itemsize * raw.shape[1]))).ravel(), return_inverse=True)
+    order = np.lexsort((ids, group))
+    place = np.arange(len(order)) - np.searchsorted(group[order], group[order], "left")
+    return order[place <= k]
+
+
 class _Best:
     """The k nearest rows seen so far for each of a set of queries, updated block by block."""
 
@@ -63,7 +72,8 @@ class _Best:
         return d
 
     def update(self, ids: np.ndarray, y: np.ndarray, points: np.ndarray, chunk: int = 64, width: int = 8192) -> None:
-        order = np.argsort(points[:, self.pivot], kind="stable")
+        keep = _thin(ids, points, self.k)
+        order = keep[np.argsort(points[keep, self.pivot], kind="stable")]
         ids, y, points = ids[order], y[order], np.asfortranarray(points[order])
         line, k = points[:, self.pivot], self.k
         for start in range(0, len(self.ids), chunk):

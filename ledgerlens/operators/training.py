@@ -19,7 +19,7 @@ from ledgerlens.functions.scalar import key_unit
 from ledgerlens.operators.evaluate import ranking_metrics
 from ledgerlens.operators.split import add_class_weight
 from ledgerlens.operators.threshold import choose_threshold
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.session import cut_lineage, ensure_checkpoint_dir
 
 # The two search spaces as name, kind, low, high.
 SEARCH_SPACES = {
@@ -126,15 +126,18 @@ def best_round(curve: Sequence[tuple[int, float]], patience: int) -> int:
 
 
 def fit_final(train: DataFrame, validation: DataFrame, params: dict[str, float], max_iter: int | None = None,
-              weight_cap: float | None = None, patience: int = 50, seed: int = 42) -> PipelineModel:
+              weight_cap: float | None = None, patience: int = 50, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
     """Fit all rounds, find the round with the best validation AUC-PR, and keep that many rounds.
 
-    The boosting seed fixes the sequence of trees, so the shorter fit repeats the first rounds of the longer one.
+    Returns the model and the learning curve over all rounds.  The boosting seed fixes the sequence of trees, so the shorter fit repeats the first rounds of the longer one.
     """
     model = fit(train, None, params, max_iter, weight_cap, seed=seed)
-    curve = [(r["round"], r["auc_pr"]) for r in learning_curve(model, {"val": validation}).collect()]  # one row per round
-    rounds = best_round(curve, patience)
-    return model if rounds == len(curve) else fit(train, None, params, rounds, weight_cap, seed=seed)
+    curve = cut_lineage(learning_curve(model, {"train": train, "val": validation}))
+    on_validation = [(r["round"], r["auc_pr"]) for r in curve.where("part = 'val'").collect()]  # one row per round
+    rounds = best_round(on_validation, patience)
+    if rounds < len(on_validation):
+        model = fit(train, None, params, rounds, weight_cap, seed=seed)
+    return model, curve
 
 
 def score(model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:

@@ -141,11 +141,11 @@ def _appended(spark: SparkSession, sf: str) -> DataFrame:
 def _fitted(spark: SparkSession, sf: str):
     splits = cut_lineage(_splits(spark, sf))
     train, val, test = (splits.where(f"split = '{n}'").drop("split") for n in ("train", "val", "test"))
-    return tr.fit_final(train, val, SMALL_FIT, weight_cap=100.0), train, val, test
+    return *tr.fit_final(train, val, SMALL_FIT, weight_cap=100.0), test
 
 
 def _model_scores(spark: SparkSession, sf: str) -> DataFrame:
-    model, _, _, test = _fitted(spark, sf)
+    model, _, test = _fitted(spark, sf)
     return tr.score(model, test)
 
 
@@ -154,8 +154,7 @@ def _top_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _learning_curve(spark: SparkSession, sf: str) -> DataFrame:
-    model, train, val, _ = _fitted(spark, sf)
-    return tr.learning_curve(model, {"train": train, "val": val})
+    return _fitted(spark, sf)[1]
 
 
 def _search_trials(spark: SparkSession, sf: str) -> DataFrame:

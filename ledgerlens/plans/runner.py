@@ -81,7 +81,7 @@ def train_step(spark: SparkSession, source: str, work: str, settings: Settings)
     split_info = _split_metadata(spark, work)
     params = dict(stages.read_table(spark, work, "best_params").first()["params"])
     cap = settings.weight_cap if split_info["positive_weight"] is not None else None
-    model = tr.fit_final(balanced, validation, params, settings.max_iter, cap, seed=settings.seed)
+    model, curve = tr.fit_final(balanced, validation, params, settings.max_iter, cap, seed=settings.seed)
     stages.write_model(model, work)
     on_validation = stages.write_table(tr.score(model, validation), work, "scored_val")
     chosen = stages.write_table(th.choose_threshold(on_validation, settings.threshold_preset), work, "threshold")
@@ -94,7 +94,7 @@ def train_step(spark: SparkSession, source: str, work: str, settings: Settings)
         "roc_curve": evaluate.roc_curve(predicted), "pr_curve": evaluate.pr_curve(predicted),
         "score_histogram": evaluate.score_histogram(predicted), "threshold_curve": th.threshold_curve(predicted),
         "top_features": tr.top_features(model, spark),
-        "learning_curve": tr.learning_curve(model, {"train": balanced, "val": validation}),
+        "learning_curve": curve,
         "grades": report.grade_targets(metrics), "report": report.report_table(metrics),
         "package": package(spark, work, metrics, params, split_info["sampling_method"]),
     }.items():

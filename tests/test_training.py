@@ -75,7 +75,9 @@ def test_best_round_waits_as_long_as_patience():
 def test_final_fit_keeps_the_best_round(parts):
     long = tr.fit(parts[0], None, SMALL_FIT)
     curve = {r.round: r.auc_pr for r in tr.learning_curve(long, {"val": parts[1]}).collect()}
-    kept = tr.fit_final(parts[0], parts[1], SMALL_FIT).stages[-1]
+    model, again = tr.fit_final(parts[0], parts[1], SMALL_FIT)
+    kept = model.stages[-1]
+    assert {r.round: r.auc_pr for r in again.where("part = 'val'").collect()} == pytest.approx(curve)
     assert len(curve) == 8 and curve[kept.getNumTrees] == max(curve.values())
     assert kept.treeWeights == long.stages[-1].treeWeights[:kept.getNumTrees]
 

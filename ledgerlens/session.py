@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,11 +22,16 @@ def local_session(cores: int | str = "*", app: str = "ledgerlens", memory: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where none is named (tests)."""
+    """The shared folder the session names; a temporary one only for a local master (tests).
+
+    On a cluster a folder of the driver's machine would be a different folder on every executor, so none is made up.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
         if not named:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="ledgerlens-checkpoint-")
             spark.sparkContext.setCheckpointDir(named)
         return named

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerlens.llm import bpe, token_counts as tc, token_files as tf
+from ledgerlens.llm import bpe, decontaminate as dc, language_id as li, license_scan as ls, minhash as mh, page_text as pt
+from ledgerlens.llm import simhash as sh, token_counts as tc, token_files as tf, url_filter as uf
 from ledgerlens.llm.common import table
 from ledgerlens.session import scratch_path
 
@@ -22,6 +23,15 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return dc.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op3_page_text(spark: SparkSession, sf: str) -> DataFrame:
+    return pt.extract(table(spark, sf, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "lines", "shared")
+
+
 def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -30,11 +40,76 @@ def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
         F.col("key").alias("doc_id"), "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids_crc32")
 
 
+def op5_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", li.held_out(F.col("doc_id")).alias("held_out"))
+    model = li.fit(docs.where("not held_out"))
+    return li.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     with open(PIECE_BPE, "rb") as file:
         counts = tc.token_counts(table(spark, sf, "documents"), file.read())
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op4_token_files": op4_token_files, "op6_token_counts": op6_token_counts}
-ORACLE: dict[str, str] = {}
+def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    rows = mh.with_next(table(spark, sf, "documents"))
+    own = mh.fingerprints(rows.repartition("range"), "text", "sketch")
+    order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), "text")
+    pairs = own.select("*", F.lead("text").over(order).alias("next_text"), F.lead("sketch").over(order).alias("next_sketch"))
+    edited = pairs.where("not guest").select("doc_id", F.char_length("text").cast("long").alias("n_chars"), "sketch",
+                                             "next_sketch", mh.edited_text(F.col("text"), F.col("next_text")).alias("edited"))
+    both = mh.fingerprints(edited, "edited", "edited_sketch")
+    return both.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                       mh.packed(F.col("sketch")).alias("fingerprint"),
+                       mh.packed(F.col("edited_sketch")).alias("edited_fingerprint"),
+                       mh.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+                       mh.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+
+
+def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return ls.scan(table(spark, sf, "documents"), ls.known_licenses(spark))
+
+
+# The rules of the URL query, and words in host names that label a URL as unwanted for the fit.
+URL_RULES = ["allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/"]
+UNWANTED_WORDS = ["ads", "adult", "bets", "casino", "gambling", "malware", "phishing", "pills", "porn", "spam", "viagra", "xxx"]
+
+
+def op9_urls(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    hosted = pages.select("page_id", "url", uf.host_of(F.col("url")).alias("host"), uf.path_of(F.col("url")).alias("path"))
+    words = F.split("host", "[^a-z0-9]+")
+    labelled = hosted.select("url", F.arrays_overlap(words, F.array(*map(F.lit, UNWANTED_WORDS))).cast("int").alias("blocked"))
+    judged = uf.apply_rules(uf.score(hosted, uf.fit(labelled)), uf.parse_rules(URL_RULES))
+    own = F.when(F.col("score") > 0.5, "block").otherwise("allow")
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"), "score")
+
+
+def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = sh.near_duplicates(table(spark, sf, "documents"), shingle=3, distance=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _license_sql() -> str:
+    """The scan in SQL: the same canonical form by nested string functions, and a left join on its digest."""
+    def canonical(text: str) -> str:
+        pattern = ls.COPYRIGHT_LINE
+        out = f"regexp_replace(lower(coalesce({text}, '')), '{pattern}', ' ', 'g')"
+        out = f"' ' || trim(regexp_replace({out}, '{ls.NOT_WORD}', ' ', 'g')) || ' '"
+        for spelling, usual in ls.SPELLINGS:
+            for _ in range(2):
+                out = f"replace({out}, ' {spelling} ', ' {usual} ')"
+        return f"trim({out})"
+
+    known = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in ls.KNOWN.items())
+    return f"""with known as (select sha256({canonical('text')}) as digest, min(license) as license
+                              from (values {known}) as k(license, text) group by 1),
+                    docs as (select doc_id, sha256({canonical('text')}) as digest from documents)
+               select doc_id, digest, license from docs left join known using (digest)"""
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op3_page_text": op3_page_text,
+           "op4_token_files": op4_token_files, "op5_language": op5_language, "op6_token_counts": op6_token_counts,
+           "op7_minhash": op7_minhash, "op8_licenses": op8_licenses, "op9_urls": op9_urls, "op10_simhash": op10_simhash}
+ORACLE: dict[str, str] = {"op8_licenses": _license_sql()}

@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--trials", type=int, help="number of search trials")
     parser.add_argument("--minutes", type=float, help="time limit of the search")
     parser.add_argument("--space", choices=["narrow", "wide"], default="narrow")
-    parser.add_argument("--rounds", type=int, default=50, help="most boosting rounds per fit")
+    parser.add_argument("--rounds", type=int, help="most boosting rounds per fit; without it patience alone ends a fit")
     args = parser.parse_args(argv)
     settings = Settings(n_trials=args.trials, timeout_minutes=args.minutes, space=args.space, max_iter=args.rounds)
     spark = SparkSession.builder.appName("ledgerlens").getOrCreate()

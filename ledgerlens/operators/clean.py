@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerlens import schema
-from ledgerlens.operators.running import running_totals
+from ledgerlens.session import cut_lineage
 
 
 def narrow_floats(df: DataFrame) -> DataFrame:
@@ -38,21 +38,43 @@ def to_float_features(df: DataFrame, exclude: Sequence[str] = (schema.KEY, schem
                        for f in df.schema.fields])
 
 
-def label_codes(df: DataFrame, column: str, prefix: int = 6) -> DataFrame:
-    """(label, code): rank of each distinct label in sorted order, from 0; missing is the text 'nan'."""
-    labels = (df.selectExpr(f"coalesce(cast({column} as string), 'nan') as label").distinct()
-              .selectExpr("label", "1L as one"))
-    ranked = running_totals(labels, "label", ["one"], f"substring(label, 1, {prefix})")
-    return ranked.selectExpr("label", "c_one - 1 as code")
-
-
-def encode_remaining_strings(df: DataFrame, exclude: Sequence[str] = (schema.KEY, schema.LABEL)) -> DataFrame:
-    """Replace each leftover text column by its sorted-label code."""
+def label_codes(df: DataFrame, column: str, ranges: int = 256) -> DataFrame:
+    """(label, code): rank of each distinct label in sorted order, from 0; missing is the text 'nan'.
+
+    The distinct labels are cut into ranges at bounds drawn from a hash sample of them, so labels with a common start
+    are spread like any others; a rank is the place inside the range plus the sizes of the ranges before it.
+    """
+    labels = cut_lineage(df.selectExpr(f"coalesce(cast({column} as string), 'nan') as label").distinct())
+    n = labels.count()
+    drawn = labels.where(f"pmod(xxhash64(label), {max(n, 1)}) < {32 * ranges}").limit(128 * ranges)
+    sample = sorted((r["label"] for r in drawn.collect()), key=lambda x: x.encode())  # at most 128 * ranges labels
+    bounds = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}, key=lambda x: x.encode()) if sample else []
+    # the range of a label is the number of bounds that are not above it
+    cut = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("label"))) if bounds else F.lit(0)
+    placed = labels.withColumn("_b", cut)
+    offsets = placed.groupBy("_b").count().selectExpr(
+        "_b", "coalesce(sum(count) over (order by _b rows between unbounded preceding and 1 preceding), 0L) as _o")
+    return (placed.selectExpr("label", "_b", "row_number() over (partition by _b order by label) as _r")
+            .join(F.broadcast(offsets), "_b").selectExpr("label", "_o + _r - 1 as code"))
+
+
+def encode_remaining_strings(df: DataFrame, exclude: Sequence[str] = (schema.KEY, schema.LABEL), salts: int = 32,
+                             broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Replace each leftover text column by its sorted-label code.
+
+    The code table is written and counted: up to `broadcast_rows` labels it is sent to every task and no row moves.
+    Beyond that rows are joined on (label, salt), the code table once per salt, so a frequent label is many tasks.
+    """
     order = df.columns
     for name in [f.name for f in df.schema.fields
                  if isinstance(f.dataType, T.StringType) and f.name not in exclude]:
-        codes = label_codes(df, name).withColumnRenamed("label", "_label")
-        df = (df.withColumn("_label", F.coalesce(F.col(name), F.lit("nan")))
-              .join(codes, "_label", "left").drop("_label", name)
-              .withColumn(name, F.col("code").cast("float")).drop("code"))
+        codes = cut_lineage(label_codes(df, name).withColumnRenamed("label", "_label"))
+        rows = df.withColumn("_label", F.coalesce(F.col(name), F.lit("nan")))
+        if codes.count() <= broadcast_rows:
+            joined = rows.join(F.broadcast(codes), "_label", "left")
+        else:
+            salted = codes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            spread = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(salts)).cast("int")
+            joined = rows.withColumn("_salt", spread).join(salted, ["_label", "_salt"], "left").drop("_salt")
+        df = joined.drop("_label", name).withColumn(name, F.col("code").cast("float")).drop("code")
     return df.select(*order)

@@ -1,8 +1,8 @@
 """Minority resampling on Spark: SMOTE, borderline SMOTE, adaptive SMOTE, Tomek links.
 
 Distances use the features as they are, unscaled.  Every random choice is a seeded hash of the row key, so a
-resampled table is the same on any cluster and after any retry.  Synthetic keys are negative:
--(seed key * stride + copy), unique for keys >= 0.
+resampled table is the same on any cluster and after any retry.  Synthetic keys are -1 to -n: copies are numbered
+through in the order of their seeds' keys.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.functions import expr
 
 from ledgerlens import schema
-from ledgerlens.functions.scalar import key_hash, key_unit, ratio
+from ledgerlens.functions.scalar import key_hash, key_unit, log_bucket, ratio
 from ledgerlens.operators.neighbours import knn, vectors_of
+from ledgerlens.operators.running import running_totals
 from ledgerlens.operators.split import choose_strategy, class_weight, cut_points, imbalance
 from ledgerlens.session import broadcast_if_small, cut_lineage
 
@@ -58,7 +59,7 @@ def even_copies(seeds: DataFrame, total: int, n_seeds: int, seed: int) -> DataFr
             .selectExpr("* except (_c)", f"{each}L + int(struct({order} as h, {schema.KEY} as id) <= _c) as copies"))
 
 
-def interpolate(seeds: DataFrame, nearest: DataFrame, k: int, seed: int, stride: int,
+def interpolate(seeds: DataFrame, nearest: DataFrame, k: int, seed: int,
                 features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
     """One synthetic minority row per copy: seed + gap * (neighbour - seed), one gap for all features of a row.
 
@@ -66,12 +67,14 @@ def interpolate(seeds: DataFrame, nearest: DataFrame, k: int, seed: int, stride:
     """
     lists = nearest.groupBy("q_id").agg(expr("sort_array(collect_list(struct(rank, nn_v))) as near"))
     cells = vectors_of(seeds, features).selectExpr("id", f"array({', '.join(features)}) as v")
-    rows = (seeds.where("copies > 0").selectExpr(schema.KEY, "copies")
+    numbered = running_totals(seeds.where("copies > 0").selectExpr(schema.KEY, "copies"), schema.KEY, ["copies"],
+                              log_bucket(schema.KEY))
+    rows = (numbered.selectExpr(schema.KEY, "copies", "c_copies - copies as before")
             .join(cells, expr(f"{schema.KEY} = id")).join(lists, expr("id = q_id"))
-            .selectExpr("id", "v", "near", "explode(sequence(1L, copies)) as copy"))
-    rows = rows.selectExpr("id", "v", "copy", f"near[cast({key_hash('id', seed, 'copy', 'pick')} % {k} as int)].nn_v as w",
+            .selectExpr("id", "v", "near", "before", "explode(sequence(1L, copies)) as copy"))
+    rows = rows.selectExpr("id", "v", "before", "copy", f"near[cast({key_hash('id', seed, 'copy', 'pick')} % {k} as int)].nn_v as w",
                            f"{key_unit('id', seed, 'copy', 'gap')} as gap")
-    return rows.selectExpr(f"-(id * {stride}L + copy) as {schema.KEY}",
+    return rows.selectExpr(f"-(before + copy) as {schema.KEY}",
                            *[f"cast(v[{i}] + gap * (w[{i}] - v[{i}]) as float) as {f}" for i, f in enumerate(features)],
                            f"1 as {schema.LABEL}")
 
@@ -87,7 +90,7 @@ def smote(train: DataFrame, target: float = 0.15, k: int = 5, seed: int = 42) ->
     """Synthetic rows only: minority seeds moved toward one of their k nearest minority rows."""
     need = _need(train, target, k)
     seeds = even_copies(_minority(train), need.new, need.minority, seed)
-    return interpolate(seeds, knn(_minority(train), _minority(train), k), k, seed, need.new // need.minority + 2)
+    return interpolate(seeds, knn(_minority(train), _minority(train), k), k, seed)
 
 
 def danger_rows(train: DataFrame, m: int = 5) -> DataFrame:
@@ -103,10 +106,10 @@ def borderline_smote(train: DataFrame, target: float = 0.03, k: int = 3, m: int
     danger = broadcast_if_small(danger_rows(train, m))
     n = danger.count()
     if n == 0:
-        return interpolate(_minority(train).selectExpr("*", "0L as copies"), knn(_minority(train), _minority(train), k), k, seed, 1)
+        return interpolate(_minority(train).selectExpr("*", "0L as copies"), knn(_minority(train), _minority(train), k), k, seed)
     rows = cut_lineage(_minority(train).join(danger, schema.KEY, "left_semi"))
     seeds = even_copies(rows, need.new, n, seed)
-    return interpolate(seeds, knn(rows, _minority(train), k), k, seed, need.new // n + 2)
+    return interpolate(seeds, knn(rows, _minority(train), k), k, seed)
 
 
 def adaptive_copies(train: DataFrame, target: float = 0.05, k: int = 3) -> DataFrame:
@@ -123,8 +126,7 @@ def adaptive_copies(train: DataFrame, target: float = 0.05, k: int = 3) -> DataF
 
 def adasyn(train: DataFrame, target: float = 0.05, k: int = 3, seed: int = 42) -> DataFrame:
     seeds = cut_lineage(adaptive_copies(train, target, k))
-    most = seeds.selectExpr("coalesce(max(copies), 0L)").first()[0]
-    return interpolate(seeds, knn(_minority(train), _minority(train), k), k, seed, most + 2)
+    return interpolate(seeds, knn(_minority(train), _minority(train), k), k, seed)
 
 
 def tomek_links(rows: DataFrame) -> DataFrame:

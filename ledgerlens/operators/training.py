@@ -1,25 +1,36 @@
-"""Gradient-boosted trees: parameter draws, trials, search, final fit, scoring and model tables."""
+"""Gradient-boosted trees: parameter draws, trials, search, final fit, scoring and model tables.
+
+Boosting rounds are not cut short: a fit goes on until the validation AUC-PR has not risen for `patience` rounds or the
+drawn number of rounds is reached, and keeps the best round.  Spark cannot continue a fit, so FIRST_ROUNDS are fitted,
+then twice as many, and so on; the seed fixes the sequence of trees, so a longer fit begins with the trees of a shorter
+one and the answer is that of the full fit, at up to about twice its cost.
+"""
 
 from __future__ import annotations
 
+import sys
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.functions import col
+from pyspark.sql.functions import col, expr
 from pyspark.storagelevel import StorageLevel
 
 from ledgerlens import schema
 from ledgerlens.functions.scalar import key_unit
-from ledgerlens.operators.evaluate import ranking_metrics
 from ledgerlens.operators.split import add_class_weight
 from ledgerlens.operators.threshold import choose_threshold
-from ledgerlens.session import cut_lineage, ensure_checkpoint_dir
+from ledgerlens.session import cut_lineage, ensure_checkpoint_dir, scratch_path
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need numpy and pyarrow but not this package
 
 # The two search spaces as name, kind, low, high.
 SEARCH_SPACES = {
@@ -41,9 +52,19 @@ FALLBACK_WEIGHT_CAP = 50.0
 # (trials, minutes) of the two spaces
 BUDGETS = {"wide": (60, 60), "narrow": (30, 30)}
 
+TRIAL_PATIENCE, FINAL_PATIENCE = 30, 50
+FIRST_ROUNDS = 64
+CURVE_BUCKETS = 2_048  # equal steps of the log odds from -CURVE_EDGE to CURVE_EDGE, for the score after each round
+CURVE_EDGE = 12.0
+BINS = 256  # histogram bins where a parameter set names none, as usual for histogram trees
+# The drawn gain limit is in units of a sum over rows of second-order statistics; the learner here compares the mean
+# decrease of variance, which is below 1, so the limit is scaled to stay a mild one.
+GAIN_SCALE = 1e-3
+
 TRIALS_SCHEMA = T.StructType([
     T.StructField("trial", T.IntegerType()), T.StructField("params", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("dropped", T.ArrayType(T.StringType())),
+    T.StructField("rounds_used", T.IntegerType()), T.StructField("rounds_fitted", T.IntegerType()),
     *[T.StructField(n, T.DoubleType()) for n in ("score", "threshold", "precision", "recall", "f1", "fpr", "seconds")],
     T.StructField("state", T.StringType())])
 
@@ -71,20 +92,16 @@ def fallback_params(space: str = "narrow", positive_weight: float | None = None)
 NO_COUNTERPART = ("colsample_bylevel", "reg_alpha", "reg_lambda", "lossguide", "max_leaves")
 
 
-def classifier(params: dict[str, float], features: Sequence[str], max_iter: int | None = None, weighted: bool = False,
-               validated: bool = True, seed: int = 42) -> Pipeline:
-    """Assembler and boosted trees for a parameter set; `max_iter` scales the number of rounds down."""
+def classifier(params: dict[str, float], features: Sequence[str], rounds: int | None = None, weighted: bool = False,
+               seed: int = 42) -> Pipeline:
+    """Assembler and boosted trees for a parameter set, with its own number of rounds or the given one."""
     p = {**FALLBACK, **params}
-    rounds = int(p["n_estimators"])
     trees = GBTClassifier(
-        featuresCol="features", labelCol="label", seed=seed, maxIter=min(rounds, max_iter) if max_iter else rounds,
+        featuresCol="features", labelCol="label", seed=seed, maxIter=rounds or int(p["n_estimators"]),
         maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
         featureSubsetStrategy=f"{float(p['colsample_bytree']):.6f}",
         minInstancesPerNode=int(p["min_child_weight"]),
-        minInfoGain=float(p["gamma"]) / 1000, validationTol=0.0, maxBins=int(p.get("max_bin", 32)), checkpointInterval=10)
-    if validated:
-        # stop at the first round that does not lower the validation loss; rates here are small, so is each gain
-        trees = trees.setValidationIndicatorCol("is_validation")
+        minInfoGain=float(p["gamma"]) * GAIN_SCALE, maxBins=int(p.get("max_bin", BINS)), checkpointInterval=10)
     if weighted:
         trees = trees.setWeightCol("weight")
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), trees])
@@ -92,26 +109,41 @@ def classifier(params: dict[str, float], features: Sequence[str], max_iter: int
 
 def model_rows(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
     """(tx_id, label, features, ...): missing features take the fill value, as in the neighbour search."""
-    extra = [c for c in ("weight", "is_validation") if c in rows.columns]
+    extra = [c for c in ("weight",) if c in rows.columns]
     return rows.selectExpr(schema.KEY, f"cast({schema.LABEL} as double) as label",
                            *[f"coalesce(nanvl(cast({f} as double), null), {schema.NULL_FILL}D) as {f}" for f in features],
                            *extra)
 
 
-def fit(train: DataFrame, validation: DataFrame | None, params: dict[str, float], max_iter: int | None = None,
-        weight_cap: float | None = None, features: Sequence[str] = tuple(schema.FEATURES), seed: int = 42) -> PipelineModel:
-    """Fit on train, stopping early on validation if given; `weight_cap` turns on class weights."""
+def fit(train: DataFrame, params: dict[str, float], rounds: int | None = None, weight_cap: float | None = None,
+        features: Sequence[str] = tuple(schema.FEATURES), seed: int = 42) -> PipelineModel:
+    """Fit a number of rounds.  `scale_pos_weight` among the parameters is the weight of a positive row; otherwise
+    `weight_cap` turns on the measured class weight, up to the cap."""
     ensure_checkpoint_dir(train.sparkSession)
-    if weight_cap is not None:
+    weight = params.get("scale_pos_weight")
+    if weight is not None:
+        train = train.selectExpr("*", f"if({schema.LABEL} = 1, {float(weight)!r}D, 1.0D) as weight")
+    elif weight_cap is not None:
         train = add_class_weight(train, weight_cap)
-        validation = validation.selectExpr("*", "1.0D as weight") if validation is not None else None
-    names = [schema.KEY, *features, schema.LABEL, *(["weight"] if weight_cap is not None else [])]
-    rows = train.select(*names)
-    if validation is not None:
-        rows = rows.selectExpr("*", "false as is_validation").unionByName(
-            validation.select(*names).selectExpr("*", "true as is_validation"))
-    learner = classifier(params, features, max_iter, weight_cap is not None, validation is not None, seed)
-    return learner.fit(model_rows(rows, features))
+    weighted = weight is not None or weight_cap is not None
+    names = [schema.KEY, *features, schema.LABEL, *(["weight"] if weighted else [])]
+    return classifier(params, features, rounds, weighted, seed).fit(model_rows(train.select(*names), features))
+
+
+def first_rounds(model: PipelineModel, rounds: int) -> PipelineModel:
+    """The model of the first trees only."""
+    assembler, trees = model.stages[0], model.stages[-1]
+    if rounds >= trees.getNumTrees:
+        return model
+    whole, gateway = trees._java_obj, SparkSession.active().sparkContext._gateway
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(whole.trees()[:rounds], trees.treeWeights)):
+        kept[i], weights[i] = tree, float(weight)
+    short = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        whole.uid(), kept, weights, whole.numFeatures(), whole.numClasses())
+    whole.copyValues(short, whole.extractParamMap())
+    return PipelineModel([assembler, GBTClassificationModel(short)])
 
 
 def best_round(curve: Sequence[tuple[int, float]], patience: int) -> int:
@@ -125,19 +157,30 @@ def best_round(curve: Sequence[tuple[int, float]], patience: int) -> int:
     return max(best, 1)
 
 
-def fit_final(train: DataFrame, validation: DataFrame, params: dict[str, float], max_iter: int | None = None,
-              weight_cap: float | None = None, patience: int = 50, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
-    """Fit all rounds, find the round with the best validation AUC-PR, and keep that many rounds.
+def fit_patient(train: DataFrame, validation: DataFrame, params: dict[str, float], patience: int,
+                max_iter: int | None = None, weight_cap: float | None = None, seed: int = 42) -> tuple[PipelineModel, PipelineModel]:
+    """(best, fitted): the model up to its best round, and all rounds that had to be fitted to know it.
 
-    Returns the model and the learning curve over all rounds.  The boosting seed fixes the sequence of trees, so the shorter fit repeats the first rounds of the longer one.
+    The best round has the highest validation AUC-PR before `patience` rounds pass without a better one.  `max_iter` is
+    a limit that a caller may set below the drawn number of rounds; there is none by default.
     """
-    model = fit(train, None, params, max_iter, weight_cap, seed=seed)
-    curve = cut_lineage(learning_curve(model, {"train": train, "val": validation}))
-    on_validation = [(r["round"], r["auc_pr"]) for r in curve.where("part = 'val'").collect()]  # one row per round
-    rounds = best_round(on_validation, patience)
-    if rounds < len(on_validation):
-        model = fit(train, None, params, rounds, weight_cap, seed=seed)
-    return model, curve
+    limit = int({**FALLBACK, **params}["n_estimators"])
+    limit = min(limit, max_iter) if max_iter else limit
+    rounds = min(limit, max(FIRST_ROUNDS, patience + 1))
+    while True:
+        fitted = fit(train, params, rounds, weight_cap, seed=seed)
+        curve = learning_curve(fitted, {"val": validation}).select("round", "auc_pr").collect()  # one row per round
+        best = best_round([tuple(r) for r in curve], patience)
+        if best + patience <= rounds or rounds >= limit:
+            return first_rounds(fitted, best), fitted
+        rounds = min(limit, 2 * rounds)
+
+
+def fit_final(train: DataFrame, validation: DataFrame, params: dict[str, float], max_iter: int | None = None,
+              weight_cap: float | None = None, patience: int = FINAL_PATIENCE, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+    """The model of the best round, and the learning curve of train and validation over all fitted rounds."""
+    model, fitted = fit_patient(train, validation, params, patience, max_iter, weight_cap, seed)
+    return model, cut_lineage(learning_curve(fitted, {"train": train, "val": validation}))
 
 
 def score(model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
@@ -149,24 +192,32 @@ def score(model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple
 
 def run_trial(trial: int, params: dict[str, float], train: DataFrame, validation: DataFrame,
               max_iter: int | None = None, weight_cap: float | None = None) -> dict:
-    """Fit, choose a threshold on validation, and return the trial record; a failed fit scores 0."""
+    """Fit, choose a threshold on validation, and return the trial record; a failed fit scores 0 and keeps its error."""
     started = time.time()
-    record = {"trial": trial, "params": params, "dropped": [p for p in NO_COUNTERPART if p in params],
-              "score": 0.0, "threshold": None, "precision": None, "recall": None, "f1": None, "fpr": None, "state": "COMPLETE"}
+    record = _record(trial, params, "COMPLETE")
     try:
-        best = choose_threshold(score(fit(train, validation, params, max_iter, weight_cap), validation), "search").first()
-        if best["score"] > 0:
-            record.update({k: best[k] for k in ("score", "threshold", "precision", "recall", "f1", "fpr")})
+        best, fitted = fit_patient(train, validation, params, TRIAL_PATIENCE, max_iter, weight_cap)
+        record.update(rounds_used=best.stages[-1].getNumTrees, rounds_fitted=fitted.stages[-1].getNumTrees)
+        chosen = choose_threshold(score(best, validation), "search").first()
+        if chosen["score"] > 0:
+            record.update({k: chosen[k] for k in ("score", "threshold", "precision", "recall", "f1", "fpr")})
     except Exception as error:  # a trial that cannot be fitted must not end the search
-        record["state"] = f"FAILED: {type(error).__name__}"
+        record["state"] = f"FAILED: {type(error).__name__}: {error}"[:2_000]
     record["seconds"] = time.time() - started
     return record
 
 
+def _record(trial: int, params: dict[str, float], state: str) -> dict:
+    return {"trial": trial, "params": params, "dropped": [p for p in NO_COUNTERPART if p in params], "rounds_used": None,
+            "rounds_fitted": None, "score": 0.0, "threshold": None, "precision": None, "recall": None, "f1": None,
+            "fpr": None, "seconds": 0.0, "state": state}
+
+
 def search(train: DataFrame, validation: DataFrame, n_trials: int | None = None, timeout_minutes: float | None = None,
            space: str = "narrow", seed: int = 42, parallelism: int = 2, max_iter: int | None = None,
            weight_cap: float | None = None) -> DataFrame:
-    """The trial table.  Trials share one stored input and run a few at a time; no trial starts after the time limit."""
+    """The trial table.  Trials share one stored input and run a few at a time; a trial that the time limit keeps from
+    starting is SKIPPED.  If trials ran and every one failed, the first error is raised: the parameters are not to blame."""
     spark = train.sparkSession
     trials, minutes = BUDGETS[space]
     trials, minutes = n_trials or trials, timeout_minutes or minutes
@@ -175,13 +226,18 @@ def search(train: DataFrame, validation: DataFrame, n_trials: int | None = None,
     train, validation = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (train, validation))
 
     def one(draw):
-        return run_trial(*draw, train, validation, max_iter, weight_cap) if time.time() < deadline else None
+        if time.time() >= deadline:
+            return _record(*draw, "SKIPPED")
+        return run_trial(*draw, train, validation, max_iter, weight_cap)
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            records = [r for r in pool.map(one, draws) if r]
+            records = list(pool.map(one, draws))
     finally:
         train.unpersist(), validation.unpersist()
+    ran = [r for r in records if r["state"] != "SKIPPED"]
+    if ran and all(r["state"].startswith("FAILED") for r in ran):
+        raise RuntimeError(f"every trial failed; the first: {ran[0]['state']}")
     return spark.createDataFrame(records, TRIALS_SCHEMA)
 
 
@@ -221,25 +277,75 @@ def top_features(model: PipelineModel, spark: SparkSession, n: int = 15) -> Data
     return table.orderBy(col("importance").desc(), "feature").limit(n)
 
 
+def tree_tables(model: PipelineModel) -> list[tuple[np.ndarray, ...]]:
+    """Per tree: split feature, threshold, left child, right child, leaf prediction by node number.
+
+    Read from the saved form of the model; its size depends on rounds and depth only.
+    """
+    trees = model.stages[-1]
+    spark = SparkSession.active()
+    path = scratch_path(spark)
+    trees.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").selectExpr(
+        "treeID as tree", "nodeData.id as id", "nodeData.split.featureIndex as feature",
+        "get(nodeData.split.leftCategoriesOrThreshold, 0) as threshold", "nodeData.leftChild as left",
+        "nodeData.rightChild as right", "nodeData.prediction as prediction").orderBy("tree", "id").toPandas()
+    return [tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "prediction"))
+            for _, t in nodes.groupby("tree")]
+
+
 def learning_curve(model: PipelineModel, parts: dict[str, DataFrame],
                    features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
-    """part, round, auc_pr: average precision of the first 1, 2, ... trees.
+    """part, round, auc_pr: average precision of the first 1, 2, ... trees, over CURVE_BUCKETS steps of the score.
 
-    Each tree predicts once; running sums of the weighted predictions give the score after every round, and one
-    grouped pass ranks all rounds of all parts.
+    Each task adds one tree after the other to a margin column and counts labels per round and bucket, so the work grows
+    with the rounds and only counts are shuffled.  The metric of a finished model is the exact one (`ranking_metrics`).
     """
-    assembler, trees = model.stages[0], model.stages[-1]
+    tables, weights = tree_tables(model), list(model.stages[-1].treeWeights)
     rows = None
     for name, part in parts.items():
-        side = assembler.transform(model_rows(part, features)).selectExpr(f"'{name}' as part", schema.KEY, "label", "features")
+        side = model_rows(part, features).selectExpr(f"'{name}' as part", "label", *features)
         rows = side if rows is None else rows.unionByName(side)
-    for i, tree in enumerate(trees.trees):
-        rows = tree.setFeaturesCol("features").setPredictionCol(f"t{i}").transform(rows)
-    n = len(trees.trees)
-    weighted = ", ".join(f"t{i} * {w!r}D" for i, w in enumerate(trees.treeWeights))
-    margins = rows.selectExpr("part", "label", f"array({weighted}) as steps").selectExpr(
-        "part", "label", "posexplode(transform(sequence(1, %d), n -> aggregate(slice(steps, 1, n), 0.0D, (a, x) -> a + x))) "
-        "as (round, margin)" % n)
-    scored = margins.selectExpr("part", "round + 1 as round", "cast(label as int) as label",
-                                "1.0D / (1.0D + exp(-2.0D * margin)) as p")
-    return ranking_metrics(scored, by=["part", "round"]).select("part", "round", "auc_pr")
+    out = pa.schema([("part", pa.string()), ("round", pa.int32()), ("bucket", pa.int32()), ("pos", pa.int64()),
+                     ("neg", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            x = np.stack([np.asarray(batch.column(f)) for f in features], axis=1)
+            label = (np.asarray(batch.column("label")) > 0.5).astype(np.int64)
+            names = np.asarray(batch.column("part").to_pylist())
+            for name in sorted(set(names.tolist())):
+                own = names == name
+                counts = held.setdefault(name, np.zeros((len(tables), 2 * CURVE_BUCKETS), np.int64))
+                margin = np.zeros(int(own.sum()))
+                for i, (table, weight) in enumerate(zip(tables, weights)):
+                    margin += weight * tree_values(table, x[own])
+                    step = (np.clip(2 * margin / CURVE_EDGE, -1, 1) + 1) / 2 * (CURVE_BUCKETS - 1)
+                    counts[i] += np.bincount(2 * step.astype(np.int64) + label[own], minlength=2 * CURVE_BUCKETS)
+        for name, counts in held.items():
+            for i, row in enumerate(counts):
+                pairs = row.reshape(-1, 2)
+                used = np.flatnonzero(pairs.sum(axis=1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(used), pa.string()), pa.array(np.full(len(used), i + 1, np.int32)),
+                     pa.array(used.astype(np.int32)), pa.array(pairs[used, 1]), pa.array(pairs[used, 0])], schema=out)
+
+    counted = (rows.mapInArrow(count, "part string, round int, bucket int, pos long, neg long")
+               .groupBy("part", "round", "bucket").agg({"pos": "sum", "neg": "sum"})
+               .selectExpr("part", "round", "bucket", "`sum(pos)` as pos", "`sum(neg)` as neg"))
+    window = "over (partition by part, round order by bucket desc)"
+    return (counted.selectExpr("part", "round", "pos", f"sum(pos) {window} as tp", f"sum(neg) {window} as fp")
+            .groupBy("part", "round").agg(expr("sum(cast(pos as double) * tp / (tp + fp)) as ap"), expr("sum(pos) as n"))
+            .selectExpr("part", "round", "try_divide(ap, n) as auc_pr"))
+
+
+def tree_values(table: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    """Prediction of one tree for each row of x."""
+    feature, threshold, left, right, prediction = table
+    at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+    while len(rows):
+        rows = rows[left[at[rows]] >= 0]
+        here = at[rows]
+        at[rows] = np.where(x[rows, feature[here]] <= threshold[here], left[here], right[here])
+    return prediction[at]

@@ -5,8 +5,6 @@ from __future__ import annotations
 from zlib import crc32
 
 from ledgerlens import schema
-from ledgerlens.operators.threshold import CURVE_GRID, PRESETS, Grid
-from ledgerlens.operators.training import FALLBACK, SEARCH_SPACES
 from ledgerlens.plans.fixture import transactions_sql
 from ledgerlens.plans.queries import LIMITS, TRIAL_SCALES
 
@@ -121,18 +119,15 @@ def _even(seeds: str) -> str:
         <= n_new % m then 1 else 0 end as copies from {seeds} s, need, (select count(*) as m from {seeds}) n)"""
 
 
-def _stride(seeds: str) -> str:
-    return f"stride as (select n_new // m + 2 as stride from need, (select count(*) as m from {seeds}) n)"
-
-
 def _synthetic(k: int) -> str:
-    return f"""synthetic as (select -(tx_id * stride + copy) as tx_id, {', '.join(
+    return f"""synthetic as (select -(before + copy) as tx_id, {', '.join(
         f"cast({_vec('s', f)} + gap * ({_vec('w', f)} - {_vec('s', f)}) as float) as {f}" for f in F)}, 1 as isFraud
-        from (select c.tx_id as id, copy, {_hash('c.tx_id', 'copy', 'pick')} % {k} + 1 as pick,
+        from (select c.tx_id as id, copy, before, {_hash('c.tx_id', 'copy', 'pick')} % {k} + 1 as pick,
                      {_hash('c.tx_id', 'copy', 'gap')} / 2147483647.0::double as gap
-              from copies c, lateral (select unnest(generate_series(1, c.copies)) as copy))
+              from (select *, cast(sum(copies) over (order by tx_id) - copies as bigint) as before from copies) c,
+                   lateral (select unnest(generate_series(1, c.copies)) as copy))
         join minority s on s.tx_id = id join nn on nn.q_id = id and nn.rank = pick
-        join (select tx_id as w_id, {', '.join(F)} from minority) w on w.w_id = nn.nn_id, stride)"""
+        join (select tx_id as w_id, {', '.join(F)} from minority) w on w.w_id = nn.nn_id)"""
 
 
 def _round(columns: list[str], digits: int) -> str:
@@ -144,15 +139,30 @@ SYNTHETIC_OUT = f"select tx_id, {_round(F, 3)}, isFraud from synthetic"
 
 def _smote(limit: int, target: float, k: int) -> list[str]:
     return [*_base(limit), *_split(), MINORITY, _need(target), _near("nn", "minority", "minority", k),
-            _even("minority"), _stride("minority"), _synthetic(k)]
+            _even("minority"), _synthetic(k)]
+
+
+# Grids, ranges and fixed parameters, stated again like the rules below: (first, last, number) of thresholds.
+GRIDS = {"device": (0.01, 0.99, 200), "host": (0.05, 0.95, 100), "search": (0.05, 0.95, 100), "curve": (0.1, 0.9, 50)}
+DRAWN = [("max_depth", "int", 2, 6), ("learning_rate", "log", 0.01, 0.1), ("n_estimators", "int", 200, 800),
+         ("subsample", "uniform", 0.6, 0.95), ("colsample_bytree", "uniform", 0.6, 0.95), ("min_child_weight", "int", 1, 10),
+         ("gamma", "uniform", 0.0, 0.8), ("reg_alpha", "uniform", 0.0, 1.0), ("reg_lambda", "uniform", 0.0, 1.0)]
+DRAWN_WIDE = [("max_bin", "int", 512, 2048), ("max_depth", "int", 3, 8), ("learning_rate", "log", 0.005, 0.15),
+              ("n_estimators", "int", 300, 1500), ("subsample", "uniform", 0.5, 0.95), ("colsample_bytree", "uniform", 0.5, 0.95),
+              ("colsample_bylevel", "uniform", 0.5, 1.0), ("min_child_weight", "int", 1, 15), ("gamma", "uniform", 0.0, 1.0),
+              ("reg_alpha", "uniform", 0.0, 2.0), ("reg_lambda", "uniform", 0.0, 2.0), ("lossguide", "int", 0, 1),
+              ("max_leaves", "int", 0, 1024)]
+FIXED = {"max_depth": 5, "learning_rate": 0.03, "n_estimators": 800, "subsample": 0.8, "colsample_bytree": 0.8,
+         "min_child_weight": 3, "gamma": 0.1, "reg_alpha": 0.1, "reg_lambda": 0.1}
 
 
-def _grid(grid: Grid) -> str:
-    return (f"grid as (select case when i = {grid.n - 1} then {_num(grid.high)} else i * {_num(grid.step)} + {_num(grid.low)} end "
-            f"as threshold from range({grid.n}) t(i))")
+def _grid(grid: tuple[float, float, int]) -> str:
+    low, high, n = grid
+    return (f"grid as (select case when i = {n - 1} then {_num(high)} else i * {_num((high - low) / (n - 1))} + {_num(low)} end "
+            f"as threshold from range({n}) t(i))")
 
 
-def _sweep(grid: Grid, scored: str = "scored", by: str = "") -> list[str]:
+def _sweep(grid: tuple[float, float, int], scored: str = "scored", by: str = "") -> list[str]:
     key = f"{by}, " if by else ""
     return [_grid(grid), f"""counts_at as (select {key}threshold,
         count(*) filter (where label = 1 and p >= threshold) as tp, count(*) filter (where label = 0 and p >= threshold) as fp,
@@ -173,7 +183,7 @@ RULES = {"device": ("recall >= 0.45 and fpr <= 0.05 and precision >= 0.3", "2 *
 
 def _valid(preset: str, scored: str = "scored", by: str = "") -> list[str]:
     limits, score = RULES[preset]
-    return [*_sweep(PRESETS[preset].grid, scored, by),
+    return [*_sweep(GRIDS[preset], scored, by),
             f"valid as (select *, {score} as score from sweep where tp + fp > 0 and {limits})"]
 
 
@@ -233,11 +243,11 @@ TX_OTHERS = ["step", "type", "nameOrig", "nameDest", "isFraud", "isFlaggedFraud"
 ADASYN = [*_base(LIMITS["adasyn"]), *_split(), MINORITY, _need(0.05), _near("around", "minority", "train", 3),
           "shares as (select q_id, count(*) filter (where nn_label = 0) / 3.0::double as share from around group by q_id)",
           "copies as (select q_id as tx_id, cast(round_even(share / (select sum(share) from shares) * n_new, 0) as bigint) as copies from shares, need)",
-          _near("nn", "minority", "minority", 3), "stride as (select max(copies) + 2 as stride from copies)", _synthetic(3)]
+          _near("nn", "minority", "minority", 3), _synthetic(3)]
 BORDERLINE = [*_base(LIMITS["borderline_smote"]), *_split(), MINORITY, _need(0.03), _near("around", "minority", "train", 5),
               """danger as (select * from minority where tx_id in (select q_id from around group by q_id
                   having 2 * count(*) filter (where nn_label = 0) >= 5 and count(*) filter (where nn_label = 0) < 5))""",
-              _near("nn", "danger", "minority", 3), _even("danger"), _stride("danger"), _synthetic(3)]
+              _near("nn", "danger", "minority", 3), _even("danger"), _synthetic(3)]
 
 
 def _links(rows: str) -> list[str]:
@@ -262,28 +272,62 @@ def _cells(names: list[str]) -> str:
 
 ALL_TX = ["tx_id", *TX_OTHERS, *TX_FLOATS]
 SPLIT_STATS = f"""audit as (select split, {' + '.join(f'count(*) filter (where {f} is null)' for f in F)} as missing_cells,
-    ({' + '.join(f'sum(coalesce(cast({f} as double), 0))' for f in F)}) / ({' + '.join(f'count({f})' for f in F)}) as grand_mean from splits group by split)"""
+    ({' + '.join(f'sum(coalesce(cast({f} as double), 0))' for f in F)}) / ({' + '.join(f'count({f})' for f in F)}) as grand_mean from after_rows group by split)"""
 REPORT = [*METRICS, *GRADES, *CHANGE, GRADE_SUM, RADAR, READY, FLAGS]
 
 WEIGHT = "weight as (select (count(*) - sum(isFraud)) / sum(isFraud) as w from kept)"
 
 
-def _draw(name: str, kind: str, low: float, high: float) -> str:
+def _draw(name: str, kind: str, low: float, high: float, trials: int = 30) -> str:
     u = f"({_hash('i', purpose=name)} / 2147483647.0::double)"
     value = {"int": f"{low} + floor({u} * {high - low + 1})", "uniform": f"{_num(low)} + {u} * ({_num(high)} - {_num(low)})",
              "log": f"exp(ln({_num(low)}) + {u} * (ln({_num(high)}) - ln({_num(low)})))"}[kind]
-    return f"select cast(i as int) as trial, '{name}' as name, round(cast({value} as double), 6) as value, round(least(w, 100), 6) as positive_weight from range(30) t(i), weight"
+    return f"select cast(i as int) as trial, '{name}' as name, round(cast({value} as double), 6) as value from range({trials}) t(i)"
+
+
+def _draws(space: list[tuple], trials: int) -> str:
+    return "draws as (" + " union all ".join(_draw(*p, trials) for p in space) + ")"
+
+
+PARTS = """parts as (select 'train' as part, count(*) filter (where split = 'train') as n from splits
+    union all select 'val', count(*) filter (where split = 'val') from splits
+    union all select 'test', count(*) filter (where split = 'test') from splits)"""
+AFTER = """after_rows as (select tx_id, """ + ", ".join(F) + """, isFraud, split from splits
+    union all select tx_id, """ + ", ".join(F) + """, isFraud, 'train_balanced' from train
+    union all select tx_id, """ + ", ".join(F) + """, isFraud, 'train_balanced' from synthetic)"""
 
 
 ORACLE: dict[str, str] = {
-    "trial_parameters": _with(TX, KEPT, WEIGHT, select=" union all ".join(_draw(*p) for p in SEARCH_SPACES["narrow"])),
+    "trial_parameters": _with(TX, KEPT, WEIGHT, _draws(DRAWN, 30),
+                              select="select draws.*, round(least(w, 100), 6) as positive_weight from draws, weight"),
+    "trial_parameters_wide": _with(TX, KEPT, WEIGHT, _draws(DRAWN_WIDE, 60),
+                                   select="select draws.*, round(least(w, 100), 6) as positive_weight from draws, weight"),
+    "search_trials": _with(_draws(DRAWN, 2), select="""select trial, max(case when name = 'max_depth' then value end) as max_depth,
+        max(case when name = 'learning_rate' then value end) as learning_rate, max(case when name = 'n_estimators' then value end) as n_estimators,
+        'COMPLETE' as state, true as rounds_in_range, true as metrics_in_range from draws group by trial"""),
+    "model_scores": _with(*BASE_TRAIN, PARTS, select="""select part, n, n as keys, 0 as outside, n as same_after_reload from parts"""),
+    "learning_curve": "select part, true as one_row_per_round, true as in_range, true as ends_at_the_model from (values ('train'), ('val')) t(part)",
+    "top_features": "select 15 as n, 15 as known, true as shares_fit, true as in_order",
+    "run_all_steps": _with(*_smote(150, 0.15, 5), PARTS, select="""select 'loaded' as stage, count(*) as n from tx
+        union all select 'features', count(*) from kept union all select 'train', n from parts where part = 'train'
+        union all select 'val', n from parts where part = 'val' union all select 'test', n from parts where part = 'test'
+        union all select 'train_balanced', (select count(*) from train) + (select count(*) from synthetic)
+        union all select 'trials', 2 union all select 'best_params', 1 union all select 'scored_val', n from parts where part = 'val'
+        union all select 'scored_test', n from parts where part = 'test' union all select 'package', 1 union all select 'steps', 5"""),
+    "run_one_step": _with(*_smote(150, 0.15, 5), PARTS, select="""select part, n from parts
+        union all select 'train_balanced', (select count(*) from train) + (select count(*) from synthetic)"""),
+    "amount_stats_approx": _with(TX, KEPT, select="select " + ", ".join(
+        f"round(cast(quantile_disc(a, {q}) as double), 6) as {n}" for n, q in
+        {"p1": 0.01, "p5": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}.items())
+        + ", round(avg(a), 6) as mean, round(stddev_pop(a), 6) as std from (select cast(amount as double) as a from kept)"),
+    "knn_tiles": _with(*BASE_TRAIN, MINORITY, _near("nn", "minority", "train", 5), select="select q_id, cast(rank as int) as rank, nn_id, round(sqrt(d2), 4) as distance, nn_label from nn"),
     "fallback_parameters": _with(TX, KEPT, WEIGHT, select=f"""select name, cast(value as double) as value from (values
-        {', '.join(f"('{n}', {v})" for n, v in FALLBACK.items())}) t(name, value)
+        {', '.join(f"('{n}', {v})" for n, v in FIXED.items())}) t(name, value)
         union all select 'scale_pos_weight', round(least(w, 50), 6) from weight"""),
-    "read_transactions": _with(TX, select=f"select {', '.join(TX_OTHERS)}, {_round(TX_FLOATS, 6)} from tx"),
-    "append_chunks": _with(TX, select="select type, count(*) as n from tx group by type"),
+    "read_transactions": _with(TX, select=f"select {', '.join(TX_OTHERS)}, {_round(TX_FLOATS, 6)}, (select count(*) from tx) as keys, true as dense from tx"),
+    "append_chunks": _with(TX, select=f"select tx_id, {', '.join(TX_OTHERS)}, {_round(TX_FLOATS, 6)} from tx"),
     "narrow_floats": _with(TX, select="select tx_id, round(cast(cast(cast(amount as double) / 3 as float) as double), 6) as third from tx"),
-    "stage_round_trip": _with(*BASE_TRAIN, select=f"select tx_id, {_round(['amount_log', 'hour'], 6)}, isFraud, split from splits where split = 'test'"),
+    "stage_round_trip": _with(*_smote(150, 0.15, 5), AFTER, select=f"select tx_id, {_round(F, 3)}, isFraud, split as part from after_rows"),
     "prediction_sample": _with(*_chosen("device"), select="""select tx_id, round(p, 6) as p, case when p >= (select threshold from chosen) then 1 else 0 end as prediction, label
         from scored order by tx_id limit 1000"""),
     "drop_leakage": _with(TX, select="select tx_id, step, type, round(cast(amount as double), 6) as amount, isFraud from tx"),
@@ -309,13 +353,13 @@ ORACLE: dict[str, str] = {
         max(cast(amount as double)) as amount_max, round(avg(cast(amount as double)), 6) as amount_mean, quantile_cont(cast(amount as double), 0.5) as amount_median,
         {_cells(ALL_TX)} as missing_values,
         count(*) - (select count(*) from (select distinct {', '.join(ALL_TX[1:])} from tx)) as duplicates from tx"""),
-    "split_balance": _with(*BASE_TRAIN, select="select split, count(*) as n, cast(sum(isFraud) as bigint) as positives, round(avg(isFraud), 6) as rate from splits group by split"),
-    "split_audit": _with(*BASE_TRAIN, SPLIT_STATS, select="select split, missing_cells > 0 as has_nan, false as has_inf, missing_cells, round(grand_mean, 3) as grand_mean from audit"),
-    "feature_moments": _with(*BASE, select=" union all ".join(
-        f"select '{f}' as feature, round(avg(cast({f} as double)), 4) as mean, round(stddev_pop(cast({f} as double)), 4) as std from feats" for f in F)),
-    "moments_summary": _with(*BASE, "mo as (" + " union all ".join(
-        f"select avg(cast({f} as double)) as mean, stddev_pop(cast({f} as double)) as std from feats" for f in F) + ")",
-        select="select round(avg(mean), 4) as mean_of_means, round(avg(std), 4) as mean_of_stds from mo"),
+    "split_balance": _with(*_smote(150, 0.15, 5), AFTER, select="select split, count(*) as n, cast(sum(isFraud) as bigint) as positives, round(avg(isFraud), 6) as rate from after_rows group by split"),
+    "split_audit": _with(*_smote(150, 0.15, 5), AFTER, SPLIT_STATS, select="select split, missing_cells > 0 as has_nan, false as has_inf, missing_cells, round(grand_mean, 3) as grand_mean from audit"),
+    "feature_moments": _with(*_smote(150, 0.15, 5), AFTER, select=" union all ".join(
+        f"select split, '{f}' as feature, round(avg(cast({f} as double)), 3) as mean, round(stddev_pop(cast({f} as double)), 3) as std from after_rows where split in ('train', 'train_balanced') group by split" for f in F)),
+    "moments_summary": _with(*_smote(150, 0.15, 5), AFTER, "mo as (" + " union all ".join(
+        f"select split, avg(cast({f} as double)) as mean, stddev_pop(cast({f} as double)) as std from after_rows where split in ('train', 'train_balanced') group by split" for f in F) + ")",
+        select="select split, round(avg(mean), 2) as mean_of_means, round(avg(std), 2) as mean_of_stds from mo group by split"),
     "filter_reduction": _with(TX, KEPT, select="select (select count(*) from tx) as rows_before, (select count(*) from kept) as rows_after"),
     "amount_stats": _with(TX, KEPT, STATS, select=f"select {_round(['p1', 'p5', 'p25', 'median', 'p75', 'p95', 'p99', 'mean', 'std'], 6)} from stats"),
     "amount_features": _with(TX, KEPT, STATS, WIDE, select=f"select tx_id, {_round(['amount', 'amount_log', 'amount_zscore'], 6)}, is_round_amount, is_extreme_amount, amount_category from wide"),
@@ -341,10 +385,10 @@ ORACLE: dict[str, str] = {
     "borderline_smote": _with(*BORDERLINE, select=SYNTHETIC_OUT),
     "adasyn": _with(*ADASYN, select=SYNTHETIC_OUT),
     "tomek_links": _with(*BASE_TRAIN, *_links("train"), select="select minority_id, majority_id from links"),
-    "smote_tomek": _with(*SMOTE_TOMEK, select="""select tx_id, isFraud, is_synthetic from both_rows
+    "smote_tomek": _with(*SMOTE_TOMEK, select=f"""select tx_id, {_round(F, 3)}, isFraud, is_synthetic from both_rows
         where tx_id not in (select minority_id from links union all select majority_id from links)"""),
-    "append_synthetic": _with(*_smote(150, 0.15, 5), select="""select false as is_synthetic, isFraud, count(*) as n from train group by isFraud
-        union all select true, 1, count(*) from synthetic"""),
+    "append_synthetic": _with(*_smote(150, 0.15, 5), select=f"""select tx_id, {_round(F, 3)}, isFraud, false as is_synthetic from train
+        union all select tx_id, {_round(F, 3)}, isFraud, true from synthetic"""),
     "class_weight": _with(*BASE_TRAIN, select="select round(least((count(*) - sum(isFraud)) / sum(isFraud), 100), 6) as positive_weight from train"),
     "resample_summary": _with(*_smote(150, 0.15, 5), """b as (select 'before' as stage, isFraud from train union all
         select 'after', isFraud from train union all select 'after', isFraud from synthetic)""",
@@ -358,10 +402,10 @@ ORACLE: dict[str, str] = {
         select="""select "check", round(value, 6) as value, passed, success_percent,
         case when success_percent >= 75 then 'EXCELLENT' when success_percent >= 50 then 'GOOD' else 'NEEDS_IMPROVEMENT' end as band from checks, share"""),
     "predict_at": _with(TX, KEPT, SCORED, select="select tx_id, label, p, case when p >= 0.5 then 1 else 0 end as prediction from scored"),
-    "threshold_sweep": _with(TX, KEPT, SCORED, *_sweep(PRESETS["host"].grid), select=f"select round(threshold, 6) as threshold, tp, fp, fn, tn, {_round(RATES, 6)} from sweep"),
+    "threshold_sweep": _with(TX, KEPT, SCORED, *_sweep(GRIDS["host"]), select=f"select round(threshold, 6) as threshold, tp, fp, fn, tn, {_round(RATES, 6)} from sweep"),
     "valid_thresholds": _with(TX, KEPT, SCORED, *_valid("device"), select=f"select tp, fp, fn, tn, {_round(['threshold', *RATES, 'score'], 6)} from valid"),
     **{f"threshold_{n}": _with(*_chosen(n), select=f"select {_round(['threshold', *RATES, 'score'], 6)} from chosen") for n in RULES},
-    "threshold_curve": _with(TX, KEPT, SCORED, *_sweep(CURVE_GRID), select=f"select {_round(['threshold', 'precision', 'recall', 'f1'], 6)} from sweep"),
+    "threshold_curve": _with(TX, KEPT, SCORED, *_sweep(GRIDS["curve"]), select=f"select {_round(['threshold', 'precision', 'recall', 'f1'], 6)} from sweep"),
     "basic_metrics": _with(*_chosen("device"), select=f"select {_round(['precision', 'recall', 'f1'], 6)} from chosen"),
     "roc_auc": _with(TX, KEPT, SCORED, POINTS, select=f"select round({AUC}, 6) as auc_roc from points"),
     "average_precision": _with(TX, KEPT, SCORED, POINTS, select=f"select round({AP}, 6) as auc_pr from points"),
@@ -369,7 +413,8 @@ ORACLE: dict[str, str] = {
         union all select 1, 0, fn from chosen union all select 1, 1, tp from chosen"""),
     "business_rates": _with(*_chosen("device"), select="""select round(precision, 6) as investigation_efficiency, round(recall, 6) as fraud_detection_rate,
         round(fpr, 6) as false_positive_rate, round(tn / (tn + fp), 6) as specificity, round(tn / (tn + fn), 6) as negative_predictive_value from chosen"""),
-    "roc_curve": _with(TX, KEPT, SCORED, POINTS, select="select p as threshold, round(c_neg / n_all, 6) as fpr, round(c_pos / p_all, 6) as tpr from points"),
+    "roc_curve": _with(TX, KEPT, SCORED, POINTS, select="""select p as threshold, round(c_neg / n_all, 6) as fpr, round(c_pos / p_all, 6) as tpr from points
+        union all select cast('infinity' as double), 0, 0"""),
     "pr_curve": _with(TX, KEPT, SCORED, POINTS, select="""select p as threshold, round(c_pos / (c_pos + c_neg), 6) as precision, round(c_pos / p_all, 6) as recall from points
         union all select null, 1.0, 0.0"""),
     "base_rate": _with(TX, KEPT, SCORED, select="select round(avg(label), 6) as base_rate from scored"),

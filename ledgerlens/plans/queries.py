@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import expr
 
 from ledgerlens import schema
 from ledgerlens.operators import clean, evaluate, features as fe, neighbours, profile, report, resample as rs
@@ -19,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Label limits at which each resampling method is the one chosen, and scales of the closed-form trial scores.
 LIMITS = {"smote": 150, "smote_tomek": 240, "adasyn": 250, "borderline_smote": 300}
 TRIAL_SCALES = [100_000, 200_000, 300_000, 400_000, 500_000, 600_000]
-SMALL_FIT = {"n_estimators": 8.0, "max_depth": 4.0, "learning_rate": 0.15, "subsample": 0.9, "min_child_weight": 2.0}
+FIT = {"n_estimators": 400.0, "max_depth": 4.0, "learning_rate": 0.15, "subsample": 0.9, "min_child_weight": 2.0}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -79,18 +80,42 @@ def _summary(spark: SparkSession, sf: str) -> DataFrame:
 def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark)
     _tx(spark, sf).select(*schema.CSV_SCHEMA.names).write.option("header", True).csv(path)
-    return rounded(read_transactions(spark, path).drop(schema.KEY))
+    rows = cut_lineage(read_transactions(spark, path))
+    keys = rows.selectExpr(f"struct(count(distinct {schema.KEY}) as keys, "
+                           f"min({schema.KEY}) = 0 and max({schema.KEY}) = count(*) - 1 as dense)")  # the numbers 0 to n - 1
+    return rounded(rows.drop(schema.KEY)).withColumn("_k", keys.scalar()).selectExpr("* except (_k)", "_k.*")
 
 
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
     tx = _tx(spark, sf)
-    return append_chunks([tx.where(f"step % 3 = {i}") for i in range(3)]).groupBy("type").count().withColumnRenamed("count", "n")
+    return rounded(append_chunks([tx.where(f"step % 3 = {i}") for i in range(3)]))
 
 
-def _stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+def _written_splits(spark: SparkSession, sf: str) -> str:
+    """The work folder of a split step: three parts, and what turns train into balanced train."""
     work = scratch_path(spark)
     stages.write_splits(_splits(spark, sf), work)
-    return rounded(stages.read_split(spark, work, "test").select(schema.KEY, "amount_log", "hour", schema.LABEL, "split"))
+    balanced = rs.resample(stages.read_split(spark, work, "train").drop("split", "is_synthetic"))
+    stages.add_balancing(work, balanced.synthetic, balanced.removed, spark)
+    return work
+
+
+def _all_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the three parts and of balanced train, with the part's name as `split`."""
+    work = _written_splits(spark, sf)
+    return append_chunks([stages.read_split(spark, work, n).drop("split", "is_synthetic").selectExpr("*", f"'{n}' as split")
+                          for n in ("train", "val", "test", "train_balanced")])
+
+
+def _moments(spark: SparkSession, sf: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Moments of train and of balanced train."""
+    rows = _all_parts(spark, sf)
+    return append_chunks([make(profile.feature_moments(rows.where(f"split = '{n}'").drop("split"))).selectExpr(
+        f"'{n}' as split", "*") for n in ("train", "train_balanced")])
+
+
+def _stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_all_parts(spark, sf).withColumnRenamed("split", "part"), 3)
 
 
 def _leftover_strings(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,12 +127,12 @@ def _float_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _audit(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profile.split_audit(_splits(spark, sf)), 3)
+    return rounded(profile.split_audit(_all_parts(spark, sf)), 3)
 
 
-def _knn_minority_all(spark: SparkSession, sf: str) -> DataFrame:
+def _knn_minority_all(spark: SparkSession, sf: str, **how) -> DataFrame:
     train = _train(spark, sf)
-    return rounded(neighbours.knn(train.where("isFraud = 1"), train, 5).drop("nn_v"), 4)
+    return rounded(neighbours.knn(train.where("isFraud = 1"), train, 5, **how).drop("nn_v"), 4)
 
 
 def _resampled(name: str, make: Callable[[DataFrame], DataFrame]) -> Query:
@@ -119,7 +144,7 @@ def _smote_synthetic(train: DataFrame) -> DataFrame:
 
 
 def _tomek_rows(train: DataFrame) -> DataFrame:
-    return rs.smote_tomek(train, 0.08, 5).rows.select(schema.KEY, schema.LABEL, "is_synthetic")
+    return rs.smote_tomek(train, 0.08, 5).rows
 
 
 def _tomek_links(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,39 +159,84 @@ def _balanced_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def _appended(spark: SparkSession, sf: str) -> DataFrame:
     train = _train(spark, sf)
-    return (rs.with_synthetic(train, rs.smote(train)).groupBy("is_synthetic", schema.LABEL).count()
-            .withColumnRenamed("count", "n"))
+    return rounded(rs.with_synthetic(train, rs.smote(train)), 3)
 
 
-def _fitted(spark: SparkSession, sf: str):
+def _parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     splits = cut_lineage(_splits(spark, sf))
-    train, val, test = (splits.where(f"split = '{n}'").drop("split") for n in ("train", "val", "test"))
-    return *tr.fit_final(train, val, SMALL_FIT, weight_cap=100.0), test
+    return {n: splits.where(f"split = '{n}'").drop("split") for n in ("train", "val", "test")}
+
+
+def _fitted(spark: SparkSession, sf: str):
+    parts = _parts(spark, sf)
+    return *tr.fit_final(parts["train"], parts["val"], FIT, weight_cap=100.0), parts
+
+
+def _score_rows(spark: SparkSession, sf: str) -> DataFrame:
+    model, _, parts = _fitted(spark, sf)
+    return tr.score(model, parts["test"])
 
 
 def _model_scores(spark: SparkSession, sf: str) -> DataFrame:
-    model, _, test = _fitted(spark, sf)
-    return tr.score(model, test)
+    """Per part: rows, distinct keys, scores outside 0 to 1, and rows that the saved and reloaded model scores alike."""
+    model, _, parts = _fitted(spark, sf)
+    work = scratch_path(spark)
+    stages.write_model(model, work)
+    again = stages.read_model(work)
+    return append_chunks([
+        tr.score(model, rows).join(tr.score(again, rows).selectExpr(schema.KEY, "p as p2"), schema.KEY, "left").selectExpr(
+            f"'{name}' as part", "count(*) as n", f"count(distinct {schema.KEY}) as keys",
+            "count_if(p is null or p < 0 or p > 1) as outside", "count_if(p = p2) as same_after_reload")
+        for name, rows in parts.items()])
 
 
-def _top_features(spark: SparkSession, sf: str) -> DataFrame:
+def _feature_rows(spark: SparkSession, sf: str) -> DataFrame:
     return tr.top_features(_fitted(spark, sf)[0], spark)
 
 
-def _learning_curve(spark: SparkSession, sf: str) -> DataFrame:
+def _top_features(spark: SparkSession, sf: str) -> DataFrame:
+    """What the list of the most important features must fulfil."""
+    known = ", ".join(f"'{f}'" for f in schema.FEATURES)
+    return _feature_rows(spark, sf).selectExpr("*", "lag(importance) over (order by importance desc, feature) as before").selectExpr(
+        "count(*) as n", f"count(distinct if(feature in ({known}), feature, null)) as known",
+        "min(importance) >= 0 and sum(importance) <= 1.000001D as shares_fit",
+        "coalesce(bool_and(before >= importance), true) as in_order")
+
+
+def _curve_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _fitted(spark, sf)[1]
 
 
+def _learning_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """Per part: a row for every round, values from 0 to 1, and at the kept round the model's own value (to 0.01)."""
+    model, curve, parts = _fitted(spark, sf)
+    kept = model.stages[-1].getNumTrees
+    own = append_chunks([evaluate.ranking_metrics(tr.score(model, parts[n])).selectExpr(f"'{n}' as part", "auc_pr as own")
+                         for n in ("train", "val")])
+    return (curve.groupBy("part").agg(expr("count(*) = max(round) and min(round) = 1 and count(distinct round) = count(*) as one_row_per_round"),
+                                      expr("min(auc_pr) >= 0 and max(auc_pr) <= 1.000001D as in_range"),
+                                      expr(f"max(if(round = {kept}, auc_pr, null)) as at_kept"))
+            .join(own, "part").selectExpr("part", "one_row_per_round", "in_range", "abs(at_kept - own) <= 0.01D as ends_at_the_model"))
+
+
+def _trial_rows(spark: SparkSession, sf: str) -> DataFrame:
+    parts = _parts(spark, sf)
+    return tr.search(parts["train"], parts["val"], n_trials=2, space="narrow", weight_cap=100.0)
+
+
 def _search_trials(spark: SparkSession, sf: str) -> DataFrame:
-    splits = cut_lineage(_splits(spark, sf))
-    train, val = (splits.where(f"split = '{n}'").drop("split") for n in ("train", "val"))
-    return tr.search(train, val, n_trials=2, space="narrow", max_iter=4, weight_cap=100.0)
+    """Per trial: drawn values, state, and whether rounds and metrics are in range."""
+    within = " and ".join(f"coalesce({m} between 0 and 1, true)" for m in ("threshold", "precision", "recall", "f1", "fpr"))
+    return rounded(_trial_rows(spark, sf).selectExpr(
+        "trial", *[f"params['{n}'] as {n}" for n in ("max_depth", "learning_rate", "n_estimators")], "state",
+        "rounds_used between 1 and rounds_fitted and rounds_fitted <= params['n_estimators'] as rounds_in_range",
+        f"{within} and seconds > 0 as metrics_in_range"))
 
 
-def _trial_parameters(spark: SparkSession, sf: str) -> DataFrame:
+def _trial_parameters(spark: SparkSession, sf: str, space: str = "narrow") -> DataFrame:
     """Drawn parameter sets together with the positive weight measured on the data."""
     weight = sp.class_weight(_kept(spark, sf)).scalar()
-    draws = tr.sample_params(spark, 30).selectExpr("trial", "explode(params) as (name, value)")
+    draws = tr.sample_params(spark, tr.BUDGETS[space][0], space=space).selectExpr("trial", "explode(params) as (name, value)")
     return rounded(draws.withColumn("positive_weight", weight))
 
 
@@ -183,11 +253,40 @@ def _run_log(spark: SparkSession, sf: str) -> DataFrame:
                         from {events}""", events=spark.read.parquet(f"{sf}/events.parquet"))
 
 
-def _full_run(spark: SparkSession, sf: str) -> DataFrame:
+def _source(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A CSV source and a work folder."""
     work = scratch_path(spark)
     _tx(spark, sf).select(*schema.CSV_SCHEMA.names).write.option("header", True).csv(f"{work}/raw")
-    settings = runner.Settings(n_trials=2, max_iter=4)
-    return runner.run_all(spark, f"{work}/raw", work, settings).select("step", "module", "success", "error")
+    return f"{work}/raw", work
+
+
+def _run_rows(spark: SparkSession, sf: str) -> DataFrame:
+    source, work = _source(spark, sf)
+    return runner.run_all(spark, source, work, runner.Settings(n_trials=2)).select("step", "module", "success", "error")
+
+
+def _counted(spark: SparkSession, tables: dict[str, DataFrame], name: str) -> DataFrame:
+    return append_chunks([t.selectExpr(f"'{n}' as {name}", "count(*) as n") for n, t in tables.items()])
+
+
+def _full_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each stage table after all five steps."""
+    source, work = _source(spark, sf)
+    log = runner.run_all(spark, source, work, runner.Settings(n_trials=2))
+    tables = {n: stages.read_table(spark, work, n) for n in ("loaded", "features", "trials", "best_params", "scored_val",
+                                                             "scored_test", "package")}
+    tables |= {n: stages.read_split(spark, work, n) for n in ("train", "val", "test", "train_balanced")}
+    return _counted(spark, {**tables, "steps": log.where("success")}, "stage")
+
+
+def _one_step(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the four parts after step 3 has been run again by itself, from the stored tables of steps 1 and 2."""
+    source, work = _source(spark, sf)
+    for number in (1, 2, 3, 3):
+        record = runner.run_step(spark, number, source, work)
+        if not record["success"]:
+            raise RuntimeError(record["error"])
+    return _counted(spark, {n: stages.read_split(spark, work, n) for n in ("train", "val", "test", "train_balanced")}, "part")
 
 
 def _strategy_by_limit(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,10 +322,10 @@ QUERIES: dict[str, Query] = {
         "total_rows", "fraud_count", "fraud_rate", "array_join(transaction_types, ',') as types",
         "amount_stats.min as amount_min", "amount_stats.max as amount_max", "amount_stats.mean as amount_mean",
         "amount_stats.median as amount_median", "data_quality.missing_values", "data_quality.duplicates")),
-    "split_balance": lambda s, d: rounded(profile.split_balance(_splits(s, d))),
+    "split_balance": lambda s, d: rounded(profile.split_balance(_all_parts(s, d))),
     "split_audit": _audit,
-    "feature_moments": lambda s, d: rounded(profile.feature_moments(_features(s, d)), 4),
-    "moments_summary": lambda s, d: rounded(profile.moments_summary(profile.feature_moments(_features(s, d))), 4),
+    "feature_moments": lambda s, d: rounded(_moments(s, d, lambda m: m), 3),
+    "moments_summary": lambda s, d: rounded(_moments(s, d, profile.moments_summary), 2),
     "filter_reduction": lambda s, d: profile.filter_reduction(_tx(s, d)),
     # features
     "amount_stats": lambda s, d: rounded(fe.amount_stats(_kept(s, d))),
@@ -246,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "imbalance": lambda s, d: rounded(sp.imbalance(_train(s, d))),
     "choose_strategy": _strategy_by_limit,
     "knn": _knn_minority_all,
+    "knn_tiles": lambda s, d: _knn_minority_all(s, d, method="tiles", tile_rows=500),
     "smote": _resampled("smote", _smote_synthetic),
     "borderline_smote": _resampled("borderline_smote", rs.borderline_smote),
     "adasyn": _resampled("adasyn", rs.adasyn),
@@ -256,14 +356,19 @@ QUERIES: dict[str, Query] = {
     "resample_summary": _balanced_summary,
     # training and search
     "trial_parameters": _trial_parameters,
+    "trial_parameters_wide": lambda s, d: _trial_parameters(s, d, "wide"),
     "fallback_parameters": _fallback_parameters,
     "search_trials": _search_trials,
+    "search_rows": _trial_rows,
     "best_trial": lambda s, d: rounded(tr.best_trial(cut_lineage(_trials(s, d)))),
     "search_summary": lambda s, d: rounded(_summary(s, d)),
     "target_checks": lambda s, d: rounded(tr.target_checks(_summary(s, d))),
     "model_scores": _model_scores,
+    "score_rows": _score_rows,
     "top_features": _top_features,
+    "top_feature_rows": _feature_rows,
     "learning_curve": _learning_curve,
+    "learning_curve_rows": _curve_rows,
     "predict_at": lambda s, d: rounded(th.predict_at(_scored(s, d), 0.5)),
     # thresholds and evaluation
     "threshold_sweep": lambda s, d: rounded(th.threshold_sweep(_scored(s, d), th.PRESETS["host"].grid)),
@@ -277,7 +382,7 @@ QUERIES: dict[str, Query] = {
     "average_precision": lambda s, d: rounded(evaluate.average_precision(_scored(s, d))),
     "confusion_matrix": lambda s, d: evaluate.confusion_matrix(evaluate.confusion_counts(_predicted(s, d))),
     "business_rates": lambda s, d: rounded(evaluate.business_rates(evaluate.confusion_counts(_predicted(s, d)))),
-    "roc_curve": lambda s, d: rounded(evaluate.roc_curve(_scored(s, d)).where("threshold < double('infinity')")),
+    "roc_curve": lambda s, d: rounded(evaluate.roc_curve(_scored(s, d))),
     "pr_curve": lambda s, d: rounded(evaluate.pr_curve(_scored(s, d))),
     "base_rate": lambda s, d: rounded(evaluate.base_rate(_scored(s, d))),
     "score_histogram": lambda s, d: rounded(evaluate.score_histogram(_scored(s, d))),
@@ -292,5 +397,7 @@ QUERIES: dict[str, Query] = {
     "report_table": lambda s, d: rounded(report.report_table(_metrics(s, d)), 4),
     # whole runs
     "run_all_steps": _full_run,
+    "run_log_rows": _run_rows,
+    "run_one_step": _one_step,
     "run_summary": lambda s, d: rounded(runner.run_summary(_run_log(s, d)), 4),
 }

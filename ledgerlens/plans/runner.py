@@ -17,13 +17,13 @@ from ledgerlens.sources.transactions import read_transactions
 
 @dataclass(frozen=True)
 class Settings:
-    """What a run may change.  Rounds are sequential in Spark, so `max_iter` caps the boosting rounds."""
+    """What a run may change.  `max_iter` limits the boosting rounds of every fit; there is no limit by default."""
     seed: int = 42
     space: str = "narrow"
     n_trials: int | None = None
     timeout_minutes: float | None = None
     parallelism: int = 2
-    max_iter: int | None = 50
+    max_iter: int | None = None
     weight_cap: float = 100.0
     threshold_preset: str = "device"
     quantiles: str = "exact"
@@ -31,6 +31,9 @@ class Settings:
 
 def load_step(spark: SparkSession, source: str, work: str, settings: Settings) -> None:
     raw = stages.write_table(clean.narrow_floats(read_transactions(spark, source)), work, "loaded")
+    unlabelled = raw.where(f"{schema.LABEL} is null").count()
+    if unlabelled:
+        raise ValueError(f"{unlabelled} rows have no {schema.LABEL}")
     stages.write_table(profile.dataset_profile(raw), work, "loaded_profile")
     stages.write_table(profile.numeric_profile(raw), work, "loaded_columns")
     stages.write_table(profile.rate_band(profile.label_balance(raw)), work, "loaded_balance")
@@ -54,6 +57,10 @@ def split_step(spark: SparkSession, source: str, work: str, settings: Settings)
     after = stages.read_split(spark, work, "train_balanced")
     everything = stages.read_table(spark, work, "splits", schema.split_table_schema()).where("split <> 'synthetic'").unionByName(
         after.drop("split").selectExpr("*", "'train_balanced' as split"))
+    for name in ("train", "train_balanced"):
+        moments = profile.feature_moments(everything.where(f"split = '{name}'"))
+        moments = stages.write_table(moments, work, f"moments_{name}")
+        stages.write_table(profile.moments_summary(moments), work, f"moments_summary_{name}")
     stages.write_table(profile.split_balance(everything), work, "split_balance")
     stages.write_table(profile.split_audit(everything), work, "split_audit")
     stages.write_table(rs.resample_summary(train, after, balanced.method), work, "resample_summary")
@@ -72,8 +79,17 @@ def search_step(spark: SparkSession, source: str, work: str, settings: Settings)
     summary = stages.write_table(tr.search_summary(trials), work, "search_summary")
     stages.write_table(tr.target_checks(summary), work, "target_checks")
     best = trials.join(tr.best_trial(trials).where("best_score > 0").select("trial"), "trial", "left_semi").select("params")
-    fallback = spark.createDataFrame([(tr.fallback_params(settings.space, weight),)], best.schema)
-    stages.write_table(best if best.take(1) else fallback, work, "best_params")
+    found = best.first()
+    params = dict(found["params"]) if found else tr.fallback_params(settings.space, weight)
+    stages.write_table(spark.createDataFrame([(params, found is None)], "params map<string,double>, is_fallback boolean"),
+                       work, "best_params")
+    shapes = {"train_rows": balanced.selectExpr("count(*)").scalar(), "train_rate": balanced.selectExpr(f"avg({schema.LABEL})").scalar(),
+              "validation_rows": validation.selectExpr("count(*)").scalar()}
+    told = spark.createDataFrame(
+        [(found is None, settings.space, _split_metadata(spark, work)["sampling_method"], len(schema.FEATURES),
+          {n: list(map(float, r)) for n, r in schema.TARGET_RANGES.items()})],
+        "is_fallback boolean, space string, sampling_method string, feature_count int, targets map<string,array<double>>")
+    stages.write_table(told.withColumns(shapes), work, "search_metadata")
 
 
 def train_step(spark: SparkSession, source: str, work: str, settings: Settings) -> None:
@@ -96,19 +112,22 @@ def train_step(spark: SparkSession, source: str, work: str, settings: Settings)
         "top_features": tr.top_features(model, spark),
         "learning_curve": curve,
         "grades": report.grade_targets(metrics), "report": report.report_table(metrics),
-        "package": package(spark, work, metrics, params, split_info["sampling_method"]),
+        "package": package(spark, work, metrics, params, split_info["sampling_method"], balanced),
     }.items():
         stages.write_table(table, work, name)
 
 
-def package(spark: SparkSession, work: str, metrics: DataFrame, params: dict[str, float], method: str) -> DataFrame:
+def package(spark: SparkSession, work: str, metrics: DataFrame, params: dict[str, float], method: str,
+            balanced: DataFrame) -> DataFrame:
     """One row: where the model is and everything needed to use and judge it."""
-    given = spark.createDataFrame([(f"{work}/model", list(schema.FEATURES), params, method)],
-                                  "model_path string, feature_names array<string>, parameters map<string,double>, "
-                                  "sampling_method string")
+    targets = {n: list(map(float, r)) for n, r in schema.TARGET_RANGES.items()}
+    given = spark.createDataFrame([(f"{work}/model", list(schema.FEATURES), len(schema.FEATURES), params, method, targets)],
+                                  "model_path string, feature_names array<string>, feature_count int, "
+                                  "parameters map<string,double>, sampling_method string, target_metrics map<string,array<double>>")
     numbers = metrics.selectExpr(f"struct({', '.join(metrics.columns)})").scalar()
     flags = report.package_flags(metrics)
-    return given.withColumns({"metrics": numbers, "flags": flags.selectExpr(f"struct({', '.join(flags.columns)})").scalar()}
+    return given.withColumns({"metrics": numbers, "flags": flags.selectExpr(f"struct({', '.join(flags.columns)})").scalar(),
+                              "balanced_fraud_rate": balanced.selectExpr(f"avg({schema.LABEL})").scalar()}
                              ).selectExpr("*", "metrics.threshold as threshold")
 
 

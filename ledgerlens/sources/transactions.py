@@ -13,15 +13,36 @@ from ledgerlens import schema
 def read_transactions(spark: SparkSession, path: str | Sequence[str], mode: str = "FAILFAST") -> DataFrame:
     """CSV scan with header and fixed types; all rows of all files, never a prefix.
 
-    `mode="PERMISSIVE"` keeps malformed lines in `_corrupt_record` instead of failing.  `tx_id` is fixed by file
-    order and split; write the result (`stages.write_loaded`) before relying on it in later steps.
+    `mode="PERMISSIVE"` keeps malformed lines in `_corrupt_record` instead of failing.  `tx_id` numbers the rows by
+    their content (`dense_keys`), so it does not depend on files, splits or retries.
     """
     layout = T.StructType(schema.CSV_SCHEMA.fields)
     if mode == "PERMISSIVE":
         layout = T.StructType(layout.fields + [T.StructField("_corrupt_record", T.StringType())])
     raw = (spark.read.schema(layout).option("header", True).option("mode", mode)
            .option("enforceSchema", False).csv(path if isinstance(path, str) else list(path)))
-    return raw.select(F.monotonically_increasing_id().alias(schema.KEY), "*")
+    return dense_keys(raw)
+
+
+def dense_keys(df: DataFrame, key: str = schema.KEY, block: int = 100_000) -> DataFrame:
+    """Add `key`, 0 to n - 1 in the order of a 64-bit hash of the row and then of its columns.
+
+    Equal rows collapse map-side to one row with their number and are interchangeable; they take consecutive keys and
+    are spread again in blocks.  Offsets come from the totals of 65536 hash buckets, the order inside a bucket from an
+    ordinary partitioned window, so no task sees the whole table.
+    """
+    names = [f"`{c}`" for c in df.columns]
+    rows = (df.groupBy(*names).agg(F.count("*").alias("_n"))
+            .withColumn("_h", F.xxhash64(*names)).withColumn("_b", F.shiftright("_h", 48)))
+    offsets = (rows.groupBy("_b").agg(F.sum("_n").alias("_s")).selectExpr(
+        "_b", "coalesce(sum(_s) over (order by _b rows between unbounded preceding and 1 preceding), 0L) as _o"))
+    inside = "sum(_n) over (partition by _b order by _h, " + ", ".join(names) + " rows between unbounded preceding and current row)"
+    placed = rows.selectExpr("*", f"{inside} - _n as _w").join(offsets, "_b").selectExpr(*names, "_n", "_w + _o as _k")
+    few = placed.where(f"_n <= {block}").selectExpr(f"explode(sequence(_k, _k + _n - 1)) as `{key}`", *names)
+    many = (placed.where(f"_n > {block}").selectExpr("_k", "_n", f"explode(sequence(0L, (_n - 1) div {block})) as _j", *names)
+            .repartition("_k", "_j")
+            .selectExpr(f"explode(sequence(_k + _j * {block}, _k + least(_n, (_j + 1) * {block}) - 1)) as `{key}`", *names))
+    return few.unionByName(many)
 
 
 def append_chunks(chunks: Sequence[DataFrame]) -> DataFrame:

@@ -144,3 +144,46 @@ def test_feature_table_is_one_projection_over_a_pruned_scan(spark):
     assert {n.group(1) for n in nodes if n} <= {"Project", "Filter", "Relation"}
     physical = df._jdf.queryExecution().executedPlan().toString()
     assert "user_id" not in physical and "props" not in physical
+
+
+def _layouts(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("cast(id % 40 as int) as step", "if(id % 3 = 0, 'TRANSFER', 'DEBIT') as type",
+                                        "cast(id % 700 as float) as amount", "'C1' as nameOrig", "cast(null as float) as oldbalanceOrg",
+                                        "cast(0 as float) as newbalanceOrig", "'M1' as nameDest", "cast(0 as float) as oldbalanceDest",
+                                        "cast(0 as float) as newbalanceDest", "cast(id % 7 = 0 as tinyint) as isFraud",
+                                        "cast(0 as tinyint) as isFlaggedFraud")
+    for i, parts in enumerate((1, 3, 8)):
+        path = str(tmp_path / f"layout{i}")
+        rows.repartition(parts).write.option("header", True).csv(path)
+        yield path
+
+
+def test_keys_depend_on_content_only(spark, tmp_path):
+    seen = []
+    for size in ("128m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        for path in _layouts(spark, tmp_path / size):
+            seen.append(sorted(map(repr, read_transactions(spark, path).collect())))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(s == seen[0] for s in seen)
+
+
+def test_keys_are_dense_with_many_equal_rows(spark):
+    from ledgerlens.sources.transactions import dense_keys
+    df = spark.range(1000).selectExpr("if(id < 700, 0, id) as a", "cast(null as string) as b")
+    keyed = dense_keys(df, block=100).collect()
+    assert sorted(r.tx_id for r in keyed) == list(range(1000)) and sum(r.a == 0 for r in keyed) == 700
+    equal = sorted(r.tx_id for r in keyed if r.a == 0)
+    assert equal == list(range(equal[0], equal[0] + 700))
+    assert dense_keys(df.limit(0)).count() == 0
+
+
+def test_codes_of_skewed_and_alike_labels(spark):
+    from ledgerlens.operators.clean import encode_remaining_strings, label_codes
+    df = spark.range(4000).selectExpr("id as tx_id", "case when id % 2 = 0 then 'same' when id = 1 then null "
+                                      "else concat('prefix-', id) end as name")
+    want = {x: i for i, x in enumerate(sorted({"same", "nan", *(f"prefix-{i}" for i in range(3, 4000, 2))}))}
+    assert {r.label: r.code for r in label_codes(df, "name", ranges=16).collect()} == want
+    small, salted = encode_remaining_strings(df), encode_remaining_strings(df, broadcast_rows=10)
+    assert small.exceptAll(salted).count() == 0 and small.count() == 4000
+    assert small.where("tx_id = 1").first()["name"] == want["nan"] and small.where("tx_id = 2").first()["name"] == want["same"]

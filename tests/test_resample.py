@@ -144,7 +144,15 @@ def test_borderline_uses_only_rows_in_danger(spark):
     assert sorted(r.tx_id for r in rs.danger_rows(df, 5).collect()) == [300, 301]
     new = rs.borderline_smote(df, 0.5, 3, 5).collect()
     assert len(new) == int(0.5 * 40 - 13)
-    assert {-r.tx_id // (7 // 2 + 2) for r in new} <= {300, 301}
+    assert sorted(r.tx_id for r in new) == list(range(-len(new), 0))
+    assert all(20.4 <= r.amount < 5000.0 for r in new)  # a safe seed would give rows from 5000 on
+
+
+def test_synthetic_keys_stay_small_for_large_keys(spark):
+    rows = [(i << 33, y, v) for i, y, v in _rows(200, seed=8)]
+    new = rs.smote(feature_rows(spark, rows), 0.9, 3)
+    n = new.count()
+    assert sorted(r.tx_id for r in new.select("tx_id").collect()) == list(range(-n, 0))
 
 
 def test_borderline_without_danger_adds_nothing(spark):

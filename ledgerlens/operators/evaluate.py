@@ -57,11 +57,12 @@ def ranking_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
-    return ranking_metrics(scored).select("auc_roc")
+    # both metrics are looked at, so that both branches below need the same sums and share one scan and exchange
+    return ranking_metrics(scored).selectExpr("if(auc_roc is null and auc_pr is null, null, auc_roc) as auc_roc")
 
 
 def average_precision(scored: DataFrame) -> DataFrame:
-    return ranking_metrics(scored).select("auc_pr")
+    return ranking_metrics(scored).selectExpr("if(auc_roc is null and auc_pr is null, null, auc_pr) as auc_pr")
 
 
 def _with_totals(scored: DataFrame) -> DataFrame:

@@ -99,10 +99,12 @@ def add_risk_flags(df: DataFrame) -> DataFrame:
 
 
 def engineer_features(transactions: DataFrame, fit_on: DataFrame | None = None, method: str = "exact",
-                      ddof: int = 0) -> DataFrame:
-    """key, the features as FLOAT, label.  `fit_on` takes the amount statistics from other rows (e.g. train only)."""
+                      ddof: int = 0, stats: DataFrame | None = None) -> DataFrame:
+    """key, the features as FLOAT, label.  `fit_on` takes the amount statistics from other rows (e.g. train only);
+    `stats` is a stored table of them."""
     kept = filter_types(drop_leakage(transactions))
-    stats = amount_stats(filter_types(fit_on) if fit_on is not None else kept, method, ddof)
+    if stats is None:
+        stats = amount_stats(filter_types(fit_on) if fit_on is not None else kept, method, ddof)
     given = kept.withColumns({"_s": stats.selectExpr("struct(p1, p99, mean, std)").scalar(),
                               "_labels": kept.selectExpr("array_sort(collect_set(type))").scalar()})
     given = given.selectExpr(schema.KEY, "step", "type", f"{no_nan('amount')} as amount", schema.LABEL, "_s", "_labels")

@@ -31,6 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BROADCAST_CELLS = 8_000_000   # query cells (rows x features x (k + 1)) sent to every task at most
 BROADCAST_PAIRS = 1e10        # comparisons beyond which tiles pay off
+VISIT_ROWS = 50_000            # rows of one output batch of tile visits
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -182,6 +183,23 @@ class _Tiles:
         y = np.maximum(0, np.maximum(self.box[:, 2] - b, b - self.box[:, 3]))
         return x * x + y * y
 
+    def near(self, a: float, b: float, limit: float) -> np.ndarray:
+        """Tiles within a squared distance: only the columns and rows that the reach touches are looked at."""
+        if not math.isfinite(limit):
+            return self.ids
+        reach = math.sqrt(limit) * (1 + 1e-9) + 1e-300
+        low, high = np.searchsorted(self.first, a - reach, "left"), np.searchsorted(self.first, a + reach, "right")
+        spots = [np.arange(c * self.stride + np.searchsorted(self.second[c], b - reach, "left"),
+                           c * self.stride + np.searchsorted(self.second[c], b + reach, "right") + 1)
+                 for c in range(low, high + 1)]
+        places = np.searchsorted(self.ids, np.concatenate(spots))
+        places = places[places < len(self.ids)]
+        places = np.unique(places[np.isin(self.ids[places], np.concatenate(spots))])
+        box = self.box[places]
+        x = np.maximum(0, np.maximum(box[:, 0] - a, a - box[:, 1]))
+        y = np.maximum(0, np.maximum(box[:, 2] - b, b - box[:, 3]))
+        return self.ids[places[x * x + y * y <= limit]]
+
     def upper(self, a: float, b: float, k: int) -> float:
         """A squared distance within which at least k other points lie, from tile boxes alone."""
         x = np.maximum(abs(a - self.box[:, 0]), abs(a - self.box[:, 1]))
@@ -275,22 +293,30 @@ def _tile_search(queries: DataFrame, points: DataFrame, n_points: int, k: int, f
         for batch in batches:
             xs, ys = batch.column(a).to_numpy(), batch.column(b).to_numpy()
             homes_, kth = _ids(batch, "home"), batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
-            rows, spots, bounds = [], [], []
+            rows, spots, bounds, held = [], [], [], 0
             for i in range(batch.num_rows):
                 limit = kth[i] if kth[i] == kth[i] else t.upper(xs[i], ys[i], k)
-                hit = t.ids[t.lower(xs[i], ys[i]) <= limit]
+                hit = t.near(xs[i], ys[i], limit)
                 hit = hit[hit != homes_[i]]
-                rows.append(np.full(len(hit), i))
-                spots.append(hit)
-                bounds.append(np.full(len(hit), limit))
-            if rows and sum(map(len, rows)):
-                picked = pa.RecordBatch.from_arrays([batch.column(c) for c in ["id", *features]], names=["id", *features])
-                picked = picked.take(pa.array(np.concatenate(rows)))
-                yield pa.RecordBatch.from_arrays(
-                    [*picked.columns, pa.array(np.concatenate(spots)), pa.array(np.concatenate(bounds))],
-                    names=["id", *features, "tile", "bound"])
-
-    visits = bounded.mapInArrow(others, f"id long, {cells}, tile long, bound double")
+                for start in range(0, len(hit), VISIT_ROWS):
+                    part = hit[start:start + VISIT_ROWS]
+                    rows.append(np.full(len(part), i))
+                    spots.append(part)
+                    bounds.append(np.full(len(part), limit))
+                    held += len(part)
+                    if held >= VISIT_ROWS:
+                        yield visited(batch, rows, spots, bounds)
+                        rows, spots, bounds, held = [], [], [], 0
+            if held:
+                yield visited(batch, rows, spots, bounds)
+
+    def visited(batch: pa.RecordBatch, rows: list, spots: list, bounds: list) -> pa.RecordBatch:
+        picked = pa.RecordBatch.from_arrays([batch.column(c) for c in ["id", *features]], names=["id", *features])
+        picked = picked.take(pa.array(np.concatenate(rows)))
+        return pa.RecordBatch.from_arrays([*picked.columns, pa.array(np.concatenate(spots)), pa.array(np.concatenate(bounds))],
+                                          names=["id", *features, "tile", "bound"])
+
+    visits = cut_lineage(bounded.mapInArrow(others, f"id long, {cells}, tile long, bound double"))  # counted, then joined
     return first.select(*FOUND).unionByName(run(visits))
 
 

@@ -41,9 +41,9 @@ def load_step(spark: SparkSession, source: str, work: str, settings: Settings) -
 
 def feature_step(spark: SparkSession, source: str, work: str, settings: Settings) -> None:
     loaded = stages.read_loaded(spark, work)
-    table = stages.write_table(fe.engineer_features(loaded, method=settings.quantiles), work, "features")
+    stats = stages.write_table(fe.amount_stats(clean.filter_types(loaded), settings.quantiles), work, "amount_stats")
+    table = stages.write_table(fe.engineer_features(loaded, stats=stats), work, "features")
     stages.write_table(fe.feature_manifest(table), work, "feature_manifest")
-    stages.write_table(fe.amount_stats(table, settings.quantiles), work, "amount_stats")
 
 
 def split_step(spark: SparkSession, source: str, work: str, settings: Settings) -> None:

@@ -152,7 +152,8 @@ def fit_model(languages: list[str], counts: np.ndarray) -> LanguageModel:
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang", rows: int = FIT_ROWS,
         seed: int = 42) -> LanguageModel:
-    """Fit on (key, text, language).  Rows without a language or a letter are left out; none at all is an error.
+    """Fit on (key, text, language).  Rows without a language or a letter are left out; if none is left, the model
+    answers `und` for every text.
 
     Each language gives about rows / languages texts, those whose hashed key is below the share this needs; very short
     tables give all their rows.
@@ -161,7 +162,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language:
         "language is not null and text is not null")
     sizes = known.groupBy("language").count().collect()  # one row per language
     if not sizes:
-        raise ValueError("no labelled texts")
+        return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS), np.int64))
     each = max(1, rows // len(sizes))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(seed)), F.lit(1 << 30))
     limit = F.create_map(*[c for r in sizes for c in (F.lit(r["language"]), F.lit(int((1 << 30) * min(1.0, each / r["count"]))))])
@@ -184,7 +185,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language:
     found = sample.mapInArrow(count, "language string, counts binary").limit(2 * rows + 1_000).toArrow()
     pairs = sorted(zip(found.column("language").to_pylist(), found.column("counts").to_pylist()))
     if not pairs:
-        raise ValueError("no labelled text has a letter")
+        return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS), np.int64))
     return fit_model([p[0] for p in pairs], np.stack([np.frombuffer(p[1], "<f4") for p in pairs]).astype(np.int64))
 
 
@@ -207,7 +208,7 @@ def _predictor(model: LanguageModel) -> Callable:
                 decided, sure = model.decide(counts)
                 for total, name, s in zip(counts.sum(axis=1).tolist(), decided, sure):
                     names.append(name if total else UNDETERMINED)
-                    scores.append(float(s) if total else 0.0)
+                    scores.append(float(s) if total and name != UNDETERMINED else 0.0)
             return [names, scores]
         return work
     return make

@@ -15,7 +15,8 @@ SPELLINGS = [
     ("capitalisations", "capitalizations"), ("catalogue", "catalog"), ("categorise", "categorize"), ("centre", "center"),
     ("copyright holder", "copyright owner"), ("emphasised", "emphasized"), ("favour", "favor"), ("favourite", "favorite"),
     ("fulfil", "fulfill"), ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("judgement", "judgment"),
-    ("labelling", "labeling"), ("labour", "labor"), ("licence", "license"), ("maximise", "maximize"),
+    ("labelling", "labeling"), ("labour", "labor"), ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("licencing", "licensing"),
+    ("maximise", "maximize"),
     ("modelled", "modeled"), ("modelling", "modeling"), ("offence", "offense"), ("optimise", "optimize"),
     ("organisation", "organization"), ("organise", "organize"), ("practise", "practice"), ("programme", "program"),
     ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("sub license", "sublicense"),

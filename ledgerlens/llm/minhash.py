@@ -95,7 +95,7 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     # One small row per range: its first key, and the nearest range above that has rows.
     firsts = rows.groupBy("range").agg(F.max(key).alias("first")).collect()  # at most MOST_RANGES rows
     used = sorted((r["range"] for r in firsts))
-    above = dict(zip(used, [*used[1:], used[0]]))  # the last range, at the greatest keys, comes first of all
+    above = dict(zip(used, [*used[1:], *used[:1]]))  # the last range, at the greatest keys, comes first of all
     if not firsts:
         return rows.withColumn("guest", F.lit(False))
     host = df.sparkSession.createDataFrame([(r["range"], r["first"], above[r["range"]]) for r in firsts],

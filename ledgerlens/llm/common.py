@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
+from itertools import compress, repeat
+from operator import is_
 from typing import Any
 
 import pyarrow as pa
@@ -12,12 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 BATCH_BYTES = 16 << 20  # an output batch is handed on once it holds this much
+BATCH_ROWS = 1_000  # rows that Spark hands to a task function at a time; texts are long, so the usual 10,000 are too many
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Have the session hand at most BATCH_ROWS rows at a time to task functions; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def worker_state(key: str, make: Callable[[], Any]) -> Any:
     """One object per Python worker and key, kept from task to task (parsed vocabularies, bounded caches)."""
     store = vars(sys.modules.setdefault("_text_worker_state", types.ModuleType("_text_worker_state")))
@@ -71,29 +81,46 @@ def replaced(df: DataFrame, added: str) -> tuple[list[str], StructType]:
 
 
 class Known:
-    """Results by key, learned a batch at a time and forgotten once there are too many, so memory is bounded."""
+    """Results by key.  At most `most` are remembered, the first ones met, since frequent keys come early; they are
+    forgotten when they no longer help, that is when over a quarter of the keys asked for are not among them.
 
-    def __init__(self, resolve: Callable[[list], Iterable], most: int = 500_000):
-        self.resolve, self.most, self.by_key = resolve, most, {}
+    `resolve` gives the results of a list of distinct keys; a result is never None.
+    """
 
-    def forget(self) -> None:
-        if len(self.by_key) > self.most:
-            self.by_key.clear()
+    def __init__(self, resolve: Callable[[list], Iterable], most: int = 100_000):
+        self.resolve, self.most, self.by_key = resolve, most, {}
 
-    def learn(self, keys: set) -> dict:
-        """All results of `keys`, and whatever else is remembered."""
-        new = list(keys.difference(self.by_key))
-        if new:
-            self.by_key.update(zip(new, self.resolve(new)))
-        return self.by_key
+    def lookup(self, keys: list) -> list:
+        """The result of each key."""
+        found = list(map(self.by_key.get, keys))
+        places = list(compress(range(len(found)), map(is_, found, repeat(None))))
+        if places:
+            new = list({keys[i] for i in places})
+            fresh = dict(zip(new, self.resolve(new)))
+            for i in places:
+                found[i] = fresh[keys[i]]
+            if len(self.by_key) >= self.most and 4 * len(places) > len(keys):
+                self.by_key = {}
+            if len(self.by_key) < self.most:
+                self.by_key.update(fresh)
+        return found
+
+
+def runs(cells: list, lengths: Iterable[int]) -> Iterator[list]:
+    """Consecutive parts of a list."""
+    start = 0
+    for n in lengths:
+        yield cells[start:start + n]
+        start += n
 
 
 def add_columns(df: DataFrame, column: str, added: str, make: Callable[[], Callable[[list], list]],
-                limit: int = 4 << 20) -> DataFrame:
+                limit: int = 2 << 20) -> DataFrame:
     """Append columns computed from one string or binary column, about `limit` bytes of it at a time.
 
     `make` is called once per task and returns a function from a list of cells to one list or array per new column.
     """
+    short_batches(df.sparkSession)
     kept, schema = replaced(df, added)
     new = pa.schema([f for f in _arrow(schema)][len(kept):])
 
@@ -105,6 +132,7 @@ def add_columns(df: DataFrame, column: str, added: str, make: Callable[[], Calla
                 arrays = [batch.column(c) for c in range(batch.num_columns - 1)]
                 arrays += [pa.array(c, f.type) for c, f in zip(out, new)]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            pa.default_memory_pool().release_unused()  # what a large batch took is not kept for the next one
 
     quoted = [f"`{c.replace('`', '``')}`" for c in kept]
     return df.selectExpr(*quoted, f"`{column}` as __cell").mapInArrow(run, schema)

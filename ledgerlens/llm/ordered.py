@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-ROWS_PER_RANGE = 20_000
-MOST_RANGES = 4_096  # bounds are sent with the plan, so their number is bounded; ranges grow beyond it
-COARSE = 64
+ROWS_PER_RANGE = 2_000
+MOST_RANGES = 16_384  # bounds are sent with the plan, so their number is bounded; ranges grow beyond it
+COARSE = 128
 
 
 def range_bounds(df: DataFrame, key: str) -> list[int]:
     """Ascending bounds that cut the non-NULL keys into ranges of about equal size (from one scan of the key)."""
+    df = df.select(key)
     n = df.select(F.count(key)).first()[0]
-    ranges = min(MOST_RANGES, -(-n // ROWS_PER_RANGE), )
+    ranges = min(MOST_RANGES, -(-n // ROWS_PER_RANGE))
     if ranges < 2:
         return []
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])

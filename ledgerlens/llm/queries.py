@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ledgerlens.llm import bpe, decontaminate as dc, language_id as li, license_scan as ls, minhash as mh, page_text as pt
 from ledgerlens.llm import simhash as sh, token_counts as tc, token_files as tf, url_filter as uf
 from ledgerlens.llm.common import table
+from ledgerlens.llm.ordered import range_bounds
 from ledgerlens.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,7 +36,7 @@ def op3_page_text(spark: SparkSession, sf: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    tf.write(tf.encode(docs, bpe.vocabulary(WORD_BPE), end_id=2), folder, width=2)
+    tf.write(tf.encode(docs, bpe.vocabulary(WORD_BPE), end_id=2), folder, width=2, bounds=range_bounds(docs, "doc_id"))
     return tf.with_crc(tf.read(spark, folder)).select(
         F.col("key").alias("doc_id"), "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids_crc32")
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.llm.common import batches_of, slices, worker_state
+from ledgerlens.llm.common import batches_of, short_batches, slices, worker_state
 from ledgerlens.session import cut_lineage
 
 FREQUENT = 1 << 19  # pre-tokens whose counts are sent to every task; each at most FREQUENT_CHARS characters
@@ -91,6 +91,7 @@ def token_counts(df: DataFrame, model: bytes, key: str = "doc_id", text: str = "
     NULL counts as an empty text: 0 bytes, 0 tokens.  Rows with equal or NULL keys stay separate rows.
     """
     spark = df.sparkSession
+    short_batches(spark)
     docs = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     words = cut_lineage(piece_counts(distinct_pre_tokens(docs), model))
     frequent = (words.where(F.length("word") <= FREQUENT_CHARS).orderBy(F.desc("frequency"), "word").limit(FREQUENT)

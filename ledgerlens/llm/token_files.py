@@ -16,63 +16,110 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm.common import Known, add_columns, batches_of, worker_state
+from ledgerlens.llm.common import Known, add_columns, batches_of, runs, worker_state
 from ledgerlens.llm.ordered import range_bounds, range_of
 
 NULL_KEY = -(1 << 63)
+# Fixed value: the split pattern of vocabularies that are encoded by pieces.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class Words:
+    """Ids of texts by the tokenizers library, for a vocabulary in which white space only separates.
+
+    A text is then the sequence of its pieces between spaces and line ends, and the library encodes a piece once while it is
+    remembered.  New pieces go to it many at a time, in one text.  Where such a piece is a word, with marks behind it or
+    not, normalising it is lower-casing alone, so it goes to the same model without the library's own normaliser; the
+    last id of each word is one that ends a word, which tells the words of the joined text apart.
+    """
+    MARKS = ".,;:!?%&*#$"
+
+    def __init__(self, definition: str, suffix: str | None):
+        """`suffix` ends the last token of a word; None if the vocabulary is not of this kind (`word_suffix`)."""
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.whole = Tokenizer.from_str(definition)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        self.by_piece = suffix is not None
+        if self.by_piece:
+            self.words = Tokenizer(self.whole.model)
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            vocab = self.whole.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+            self.cores, self.marks = Known(self._cores, 60_000), Known(self._any, 10_000)
+            self.pieces = Known(self._pieces, 150_000)
+
+    def _any(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+
+    def _cores(self, words: list[str]) -> list[bytes]:
+        """Distinct lower-case words of letters."""
+        ids = np.array(self.words.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        if len(ends) != len(words) + 1:
+            raise RuntimeError("the words of a joined text were not told apart")
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        cores, marks, plain, others = [], [], [], []
+        for n, piece in enumerate(pieces):
+            core = piece.rstrip(self.MARKS)
+            # below U+0250 letters are as NFC has them, and all but one have a single lower-case letter
+            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "İ" not in core)):
+                plain.append(n)
+                cores.append(core.lower())
+                marks.append(piece[len(core):])
+            else:
+                others.append(n)
+        out: list[bytes] = [b""] * len(pieces)
+        for n, core, mark in zip(plain, self.cores.lookup(cores), self.marks.lookup(marks)):
+            out[n] = core + mark
+        for n, packed in zip(others, self._any([pieces[n] for n in others])):
+            out[n] = packed
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_piece:
+            return self._any([t or "" for t in texts])
+        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        return list(map(b"".join, runs(self.pieces.lookup(list(chain.from_iterable(parts))), map(len, parts))))
 
 
 def encode(df: DataFrame, definition: str, text: str = "text", ids: str = "ids", end_id: int | None = None) -> DataFrame:
-    """`df` with `ids`: packed little-endian 32-bit ids of each whole text, then `end_id` if one is given.
+    """`df` with `ids`: packed little-endian 32-bit ids of each whole text by the tokenizers library, then `end_id`.
 
-    The ids are those of the tokenizers library for the whole text.  It encodes each distinct piece between single
-    spaces once while the piece is remembered: for a vocabulary that drops white space a text is the sequence of its
-    pieces.  Other vocabularies get whole texts.  NULL is encoded like an empty text.
+    NULL is encoded like an empty text.  Other columns pass; an input column named like `ids` is replaced.
     """
-    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+    end, suffix = b"" if end_id is None else int(end_id).to_bytes(4, "little"), word_suffix(definition)
 
     def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        def build():
-            tokenizer = Tokenizer.from_str(definition)
-            tokenizer.no_truncation()
-            tokenizer.no_padding()
-
-            def resolve(pieces: list[str]) -> list[bytes]:
-                return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
-            return drops_space(definition), resolve, Known(resolve)
-
-        by_piece, resolve, pieces = worker_state(f"tokenizer {hash(definition)}", build)
-
-        def work(texts: list[str | None]) -> list[list[bytes]]:
-            if not by_piece:
-                return [[p + end for p in resolve([t or "" for t in texts])]]
-            parts = [(t or "").split(" ") for t in texts]
-            pieces.forget()
-            known = pieces.by_key
-            found = [list(map(known.get, p)) for p in parts]
-            pieces.learn({x for p, f in zip(parts, found) if None in f for x, y in zip(p, f) if y is None})
-            return [[b"".join(f if None not in f else [known[x] for x in p]) + end for p, f in zip(parts, found)]]
-        return work
+        words = worker_state(f"tokenizer {hash(definition)}", lambda: Words(definition, suffix))
+        return lambda cells: [[packed + end for packed in words.encode(cells)]]
 
     return add_columns(df, text, f"`{ids}` binary", make)
 
 
-def drops_space(definition: str) -> bool:
-    """Whether white space only separates: the split keeps matches of a pattern that matches no space."""
+def word_suffix(definition: str) -> str | None:
+    """The suffix that ends a word in a vocabulary that `Words` takes apart, else None: white space only separates words
+    of letters, single digits and runs of marks, words are lower-cased, and the last token of a word has the suffix."""
     spec = json.loads(definition)
-    step = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
-    tokens = spec.get("added_tokens", [])
-    return (step.get("type") == "Split" and step.get("behavior") == "Removed" and step.get("invert") is True
-            and r"[^\s" in step["pattern"].get("Regex", "") and not any(" " in t["content"] or t["lstrip"] or t["rstrip"]
-                                                                        for t in tokens))
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    normal = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    split = steps[0] if steps else {}
+    apart = (normal == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
+             and split["behavior"] == "Removed" and split["invert"] and split["pattern"].get("Regex") == WORD_PATTERN
+             and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", [])))
+    return spec["model"].get("end_of_word_suffix") if apart else None
 
 
 def local_folder(folder: str) -> str:
@@ -83,14 +130,16 @@ def local_folder(folder: str) -> str:
     return folder
 
 
-def write(df: DataFrame, folder: str, key: str = "doc_id", ids: str = "ids", width: int = 4) -> dict:
+def write(df: DataFrame, folder: str, key: str = "doc_id", ids: str = "ids", width: int = 4,
+          bounds: list[int] | None = None) -> dict:
     """Write packed 32-bit ids in ascending key order and return the index.
 
-    Rows move once, to a task per range of keys.  Rows with equal keys are in order of their ids; a NULL key is first.
+    `bounds` cut the keys into ranges; without them `df` is run once more to draw some, so give those of the documents
+    (`range_bounds`) where `df` encodes as it goes.  Rows move once, to a task per range of keys.  Rows with equal keys are in order of their ids; a NULL key is first.
     `width` is the bytes of a stored id; an id that does not fit is an error.  An empty table gives no part.
     """
     target = local_folder(folder)
-    bounds = range_bounds(df, key)
+    bounds = range_bounds(df, key) if bounds is None else bounds
     rows = df.select(range_of(F.col(key), bounds).cast("int").alias("part"), F.col(key).cast("long").alias("key"),
                      F.coalesce(F.col(ids), F.lit(b"")).alias("ids"))
     parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")

@@ -129,7 +129,16 @@ def test_token_files_of_no_rows_null_keys_and_wide_ids(spark, tmp_path):
 
 
 def test_pieces_are_used_only_where_space_only_separates():
-    assert tf.drops_space(bpe.vocabulary(q.WORD_BPE)) and not tf.drops_space(bpe.vocabulary(q.BYTE_BPE))
+    assert tf.word_suffix(bpe.vocabulary(q.WORD_BPE)) == "</w>" and tf.word_suffix(bpe.vocabulary(q.BYTE_BPE)) is None
+
+
+def test_pieces_encode_like_whole_texts():
+    words = tf.Words(bpe.vocabulary(q.WORD_BPE), "</w>")
+    words.pieces.most = words.cores.most = 50
+    letters = [t for c in map(chr, range(0x250)) for t in (c, "a" + c, c + ".", "A" + c + "b,")]
+    texts = letters + random_texts(3_000, 8, [*" \n'sAbÉé1２.,%$Σσİ\x1c", "<|endoftext|>", "́"]) + [None]
+    got = words.encode(texts[:1_000]) + words.encode(texts[1_000:])
+    assert [ids_of(p) for p in got] == [WORD.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 def test_other_vocabularies_get_whole_texts(spark):

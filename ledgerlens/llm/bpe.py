@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from ledgerlens.llm.common import Known, add_columns, worker_state
+from ledgerlens.llm.common import Known, add_columns, runs, worker_state
 
 # Fixed value: the split pattern of this family of vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -214,13 +215,12 @@ class Codec:
     def _plain(self, texts: list[str]) -> list[bytes]:
         """Packed ids of texts that are split by the pattern alone."""
         words = list(map(self.words, texts))
-        self.pre_tokens.forget()
-        known = self.pre_tokens.learn({w for ws in words for w in ws})
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        found = self.pre_tokens.lookup(list(chain.from_iterable(words)))
+        return list(map(b"".join, runs(found, map(len, words))))
 
-    def _pieces(self, parts: list[str]) -> list[bytes | None]:
-        """Packed ids of parts that follow a space; None where a run of white space goes on into the part."""
-        out: list[bytes | None] = [None] * len(parts)
+    def _pieces(self, parts: list[str]) -> list[bytes | bool]:
+        """Packed ids of parts that follow a space; False where a run of white space goes on into the part."""
+        out: list[bytes | bool] = [False] * len(parts)
         whole, ended, mixed = [], [], []
         for n, part in enumerate(parts):
             if part.isalpha():  # the part is one pre-token with its space
@@ -231,9 +231,8 @@ class Codec:
                 mixed.append(n)
         cores = [" " + parts[n].rstrip(".,") for n in ended]
         marks = [parts[n][len(core) - 1:] for n, core in zip(ended, cores)]
-        known = self.pre_tokens.learn({*cores, *marks})
-        for n, core, mark in zip(ended, cores, marks):
-            out[n] = known[core] + known[mark]
+        for n, core, mark in zip(ended, self.pre_tokens.lookup(cores), self.pre_tokens.lookup(marks)):
+            out[n] = core + mark
         for n, packed in zip(whole, self._merged([" " + parts[n] for n in whole])):
             out[n] = packed
         for n, packed in zip(mixed, self._plain([" " + parts[n] for n in mixed])):
@@ -244,16 +243,10 @@ class Codec:
         """Packed ids of texts without special strings."""
         parts = [t.split(" ") for t in texts]
         firsts = self._plain([p[0] for p in parts])
-        self.pieces.forget()
-        known = self.pieces.by_key
-        found = [list(map(known.get, p)) for p in parts]
-        self.pieces.learn({x for p, f in zip(parts, found) if None in f for x, y in zip(p, f) if y is None})
+        found = self.pieces.lookup(list(chain.from_iterable(p[1:] for p in parts)))
         out: list[bytes | None] = []
-        for first, p, f in zip(firsts, parts, found):
-            if None in f:
-                f = [known[x] for x in p]
-            f[0] = first
-            out.append(None if None in f else b"".join(f))
+        for first, rest in zip(firsts, runs(found, (len(p) - 1 for p in parts))):
+            out.append(None if False in rest else first + b"".join(rest))
         odd = [n for n, x in enumerate(out) if x is None]
         for n, packed in zip(odd, self._plain([texts[n] for n in odd])):
             out[n] = packed
@@ -305,6 +298,19 @@ def decode(df: DataFrame, definition: str, ids: str = "ids", text: str = "decode
     return add_columns(df, ids, f"`{text}` string", _task(definition, "decode"))
 
 
+def encode_and_decode(df: DataFrame, definition: str, text: str = "text", ids: str = "ids",
+                      decoded: str = "decoded") -> DataFrame:
+    """`encode` and `decode` one after the other in the same task, for a check of the round trip."""
+    def make():
+        codec = _codec(definition)
+
+        def work(cells: list) -> list[list]:
+            packed = codec.encode(cells)
+            return [packed, codec.decode(packed)]
+        return work
+    return add_columns(df, text, f"`{ids}` binary, `{decoded}` string", make)
+
+
 def _task(definition: str, way: str) -> Callable:
     def make():
         work = getattr(_codec(definition), way)

@@ -17,9 +17,8 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    definition = bpe.vocabulary(BYTE_BPE)
-    ids = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), definition).select("doc_id", "ids")
-    return bpe.decode(ids, definition).select(
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.encode_and_decode(docs, bpe.vocabulary(BYTE_BPE)).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 

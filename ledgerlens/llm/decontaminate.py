@@ -27,11 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.llm.common import batches_of, slices
+from ledgerlens.llm.common import batches_of, short_batches, slices
 from ledgerlens.llm.sequences import lcs_length
 from ledgerlens.session import cut_lineage
 
-BLOCK = 500  # items searched together
+BLOCK = 500  # items searched together, and characters of them
+BLOCK_CHARS = 100_000
+SVD_TASKS = 4  # the matrix is small; each task sends terms x rank numbers to the driver
 WIDTH = 16  # words of a passage; less if the shortest item has fewer
 RANK = 256
 EXTRA = 16  # more random directions than the rank
@@ -131,7 +133,7 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int], text: str
 
 
 def _summed(partial: DataFrame, column: str, kind: type) -> bytes:
-    """Element-wise sum of binary vectors, in one task per 64 partial sums and then on the driver."""
+    """Element-wise sum of binary vectors of bounded length: by tasks while there are over 64 of them, then on the driver."""
     schema = pa.schema([(column, pa.binary())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,14 +182,14 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int, seed: int = 42)
     size = len(idf)
     width = min(rank + EXTRA, size)
     schema = pa.schema([("part", pa.binary())])
-    sc = rows.sparkSession.sparkContext
+    sc, rows = rows.sparkSession.sparkContext, rows.coalesce(SVD_TASKS)
 
     def product(directions: np.ndarray) -> np.ndarray:
-        sent = sc.broadcast((idf, directions))
+        sent = sc.broadcast((idf, directions.astype(np.float32)))  # single precision is what moves
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weight, basis = sent.value
-            held = np.zeros(basis.shape)
+            held = np.zeros(basis.shape, np.float32)
             for batch in batches:
                 for terms in batch.column("terms").to_pylist():
                     distinct, times = np.unique(np.array(terms), return_counts=True)
@@ -198,9 +200,9 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int, seed: int = 42)
                         held[distinct] += np.outer(x, x @ basis[distinct])
             yield pa.RecordBatch.from_arrays([pa.array([held.tobytes()], pa.binary())], schema=schema)
 
-        out = np.frombuffer(_summed(rows.mapInArrow(multiply, "part binary"), "part", np.float64))
-        sent.unpersist()
-        return out.reshape(-1, width) if len(out) else np.zeros((size, width))
+        out = np.frombuffer(_summed(rows.mapInArrow(multiply, "part binary"), "part", np.float32), np.float32)
+        sent.destroy()
+        return out.reshape(-1, width).astype(float) if len(out) else np.zeros((size, width))
 
     directions = np.random.default_rng(seed).standard_normal((size, width))
     for _ in range(1 + POWERS):
@@ -291,9 +293,10 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     columns are not read.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     source = items.select(F.col(item_key).alias("id"), F.col(item_text).alias("text")).where("text is not null")
-    n = source.count()
-    blocks = -(-n // BLOCK)
+    n, chars = source.select(F.count("*"), F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()
+    blocks = max(-(-n // BLOCK), -(-chars // BLOCK_CHARS))
     narrow = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
     out = spark.createDataFrame([], f"`{key}` long, item_id long, cosine double, common double, answer double")
     for number in range(blocks):

@@ -106,7 +106,7 @@ class LanguageModel:
 def vectors(counts: np.ndarray) -> np.ndarray:
     """Root of the relative frequencies (unit length) and a constant."""
     total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    return np.hstack([np.sqrt(counts / total), np.ones((len(counts), 1))])
+    return np.hstack([np.sqrt(counts / total), np.ones((len(counts), 1), counts.dtype if counts.dtype.kind == "f" else float)])
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30, seed: int = 42) -> np.ndarray:
@@ -186,7 +186,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language:
     pairs = sorted(zip(found.column("language").to_pylist(), found.column("counts").to_pylist()))
     if not pairs:
         return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS), np.int64))
-    return fit_model([p[0] for p in pairs], np.stack([np.frombuffer(p[1], "<f4") for p in pairs]).astype(np.int64))
+    return fit_model([p[0] for p in pairs], np.stack([np.frombuffer(p[1], "<f4") for p in pairs]))
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

@@ -5,8 +5,8 @@
   2. A randomised SVD of TF-IDF passages (all passages of the items and a bounded sample of document windows) gives the
      latent space.  The matrix is a table of sparse rows; each product with it is a sum of partial products per task.
   3. Every window (twice as wide, one `width` after the other) of every document is projected and compared by cosine with
-     all item passages.  A window that keeps less than LEAST_SHARE of its TF-IDF length inside the vocabulary cannot be
-     near a passage and is left out before.
+     the item passages; a window that holds a whole passage is near it, however much else it holds.  Left out before are
+     only items that step 4 cannot count: under PARAPHRASE of their words occur anywhere in the text that it looks at.
   4. For each (document, item) found, the longest common subsequence of words with the text around the window is the
      check.  An item counts as contained from SAME of its words on; from PARAPHRASE on if its answer is there as well.
 
@@ -16,7 +16,6 @@ is sent to tasks is bounded.  Documents are never moved, and a document's hits a
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,7 +39,8 @@ EXTRA = 16  # more random directions than the rank
 POWERS = 2  # further products with the matrix, for separated directions
 FIT_WINDOWS = 4_096  # document windows in the matrix, chosen by a hash
 NEAR = 0.5  # least cosine in the latent space
-LEAST_SHARE = 0.45
+WHOLE = 0.95  # of a passage's own length, along it: a window that holds the passage has 1 or more, but for rounding
+GROUP = 8  # windows that are compared together
 SAME = 0.8
 PARAPHRASE = 0.6
 ANSWER = 0.8
@@ -213,51 +213,54 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int, seed: int = 42)
     return directions @ vectors[:, ::-1][:, :rank]
 
 
-def search(docs: DataFrame, block: Queries, idf: np.ndarray, outside: float, basis: np.ndarray, key: str = "doc_id",
+def search(docs: DataFrame, block: Queries, idf: np.ndarray, basis: np.ndarray, key: str = "doc_id",
            text: str = "text") -> DataFrame:
-    """(key, item, cosine, common, answer) of every pair that passes the checks, for one block of items.
-
-    `outside` is the weight of a word that is not in the vocabulary.
-    """
-    ids = [str(i) for i in range(len(block.ids))]
+    """(key, item, cosine, common, answer) of every pair that passes the checks, for one block of items."""
     term_vectors = (idf[:, None] * basis).astype(np.float32)
     passage = np.stack([term_vectors[p].sum(axis=0) for p in block.passages])
     length = np.linalg.norm(passage, axis=1)
     useful = length > 0
-    passage = passage[useful] / length[useful, None]
+    length = length[useful]
+    passage = passage[useful] / length[:, None]
+    sizes = np.array([len(w) for w in block.words])
+    occurs = np.zeros((len(block.vocabulary), len(sizes)), np.float32)  # of each term in each item
+    for i, words in enumerate(block.words):
+        np.add.at(occurs, ([block.vocabulary[w] for w in words], i), 1)
     told = SimpleNamespace(**vars(block))  # a plain object, so that workers need no class of this package
-    sent = docs.sparkSession.sparkContext.broadcast((told, term_vectors, passage, block.owner[useful], np.append(idf, outside) ** 2))
+    sent = docs.sparkSession.sparkContext.broadcast((told, term_vectors, passage, length, block.owner[useful], occurs,
+                                                     PARAPHRASE * sizes - 1e-3, int(sizes.max())))
     schema = pa.schema([("key", pa.int64()), ("item", pa.int32()), ("cosine", pa.float64()), ("common", pa.float64()),
                         ("answer", pa.float64())])
 
     def hits(k, cell) -> Iterator[tuple]:
-        q, vectors, passages, owner, squares = sent.value
+        q, vectors, passages, lengths, owner, occurs, least, longest = sent.value
         words, terms = _terms(cell, q.vocabulary)
         n, span = len(terms), 2 * q.width
         if not n:
             return
         starts = _windows(n, q.width)
         stops = np.minimum(starts + span, n)
-        weight = squares[terms]
-        whole = np.concatenate([[0], np.cumsum(weight)])
-        inside = np.concatenate([[0], np.cumsum(np.where(terms >= 0, weight, 0))])
-        good = (inside[stops] - inside[starts]) >= LEAST_SHARE ** 2 * (whole[stops] - whole[starts])
-        good &= inside[stops] > inside[starts]
         best: dict[int, tuple] = {}
-        places = np.flatnonzero(good)
-        for at in range(0, len(places), 512):
-            some = places[at:at + 512]
-            z = np.zeros((len(some), vectors.shape[1]), np.float32)
-            for r, w in enumerate(some):
-                here = terms[starts[w]:stops[w]]
-                z[r] = vectors[here[here >= 0]].sum(axis=0)
-            z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
-            cosine = z @ passages.T
-            for r, c in zip(*np.nonzero(cosine >= NEAR)):
-                item, cos = int(owner[c]), float(cosine[r, c])
+        for at in range(0, len(starts), GROUP):
+            some = starts[at:at + GROUP]
+            first, last = int(some[0]), int(stops[at + len(some) - 1])
+            there = np.unique(terms[max(0, first - longest):last + longest])
+            possible = occurs[there[there >= 0]].sum(axis=0) >= least
+            if not possible.any():
+                continue
+            columns = np.flatnonzero(possible[owner])
+            inside = np.flatnonzero(terms[first:last] >= 0)
+            distinct, place = np.unique(terms[first + inside], return_inverse=True)
+            times = np.zeros((len(some) + 1, len(distinct)), np.float32)  # one row per `width` words; a window is two
+            np.add.at(times, (inside // q.width, place), 1)
+            z = (times[:-1] + times[1:]) @ vectors[distinct]
+            along = z @ passages[columns].T
+            cosine = along / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+            for r, c in zip(*np.nonzero((cosine >= NEAR) | (along >= WHOLE * lengths[columns]))):
+                item, cos = int(owner[columns[c]]), float(cosine[r, c])
                 size = len(q.words[item])
-                begin = max(0, int(starts[some[r]]) - size)
-                region = words[begin:int(stops[some[r]]) + size]
+                begin = max(0, int(some[r]) - size)
+                region = words[begin:int(stops[at + r]) + size]
                 old = best.get(item)
                 if old is not None and old[3] == begin:
                     best[item] = (max(cos, old[0]), *old[1:])
@@ -306,9 +309,8 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
             continue
         seen, total = document_frequencies(narrow, block.vocabulary, text)
         idf = np.log((1 + total) / (1 + seen)) + 0.1
-        outside = math.log(1 + total) + 0.1
         passages = spark.createDataFrame([(p,) for p in block.passages], "terms array<bigint>")
         matrix = cut_lineage(passages.unionByName(sample_windows(narrow, block, key, text)))
         basis = randomised_svd(matrix, idf, min(RANK, len(block.vocabulary)))
-        out = out.unionByName(search(narrow, block, idf, outside, basis, key, text))
+        out = out.unionByName(search(narrow, block, idf, basis, key, text))
     return out

@@ -137,6 +137,19 @@ def test_items_of_the_test_tables(spark, documents):
     assert {(r.doc_id, r.item_id) for r in q.op2_decontaminate(spark, SF).collect()} == whole and whole
 
 
+def test_whole_items_among_frequent_words_of_a_large_corpus(spark, monkeypatch):
+    counted = dc.document_frequencies
+    monkeypatch.setattr(dc, "document_frequencies", lambda *a: tuple(300 * x for x in counted(*a)))
+    r = random.Random(8)
+    usual = [f"usual{i}" for i in range(60)]
+    items = [(i, " ".join(r.sample(usual, 15))) for i in range(20)]
+    docs = [(i, " ".join(f"other{r.randrange(40)}" for _ in range(37)) + f" {items[i][1]} " + "other1 other2 " * 20) for i in range(20)]
+    docs += [(20 + i, " ".join(r.sample(usual, 20) + ["other3"] * 40)) for i in range(60)]
+    got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items_frame(spark, items)).collect()
+    assert {(i, i) for i in range(20)} <= {(x.doc_id, x.item_id) for x in got}
+    assert all(x.common >= dc.PARAPHRASE for x in got)
+
+
 def test_no_documents_or_items(spark):
     docs, items, _ = corpus()
     assert dc.contaminated(frame(spark, docs), items_frame(spark, items[12:])).count() == 0

@@ -2,8 +2,10 @@
 
   1. Benchmark items are cut into passages of `width` words; their words are the vocabulary.  Document frequencies of
      the vocabulary are counted over all documents.
-  2. A randomised SVD of TF-IDF passages (all passages of the items and a bounded sample of document windows) gives the
-     latent space.  The matrix is a table of sparse rows; each product with it is a sum of partial products per task.
+  2. A randomised SVD of the TF-IDF passages of the items gives the latent space, with as many directions as passages, so
+     that each passage is kept whole and nothing hangs on a draw.  What a document window has outside this space is at
+     right angles to every passage.  The matrix is a table of sparse rows; each product with it is a sum of partial
+     products per task.
   3. Every window (twice as wide, one `width` after the other) of every document is projected and compared by cosine with
      the item passages; a window that holds a whole passage is near it, however much else it holds.  Left out before are
      only items that step 4 cannot count: under PARAPHRASE of their words occur anywhere in the text that it looks at.
@@ -31,13 +33,11 @@ from ledgerlens.llm.sequences import lcs_length
 from ledgerlens.session import cut_lineage
 
 BLOCK = 500  # items searched together, and characters of them
-BLOCK_CHARS = 100_000
+BLOCK_CHARS = 50_000
 SVD_TASKS = 4  # the matrix is small; each task sends terms x rank numbers to the driver
 WIDTH = 16  # words of a passage; less if the shortest item has fewer
-RANK = 256
 EXTRA = 16  # more random directions than the rank
 POWERS = 2  # further products with the matrix, for separated directions
-FIT_WINDOWS = 4_096  # document windows in the matrix, chosen by a hash
 NEAR = 0.5  # least cosine in the latent space
 WHOLE = 0.95  # of a passage's own length, along it: a window that holds the passage has 1 or more, but for rounding
 GROUP = 8  # windows that are compared together
@@ -151,28 +151,6 @@ def _summed(partial: DataFrame, column: str, kind: type) -> bytes:
     return reduce(lambda a, b: (np.frombuffer(a, kind) + np.frombuffer(b, kind)).tobytes(), cells) if cells else b""
 
 
-def sample_windows(docs: DataFrame, block: Queries, key: str, text: str = "text") -> DataFrame:
-    """(terms): vocabulary terms of about FIT_WINDOWS document windows, one window of each drawn document."""
-    n = docs.count()
-    drawn = docs.where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(max(n, 1))) < FIT_WINDOWS)
-    schema = pa.schema([("terms", pa.list_(pa.int64()))])
-    vocabulary, width = block.vocabulary, block.width
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, text, 4 << 20):
-                rows = []
-                for cell in batch.column(text).to_pylist():
-                    _, terms = _terms(cell, vocabulary)
-                    starts = _windows(len(terms), width)
-                    s = int(starts[(len(terms) * 7919) % len(starts)])
-                    window = terms[s:s + 2 * width]
-                    rows.append(window[window >= 0].tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64()))], schema=schema)
-
-    return drawn.select(F.col(text)).mapInArrow(pick, "terms array<bigint>").where("size(terms) > 0")
-
-
 def randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int, seed: int = 42) -> np.ndarray:
     """Leading right singular vectors (terms x rank) of the TF-IDF matrix whose sparse rows are (terms).
 
@@ -309,8 +287,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
             continue
         seen, total = document_frequencies(narrow, block.vocabulary, text)
         idf = np.log((1 + total) / (1 + seen)) + 0.1
-        passages = spark.createDataFrame([(p,) for p in block.passages], "terms array<bigint>")
-        matrix = cut_lineage(passages.unionByName(sample_windows(narrow, block, key, text)))
-        basis = randomised_svd(matrix, idf, min(RANK, len(block.vocabulary)))
+        matrix = cut_lineage(spark.createDataFrame([(p,) for p in block.passages], "terms array<bigint>"))
+        basis = randomised_svd(matrix, idf, min(len(block.passages), len(block.vocabulary)))
         out = out.unionByName(search(narrow, block, idf, basis, key, text))
     return out

@@ -150,6 +150,30 @@ def test_whole_items_among_frequent_words_of_a_large_corpus(spark, monkeypatch):
     assert all(x.common >= dc.PARAPHRASE for x in got)
 
 
+def test_paraphrases_of_short_items_as_by_brute_force(spark):
+    r = random.Random(9)
+    usual, items, docs = [f"usual{i}" for i in range(500)], [], []
+    for i in range(120):
+        words = r.sample(usual, 8) + [f"rare{i}x{j}" for j in range(6)]
+        r.shuffle(words)
+        items.append((i, f"{' '.join(words)}. answer: so{i}"))
+    for i in range(1_200):
+        words = dc.words_of(items[i % 120][1])
+        keep = set(r.sample(range(len(words) - 1), round(len(words) * r.uniform(0.6, 0.8)))) | {len(words) - 1}
+        words = [w if n in keep else r.choice(usual) for n, w in enumerate(words)]  # in order, the answer among them
+        docs.append((i, " ".join(r.choices(usual, k=30) + (words if i % 3 == 0 else []) + r.choices(usual, k=30))))
+    want = set()
+    for k, text in docs:
+        there = dc.words_of(text)
+        for n, t in items:
+            own, answer = dc.words_of(t), dc.answer_of(t)
+            if len(set(own) & set(there)) >= 0.6 * len(set(own)) and sq.lcs_length(own, there) >= 0.6 * len(own):
+                if sq.lcs_length(answer, there) >= 0.8 * len(answer):
+                    want.add((k, n))
+    got = {(x.doc_id, x.item_id) for x in dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items_frame(spark, items)).collect()}
+    assert len(want) >= 400 and got == want
+
+
 def test_no_documents_or_items(spark):
     docs, items, _ = corpus()
     assert dc.contaminated(frame(spark, docs), items_frame(spark, items[12:])).count() == 0

@@ -81,7 +81,7 @@ def op9_urls(spark: SparkSession, sf: str) -> DataFrame:
     hosted = pages.select("page_id", "url", uf.host_of(F.col("url")).alias("host"), uf.path_of(F.col("url")).alias("path"))
     words = F.split("host", "[^a-z0-9]+")
     labelled = hosted.select("url", F.arrays_overlap(words, F.array(*map(F.lit, UNWANTED_WORDS))).cast("int").alias("blocked"))
-    judged = uf.apply_rules(uf.score(hosted, uf.fit(labelled)), uf.parse_rules(URL_RULES))
+    judged = uf.apply_rules(uf.score(hosted, uf.fit_or_base(labelled)), uf.parse_rules(URL_RULES))
     own = F.when(F.col("score") > 0.5, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"), "score")
 

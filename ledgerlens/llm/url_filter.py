@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlens.session import broadcast_if_small, cut_lineage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-FIT_ROWS = 20_000  # labelled URLs that trees and suffix statistics are fitted on, chosen by hash
-FIT_SUFFIXES = 20_000  # host suffixes that keep statistics, the most frequent first
+FIT_ROWS = 20_000  # distinct labelled URLs that trees are fitted on, chosen by hash per label; statistics count all rows
+SENT_SUFFIXES = 200_000  # up to so many suffixes the statistics are sent to every task, more are joined by a shuffle
 LEVELS = 4  # suffixes of so many labels have statistics
 PRIOR = 4.0  # pseudo-observations at the overall rate
 FEATURES = ["url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "host_digit_ratio",
@@ -105,54 +108,92 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
 
 @dataclass(frozen=True)
 class UrlModel:
-    """Trees, and the share of blocked URLs per host suffix."""
-    trees: GBTClassificationModel
-    rates: dict[str, float]
-    base: float
+    """Trees, and (__suffix, __all, __half0, __half1): the share of blocked URLs per host suffix, over all labelled rows
+    and over each half of them.  Without labels of both kinds there is only `base` (None without any label)."""
+    trees: GBTClassificationModel | None
+    rates: DataFrame | None
+    base: float | None
 
 
-def _with_rates(df: DataFrame, rates: dict[str, float], base: float) -> DataFrame:
+def _with_rates(df: DataFrame, table: DataFrame, base: float, rate: Column) -> DataFrame:
     """Add suffix_1 (last label) to suffix_LEVELS; a suffix without statistics has the rate of the one above it."""
-    table = F.broadcast(df.sparkSession.createDataFrame(list(rates.items()), "__suffix string, __rate double"))  # FIT_SUFFIXES
     for i in range(1, LEVELS + 1):
         above = F.col(f"suffix_{i - 1}") if i > 1 else F.lit(base)
         named = df.withColumn("__name", F.get(F.col("__suffixes"), F.size("__suffixes") - i))
         df = (named.join(table, named["__name"] == table["__suffix"], "left")
-              .withColumn(f"suffix_{i}", F.coalesce("__rate", above)).drop("__name", "__suffix", "__rate"))
+              .withColumn(f"suffix_{i}", F.coalesce(rate, above)).drop("__name", *table.columns))
     return df
 
 
+def suffix_rates(urls: DataFrame, base: float) -> DataFrame:
+    """(__suffix, __all, __half0, __half1) of (url, label, times, half): the suffixes of every host, hosts counted first."""
+    def share(rows: Column) -> Column:
+        n = F.sum(F.when(rows, F.col("n")))
+        return (F.sum(F.when(rows, F.col("bad"))) + PRIOR * base) / (n + PRIOR)
+
+    hosts = urls.groupBy(host_of(F.col("url")).alias("host"), "half").agg(
+        F.sum(F.col("label") * F.col("times")).alias("bad"), F.sum("times").alias("n"))
+    last = F.slice("every", F.greatest(F.size("every") - (LEVELS - 1), F.lit(1)), LEVELS)  # longer ones are not asked for
+    each = hosts.select("half", "bad", "n", suffixes(F.col("host")).alias("every")).select(
+        "half", "bad", "n", F.explode(last).alias("__suffix"))
+    return each.groupBy("__suffix").agg(
+        share(F.lit(True)).alias("__all"), share(F.col("half") == 0).alias("__half0"), share(F.col("half") == 1).alias("__half1"))
+
+
 def fit(labelled: DataFrame, url: str = "url", label: str = "blocked", rows: int = FIT_ROWS, rounds: int = 20,
         depth: int = 4, seed: int = 42) -> UrlModel:
-    """Fit on (url, label), label 1 for blocked; at most about `rows` of them, chosen by a hash of the URL.
+    """Fit on (url, label), label 1 for blocked; NULL labels are left out.  One kind of label is an error."""
+    model = fit_or_base(labelled, url, label, rows, rounds, depth, seed)
+    if model.trees is None:
+        raise ValueError("labelled URLs of both kinds are needed")
+    return model
 
-    NULL labels are left out.  One kind of label is an error.
+
+def fit_or_base(labelled: DataFrame, url: str = "url", label: str = "blocked", rows: int = FIT_ROWS, rounds: int = 20,
+                depth: int = 4, seed: int = 42) -> UrlModel:
+    """Like `fit`; with labels of one kind or none the model is their share alone.
+
+    Suffix statistics count every labelled row.  Trees are fitted on at most about `rows` distinct URLs, chosen by a hash
+    of the URL within each label: half of them of each kind, or all of the rarer kind and more of the other.  A drawn URL
+    weighs as many rows as it has, and the URLs of a label together as many as the label has.
     """
-    known = labelled.select(F.col(url).alias("url"), F.col(label).cast("double").alias("label")).where("label is not null")
-    n = known.count()
-    if n > rows:
-        known = known.where(F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), F.lit(seed)), F.lit(n)) < rows)
-    # Suffix statistics come from one half of the rows and trees are fitted on the other, so that a host's own label
-    # does not explain itself.
-    half = F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), F.lit(seed + 1)), F.lit(2))
-    rows_ = lexical(known.withColumn("half", half), "url").persist()
-    base = rows_.agg(F.avg("label")).first()[0]
-    if base is None or base in (0.0, 1.0):
-        raise ValueError("labelled URLs of both kinds are needed")
-    per = (rows_.where("half = 0").select("label", F.explode("__suffixes").alias("suffix")).groupBy("suffix")
-           .agg(F.sum("label").alias("bad"), F.count("*").alias("n")).orderBy(F.desc("n"), "suffix").limit(FIT_SUFFIXES))
-    rates = {r["suffix"]: (r["bad"] + PRIOR * base) / (r["n"] + PRIOR) for r in per.collect()}  # at most FIT_SUFFIXES
-    train = _with_rates(rows_.where("half = 1"), rates, base).select("label", *FEATURES)
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth, seed=seed, stepSize=0.2,
-                          maxBins=64, cacheNodeIds=False).fit(VectorAssembler(
-                              inputCols=FEATURES, outputCol="features").transform(train).select("features", "label"))
-    rows_.unpersist()
+    hashed = lambda s: F.xxhash64(F.coalesce("url", F.lit("")), F.lit(s))
+    # Trees see the statistics of the half of the URLs that theirs is not in, so that a URL's own label does not explain
+    # itself.
+    urls = cut_lineage(labelled.select(F.col(url).alias("url"), F.col(label).cast("double").alias("label"))
+                       .where("label is not null").groupBy("url", "label").agg(F.count("*").alias("times"))
+                       .withColumn("half", F.pmod(hashed(seed + 1), F.lit(2))))
+    kinds = {r["label"]: (r["n"], r["times"]) for r in urls.groupBy("label").agg(
+        F.count("*").alias("n"), F.sum("times").alias("times")).collect()}  # a row per label
+    total = sum(t for _, t in kinds.values())
+    base = sum(k * t for k, (_, t) in kinds.items()) / total if total else None
+    if len(kinds) < 2:
+        return UrlModel(None, None, base)
+    rates = broadcast_if_small(suffix_rates(urls, base), SENT_SUFFIXES)
+    least = min(n for n, _ in kinds.values())
+    part = lambda k: min(kinds[k][0], max(rows // 2, rows - least))
+    taken = reduce(lambda a, b: a | b, [(F.col("label") == k) & (F.pmod(hashed(seed), F.lit(n)) < part(k))
+                                        for k, (n, _) in kinds.items()])
+    drawn = cut_lineage(_with_rates(lexical(urls.where(taken), "url"), rates, base,
+                                    F.when(F.col("half") == 0, F.col("__half1")).otherwise(F.col("__half0")))
+                        .select("label", "times", *FEATURES))
+    held = {r["label"]: r["times"] for r in drawn.groupBy("label").agg(F.sum("times").alias("times")).collect()}
+    weight = reduce(lambda e, k: e.when(F.col("label") == k, F.col("times") * (kinds[k][1] / held[k])), held, F)
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed,
+                          stepSize=0.2, maxBins=64, cacheNodeIds=False).fit(VectorAssembler(
+                              inputCols=FEATURES, outputCol="features").transform(drawn.withColumn("weight", weight))
+                              .select("features", "label", "weight"))
     return UrlModel(trees, rates, base)
 
 
 def score(df: DataFrame, model: UrlModel, url: str = "url", out: str = "score") -> DataFrame:
-    """`df` with `out`, the model's probability that a URL is to be blocked; rows are not moved."""
+    """`df` with `out`, the model's probability that a URL is to be blocked: without trees its base rate, NULL without one.
+
+    Rows are moved only if there are over SENT_SUFFIXES suffixes.
+    """
     kept = [c for c in df.columns if c.lower() != out.lower()]
-    cells = _with_rates(lexical(df.select(*kept), url), model.rates, model.base)
+    if model.trees is None:
+        return df.select(*kept, F.lit(model.base).cast("double").alias(out))
+    cells = _with_rates(lexical(df.select(*kept), url), model.rates, model.base, F.col("__all"))
     ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(cells)
     return model.trees.transform(ready).select(*kept, vector_to_array("probability")[1].alias(out))

@@ -344,3 +344,26 @@ def test_url_query(spark):
                              "block" if r.score > 0.5 else "allow")
     unruled = [r for r in rows if r.rule is None]
     assert {r.verdict for r in unruled if any(w in r.host for w in ("casino", "pills", "bets", "spam"))} <= {"block"}
+
+
+def test_rare_labels_of_a_large_table_and_one_url_in_many_rows(spark):
+    rows = [(f"http://h{i}.example.org/{i}", 0) for i in range(3_000)] + [("http://hot.example.org/", 0)] * 1_500
+    rows += [(f"http://x.tail{i}.bad/", 1) for i in range(4)]
+    df = spark.createDataFrame(rows, "url string, blocked int")
+    model = uf.fit(df, rows=200, rounds=3)
+    got = dict(map(tuple, model.rates.select("__suffix", "__all").collect()))
+    assert model.base == 4 / 4_504 and len(got) == 2 + 3_000 + 1 + 1 + 4 + 4
+    assert got["tail3.bad"] == pytest.approx((1 + uf.PRIOR * model.base) / (1 + uf.PRIOR))
+    assert got["bad"] == pytest.approx((4 + uf.PRIOR * model.base) / (4 + uf.PRIOR))
+    scored = uf.score(df, model).groupBy("blocked").agg(F.avg("score")).collect()
+    assert dict(map(tuple, scored))[1] > dict(map(tuple, scored))[0]
+
+
+@pytest.mark.parametrize("words,verdict", [([], "allow"), (["www", "h"], "block")])
+def test_url_query_without_labels_of_both_kinds(spark, monkeypatch, tmp_path, words, verdict):
+    monkeypatch.setattr(q, "UNWANTED_WORDS", words or ["none-such"])
+    rows = [(1, "http://h.www.org/1"), (2, "http://www.com/"), (3, "http://h.net/es/1"), (4, "http://www/")]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(str(tmp_path / "a" / "pages.parquet"))
+    assert {r.page_id: r.verdict for r in q.op9_urls(spark, str(tmp_path / "a")).collect()} == {1: verdict, 2: "allow", 3: "block", 4: verdict}
+    spark.createDataFrame([], "page_id long, url string").write.parquet(str(tmp_path / "b" / "pages.parquet"))
+    assert q.op9_urls(spark, str(tmp_path / "b")).count() == 0

@@ -255,6 +255,31 @@ def test_copies_of_an_article_stay_and_pages_of_any_kind_pass(spark):
     assert pt.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("per_range", [4, 1_000])
+def test_copies_do_not_take_an_unmarked_article_away(spark, monkeypatch, per_range):
+    monkeypatch.setattr(pt, "ROWS_PER_RANGE", per_range)
+    own = {n: [f"{n} line {i} of an article that is long enough to be told from its frame" for i in range(9)] for n in range(6)}
+    page = lambda lines: "".join(f"<div>{x}</div>" for x in ["top of the host", "menu", *lines, "end of the host"])
+    edited = own[2][:4] + ["2 line 4 has been edited"] + own[2][5:]
+    rows = [(n, f"http://h.example/{n}", page(own[n])) for n in own]  # the frame is shared by all
+    rows += [(100 + i, "http://h.example/1", page(own[1])) for i in range(30)]  # one URL crawled again and again
+    rows += [(200, "http://h.example/2/edited", page(edited)), (201, "http://h.example/4/copy", page(own[4]))]
+    rows += [(300, "http://twins.example/a", page(own[0])), (301, "http://twins.example/b", page(own[0]))]  # copies only
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in pt.extract(df).collect()}
+    want = {n: own[n] for n in own} | {100 + i: own[1] for i in range(30)} | {200: edited, 201: own[4]}
+    want |= {k: ["top of the host", "menu", *own[0], "end of the host"] for k in (300, 301)}
+    assert got == {k: "\n".join(v) for k, v in want.items()}
+
+
+def test_a_short_article_element_leaves_a_longer_unmarked_body(spark):
+    body = [f"sentence {i} of the body" for i in range(5)]
+    page = "<article><p>Read this too</p></article>" + "".join(f"<div>{x}</div>" for x in body)
+    lines = pt.text_lines(page)
+    assert pt.article([k for k, _ in lines], [t for _, t in lines], None)[0] == "\n".join(["Read this too", *body])
+    assert pt.article([k for k, _ in lines], [t for _, t in lines], body)[0] == "Read this too"
+
+
 def test_articles_of_the_test_tables(spark):
     import html
     import re

@@ -34,7 +34,7 @@ from ledgerlens.session import cut_lineage
 
 BLOCK = 500  # items searched together, and characters of them
 BLOCK_CHARS = 50_000
-SVD_TASKS = 4  # the matrix is small; each task sends terms x rank numbers to the driver
+SVD_TASKS = 2  # the matrix is small; each task sends terms x rank numbers to the driver
 WIDTH = 16  # words of a passage; less if the shortest item has fewer
 EXTRA = 16  # more random directions than the rank
 POWERS = 2  # further products with the matrix, for separated directions

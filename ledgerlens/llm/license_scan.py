@@ -1,11 +1,16 @@
 """License scan by canonical digest: DataFrame functions only.
 
 A text is brought to a canonical form (lower case, copyright lines removed, equivalent spellings, punctuation and white
-space as single spaces) and its whole form is looked up by digest among the known licenses.
+space as single spaces) and its whole form is looked up by digest among the known licenses.  A license or notice inside
+a longer text is not reported.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Spellings that mean the same, as whole words after lower-casing.
@@ -23,8 +28,43 @@ SPELLINGS = [
     ("utilisation", "utilization"), ("whilst", "while"), ("wilfull", "wilful"), ("per cent", "percent"),
     ("copyright owners", "copyright holders"), ("noncommercial", "non commercial"),
 ]
-# Short licenses and license notices, as published.
-KNOWN = {
+
+
+class Licenses(dict):
+    """Texts by SPDX id (or name of a notice).  `items` gives each license once per form in which it is published."""
+
+    def items(self) -> list[tuple[str, str]]:
+        return [(name, form) for name, text in super().items() for form in dict.fromkeys(forms(name, text))]
+
+
+def forms(name: str, text: str) -> Iterator[str]:
+    """The text with and without a title, list numbers, appendix and filled-in owner, and with either kind of link."""
+    bodies = [text]
+    if name.startswith("BSD-"):
+        bodies.append(re.sub(r"(?m)^ *[0-9]\. ", "* ", text))
+    if name == "ISC":
+        bodies.append(text.replace("and/or distribute", "and distribute"))
+    if END in text:
+        head = text[:text.index(END)]
+        bodies += [head, head + END]
+    bodies += [b.replace(OWNER, "Copyright 2000 owner") for b in bodies if OWNER in b]
+    bodies += [b.replace("http:", "https:") for b in bodies] + [b.replace("https:", "http:") for b in bodies]
+    for body in bodies:
+        yield body
+        yield from (f"{title}\n\n{body}" for title in TITLES.get(name, ()))
+
+
+# Titles above license texts that are also published without one, the end of a license that an appendix
+# follows, and a line that the appendix leaves to be filled in.
+TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"], "ISC": ["ISC License", "The ISC License"],
+          "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+          "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+          "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'],
+          "Zlib": ["zlib License", "The zlib License"], "Unlicense": ["The Unlicense"]}
+END = "END OF TERMS AND CONDITIONS"
+OWNER = "Copyright [yyyy] [name of copyright owner]"
+# Short licenses and license notices, as published; longer ones are files named by SPDX id.
+KNOWN = Licenses({
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
 use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
@@ -54,7 +94,7 @@ NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE US
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-}
+} | {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))})
 # A line that names a year or mark of copyright; a wrapped sentence that begins with the word is no such line.
 COPYRIGHT_LINE = (r"(?m)^[^\p{L}\p{N}\n©]*(copyright[ \t]+(\(c\)|©|[0-9]{4})|©|\(c\)[ \t]+[0-9]{4}"
                   r"|all rights reserved[^\p{L}\p{N}\n]*$)[^\n]*$")
@@ -77,7 +117,8 @@ def digest(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN.items()), "license string, text string")
+    """(license, text): every form of the licenses of this module."""
+    return spark.createDataFrame(KNOWN.items(), "license string, text string")
 
 
 def scan(df: DataFrame, licenses: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

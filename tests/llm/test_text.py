@@ -302,6 +302,21 @@ def test_spellings_and_marks_of_a_license_do_not_matter(spark):
     assert [found[i] for i in range(len(forms))] == [None, *["MIT"] * 5, None, "CC-BY-NC-4.0 notice", "GPL-3.0 notice", None, None, None]
 
 
+def test_published_license_files_are_known(spark):
+    line, apache = "Copyright (c) 2020 X\n\n", ls.KNOWN["Apache-2.0"]
+    cases = [("MIT License\n\n" + line + ls.KNOWN["MIT"], "MIT"), ("The MIT License (MIT)\n" + line + ls.KNOWN["MIT"], "MIT"),
+             ("ISC License\n\n" + line + ls.KNOWN["ISC"], "ISC"), ("BSD Zero Clause License\n\n" + line + ls.KNOWN["0BSD"], "0BSD"),
+             ("BSD 3-Clause License\n\n" + line + "All rights reserved.\n" + ls.KNOWN["BSD-3-Clause"], "BSD-3-Clause"),
+             (line + ls.KNOWN["BSD-2-Clause"].replace("1.", "*").replace("2. R", "* R"), "BSD-2-Clause"),
+             (ls.KNOWN["Unlicense"].replace("http:", "https:"), "Unlicense"), ("zlib License\n" + line + ls.KNOWN["Zlib"], "Zlib"),
+             (apache, "Apache-2.0"), (apache[:apache.index("APPENDIX")], "Apache-2.0"),
+             (apache.replace("[yyyy] [name of copyright owner]", "2021 Some One"), "Apache-2.0"),
+             *[(ls.KNOWN[n], n) for n in ("MPL-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "CC0-1.0")],
+             ("A text that holds a license line.\n" + ls.KNOWN["MIT notice"], None)]
+    found = {r.doc_id: r.license for r in ls.scan(frame(spark, [(i, t) for i, (t, _) in enumerate(cases)]), ls.known_licenses(spark)).collect()}
+    assert [found[i] for i in range(len(cases))] == [n for _, n in cases]
+
+
 def test_scan_of_no_rows_repeated_rows_and_no_licenses(spark):
     known = ls.known_licenses(spark)
     assert ls.scan(frame(spark, []), known).count() == 0

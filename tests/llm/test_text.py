@@ -272,6 +272,13 @@ def test_copies_do_not_take_an_unmarked_article_away(spark, monkeypatch, per_ran
     assert got == {k: "\n".join(v) for k, v in want.items()}
 
 
+def test_one_url_in_many_rows_is_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(pt, "ROWS_PER_RANGE", 10)
+    light = spark.createDataFrame([("", "", i) for i in range(200)] + [("", "", None)], "host string, path string, key long")
+    bounds = pt._bounds(light)
+    assert len(bounds) >= 10 and {b[:2] for b in bounds} == {("", "")}
+
+
 def test_a_short_article_element_leaves_a_longer_unmarked_body(spark):
     body = [f"sentence {i} of the body" for i in range(5)]
     page = "<article><p>Read this too</p></article>" + "".join(f"<div>{x}</div>" for x in body)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerlens.llm import bpe, decontaminate as dc, language_id as li, license_scan as ls, minhash as mh, page_text as pt
+from ledgerlens.llm import bpe, chat_windows as cw, decontaminate as dc, language_id as li, license_scan as ls, minhash as mh, page_text as pt
 from ledgerlens.llm import simhash as sh, token_counts as tc, token_files as tf, url_filter as uf
 from ledgerlens.llm.common import table
 from ledgerlens.llm.ordered import range_bounds
@@ -91,6 +91,28 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# Fixed value: the conversation that the query adds to the table.
+ADDED_CONVERSATION, ADDED_TEXT = -7, "</s>[INST] ok [/INST]"
+
+
+def op11_chat(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(ADDED_CONVERSATION, 0, "user", ADDED_TEXT), (ADDED_CONVERSATION, 1, "assistant", ADDED_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    read = cw.read_back(cw.windows(rows.unionByName(added)))
+    lines = F.array_join(F.transform("said", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    told = read.select("conv_id", F.struct("first", F.size("said").alias("n"), lines.alias("lines"), F.array_join("learned", "").alias("learned"),
+                                           F.char_length("text").cast("long").alias("chars")).alias("window"))
+    # the digest of a conversation needs its whole text in one row; the windows themselves never do
+    whole = told.groupBy("conv_id").agg(F.sort_array(F.collect_list("window")).alias("w"), F.sum("window.n").alias("n_turns"),
+                                        F.sum("window.chars").alias("formatted_chars"))
+    whole = whole.select("conv_id", "n_turns", "formatted_chars", F.array_join("w.lines", "").alias("lines"),
+                         F.array_join("w.learned", "").alias("learned"))
+    return whole.select("conv_id", "n_turns", F.sha2(F.encode("lines", "UTF-8"), 256).alias("turns_sha256"),
+                        F.char_length("learned").cast("long").alias("loss_chars"),
+                        F.sha2(F.encode("learned", "UTF-8"), 256).alias("loss_sha256"), "formatted_chars")
+
+
 def _license_sql() -> str:
     """The scan in SQL: the same canonical form by nested string functions, and a left join on its digest."""
     def canonical(text: str) -> str:
@@ -109,7 +131,46 @@ def _license_sql() -> str:
                select doc_id, digest, license from docs left join known using (digest)"""
 
 
+def _chat_sql() -> str:
+    """The windows by prefix sums and a recursive walk from each window's first turn to the next one's."""
+    rest = r"\|im_start\|>|\|im_sep\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>"
+    piece = r"\p{L}{1,4}|\p{N}{1,3}|[^\p{L}\p{N} \t\r\n\f]"
+
+    def safe(text: str) -> str:
+        return rf"regexp_replace({text}, '([<\[])(\\*)({rest})', '\1\\\2\3', 'g')"
+
+    return f"""with recursive
+      given as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+                union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+      safe as (select *, {safe('role')} as head, {safe('text')} as body,
+                      row_number() over (partition by conv_id order by turn, role, text) - 1 as i from given),
+      told as (select *, len(regexp_extract_all(head, '{piece}')) + len(regexp_extract_all(body, '{piece}')) + 3 as tokens,
+                      32 + length(head) + length(body) as chars from safe),
+      head as (select conv_id, max(tokens) as tokens, max(chars) as chars from told where i = 0 and role = 'system' group by 1),
+      sums as (select t.conv_id, t.i, t.chars, 1024 - coalesce(h.tokens, 0) as spare, sum(t.tokens) over w as until,
+                      (sum(t.tokens) over w) - t.tokens as before
+               from told t left join head h using (conv_id) where not (t.i = 0 and t.role = 'system')
+               window w as (partition by t.conv_id order by t.i)),
+      opened as (select a.conv_id, a.i, a.spare, coalesce(min(f.i) filter (a.until - f.before <= a.spare), a.i) as told
+                 from sums a join sums f on f.conv_id = a.conv_id and f.i between a.i - 2 and a.i group by all),
+      bound as (select o.conv_id, o.i, o.told, f.before + o.spare as most
+                from opened o join sums f on f.conv_id = o.conv_id and f.i = o.told),
+      follow as (select b.conv_id, b.i, b.told, min(s.i) as next from bound b left join sums s
+                 on s.conv_id = b.conv_id and s.i > b.i and (s.until > b.most or s.i % 1024 = 0) group by all),
+      walk as (select conv_id, min(i) as i from sums group by 1
+               union all select w.conv_id, f.next from walk w join follow f on f.conv_id = w.conv_id and f.i = w.i where f.next is not null),
+      size as (select w.conv_id, w.i, max(coalesce(h.chars, 0)) + sum(s.chars) as chars
+               from walk w join follow f on f.conv_id = w.conv_id and f.i = w.i left join head h on h.conv_id = w.conv_id
+               join sums s on s.conv_id = w.conv_id and s.i >= f.told and (f.next is null or s.i < f.next) group by 1, 2),
+      total as (select conv_id, sum(chars) as chars from size group by 1),
+      whole as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by i) as lines,
+                       coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '') as learned from told group by 1)
+      select w.conv_id, n_turns, sha256(lines) as turns_sha256, length(learned) as loss_chars, sha256(learned) as loss_sha256,
+             cast(coalesce(t.chars, h.chars) as bigint) as formatted_chars
+      from whole w left join total t using (conv_id) left join head h using (conv_id)"""
+
+
 QUERIES = {"op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op3_page_text": op3_page_text,
            "op4_token_files": op4_token_files, "op5_language": op5_language, "op6_token_counts": op6_token_counts,
-           "op7_minhash": op7_minhash, "op8_licenses": op8_licenses, "op9_urls": op9_urls, "op10_simhash": op10_simhash}
-ORACLE: dict[str, str] = {"op8_licenses": _license_sql()}
+           "op7_minhash": op7_minhash, "op8_licenses": op8_licenses, "op9_urls": op9_urls, "op10_simhash": op10_simhash, "op11_chat": op11_chat}
+ORACLE: dict[str, str] = {"op8_licenses": _license_sql(), "op11_chat": _chat_sql()}

@@ -151,8 +151,8 @@ def _chat_sql() -> str:
                       (sum(t.tokens) over w) - t.tokens as before
                from told t left join head h using (conv_id) where not (t.i = 0 and t.role = 'system')
                window w as (partition by t.conv_id order by t.i)),
-      opened as (select a.conv_id, a.i, a.spare, coalesce(min(f.i) filter (a.until - f.before <= a.spare), a.i) as told
-                 from sums a join sums f on f.conv_id = a.conv_id and f.i between a.i - 2 and a.i group by all),
+      opened as (select a.conv_id, a.i, a.spare, coalesce(min(f.i) filter (a.until - f.before <= a.spare), max(a.i)) as told
+                 from sums a join sums f on f.conv_id = a.conv_id and f.i between a.i - 2 and a.i group by a.conv_id, a.i, a.spare),
       bound as (select o.conv_id, o.i, o.told, f.before + o.spare as most
                 from opened o join sums f on f.conv_id = o.conv_id and f.i = o.told),
       follow as (select b.conv_id, b.i, b.told, min(s.i) as next from bound b left join sums s

@@ -10,7 +10,7 @@ from operator import is_
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 BATCH_BYTES = 16 << 20  # an output batch is handed on once it holds this much
@@ -56,7 +56,7 @@ def _batch(columns: list[list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of at most `limit` bytes in one column (a single row may be longer)."""
     start, held = 0, 0
     for i, cell in enumerate(batch.column(column)):
@@ -114,28 +114,42 @@ def runs(cells: list, lengths: Iterable[int]) -> Iterator[list]:
         start += n
 
 
-def add_columns(df: DataFrame, column: str, added: str, make: Callable[[], Callable[[list], list]],
-                limit: int = 2 << 20) -> DataFrame:
+def add_columns(df: DataFrame, column: str, added: str, make: Callable[[], Callable[[Any], list]], limit: int = 2 << 20,
+                keep: list[str] | None = None, arrow: bool = False) -> DataFrame:
     """Append columns computed from one string or binary column, about `limit` bytes of it at a time.
 
-    `make` is called once per task and returns a function from a list of cells to one list or array per new column.
+    `make` is called once per task and returns a function from a list of cells (an Arrow array if `arrow`) to one list
+    or array per new column.  `keep` names the columns of `df` that come back, by default all; the others are not sent
+    to the task, and the column that is read is sent once.
     """
     short_batches(df.sparkSession)
-    kept, schema = replaced(df, added)
+    if keep is not None:
+        kept, schema = replaced(df.select(*map(quoted, keep)), added)
+    else:
+        kept, schema = replaced(df, added)
     new = pa.schema([f for f in _arrow(schema)][len(kept):])
+    place = next((i for i, c in enumerate(kept) if c.lower() == column.lower()), len(kept))
+    sent = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(kept)]  # by place, so that no two names clash
+    if place == len(kept):
+        sent.append(F.col(quoted(column)).alias(f"c{place}"))
+    width = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for whole in batches:
-            for batch in slices(whole, "__cell", limit):
-                out = work(batch.column("__cell").to_pylist())
-                arrays = [batch.column(c) for c in range(batch.num_columns - 1)]
-                arrays += [pa.array(c, f.type) for c, f in zip(out, new)]
+            for batch in slices(whole, place, limit):
+                cells = batch.column(place)
+                out = work(cells if arrow else cells.to_pylist())
+                arrays = [batch.column(c) for c in range(width)]
+                arrays += [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(out, new)]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
             pa.default_memory_pool().release_unused()  # what a large batch took is not kept for the next one
 
-    quoted = [f"`{c.replace('`', '``')}`" for c in kept]
-    return df.selectExpr(*quoted, f"`{column}` as __cell").mapInArrow(run, schema)
+    return df.select(*sent).mapInArrow(run, schema)
+
+
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
 def _arrow(schema: StructType) -> pa.Schema:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerlens.llm import bpe, chat_windows as cw, decontaminate as dc, language_id as li, license_scan as ls, minhash as mh, page_text as pt
+from ledgerlens.llm import bpe, chat_windows as cw, decontaminate as dc, language_id as li, license_scan as ls, minhash as mh, page_text as pt, period_runs as pr
 from ledgerlens.llm import simhash as sh, token_counts as tc, token_files as tf, url_filter as uf
 from ledgerlens.llm.common import table
 from ledgerlens.llm.ordered import range_bounds
@@ -113,6 +113,32 @@ def op11_chat(spark: SparkSession, sf: str) -> DataFrame:
                         F.sha2(F.encode("learned", "UTF-8"), 256).alias("loss_sha256"), "formatted_chars")
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, by a digest of the id, the words from one on repeat a period."""
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", digest.alias("h"), F.floor(digest / 10).alias("g"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, F.filter(
+        F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")))
+    rows = rows.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    moved = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get(F.col("words"), F.when(
+        i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i).cast("int")))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = with_periodic_tails(table(spark, sf, "documents").select("doc_id", "text"))
+    found = pr.periodic_runs(docs, keep=["doc_id"])
+    first = F.reduce("runs", F.lit(None).cast("struct<start: long, length: long, period: long>"), lambda best, x: F.when(
+        best["length"] >= x["length"], best).otherwise(x))  # runs are by start and period
+    lines = F.array_join(F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"])), "\n")
+    return found.withColumn("top", first).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+        F.sha2(F.encode(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit("")), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
 def _license_sql() -> str:
     """The scan in SQL: the same canonical form by nested string functions, and a left join on its digest."""
     def canonical(text: str) -> str:
@@ -172,5 +198,5 @@ def _chat_sql() -> str:
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op3_page_text": op3_page_text,
            "op4_token_files": op4_token_files, "op5_language": op5_language, "op6_token_counts": op6_token_counts,
-           "op7_minhash": op7_minhash, "op8_licenses": op8_licenses, "op9_urls": op9_urls, "op10_simhash": op10_simhash, "op11_chat": op11_chat}
+           "op7_minhash": op7_minhash, "op8_licenses": op8_licenses, "op9_urls": op9_urls, "op10_simhash": op10_simhash, "op11_chat": op11_chat, "op12_runs": op12_runs}
 ORACLE: dict[str, str] = {"op8_licenses": _license_sql(), "op11_chat": _chat_sql()}

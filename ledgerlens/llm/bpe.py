@@ -188,7 +188,7 @@ class Codec:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, longest_first))) if longest_first else None
         self.pre_tokens = Known(self._merged)
-        self.pieces = Known(self._pieces)
+        self.pieces = Known(self.pieces_of)
 
     def _merged(self, words: list[str]) -> list[bytes]:
         """Packed ids of distinct pre-tokens."""
@@ -212,13 +212,13 @@ class Codec:
                     out[n], begin = packed[begin:end], end
         return out
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def plain(self, texts: list[str]) -> list[bytes]:
         """Packed ids of texts that are split by the pattern alone."""
         words = list(map(self.words, texts))
         found = self.pre_tokens.lookup(list(chain.from_iterable(words)))
         return list(map(b"".join, runs(found, map(len, words))))
 
-    def _pieces(self, parts: list[str]) -> list[bytes | bool]:
+    def pieces_of(self, parts: list[str]) -> list[bytes | bool]:
         """Packed ids of parts that follow a space; False where a run of white space goes on into the part."""
         out: list[bytes | bool] = [False] * len(parts)
         whole, ended, mixed = [], [], []
@@ -235,20 +235,20 @@ class Codec:
             out[n] = core + mark
         for n, packed in zip(whole, self._merged([" " + parts[n] for n in whole])):
             out[n] = packed
-        for n, packed in zip(mixed, self._plain([" " + parts[n] for n in mixed])):
+        for n, packed in zip(mixed, self.plain([" " + parts[n] for n in mixed])):
             out[n] = packed
         return out
 
     def _segments(self, texts: list[str]) -> list[bytes]:
         """Packed ids of texts without special strings."""
         parts = [t.split(" ") for t in texts]
-        firsts = self._plain([p[0] for p in parts])
+        firsts = self.plain([p[0] for p in parts])
         found = self.pieces.lookup(list(chain.from_iterable(p[1:] for p in parts)))
         out: list[bytes | None] = []
         for first, rest in zip(firsts, runs(found, (len(p) - 1 for p in parts))):
             out.append(None if False in rest else first + b"".join(rest))
         odd = [n for n, x in enumerate(out) if x is None]
-        for n, packed in zip(odd, self._plain([texts[n] for n in odd])):
+        for n, packed in zip(odd, self.plain([texts[n] for n in odd])):
             out[n] = packed
         return out
 

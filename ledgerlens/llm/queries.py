@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerlens.llm import bpe, chat_windows as cw, decontaminate as dc, language_id as li, license_scan as ls, minhash as mh, page_text as pt, period_runs as pr
-from ledgerlens.llm import simhash as sh, token_counts as tc, token_files as tf, url_filter as uf
+from ledgerlens.llm import simhash as sh, token_alignment as ta, token_counts as tc, token_files as tf
+from ledgerlens.llm import url_filter as uf
 from ledgerlens.llm.common import table
 from ledgerlens.llm.ordered import range_bounds
-from ledgerlens.session import scratch_path
+from ledgerlens.session import cut_lineage, scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -139,6 +140,16 @@ def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
 
 
+def op13_align(spark: SparkSession, sf: str) -> DataFrame:
+    with open(PIECE_BPE, "rb") as file:
+        model = file.read()
+    aligned = ta.align(table(spark, sf, "documents"), bpe.vocabulary(BYTE_BPE), model, keep=["doc_id"])
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.encode("groups", "UTF-8"), 256)).otherwise(F.lit(""))
+    stored = cut_lineage(aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "pairs", "times"))
+    counts = cut_lineage(ta.pair_counts(stored, ta.vocabulary_size(model)))
+    return ta.with_link_totals(stored, counts)
+
+
 def _license_sql() -> str:
     """The scan in SQL: the same canonical form by nested string functions, and a left join on its digest."""
     def canonical(text: str) -> str:
@@ -198,5 +209,5 @@ def _chat_sql() -> str:
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_decontaminate": op2_decontaminate, "op3_page_text": op3_page_text,
            "op4_token_files": op4_token_files, "op5_language": op5_language, "op6_token_counts": op6_token_counts,
-           "op7_minhash": op7_minhash, "op8_licenses": op8_licenses, "op9_urls": op9_urls, "op10_simhash": op10_simhash, "op11_chat": op11_chat, "op12_runs": op12_runs}
+           "op7_minhash": op7_minhash, "op8_licenses": op8_licenses, "op9_urls": op9_urls, "op10_simhash": op10_simhash, "op11_chat": op11_chat, "op12_runs": op12_runs, "op13_align": op13_align}
 ORACLE: dict[str, str] = {"op8_licenses": _license_sql(), "op11_chat": _chat_sql()}

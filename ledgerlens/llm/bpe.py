@@ -299,8 +299,11 @@ def decode(df: DataFrame, definition: str, ids: str = "ids", text: str = "decode
 
 
 def encode_and_decode(df: DataFrame, definition: str, text: str = "text", ids: str = "ids",
-                      decoded: str = "decoded") -> DataFrame:
-    """`encode` and `decode` one after the other in the same task, for a check of the round trip."""
+                      decoded: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """`encode` and `decode` one after the other in the same task, for a check of the round trip.
+
+    `keep` names the columns of `df` that come back, by default all.
+    """
     def make():
         codec = _codec(definition)
 
@@ -308,7 +311,7 @@ def encode_and_decode(df: DataFrame, definition: str, text: str = "text", ids: s
             packed = codec.encode(cells)
             return [packed, codec.decode(packed)]
         return work
-    return add_columns(df, text, f"`{ids}` binary, `{decoded}` string", make)
+    return add_columns(df, text, f"`{ids}` binary, `{decoded}` string", make, keep=keep)
 
 
 def _task(definition: str, way: str) -> Callable:

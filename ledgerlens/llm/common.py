@@ -29,11 +29,30 @@ def short_batches(spark: SparkSession) -> None:
 
 
 def worker_state(key: str, make: Callable[[], Any]) -> Any:
-    """One object per Python worker and key, kept from task to task (parsed vocabularies, bounded caches)."""
-    store = vars(sys.modules.setdefault("_text_worker_state", types.ModuleType("_text_worker_state")))
+    """One object per Python worker and key, kept from task to task (parsed vocabularies, bounded caches) until a task of
+    `add_columns` runs that does not ask for it."""
+    store = _held()
     if key not in store:
-        store[key] = make()
-    return store[key]
+        store[key] = [make(), False]
+    store[key][1] = True
+    return store[key][0]
+
+
+def _held() -> dict[str, list]:
+    """By key: the object, and whether the present task has asked for it."""
+    module = sys.modules.setdefault("_text_worker_state", types.ModuleType("_text_worker_state"))
+    return vars(module).setdefault("held", {})
+
+
+def _only_asked_for(make: Callable[[], Any]) -> Any:
+    """What `make` gives; what earlier tasks kept and it does not ask for is let go."""
+    store = _held()
+    for entry in store.values():
+        entry[1] = False
+    made = make()
+    for key in [k for k, (_, asked) in store.items() if not asked]:
+        del store[key]
+    return made
 
 
 def batches_of(rows: Iterable[tuple], schema: pa.Schema, size: Callable[[tuple], int], limit: int = BATCH_BYTES,
@@ -135,7 +154,7 @@ def add_columns(df: DataFrame, column: str, added: str, make: Callable[[], Calla
     width = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        work = _only_asked_for(make)
         for whole in batches:
             for batch in slices(whole, place, limit):
                 cells = batch.column(place)

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.llm.common import BATCH_BYTES, add_columns, slices
+from ledgerlens.llm.common import BATCH_BYTES, add_columns, slices, worker_state
 
 DIMENSIONS = 4_096
 FIT_ROWS = 2_000  # sampled texts over all languages; each gives one vector of DIMENSIONS floats
@@ -42,7 +42,8 @@ def family_of(language: str) -> str:
 
 
 def _letters() -> np.ndarray:
-    return np.array([chr(i).isalpha() for i in range(0x10000)])
+    """Whether each code point is a letter."""
+    return worker_state("letters", lambda: np.array([chr(i).isalpha() for i in range(0x110000)]))
 
 
 def trigram_counts(texts: list[str | None], letters: np.ndarray) -> np.ndarray:
@@ -56,7 +57,7 @@ def trigram_counts(texts: list[str | None], letters: np.ndarray) -> np.ndarray:
         first = max(0, start - 2)  # two characters again, so that no trigram is lost between blocks
         block = points[first:start + BLOCK].astype(np.int64)
         row = np.searchsorted(ends, np.arange(first, first + len(block)), side="right")
-        block[~((block > 0xFFFF) | letters[np.minimum(block, 0xFFFF)])] = 32
+        block[~letters[block]] = 32
         a, b, c = block[:-2], block[1:-1], block[2:]
         word = (b != 32) & (row[:-2] == row[2:])  # a trigram is named by its middle, which is a letter
         hashed = ((a * 0x9E3779B1 + b * 0x85EBCA6B + c * 0xC2B2AE35) >> 7) % DIMENSIONS
@@ -189,12 +190,12 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language:
     return fit_model([p[0] for p in pairs], np.stack([np.frombuffer(p[1], "<f4") for p in pairs]))
 
 
-def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+def predict(df: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """`df` with `lang_pred` and `score` (0 to 1) of each whole text; `und` and 0 for NULL or a text without a letter.
 
-    Rows are not moved; input columns with these names are replaced.
+    Rows are not moved; input columns with these names are replaced.  `keep` names the columns of `df` that come back.
     """
-    return add_columns(df, text, "lang_pred string, score double", _predictor(model))
+    return add_columns(df, text, "lang_pred string, score double", _predictor(model), keep=keep)
 
 
 def _predictor(model: LanguageModel) -> Callable:

@@ -19,7 +19,7 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return bpe.encode_and_decode(docs, bpe.vocabulary(BYTE_BPE)).select(
+    return bpe.encode_and_decode(docs, bpe.vocabulary(BYTE_BPE), keep=["doc_id"]).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
@@ -36,7 +36,8 @@ def op3_page_text(spark: SparkSession, sf: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    tf.write(tf.encode(docs, bpe.vocabulary(WORD_BPE), end_id=2), folder, width=2, bounds=range_bounds(docs, "doc_id"))
+    encoded = tf.encode(docs, bpe.vocabulary(WORD_BPE), end_id=2, width=2, keep=["doc_id"])
+    tf.write(encoded, folder, width=2, bounds=range_bounds(docs, "doc_id"), packed_width=2)
     return tf.with_crc(tf.read(spark, folder)).select(
         F.col("key").alias("doc_id"), "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids_crc32")
 
@@ -44,7 +45,7 @@ def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", li.held_out(F.col("doc_id")).alias("held_out"))
     model = li.fit(docs.where("not held_out"))
-    return li.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return li.predict(docs, model, keep=["doc_id", "held_out"])
 
 
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,8 +3,8 @@
 A folder holds, for each part k (a range of keys in ascending order):
   part-k.ids      the ids of its documents one after another, unsigned 16 or 32 bit little-endian
   part-k.offsets  documents + 1 unsigned 64-bit offsets into part-k.ids, counted in ids
-  part-k.keys     one signed 64-bit key per document (the lowest long for a NULL key)
-  index.json      id width, and for each part its documents and `base`, the ids of all parts before it (a prefix sum)
+  part-k.keys     one signed 64-bit key per document (0 for a NULL key; these come first)
+  index.json      id width, and for each part its documents, those of them without a key, and `base`, the ids of all parts before it (a prefix sum)
 A document starts at base + offset.  Files are written under another name and renamed, so a task that runs twice leaves
 one file.  The folder must be a mounted file system that all executors share, since reading maps files into memory.
 """
@@ -14,18 +14,16 @@ from __future__ import annotations
 import json
 import os
 import uuid
-import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm.common import Known, add_columns, batches_of, runs, worker_state
+from ledgerlens.llm.common import Known, add_columns, batches_of, worker_state
 from ledgerlens.llm.ordered import range_bounds, range_of
 
-NULL_KEY = -(1 << 63)
 # Fixed value: the split pattern of vocabularies that are encoded by pieces.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -87,26 +85,44 @@ class Words:
             out[n] = packed
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if not self.by_piece:
-            return self._any([t or "" for t in texts])
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        return list(map(b"".join, runs(self.pieces.lookup(list(chain.from_iterable(parts))), map(len, parts))))
-
-
-def encode(df: DataFrame, definition: str, text: str = "text", ids: str = "ids", end_id: int | None = None) -> DataFrame:
-    """`df` with `ids`: packed little-endian 32-bit ids of each whole text by the tokenizers library, then `end_id`.
-
-    NULL is encoded like an empty text.  Other columns pass; an input column named like `ids` is replaced.
+    def encode(self, texts: pa.Array, end: list[int] = (), kind: str = "<u4") -> pa.Array:
+        """Packed ids of each text, with `end` behind them.  Each distinct piece of the batch is looked up once."""
+        texts = pc.fill_null(texts, "")
+        if self.by_piece:
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            coded, bounds = lists.flatten().dictionary_encode(), lists.offsets.to_numpy().astype(np.int64)
+            codes, packed = coded.indices.to_numpy(), self.pieces.lookup(coded.dictionary.to_pylist())
+        else:
+            codes, bounds, packed = np.arange(len(texts)), np.arange(len(texts) + 1), self._any(texts.to_pylist())
+        codes = np.insert(codes, bounds[1:], len(packed))  # the end is one more piece
+        packed = [*packed, np.array(end, "<u4").tobytes()]
+        bounds += np.arange(len(bounds))
+        sizes = np.array(list(map(len, packed)), np.int64) // 4
+        starts, each = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        ends = np.cumsum(each)
+        ids = np.frombuffer(b"".join(packed), "<u4")[np.repeat(starts - (ends - each), each) + np.arange(each.sum())]
+        if len(ids) and int(ids.max()) > np.iinfo(np.dtype(kind)).max:
+            raise ValueError(f"id {ids.max()} needs more than {np.dtype(kind).itemsize} bytes")
+        ids = ids.astype(kind)
+        offsets = np.concatenate([[0], ends])[bounds] * ids.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).cast(pa.binary())
+
+
+def encode(df: DataFrame, definition: str, text: str = "text", ids: str = "ids", end_id: int | None = None, width: int = 4,
+           keep: list[str] | None = None) -> DataFrame:
+    """`df` with `ids`: packed little-endian ids of `width` bytes of each whole text by the tokenizers library, then `end_id`.
+
+    NULL is encoded like an empty text; an id that does not fit is an error.  Other columns pass, or those named in
+    `keep`; an input column named like `ids` is replaced.
     """
-    end, suffix = b"" if end_id is None else int(end_id).to_bytes(4, "little"), word_suffix(definition)
+    end, suffix = [] if end_id is None else [int(end_id)], word_suffix(definition)
 
     def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words = worker_state(f"tokenizer {hash(definition)}", lambda: Words(definition, suffix))
-        return lambda cells: [[packed + end for packed in words.encode(cells)]]
+        return lambda cells: [words.encode(cells, end, f"<u{width}")]
 
-    return add_columns(df, text, f"`{ids}` binary", make)
+    return add_columns(df, text, f"`{ids}` binary", make, keep=keep, arrow=True)
 
 
 def word_suffix(definition: str) -> str | None:
@@ -131,8 +147,8 @@ def local_folder(folder: str) -> str:
 
 
 def write(df: DataFrame, folder: str, key: str = "doc_id", ids: str = "ids", width: int = 4,
-          bounds: list[int] | None = None) -> dict:
-    """Write packed 32-bit ids in ascending key order and return the index.
+          bounds: list[int] | None = None, packed_width: int = 4) -> dict:
+    """Write packed ids (`packed_width` bytes each) in ascending key order and return the index.
 
     `bounds` cut the keys into ranges; without them `df` is run once more to draw some, so give those of the documents
     (`range_bounds`) where `df` encodes as it goes.  Rows move once, to a task per range of keys.  Rows with equal keys are in order of their ids; a NULL key is first.
@@ -144,7 +160,7 @@ def write(df: DataFrame, folder: str, key: str = "doc_id", ids: str = "ids", wid
                      F.coalesce(F.col(ids), F.lit(b"")).alias("ids"))
     parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     ordered = rows.repartition(max(int(parts), 1), "part").sortWithinPartitions("part", "key", "ids")
-    summary = pa.schema([("part", pa.int32()), ("documents", pa.int64()), ("tokens", pa.int64())])
+    summary = pa.schema([("part", pa.int32()), ("documents", pa.int64()), ("nulls", pa.int64()), ("tokens", pa.int64())])
     kind, kind_name = np.dtype(f"<u{width}"), f"u{width}"
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,15 +173,15 @@ def write(df: DataFrame, folder: str, key: str = "doc_id", ids: str = "ids", wid
                 if now is None or now.number != number:
                     if now is not None:
                         yield now.close()
-                    now = _Part(target, number, kind, summary)
+                    now = _Part(target, number, kind, f"<u{packed_width}", summary)
                 now.add(keys[n], packed[n].as_buffer())
         if now is not None:
             yield now.close()
 
-    found = sorted(tuple(r) for r in ordered.mapInArrow(save, "part int, documents long, tokens long").collect())
+    found = sorted(tuple(r) for r in ordered.mapInArrow(save, "part int, documents long, nulls long, tokens long").collect())
     index, base = {"ids": kind_name, "parts": []}, 0
-    for number, documents, tokens in found:  # one row per part: at most MOST_RANGES
-        index["parts"].append({"part": number, "documents": documents, "tokens": tokens, "base": base})
+    for number, documents, nulls, tokens in found:  # one row per part: at most MOST_RANGES
+        index["parts"].append({"part": number, "documents": documents, "nulls": nulls, "tokens": tokens, "base": base})
         base += tokens
     os.makedirs(target, exist_ok=True)
     temporary = f"{target}/index.{uuid.uuid4().hex}"
@@ -178,29 +194,30 @@ def write(df: DataFrame, folder: str, key: str = "doc_id", ids: str = "ids", wid
 class _Part:
     """The three files of one part, while they are written."""
 
-    def __init__(self, folder: str, number: int, kind: np.dtype, summary: pa.Schema):
-        self.number, self.kind, self.summary = number, kind, summary
+    def __init__(self, folder: str, number: int, kind: np.dtype, given: str, summary: pa.Schema):
+        self.number, self.kind, self.given, self.summary = number, kind, given, summary
         self.final = f"{folder}/part-{number:05d}"
         self.temporary = f"{self.final}.{uuid.uuid4().hex}"
         self.files = {name: open(f"{self.temporary}.{name}", "wb", 1 << 20) for name in ("ids", "offsets", "keys")}
-        self.documents = self.tokens = 0
+        self.documents = self.nulls = self.tokens = 0
         self.files["offsets"].write(bytes(8))
 
     def add(self, key: int | None, packed) -> None:
-        ids = np.frombuffer(packed, "<u4")
+        ids = np.frombuffer(packed, self.given)
         if len(ids) and int(ids.max()) > np.iinfo(self.kind).max:
             raise ValueError(f"id {ids.max()} needs more than {self.kind.itemsize} bytes")
-        self.files["ids"].write(ids.astype(self.kind).tobytes())
+        self.files["ids"].write(ids.astype(self.kind, copy=False).data)
         self.documents += 1
         self.tokens += len(ids)
         self.files["offsets"].write(self.tokens.to_bytes(8, "little"))
-        self.files["keys"].write((NULL_KEY if key is None else key).to_bytes(8, "little", signed=True))
+        self.nulls += key is None
+        self.files["keys"].write((key or 0).to_bytes(8, "little", signed=True))
 
     def close(self) -> pa.RecordBatch:
         for name, file in self.files.items():
             file.close()
             os.replace(f"{self.temporary}.{name}", f"{self.final}.{name}")
-        return pa.RecordBatch.from_pylist([{"part": self.number, "documents": self.documents, "tokens": self.tokens}],
+        return pa.RecordBatch.from_pylist([{"part": self.number, "documents": self.documents, "nulls": self.nulls, "tokens": self.tokens}],
                                           schema=self.summary)
 
 
@@ -224,17 +241,16 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 ids = np.memmap(f"{name}.ids", kind, "r") if part["tokens"] else np.zeros(0, kind)
                 for n in range(part["documents"]):
                     a, b = int(offsets[n]), int(offsets[n + 1])
-                    key = int(keys[n])
-                    yield None if key == NULL_KEY else key, part["base"] + a, ids[a:b].astype("<u4").tobytes()
+                    yield None if n < part["nulls"] else int(keys[n]), part["base"] + a, ids[a:b].astype("<u4").tobytes()
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of(documents(batches), schema, lambda row: len(row[2]))
 
-    names = "part int, documents long, tokens long, base long"
-    parts = spark.createDataFrame([(p["part"], p["documents"], p["tokens"], p["base"]) for p in index["parts"]], names)
+    names = "part int, documents long, nulls long, tokens long, base long"
+    parts = spark.createDataFrame([tuple(p[n] for n in ("part", "documents", "nulls", "tokens", "base")) for p in index["parts"]], names)
     return parts.repartition(max(1, len(index["parts"]))).mapInArrow(load, "key long, start long, ids binary")
 
 
 def with_crc(df: DataFrame, ids: str = "ids") -> DataFrame:
-    """`df` with `ids_crc32`, the unsigned CRC-32 of packed ids."""
-    return add_columns(df, ids, "ids_crc32 long", lambda: lambda cells: [[zlib.crc32(c or b"") for c in cells]])
+    """`df` with `ids_crc32`, the unsigned CRC-32 of packed ids; of a NULL that of no ids."""
+    return df.withColumn("ids_crc32", F.crc32(F.coalesce(F.col(ids), F.lit(b""))))

@@ -58,6 +58,9 @@ def test_a_fit_repeats(documents, model):
 
 
 def test_language_of_edge_rows(spark, model):
+    strange = [(20, "😀😀😀"), (21, "🙂 123"), (22, "𝟏𝟐 !"), (23, "\U0010ffff"), (24, "𝒜 𐐀𠀀")]
+    got = {r.doc_id: r.lang_pred for r in li.predict(frame(spark, strange), model).collect()}
+    assert [got[k] == "und" for k, _ in strange] == [not any(c.isalpha() for c in t) for _, t in strange] == [True] * 4 + [False]
     rows = li.predict(frame(spark, EDGE + [(9, "123 !?"), (10, "…")]), model).collect()
     assert len(rows) == len(EDGE) + 2
     for r in rows:

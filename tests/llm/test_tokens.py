@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -97,8 +98,9 @@ def test_encode_and_decode_frames(spark):
 
 
 def written(spark, rows, folder, **how):
-    docs = tf.encode(frame(spark, rows), bpe.vocabulary(q.WORD_BPE), end_id=2)
-    index = tf.write(docs, str(folder), width=2, **how)
+    width = how.pop("shuffled", 4)
+    docs = tf.encode(frame(spark, rows), bpe.vocabulary(q.WORD_BPE), end_id=2, width=width)
+    index = tf.write(docs, str(folder), width=2, packed_width=width, **how)
     return index, tf.with_crc(tf.read(spark, str(folder))).collect()
 
 
@@ -107,6 +109,7 @@ def test_token_files(spark, tmp_path, monkeypatch):
     rows = [(i * 7 % 300 - 50, t) for i, t in enumerate(texts)] + [(1_000, EDGE[5][1]), (1_001, None), (1_001, None)]
     monkeypatch.setattr(ordered, "ROWS_PER_RANGE", 40)
     index, got = written(spark, rows, tmp_path / "a")
+    assert sorted(map(tuple, got)) == sorted(map(tuple, written(spark, rows, tmp_path / "b", shuffled=2)[1]))
     assert len(index["parts"]) > 3
     start = 0
     by_start = sorted(got, key=lambda r: r.start)
@@ -119,11 +122,13 @@ def test_token_files(spark, tmp_path, monkeypatch):
 
 def test_token_files_of_no_rows_null_keys_and_wide_ids(spark, tmp_path):
     assert written(spark, [], tmp_path / "none")[1] == []
-    _, got = written(spark, [(None, "x"), (0, "y")], tmp_path / "nulls")
-    assert [(r.key, r.start) for r in sorted(got, key=lambda r: r.start)] == [(None, 0), (0, 2)]
+    _, got = written(spark, [(None, "x"), (0, "y"), (-(1 << 63), "z"), (None, "x")], tmp_path / "nulls")
+    assert [(r.key, r.start) for r in sorted(got, key=lambda r: r.start)] == [(None, 0), (None, 2), (-(1 << 63), 4), (0, 6)]
     wide = frame(spark, [(1, "a")]).selectExpr("doc_id", "unhex('00000100') as ids")
     with pytest.raises(Exception, match="more than 2 bytes"):
         tf.write(wide, str(tmp_path / "wide"), width=2)
+    with pytest.raises(Exception, match="more than 1 bytes"):
+        tf.encode(frame(spark, [(1, "a")]), bpe.vocabulary(q.WORD_BPE), end_id=300, width=1).collect()
     with pytest.raises(ValueError, match="cannot be mapped"):
         tf.write(wide, "hdfs://host/folder")
 
@@ -137,8 +142,11 @@ def test_pieces_encode_like_whole_texts():
     words.pieces.most = words.cores.most = 50
     letters = [t for c in map(chr, range(0x250)) for t in (c, "a" + c, c + ".", "A" + c + "b,")]
     texts = letters + random_texts(3_000, 8, [*" \n'sAbÉé1２.,%$Σσİ\x1c", "<|endoftext|>", "́"]) + [None]
-    got = words.encode(texts[:1_000]) + words.encode(texts[1_000:])
-    assert [ids_of(p) for p in got] == [WORD.encode(t or "", add_special_tokens=False).ids for t in texts]
+    parts = [pa.array(texts[:1_000]), pa.array(texts[1_000:]), pa.array([], pa.string())]
+    want = [WORD.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids_of(p) for part in parts for p in words.encode(part).to_pylist()] == want
+    short = [p for part in parts for p in words.encode(part, [2, 3], "<u2").to_pylist()]
+    assert [np.frombuffer(p, "<u2").tolist() for p in short] == [ids + [2, 3] for ids in want]
 
 
 def test_other_vocabularies_get_whole_texts(spark):

@@ -101,13 +101,13 @@ def replaced(df: DataFrame, added: str) -> tuple[list[str], StructType]:
 
 class Known:
     """Results by key.  At most `most` are remembered, the first ones met, since frequent keys come early; they are
-    forgotten when they no longer help, that is when over a quarter of the keys asked for are not among them.
+    forgotten when they no longer help, that is when over the share `forget` of the keys asked for are not among them.
 
     `resolve` gives the results of a list of distinct keys; a result is never None.
     """
 
-    def __init__(self, resolve: Callable[[list], Iterable], most: int = 100_000):
-        self.resolve, self.most, self.by_key = resolve, most, {}
+    def __init__(self, resolve: Callable[[list], Iterable], most: int = 100_000, forget: float = 0.25):
+        self.resolve, self.most, self.forget, self.by_key = resolve, most, forget, {}
 
     def lookup(self, keys: list) -> list:
         """The result of each key."""
@@ -118,7 +118,7 @@ class Known:
             fresh = dict(zip(new, self.resolve(new)))
             for i in places:
                 found[i] = fresh[keys[i]]
-            if len(self.by_key) >= self.most and 4 * len(places) > len(keys):
+            if len(self.by_key) >= self.most and len(places) > self.forget * len(keys):
                 self.by_key = {}
             if len(self.by_key) < self.most:
                 self.by_key.update(fresh)

@@ -107,14 +107,17 @@ class LanguageModel:
 def vectors(counts: np.ndarray) -> np.ndarray:
     """Root of the relative frequencies (unit length) and a constant."""
     total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    return np.hstack([np.sqrt(counts / total), np.ones((len(counts), 1), counts.dtype if counts.dtype.kind == "f" else float)])
+    out = np.ones((len(counts), counts.shape[1] + 1), counts.dtype if counts.dtype.kind == "f" else float)
+    share = np.divide(counts, total, out=out[:, :-1])
+    np.sqrt(share, out=share)
+    return out
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30, seed: int = 42) -> np.ndarray:
     """Weights of a linear SVM with squared hinge loss, classes weighted to equal sums, by dual coordinate descent."""
     share = np.where(y > 0, (y > 0).mean(), (y < 0).mean())
     diagonal = share / cost  # 1 / (2 C_i) with C_i = cost / (2 share)
-    squares = (x * x).sum(axis=1) + diagonal
+    squares = np.einsum("ij,ij->i", x, x) + diagonal
     alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
     random = np.random.default_rng(seed)
     for _ in range(rounds):
@@ -180,14 +183,26 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language:
                     good = counts.sum(axis=1) > 0
                     names = [n for n, g in zip(part.column("language").to_pylist(), good) if g]
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(
-                        [c.astype("<f4").tobytes() for c in counts[good]], pa.binary())], schema=schema)
+                        [_packed(c) for c in counts[good]], pa.binary())], schema=schema)
 
-    # at most about 1.3 * rows (a hash draw) vectors of 4 * DIMENSIONS bytes, ordered so that a fit repeats
+    # at most about 1.3 * rows (a hash draw) sparse vectors of up to DIMENSIONS places, ordered so that a fit repeats
     found = sample.mapInArrow(count, "language string, counts binary").limit(2 * rows + 1_000).toArrow()
     pairs = sorted(zip(found.column("language").to_pylist(), found.column("counts").to_pylist()))
+    del found
     if not pairs:
         return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS), np.int64))
-    return fit_model([p[0] for p in pairs], np.stack([np.frombuffer(p[1], "<f4") for p in pairs]))
+    counts = np.zeros((len(pairs), DIMENSIONS), np.float32)
+    for row, (_, packed) in zip(counts, pairs):
+        cells = np.frombuffer(packed, "<u4").reshape(2, -1)
+        row[cells[0]] = cells[1]
+    names = [p[0] for p in pairs]
+    del pairs
+    return fit_model(names, counts)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    places = np.flatnonzero(counts)
+    return np.stack([places, counts[places]]).astype("<u4").tobytes()
 
 
 def predict(df: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:

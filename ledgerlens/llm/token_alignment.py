@@ -64,7 +64,7 @@ class Aligner:
         a, b = range(len(self.lengths_a)), range(self.size_b)
         self.names = [b"%d%c" % (i, mark) for mark, ids in ((b",", a), (b"|", a), (b",", b), (b";", b)) for i in ids]
         self.name_lengths = np.array(list(map(len, self.names)), np.int64)
-        self.words = Known(lambda words: self._aligned(words, self.codec.pieces_of), 300_000)
+        self.words = Known(lambda words: self._aligned(words, self.codec.pieces_of), 200_000, forget=0.9)  # of distinct words many are new in any batch
 
     def _aligned(self, units: list[str], encode) -> list[tuple]:
         """Aligned units, each a text without its space in front; `encode` gives the packed A ids of several with it."""

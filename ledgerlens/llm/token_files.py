@@ -28,6 +28,9 @@ from ledgerlens.llm.ordered import range_bounds, range_of
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+DISTINCT_MISSES = 0.9  # distinct pieces are mostly rare ones, so many are new in any batch
+
+
 class Words:
     """Ids of texts by the tokenizers library, for a vocabulary in which white space only separates.
 
@@ -36,7 +39,7 @@ class Words:
     not, normalising it is lower-casing alone, so it goes to the same model without the library's own normaliser; the
     last id of each word is one that ends a word, which tells the words of the joined text apart.
     """
-    MARKS = ".,;:!?%&*#$"
+    MARKS = ".,;:!?%&*#$"  # taken off the end of a piece
 
     def __init__(self, definition: str, suffix: str | None):
         """`suffix` ends the last token of a word; None if the vocabulary is not of this kind (`word_suffix`)."""
@@ -52,8 +55,8 @@ class Words:
             vocab = self.whole.get_vocab(with_added_tokens=False)
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-            self.cores, self.marks = Known(self._cores, 60_000), Known(self._any, 10_000)
-            self.pieces = Known(self._pieces, 150_000)
+            self.cores, self.marks = Known(self._cores, 100_000, DISTINCT_MISSES), Known(self._any, 10_000, DISTINCT_MISSES)
+            self.pieces = Known(self._pieces, 200_000, DISTINCT_MISSES)
 
     def _any(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch(texts, add_special_tokens=False)]

@@ -40,6 +40,8 @@ class Words:
     last id of each word is one that ends a word, which tells the words of the joined text apart.
     """
     MARKS = ".,;:!?%&*#$"  # taken off the end of a piece
+    # letters below U+0250 are as NFC has them, and all but U+0130 have a single lower-case letter
+    PLAIN = "^[A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+$"
 
     def __init__(self, definition: str, suffix: str | None):
         """`suffix` ends the last token of a word; None if the vocabulary is not of this kind (`word_suffix`)."""
@@ -55,8 +57,8 @@ class Words:
             vocab = self.whole.get_vocab(with_added_tokens=False)
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-            self.cores, self.marks = Known(self._cores, 100_000, DISTINCT_MISSES), Known(self._any, 10_000, DISTINCT_MISSES)
-            self.pieces = Known(self._pieces, 200_000, DISTINCT_MISSES)
+            self.cores, self.marks = Known(self._cores, 200_000, DISTINCT_MISSES), Known(self._any, 10_000, DISTINCT_MISSES)
+            self.pieces = Known(self._any, 100_000, DISTINCT_MISSES)
 
     def _any(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch(texts, add_special_tokens=False)]
@@ -70,23 +72,26 @@ class Words:
         packed = ids.tobytes()
         return [packed[a:b] for a, b in zip(ends, ends[1:])]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        cores, marks, plain, others = [], [], [], []
-        for n, piece in enumerate(pieces):
-            core = piece.rstrip(self.MARKS)
-            # below U+0250 letters are as NFC has them, and all but one have a single lower-case letter
-            if core.isalpha() and (core.isascii() or (max(core) < "\u0250" and "İ" not in core)):
-                plain.append(n)
-                cores.append(core.lower())
-                marks.append(piece[len(core):])
-            else:
-                others.append(n)
-        out: list[bytes] = [b""] * len(pieces)
-        for n, core, mark in zip(plain, self.cores.lookup(cores), self.marks.lookup(marks)):
-            out[n] = core + mark
-        for n, packed in zip(others, self._any([pieces[n] for n in others])):
-            out[n] = packed
-        return out
+    def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds) of distinct pieces: a word and the marks behind it are looked up apart, other pieces whole."""
+        core = pc.utf8_rtrim(pieces, characters=self.MARKS)
+        plain = pc.match_substring_regex(core, self.PLAIN)
+        plain_np = plain.to_numpy(zero_copy_only=False)
+        behind = (pc.binary_length(pieces).to_numpy() - pc.binary_length(core).to_numpy()) * plain_np
+        first, second = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        found: list[bytes] = [b""]  # entry 0 has no ids
+
+        def enter(column: np.ndarray, where: np.ndarray, cells: pa.Array, known: Known) -> None:
+            coded = cells.dictionary_encode()
+            column[where] = coded.indices.to_numpy() + len(found)
+            found.extend(known.lookup(coded.dictionary.to_pylist()))
+
+        enter(first, plain_np, pc.utf8_lower(core.filter(plain)), self.cores)
+        enter(first, ~plain_np, pieces.filter(pc.invert(plain)), self.pieces)
+        for size in np.unique(behind[behind > 0]).tolist():
+            enter(second, behind == size, pc.utf8_slice_codeunits(pieces.filter(pa.array(behind == size)), -size), self.marks)
+        ids, ends = _gathered(found, np.stack([first, second], axis=1).ravel())
+        return ids, np.concatenate([[0], ends[1::2]])
 
     def encode(self, texts: pa.Array, end: list[int] = (), kind: str = "<u4") -> pa.Array:
         """Packed ids of each text, with `end` behind them.  Each distinct piece of the batch is looked up once."""
@@ -94,16 +99,16 @@ class Words:
         if self.by_piece:
             lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
             coded, bounds = lists.flatten().dictionary_encode(), lists.offsets.to_numpy().astype(np.int64)
-            codes, packed = coded.indices.to_numpy(), self.pieces.lookup(coded.dictionary.to_pylist())
+            codes = coded.indices.to_numpy()
+            ids, cuts = self._distinct(coded.dictionary)
         else:
-            codes, bounds, packed = np.arange(len(texts)), np.arange(len(texts) + 1), self._any(texts.to_pylist())
-        codes = np.insert(codes, bounds[1:], len(packed))  # the end is one more piece
-        packed = [*packed, np.array(end, "<u4").tobytes()]
+            codes, bounds = np.arange(len(texts)), np.arange(len(texts) + 1)
+            ids, ends = _gathered(self._any(texts.to_pylist()), codes)
+            cuts = np.concatenate([[0], ends])
+        codes = np.insert(codes, bounds[1:], len(cuts) - 1)  # the end is one more piece
+        ids, cuts = np.concatenate([ids, np.array(end, "<u4")]), np.append(cuts, len(ids) + len(end))
         bounds += np.arange(len(bounds))
-        sizes = np.array(list(map(len, packed)), np.int64) // 4
-        starts, each = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
-        ends = np.cumsum(each)
-        ids = np.frombuffer(b"".join(packed), "<u4")[np.repeat(starts - (ends - each), each) + np.arange(each.sum())]
+        ids, ends = _spread(ids, cuts[:-1], np.diff(cuts), codes)
         if len(ids) and int(ids.max()) > np.iinfo(np.dtype(kind)).max:
             raise ValueError(f"id {ids.max()} needs more than {np.dtype(kind).itemsize} bytes")
         ids = ids.astype(kind)
@@ -111,6 +116,18 @@ class Words:
         return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).cast(pa.binary())
 
 
+def _gathered(packed: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of packed entries in the order of `codes`, and where each code's ids end."""
+    sizes = np.array(list(map(len, packed)), np.int64) // 4
+    return _spread(np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes) - sizes, sizes, codes)
+
+
+def _spread(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    each = sizes[codes]
+    ends = np.cumsum(each)
+    return ids[np.repeat(starts[codes] - (ends - each), each) + np.arange(each.sum())], ends
+
+
 def encode(df: DataFrame, definition: str, text: str = "text", ids: str = "ids", end_id: int | None = None, width: int = 4,
            keep: list[str] | None = None) -> DataFrame:
     """`df` with `ids`: packed little-endian ids of `width` bytes of each whole text by the tokenizers library, then `end_id`.

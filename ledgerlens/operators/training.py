@@ -1,9 +1,7 @@
 """Gradient-boosted trees: parameter draws, trials, search, final fit, scoring and model tables.
 
-Boosting rounds are not cut short: a fit goes on until the validation AUC-PR has not risen for `patience` rounds or the
-drawn number of rounds is reached, and keeps the best round.  Spark cannot continue a fit, so FIRST_ROUNDS are fitted,
-then twice as many, and so on; the seed fixes the sequence of trees, so a longer fit begins with the trees of a shorter
-one and the answer is that of the full fit, at up to about twice its cost.
+Boosting rounds are not cut short: a fit goes on until the exact validation AUC-PR has not risen for `patience` rounds or
+the drawn number of rounds is reached, and keeps the best round.  No round is fitted twice (see `boosting`).
 """
 
 from __future__ import annotations
@@ -16,19 +14,18 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.functions import col, expr
 from pyspark.storagelevel import StorageLevel
 
 from ledgerlens import schema
 from ledgerlens.functions.scalar import key_unit
+from ledgerlens.operators import boosting as bo
+from ledgerlens.operators.boosting import BoostedModel
 from ledgerlens.operators.split import add_class_weight
 from ledgerlens.operators.threshold import choose_threshold
-from ledgerlens.session import cut_lineage, ensure_checkpoint_dir, scratch_path
+from ledgerlens.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need numpy and pyarrow but not this package
 
@@ -53,14 +50,8 @@ FALLBACK_WEIGHT_CAP = 50.0
 BUDGETS = {"wide": (60, 60), "narrow": (30, 30)}
 
 TRIAL_PATIENCE, FINAL_PATIENCE = 30, 50
-FIRST_ROUNDS = 64
-CURVE_BUCKETS = 2_048  # equal steps of the log odds from -CURVE_EDGE to CURVE_EDGE, for the score after each round
-CURVE_EDGE = 12.0
+CURVE_BUCKETS = 4_096  # equal steps between the least and the greatest log odds that the trees of a round can add up to
 BINS = 256  # histogram bins where a parameter set names none, as usual for histogram trees
-# The drawn gain limit is in units of a sum over rows of second-order statistics; the learner here compares the mean
-# decrease of variance, which is below 1, so the limit is scaled to stay a mild one.
-GAIN_SCALE = 1e-3
-
 TRIALS_SCHEMA = T.StructType([
     T.StructField("trial", T.IntegerType()), T.StructField("params", T.MapType(T.StringType(), T.DoubleType())),
     T.StructField("dropped", T.ArrayType(T.StringType())),
@@ -88,23 +79,19 @@ def fallback_params(space: str = "narrow", positive_weight: float | None = None)
     return params
 
 
-#: Parameters the tree learner here has no counterpart for; recorded with each trial.
-NO_COUNTERPART = ("colsample_bylevel", "reg_alpha", "reg_lambda", "lossguide", "max_leaves")
+#: Drawn parameters that a fit does not use; recorded with each trial.
+NO_COUNTERPART: tuple[str, ...] = ()
 
 
-def classifier(params: dict[str, float], features: Sequence[str], rounds: int | None = None, weighted: bool = False,
-               seed: int = 42) -> Pipeline:
-    """Assembler and boosted trees for a parameter set, with its own number of rounds or the given one."""
+def boost_settings(params: dict[str, float], seed: int = 42) -> bo.Settings:
+    """Settings of a parameter set; what it does not name has the fixed value, or no effect."""
     p = {**FALLBACK, **params}
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="label", seed=seed, maxIter=rounds or int(p["n_estimators"]),
-        maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
-        featureSubsetStrategy=f"{float(p['colsample_bytree']):.6f}",
-        minInstancesPerNode=int(p["min_child_weight"]),
-        minInfoGain=float(p["gamma"]) * GAIN_SCALE, maxBins=int(p.get("max_bin", BINS)), checkpointInterval=10)
-    if weighted:
-        trees = trees.setWeightCol("weight")
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), trees])
+    return bo.Settings(
+        rate=float(p["learning_rate"]), depth=int(p["max_depth"]), subsample=float(p["subsample"]),
+        by_tree=float(p["colsample_bytree"]), by_level=float(p.get("colsample_bylevel", 1.0)),
+        least_weight=float(p["min_child_weight"]), gamma=float(p["gamma"]), alpha=float(p["reg_alpha"]),
+        lam=float(p["reg_lambda"]), bins=int(p.get("max_bin", BINS)), lossguide=bool(p.get("lossguide", 0.0)),
+        leaves=int(p.get("max_leaves", 0)), seed=seed)
 
 
 def model_rows(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
@@ -115,35 +102,33 @@ def model_rows(rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)
                            *extra)
 
 
-def fit(train: DataFrame, params: dict[str, float], rounds: int | None = None, weight_cap: float | None = None,
-        features: Sequence[str] = tuple(schema.FEATURES), seed: int = 42) -> PipelineModel:
-    """Fit a number of rounds.  `scale_pos_weight` among the parameters is the weight of a positive row; otherwise
-    `weight_cap` turns on the measured class weight, up to the cap."""
-    ensure_checkpoint_dir(train.sparkSession)
+def _weighted(rows: DataFrame, params: dict[str, float], weight_cap: float | None) -> DataFrame:
+    """`scale_pos_weight` among the parameters is the weight of a positive row; otherwise `weight_cap` turns on the
+    measured class weight, up to the cap."""
     weight = params.get("scale_pos_weight")
     if weight is not None:
-        train = train.selectExpr("*", f"if({schema.LABEL} = 1, {float(weight)!r}D, 1.0D) as weight")
-    elif weight_cap is not None:
-        train = add_class_weight(train, weight_cap)
-    weighted = weight is not None or weight_cap is not None
-    names = [schema.KEY, *features, schema.LABEL, *(["weight"] if weighted else [])]
-    return classifier(params, features, rounds, weighted, seed).fit(model_rows(train.select(*names), features))
-
-
-def first_rounds(model: PipelineModel, rounds: int) -> PipelineModel:
-    """The model of the first trees only."""
-    assembler, trees = model.stages[0], model.stages[-1]
-    if rounds >= trees.getNumTrees:
-        return model
-    whole, gateway = trees._java_obj, SparkSession.active().sparkContext._gateway
-    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(gateway.jvm.double, rounds)
-    for i, (tree, weight) in enumerate(zip(whole.trees()[:rounds], trees.treeWeights)):
-        kept[i], weights[i] = tree, float(weight)
-    short = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        whole.uid(), kept, weights, whole.numFeatures(), whole.numClasses())
-    whole.copyValues(short, whole.extractParamMap())
-    return PipelineModel([assembler, GBTClassificationModel(short)])
+        return rows.selectExpr("*", f"if({schema.LABEL} = 1, {float(weight)!r}D, 1.0D) as weight")
+    return rows.selectExpr("*", "1.0D as weight") if weight_cap is None else add_class_weight(rows, weight_cap)
+
+
+def _fitted(train: DataFrame, validation: DataFrame | None, params: dict[str, float], rounds: int, patience: int | None,
+            weight_cap: float | None, features: Sequence[str], seed: int, ledger: str | None) -> bo.Fitted:
+    names = [schema.KEY, *features, schema.LABEL]
+
+    def side(rows: DataFrame, flag: str) -> DataFrame:
+        return model_rows(rows, features).selectExpr(f"{schema.KEY} as key", "label", "weight", f"{flag} as train", *features)
+
+    rows = side(_weighted(train.select(*names), params, weight_cap), "true")
+    if validation is not None:
+        rows = rows.unionByName(side(validation.select(*names).selectExpr("*", "1.0D as weight"), "false"))
+    return bo.boost(rows, list(features), rounds, boost_settings(params, seed), patience, ledger)
+
+
+def fit(train: DataFrame, params: dict[str, float], rounds: int | None = None, weight_cap: float | None = None,
+        features: Sequence[str] = tuple(schema.FEATURES), seed: int = 42) -> BoostedModel:
+    """Fit a number of rounds, by default the drawn one."""
+    rounds = rounds or int({**FALLBACK, **params}["n_estimators"])
+    return _fitted(train, None, params, rounds, None, weight_cap, features, seed, None).model
 
 
 def best_round(curve: Sequence[tuple[int, float]], patience: int) -> int:
@@ -158,47 +143,49 @@ def best_round(curve: Sequence[tuple[int, float]], patience: int) -> int:
 
 
 def fit_patient(train: DataFrame, validation: DataFrame, params: dict[str, float], patience: int,
-                max_iter: int | None = None, weight_cap: float | None = None, seed: int = 42) -> tuple[PipelineModel, PipelineModel]:
-    """(best, fitted): the model up to its best round, and all rounds that had to be fitted to know it.
+                max_iter: int | None = None, weight_cap: float | None = None, seed: int = 42,
+                ledger: str | None = None) -> bo.Fitted:
+    """All rounds that had to be fitted, the best of them, and the validation AUC-PR after each.
 
     The best round has the highest validation AUC-PR before `patience` rounds pass without a better one.  `max_iter` is
-    a limit that a caller may set below the drawn number of rounds; there is none by default.
+    a limit that a caller may set below the drawn number of rounds; there is none by default.  Rounds stored under
+    `ledger` are taken from there.
     """
     limit = int({**FALLBACK, **params}["n_estimators"])
     limit = min(limit, max_iter) if max_iter else limit
-    rounds = min(limit, max(FIRST_ROUNDS, patience + 1))
-    while True:
-        fitted = fit(train, params, rounds, weight_cap, seed=seed)
-        curve = learning_curve(fitted, {"val": validation}).select("round", "auc_pr").collect()  # one row per round
-        best = best_round([tuple(r) for r in curve], patience)
-        if best + patience <= rounds or rounds >= limit:
-            return first_rounds(fitted, best), fitted
-        rounds = min(limit, 2 * rounds)
+    return _fitted(train, validation, params, limit, patience, weight_cap, schema.FEATURES, seed, ledger)
 
 
 def fit_final(train: DataFrame, validation: DataFrame, params: dict[str, float], max_iter: int | None = None,
-              weight_cap: float | None = None, patience: int = FINAL_PATIENCE, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
-    """The model of the best round, and the learning curve of train and validation over all fitted rounds."""
-    model, fitted = fit_patient(train, validation, params, patience, max_iter, weight_cap, seed)
-    return model, cut_lineage(learning_curve(fitted, {"train": train, "val": validation}))
+              weight_cap: float | None = None, patience: int = FINAL_PATIENCE, seed: int = 42,
+              ledger: str | None = None) -> tuple[BoostedModel, DataFrame]:
+    """The model of the best round, and the learning curve of train and validation over all fitted rounds.
+
+    Validation values that the choice of the round needed are exact, the others counted in buckets.
+    """
+    found = fit_patient(train, validation, params, patience, max_iter, weight_cap, seed, ledger)
+    curve = learning_curve(found.model, {"train": train, "val": validation})
+    known = train.sparkSession.createDataFrame(
+        [("val", n, v) for n, v in enumerate(found.curve, 1) if v is not None], "part string, round int, exact double")
+    curve = curve.join(known.hint("broadcast"), ["part", "round"], "left").selectExpr("part", "round", "coalesce(exact, auc_pr) as auc_pr")
+    return found.model.first(found.best), cut_lineage(curve)
 
 
-def score(model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
+def score(model: BoostedModel, rows: DataFrame) -> DataFrame:
     """(tx_id, label, p): probability of the positive class."""
-    scored = model.transform(model_rows(rows, features))
-    return scored.select(schema.KEY, col("label").cast("int").alias("label"),
-                         vector_to_array("probability")[1].alias("p"))
+    return bo.with_margin(model_rows(rows, model.features), model).selectExpr(
+        schema.KEY, "cast(label as int) as label", "1 / (1 + exp(-margin)) as p")
 
 
 def run_trial(trial: int, params: dict[str, float], train: DataFrame, validation: DataFrame,
-              max_iter: int | None = None, weight_cap: float | None = None) -> dict:
+              max_iter: int | None = None, weight_cap: float | None = None, seed: int = 42) -> dict:
     """Fit, choose a threshold on validation, and return the trial record; a failed fit scores 0 and keeps its error."""
     started = time.time()
     record = _record(trial, params, "COMPLETE")
     try:
-        best, fitted = fit_patient(train, validation, params, TRIAL_PATIENCE, max_iter, weight_cap)
-        record.update(rounds_used=best.stages[-1].getNumTrees, rounds_fitted=fitted.stages[-1].getNumTrees)
-        chosen = choose_threshold(score(best, validation), "search").first()
+        found = fit_patient(train, validation, params, TRIAL_PATIENCE, max_iter, weight_cap, seed)
+        record.update(rounds_used=found.best, rounds_fitted=found.model.rounds)
+        chosen = choose_threshold(score(found.model.first(found.best), validation), "search").first()
         if chosen["score"] > 0:
             record.update({k: chosen[k] for k in ("score", "threshold", "precision", "recall", "f1", "fpr")})
     except Exception as error:  # a trial that cannot be fitted must not end the search
@@ -215,20 +202,31 @@ def _record(trial: int, params: dict[str, float], state: str) -> dict:
 
 def search(train: DataFrame, validation: DataFrame, n_trials: int | None = None, timeout_minutes: float | None = None,
            space: str = "narrow", seed: int = 42, parallelism: int = 2, max_iter: int | None = None,
-           weight_cap: float | None = None) -> DataFrame:
+           weight_cap: float | None = None, ledger: str | None = None) -> DataFrame:
     """The trial table.  Trials share one stored input and run a few at a time; a trial that the time limit keeps from
-    starting is SKIPPED.  If trials ran and every one failed, the first error is raised: the parameters are not to blame."""
+    starting is SKIPPED.  If trials ran and every one failed, the first error is raised: the parameters are not to blame.
+
+    With a `ledger` folder each completed trial is written there as a file of its own, and a trial that it has with the same
+    parameters is not run again.  A ledger belongs to one input and one seed.
+    """
     spark = train.sparkSession
     trials, minutes = BUDGETS[space]
     trials, minutes = n_trials or trials, timeout_minutes or minutes
     deadline = time.time() + minutes * 60
     draws = [(r["trial"], dict(r["params"])) for r in sample_params(spark, trials, seed, space).collect()]
     train, validation = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (train, validation))
+    finished = stored_trials(spark, ledger) if ledger else {}
 
     def one(draw):
+        trial, params = draw
+        if trial in finished and finished[trial]["params"] == params:
+            return finished[trial]
         if time.time() >= deadline:
             return _record(*draw, "SKIPPED")
-        return run_trial(*draw, train, validation, max_iter, weight_cap)
+        record = run_trial(*draw, train, validation, max_iter, weight_cap, seed)
+        if ledger and record["state"] == "COMPLETE":
+            spark.createDataFrame([record], TRIALS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{ledger}/trial-{trial}")
+        return record
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
@@ -241,6 +239,15 @@ def search(train: DataFrame, validation: DataFrame, n_trials: int | None = None,
     return spark.createDataFrame(records, TRIALS_SCHEMA)
 
 
+def stored_trials(spark: SparkSession, ledger: str) -> dict[int, dict]:
+    """Records of the completed trials in a ledger folder, by trial."""
+    try:
+        rows = spark.read.schema(TRIALS_SCHEMA).parquet(f"{ledger}/trial-*").collect()  # one row per trial
+    except AnalysisException:
+        return {}  # nothing stored yet
+    return {r["trial"]: {**r.asDict(), "params": dict(r["params"])} for r in rows}
+
+
 def best_trial(trials: DataFrame) -> DataFrame:
     """The trial with the highest score (first one on ties), with the defaults for missing metrics."""
     best = trials.orderBy(col("score").desc(), "trial").limit(1)
@@ -269,40 +276,22 @@ def target_checks(summary: DataFrame) -> DataFrame:
                              "else 'NEEDS_IMPROVEMENT' end as band"))
 
 
-def top_features(model: PipelineModel, spark: SparkSession, n: int = 15) -> DataFrame:
-    """feature, importance: the n most important features."""
-    assembler, trees = model.stages[0], model.stages[-1]
-    rows = list(zip(assembler.getInputCols(), trees.featureImportances.toArray().tolist()))
-    table = spark.createDataFrame(rows, "feature string, importance double")
+def top_features(model: BoostedModel, spark: SparkSession, n: int = 15) -> DataFrame:
+    """feature, importance: the n most important features, by the mean gain of their splits."""
+    table = spark.createDataFrame(list(model.importances().items()), "feature string, importance double")
     return table.orderBy(col("importance").desc(), "feature").limit(n)
 
 
-def tree_tables(model: PipelineModel) -> list[tuple[np.ndarray, ...]]:
-    """Per tree: split feature, threshold, left child, right child, leaf prediction by node number.
-
-    Read from the saved form of the model; its size depends on rounds and depth only.
-    """
-    trees = model.stages[-1]
-    spark = SparkSession.active()
-    path = scratch_path(spark)
-    trees.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").selectExpr(
-        "treeID as tree", "nodeData.id as id", "nodeData.split.featureIndex as feature",
-        "get(nodeData.split.leftCategoriesOrThreshold, 0) as threshold", "nodeData.leftChild as left",
-        "nodeData.rightChild as right", "nodeData.prediction as prediction").orderBy("tree", "id").toPandas()
-    return [tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "prediction"))
-            for _, t in nodes.groupby("tree")]
-
-
-def learning_curve(model: PipelineModel, parts: dict[str, DataFrame],
+def learning_curve(model: BoostedModel, parts: dict[str, DataFrame],
                    features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
     """part, round, auc_pr: average precision of the first 1, 2, ... trees, over CURVE_BUCKETS steps of the score.
 
     Each task adds one tree after the other to a margin column and counts labels per round and bucket, so the work grows
     with the rounds and only counts are shuffled.  The metric of a finished model is the exact one (`ranking_metrics`).
     """
-    tables, weights = tree_tables(model), list(model.stages[-1].treeWeights)
-    rows = None
+    trees, rows, values = model.trees, None, bo.tree_values
+    low, high = (np.cumsum([pick(t.value[t.left < 0]) for t in trees]) for pick in (np.min, np.max))
+    scale = (CURVE_BUCKETS - 1) / np.maximum(high - low, 1e-12)
     for name, part in parts.items():
         side = model_rows(part, features).selectExpr(f"'{name}' as part", "label", *features)
         rows = side if rows is None else rows.unionByName(side)
@@ -317,12 +306,13 @@ def learning_curve(model: PipelineModel, parts: dict[str, DataFrame],
             names = np.asarray(batch.column("part").to_pylist())
             for name in sorted(set(names.tolist())):
                 own = names == name
-                counts = held.setdefault(name, np.zeros((len(tables), 2 * CURVE_BUCKETS), np.int64))
-                margin = np.zeros(int(own.sum()))
-                for i, (table, weight) in enumerate(zip(tables, weights)):
-                    margin += weight * tree_values(table, x[own])
-                    step = (np.clip(2 * margin / CURVE_EDGE, -1, 1) + 1) / 2 * (CURVE_BUCKETS - 1)
-                    counts[i] += np.bincount(2 * step.astype(np.int64) + label[own], minlength=2 * CURVE_BUCKETS)
+                mine, marks = x[own], label[own]
+                counts = held.setdefault(name, np.zeros((len(trees), 2 * CURVE_BUCKETS), np.int64))
+                margin = np.zeros(len(mine))
+                for i, tree in enumerate(trees):
+                    margin += values(tree, mine)
+                    step = np.clip((margin - low[i]) * scale[i] + 1e-6, 0, CURVE_BUCKETS - 1)
+                    counts[i] += np.bincount(2 * step.astype(np.int64) + marks, minlength=2 * CURVE_BUCKETS)
         for name, counts in held.items():
             for i, row in enumerate(counts):
                 pairs = row.reshape(-1, 2)
@@ -338,14 +328,3 @@ def learning_curve(model: PipelineModel, parts: dict[str, DataFrame],
     return (counted.selectExpr("part", "round", "pos", f"sum(pos) {window} as tp", f"sum(neg) {window} as fp")
             .groupBy("part", "round").agg(expr("sum(cast(pos as double) * tp / (tp + fp)) as ap"), expr("sum(pos) as n"))
             .selectExpr("part", "round", "try_divide(ap, n) as auc_pr"))
-
-
-def tree_values(table: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
-    """Prediction of one tree for each row of x."""
-    feature, threshold, left, right, prediction = table
-    at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-    while len(rows):
-        rows = rows[left[at[rows]] >= 0]
-        here = at[rows]
-        at[rows] = np.where(x[rows, feature[here]] <= threshold[here], left[here], right[here])
-    return prediction[at]

@@ -210,7 +210,7 @@ def _curve_rows(spark: SparkSession, sf: str) -> DataFrame:
 def _learning_curve(spark: SparkSession, sf: str) -> DataFrame:
     """Per part: a row for every round, values from 0 to 1, and at the kept round the model's own value (to 0.01)."""
     model, curve, parts = _fitted(spark, sf)
-    kept = model.stages[-1].getNumTrees
+    kept = model.rounds
     own = append_chunks([evaluate.ranking_metrics(tr.score(model, parts[n])).selectExpr(f"'{n}' as part", "auc_pr as own")
                          for n in ("train", "val")])
     return (curve.groupBy("part").agg(expr("count(*) = max(round) and min(round) = 1 and count(distinct round) = count(*) as one_row_per_round"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -70,11 +71,21 @@ def _split_metadata(spark: SparkSession, work: str):
     return stages.read_table(spark, work, "split_metadata").first()
 
 
+def _digest(train: DataFrame, validation: DataFrame, settings: Settings, *others) -> str:
+    """A name for fits on these rows with these settings."""
+    names = ", ".join([schema.KEY, *schema.FEATURES, schema.LABEL])
+    rows = [tuple(d.selectExpr("count(*)", f"bit_xor(xxhash64({names}))").first()) for d in (train, validation)]
+    told = repr((rows, settings.seed, settings.space, settings.max_iter, others))
+    return hashlib.sha256(told.encode()).hexdigest()[:24]
+
+
 def search_step(spark: SparkSession, source: str, work: str, settings: Settings) -> None:
     balanced, validation = (stages.read_split(spark, work, n) for n in ("train_balanced", "val"))
     weight = _split_metadata(spark, work)["positive_weight"]
+    cap = settings.weight_cap if weight is not None else None
+    ledger = f"{work}/search_ledger/{_digest(balanced, validation, settings, cap)}"  # a run that died goes on there
     trials = tr.search(balanced, validation, settings.n_trials, settings.timeout_minutes, settings.space, settings.seed,
-                       settings.parallelism, settings.max_iter, settings.weight_cap if weight is not None else None)
+                       settings.parallelism, settings.max_iter, cap, ledger)
     trials = stages.write_table(trials, work, "trials")
     summary = stages.write_table(tr.search_summary(trials), work, "search_summary")
     stages.write_table(tr.target_checks(summary), work, "target_checks")
@@ -97,7 +108,8 @@ def train_step(spark: SparkSession, source: str, work: str, settings: Settings)
     split_info = _split_metadata(spark, work)
     params = dict(stages.read_table(spark, work, "best_params").first()["params"])
     cap = settings.weight_cap if split_info["positive_weight"] is not None else None
-    model, curve = tr.fit_final(balanced, validation, params, settings.max_iter, cap, seed=settings.seed)
+    ledger = f"{work}/fit_ledger/{_digest(balanced, validation, settings, cap, params)}"
+    model, curve = tr.fit_final(balanced, validation, params, settings.max_iter, cap, seed=settings.seed, ledger=ledger)
     stages.write_model(model, work)
     on_validation = stages.write_table(tr.score(model, validation), work, "scored_val")
     chosen = stages.write_table(th.choose_threshold(on_validation, settings.threshold_preset), work, "threshold")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ledgerlens import schema
+from ledgerlens.operators.boosting import BoostedModel
 
 
 def _path(work: str, name: str) -> str:
@@ -66,11 +66,15 @@ def read_split(spark: SparkSession, work: str, name: str) -> DataFrame:
     return balanced.join(removed.hint("broadcast") if n <= 2_000_000 else removed, schema.KEY, "left_anti")
 
 
-def write_model(model: PipelineModel, work: str) -> str:
-    path = _path(work, "model")
-    model.write().overwrite().save(path)
+def write_model(model: BoostedModel, work: str) -> str:
+    """The trees of a model as a table of nodes, and its features."""
+    spark, path = SparkSession.active(), _path(work, "model")
+    model.nodes(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    spark.createDataFrame([(list(model.features),)], "features array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
     return path
 
 
-def read_model(work: str) -> PipelineModel:
-    return PipelineModel.load(_path(work, "model"))
+def read_model(work: str) -> BoostedModel:
+    spark, path = SparkSession.active(), _path(work, "model")
+    features = spark.read.parquet(f"{path}/features").first()["features"]
+    return BoostedModel.of_nodes(features, spark.read.parquet(f"{path}/nodes"))

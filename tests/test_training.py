@@ -79,29 +79,20 @@ QUICK = {**FIT, "max_depth": 2.0}
 
 def test_first_rounds_are_a_prefix(parts):
     short, long = tr.fit(parts[0], QUICK, 3), tr.fit(parts[0], QUICK, 6)
-    cut = tr.first_rounds(long, 3)
-    assert cut.stages[-1].getNumTrees == 3 and cut.stages[-1].treeWeights == short.stages[-1].treeWeights
-    assert tr.score(cut, parts[2]).exceptAll(tr.score(short, parts[2])).count() == 0
-    assert tr.first_rounds(short, 9) is short
-
-
-def test_tree_values_are_the_trees_own(parts):
-    model = tr.fit(parts[0], FIT, 2)
-    rows = tr.model_rows(parts[2]).limit(500).toPandas()
-    x = rows[schema.FEATURES].to_numpy()
-    margin = sum(w * tr.tree_values(t, x) for t, w in zip(tr.tree_tables(model), model.stages[-1].treeWeights))
-    scored = tr.score(model, parts[2]).toPandas().set_index("tx_id").loc[rows.tx_id].p.to_numpy()
-    assert 1 / (1 + np.exp(-2 * margin)) == pytest.approx(scored)
+    cut = long.first(3)
+    assert cut.rounds == 3 and tr.score(cut, parts[2]).exceptAll(tr.score(short, parts[2])).count() == 0
+    assert short.first(9) is short
 
 
 def test_patience_ends_a_fit_or_all_rounds_run(parts):
-    slow = {**QUICK, "learning_rate": 0.01, "n_estimators": 70.0}
-    best, fitted = tr.fit_patient(parts[0], parts[1], slow, patience=69)
-    assert fitted.stages[-1].getNumTrees == 70 > 50
-    best, fitted = tr.fit_patient(parts[0], parts[1], {**QUICK, "n_estimators": 5_000.0}, patience=8)
-    curve = {r.round: r.auc_pr for r in tr.learning_curve(fitted, {"val": parts[1]}).collect()}
-    used = best.stages[-1].getNumTrees
-    assert len(curve) < 5_000 and used + 8 <= len(curve) and curve[used] == max(v for r, v in curve.items() if r <= used + 8)
+    from ledgerlens.operators.evaluate import average_precision
+    slow = {**QUICK, "learning_rate": 0.01, "n_estimators": 20.0}
+    assert tr.fit_patient(parts[0], parts[1], slow, patience=20).model.rounds == 20
+    found = tr.fit_patient(parts[0], parts[1], {**QUICK, "n_estimators": 5_000.0}, patience=8)
+    assert found.model.rounds < 5_000 and len(found.curve) == found.model.rounds == found.best + 8
+    assert found.best == tr.best_round(list(enumerate(found.curve, 1)), 8) == 1 + max(range(len(found.curve)), key=lambda i: found.curve[i])
+    for n in (1, found.best):
+        assert average_precision(tr.score(found.model.first(n), parts[1])).first()[0] == pytest.approx(found.curve[n - 1])
 
 
 def test_positive_weight_of_the_parameters_is_the_one_fitted(parts):
@@ -116,7 +107,7 @@ def test_positive_weight_of_the_parameters_is_the_one_fitted(parts):
 
 def test_failed_trial_scores_zero_and_keeps_its_error(parts):
     record = tr.run_trial(0, {"max_depth": 99.0}, parts[0], parts[1], max_iter=1)
-    assert record["score"] == 0.0 and record["state"].startswith("FAILED") and "maxDepth" in record["state"]
+    assert record["score"] == 0.0 and record["state"].startswith("FAILED") and "max_depth" in record["state"]
 
 
 def test_search_fails_if_every_trial_does(parts):

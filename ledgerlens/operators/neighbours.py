@@ -5,6 +5,10 @@ per query, and a per-query top k merges them.
 
 Many queries: points are cut into tiles of similar size along the two widest features.  A query first looks into
 its own tile, which bounds how far its k-th neighbour can be, and then only into tiles that reach within that bound.
+Where the two widest features do not separate rows (`rings`), the index is over all features: points belong to the nearest
+of some pivots and to a ring of distances from it, and each ring knows its least and greatest distance from every pivot.
+By the triangle inequality a query at distance d from a pivot is at least lo - d and d - hi away from all points of a ring.
+
 Tiles and queries are split into blocks of bounded size, so a hot tile is many small tasks, and equal vectors are
 thinned to the k + 1 lowest ids, which cannot change the answer.  No pair table is ever shuffled: a block emits at
 most k rows per query.
@@ -159,11 +163,13 @@ def _broadcast_search(queries: DataFrame, points: DataFrame, k: int, features: l
 class _Tiles:
     """Tile edges and, once counted, the box of each non-empty tile on the two pivot features."""
 
-    def __init__(self, pivots: list[str], first: np.ndarray, second: list[np.ndarray], slack: float):
+    def __init__(self, pivots: list[str], features: list[str], first: np.ndarray, second: list[np.ndarray], slack: float):
         self.pivots, self.first, self.second, self.slack = pivots, first, second, slack
+        self.line, self.other = (features.index(p) for p in pivots)
         self.stride = max([len(s) for s in second] + [0]) + 1
 
-    def locate(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def locate(self, x: np.ndarray) -> np.ndarray:
+        a, b = x[:, self.line], x[:, self.other]
         column = np.searchsorted(self.first, a, "right")
         row = np.zeros(len(a), dtype=np.int64)
         for c in np.unique(column):
@@ -171,22 +177,28 @@ class _Tiles:
             row[mine] = np.searchsorted(self.second[c], b[mine], "right")
         return column * self.stride + row
 
-    def set_boxes(self, rows) -> None:
-        rows = sorted(rows, key=lambda r: r["tile"])
+    def measure(self, placed: DataFrame) -> None:
+        """Take in the number of rows and the box of each tile."""
+        a, b = self.pivots
+        rows = sorted(placed.groupBy("tile").agg(
+            expr("count(*) as n"), expr(f"min({a}) as a0"), expr(f"max({a}) as a1"),
+            expr(f"min({b}) as b0"), expr(f"max({b}) as b1")).collect(), key=lambda r: r["tile"])  # at most max_tiles rows
         self.ids = np.array([r["tile"] for r in rows], dtype=np.int64)
         self.n = np.array([r["n"] for r in rows], dtype=np.int64)
         self.box = np.array([[r["a0"], r["a1"], r["b0"], r["b1"]] for r in rows]).reshape(-1, 4)
 
-    def lower(self, a: float, b: float) -> np.ndarray:
+    def lower(self, q: np.ndarray) -> np.ndarray:
         """Squared distance below which no point of each tile can lie."""
+        a, b = q[self.line], q[self.other]
         x = np.maximum(0, np.maximum(self.box[:, 0] - a, a - self.box[:, 1]))
         y = np.maximum(0, np.maximum(self.box[:, 2] - b, b - self.box[:, 3]))
         return x * x + y * y
 
-    def near(self, a: float, b: float, limit: float) -> np.ndarray:
+    def near(self, q: np.ndarray, limit: float) -> np.ndarray:
         """Tiles within a squared distance: only the columns and rows that the reach touches are looked at."""
         if not math.isfinite(limit):
             return self.ids
+        a, b = q[self.line], q[self.other]
         reach = math.sqrt(limit) * (1 + 1e-9) + 1e-300
         low, high = np.searchsorted(self.first, a - reach, "left"), np.searchsorted(self.first, a + reach, "right")
         spots = [np.arange(c * self.stride + np.searchsorted(self.second[c], b - reach, "left"),
@@ -200,8 +212,9 @@ class _Tiles:
         y = np.maximum(0, np.maximum(box[:, 2] - b, b - box[:, 3]))
         return self.ids[places[x * x + y * y <= limit]]
 
-    def upper(self, a: float, b: float, k: int) -> float:
+    def upper(self, q: np.ndarray, k: int) -> float:
         """A squared distance within which at least k other points lie, from tile boxes alone."""
+        a, b = q[self.line], q[self.other]
         x = np.maximum(abs(a - self.box[:, 0]), abs(a - self.box[:, 1]))
         y = np.maximum(abs(b - self.box[:, 2]), abs(b - self.box[:, 3]))
         far = (x * x + y * y) + self.slack
@@ -227,33 +240,133 @@ def _build_tiles(queries: DataFrame, points: DataFrame, n: int, features: list[s
             expr(f"percentile_approx(b, array({probs}), {8 * side}) as q"))
         for row in edges.collect():  # at most max_tiles numbers in all
             second[int(row["_c"])] = np.unique(row["q"])
-    return _Tiles([a, b], first, second, slack)
-
-
-def _tile_search(queries: DataFrame, points: DataFrame, n_points: int, k: int, features: list[str], tile_rows: int,
-                 max_tiles: int, block_points: int, block_queries: int) -> DataFrame:
+    return _Tiles([a, b], features, first, second, slack)
+
+
+class _Rings:
+    """Pivots in the space of all features, and for each the distances that cut its points into rings."""
+
+    def __init__(self, features: list[str], pivots: np.ndarray, edges: list[np.ndarray], line: int):
+        self.features, self.pivots, self.edges, self.line = features, pivots, edges, line
+        self.stride = max(len(e) for e in edges) + 1
+
+    def apart(self, x: np.ndarray) -> np.ndarray:
+        """Distance of each row from each pivot."""
+        out = np.zeros((len(x), len(self.pivots)))
+        for j in range(x.shape[1]):
+            gap = x[:, j, None] - self.pivots[None, :, j]
+            out += gap * gap
+        return np.sqrt(out)
+
+    def locate(self, x: np.ndarray) -> np.ndarray:
+        apart = self.apart(x)
+        owner = apart.argmin(axis=1)
+        ring = np.zeros(len(x), np.int64)
+        for i in np.unique(owner):
+            mine = owner == i
+            ring[mine] = np.searchsorted(self.edges[i], apart[mine, i], "right")
+        return owner * self.stride + ring
+
+    def measure(self, placed: DataFrame) -> None:
+        """Take in the number of rows of each ring and its least and greatest distance from every pivot."""
+        features, rings = self.features, self
+
+        def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                apart, tile = rings.apart(_matrix(batch, features)), _ids(batch, "tile")
+                order = np.argsort(tile, kind="stable")
+                distinct, start, n = np.unique(tile[order], return_index=True, return_counts=True)
+                if not len(distinct):
+                    continue
+                low, high = (f.reduceat(apart[order], start, axis=0) for f in (np.minimum, np.maximum))
+                width = apart.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(distinct, width)), pa.array(np.tile(np.arange(width), len(distinct)).astype(np.int32)),
+                     pa.array(np.repeat(n, width)), pa.array(low.ravel()), pa.array(high.ravel())], names=["tile", "pivot", "n", "lo", "hi"])
+
+        found = placed.mapInArrow(ends, "tile long, pivot int, n long, lo double, hi double").groupBy("tile", "pivot").agg(
+            expr("sum(n) as n"), expr("min(lo) as lo"), expr("max(hi) as hi")).orderBy("tile", "pivot").toPandas()  # rings x pivots
+        width = len(self.pivots)
+        self.ids, self.n = (found[c].to_numpy()[::width] for c in ("tile", "n"))
+        self.low, self.high = (found[c].to_numpy().reshape(-1, width) for c in ("lo", "hi"))
+
+    def lower(self, q: np.ndarray) -> np.ndarray:
+        """Squared distance below which no point of each ring can lie, a little less for rounding."""
+        apart = self.apart(q[None, :])
+        gap = np.maximum(0, np.maximum(self.low - apart, apart - self.high) - 1e-9 * (apart + self.high)).max(axis=1)
+        return gap * gap
+
+    def near(self, q: np.ndarray, limit: float) -> np.ndarray:
+        return self.ids[self.lower(q) <= limit * (1 + 1e-9)] if math.isfinite(limit) else self.ids
+
+    def upper(self, q: np.ndarray, k: int) -> float:
+        """A squared distance within which at least k other points lie."""
+        far = (self.apart(q[None, :]) + self.high).min(axis=1)
+        order = np.argsort(far)
+        enough = np.searchsorted(np.cumsum(self.n[order]), k + 1)
+        return float(far[order[min(enough, len(order) - 1)]]) ** 2 * (1 + 1e-9) if enough < len(order) else math.inf
+
+
+PIVOTS = 64
+PIVOT_SAMPLE = 4_096  # points that pivots are chosen from, a bounded sample; every point is indexed
+RING_MARKS = 255
+
+
+def _build_rings(points: DataFrame, n: int, features: list[str], tile_rows: int, max_tiles: int) -> _Rings:
+    """Pivots are drawn from a sample, each far from those before it, and moved to the middle of the points around them."""
+    share = max(1, n // PIVOT_SAMPLE)
+    drawn = points.where(f"pmod(xxhash64(id), {share}) = 0").orderBy("id").limit(2 * PIVOT_SAMPLE).select(*features)
+    x = _matrix(drawn.toArrow(), features)  # at most 2 * PIVOT_SAMPLE rows
+    if not len(x):
+        x = np.zeros((1, len(features)))
+    random, chosen = np.random.default_rng(42), [x.mean(axis=0)]
+    least = ((x - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(PIVOTS, len(x)) and least.sum() > 0:
+        chosen.append(x[random.choice(len(x), p=least / least.sum())])
+        least = np.minimum(least, ((x - chosen[-1]) ** 2).sum(axis=1))
+    rings = _Rings(features, np.array(chosen), [np.array([])] * len(chosen), int(np.argmax(x.var(axis=0))))
+    for _ in range(3):
+        owner = rings.apart(x).argmin(axis=1)
+        rings.pivots = np.array([x[owner == i].mean(axis=0) if (owner == i).any() else p for i, p in enumerate(rings.pivots)])
+
+    def radius(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = rings.apart(_matrix(batch, features))
+            yield pa.RecordBatch.from_arrays([pa.array(apart.argmin(axis=1)), pa.array(apart.min(axis=1))], names=["owner", "r"])
+
+    marks = f"array({', '.join(f'{i / (RING_MARKS + 1)!r}D' for i in range(1, RING_MARKS + 1))})"
+    rows = points.select(*features).mapInArrow(radius, "owner long, r double").groupBy("owner").agg(
+        expr("count(*) as n"), expr(f"percentile_approx(r, {marks}, {8 * RING_MARKS}) as q")).collect()  # one row per pivot
+    edges = [np.array([])] * len(chosen)
+    for r in rows:
+        wanted = min(RING_MARKS + 1, max_tiles // len(chosen), math.ceil(r["n"] / tile_rows))
+        edges[r["owner"]] = np.unique(np.array(r["q"])[[(RING_MARKS + 1) * i // wanted - 1 for i in range(1, wanted)]]) if wanted > 1 else np.array([])
+    return _Rings(features, rings.pivots, edges, rings.line)
+
+
+def _tile_search(queries: DataFrame, points: DataFrame, tiles: _Tiles | _Rings, k: int, features: list[str],
+                 block_points: int, block_queries: int, told: dict | None = None) -> DataFrame:
+    """`told` gets the number of pairs of a query and a point of a tile that it visits."""
     spark = points.sparkSession
     keys = ", ".join(features)
-    tiles = _build_tiles(queries, points, n_points, features, tile_rows, max_tiles)
-    a, b = tiles.pivots
+    told = {} if told is None else told
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spot = tiles.locate(batch.column(a).to_numpy(), batch.column(b).to_numpy())
+            spot = tiles.locate(_matrix(batch, features))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spot)], names=[*batch.schema.names, "tile"])
 
     cells = ", ".join(f"{f} double" for f in features)
     thinned = points.selectExpr("*", f"row_number() over (partition by {keys} order by id) as _r").where(f"_r <= {k + 1}")
     placed = cut_lineage(thinned.drop("_r").mapInArrow(place, f"id long, y int, {cells}, tile long"))
-    tiles.set_boxes(placed.groupBy("tile").agg(
-        expr("count(*) as n"), expr(f"min({a}) as a0"), expr(f"max({a}) as a1"),
-        expr(f"min({b}) as b0"), expr(f"max({b}) as b1")).collect())  # at most max_tiles rows
-    pivot = features.index(a)
+    tiles.measure(placed)
+    pivot = tiles.line
 
     def run(visits: DataFrame) -> DataFrame:
         """visits: (id, bound, features, tile).  Search each visited tile, in blocks of bounded size."""
         asked = {r["tile"]: r["count"] for r in visits.groupBy("tile").count().collect()}
         held = dict(zip(tiles.ids.tolist(), tiles.n.tolist()))
+        told["pairs"] = told.get("pairs", 0) + sum(q * held[t] for t, q in asked.items())
         plan = [(t, math.ceil(held[t] / block_points), math.ceil(q / block_queries)) for t, q in asked.items()]
         if not plan:
             return spark.createDataFrame([], FOUND_TYPES)
@@ -275,10 +388,10 @@ def _tile_search(queries: DataFrame, points: DataFrame, n_points: int, k: int, f
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tiles
         for batch in batches:
-            xs, ys = batch.column(a).to_numpy(), batch.column(b).to_numpy()
-            spot = t.locate(xs, ys)
+            x = _matrix(batch, features)
+            spot = t.locate(x)
             for i in np.nonzero(~np.isin(spot, t.ids))[0]:  # an empty tile: the nearest one that is not
-                spot[i] = t.ids[np.argmin(t.lower(xs[i], ys[i]))]
+                spot[i] = t.ids[np.argmin(t.lower(x[i]))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spot), pa.array(np.full(len(spot), np.inf))],
                                              names=[*batch.schema.names, "tile", "bound"])
 
@@ -291,12 +404,12 @@ def _tile_search(queries: DataFrame, points: DataFrame, n_points: int, k: int, f
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tiles
         for batch in batches:
-            xs, ys = batch.column(a).to_numpy(), batch.column(b).to_numpy()
+            x = _matrix(batch, features)
             homes_, kth = _ids(batch, "home"), batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
             rows, spots, bounds, held = [], [], [], 0
             for i in range(batch.num_rows):
-                limit = kth[i] if kth[i] == kth[i] else t.upper(xs[i], ys[i], k)
-                hit = t.near(xs[i], ys[i], limit)
+                limit = kth[i] if kth[i] == kth[i] else t.upper(x[i], k)
+                hit = t.near(x[i], limit)
                 hit = hit[hit != homes_[i]]
                 for start in range(0, len(hit), VISIT_ROWS):
                     part = hit[start:start + VISIT_ROWS]
@@ -325,20 +438,32 @@ def _merge_top(found: DataFrame, k: int) -> DataFrame:
             .where(f"rank <= {k}"))
 
 
+TWO_WIDEST = 0.9
+
+
+def _two_are_wide(points: DataFrame, features: list[str]) -> bool:
+    spread = sorted((v or 0.0 for v in points.selectExpr(*[f"var_pop({f}) as {f}" for f in features]).first()), reverse=True)
+    return sum(spread[:2]) >= TWO_WIDEST * sum(spread)
+
+
 def knn(queries: DataFrame, points: DataFrame, k: int, features: Sequence[str] = tuple(schema.FEATURES),
         method: str | None = None, tile_rows: int = 50_000, max_tiles: int = 262_144, block_points: int = 100_000,
-        block_queries: int = 20_000) -> DataFrame:
+        block_queries: int = 20_000, told: dict | None = None) -> DataFrame:
     """q_id, rank, nn_id, distance, nn_label, nn_v: the k nearest other rows of each query row.
 
     Both inputs have a key, features and (optionally) a label; a row is never its own neighbour.
-    `method` is broadcast or tiles; by default the counted size decides.
+    `method` is broadcast, tiles or rings; by default the counted size decides between broadcast and an index, and the
+    spread of the features which one: tiles where the two widest hold at least `TWO_WIDEST` of the variance, rings otherwise.
     """
     features = list(features)
     q, p = vectors_of(queries, features), vectors_of(points, features)
     n_q, n_p = q.count(), p.count()
     small = n_q * len(features) * (k + 1) <= BROADCAST_CELLS and n_q * n_p <= BROADCAST_PAIRS
-    if method == "broadcast" or (method is None and small):
+    if method == "broadcast" or not n_q or not n_p or (method is None and small):
         found = _broadcast_search(q, p, k, features)
     else:
-        found = _tile_search(q, p, n_p, k, features, tile_rows, max_tiles, block_points, block_queries)
+        method = "rings" if method == "rings" or (method is None and not _two_are_wide(p, features)) else "tiles"
+        index = (_build_rings(p, n_p, features, tile_rows, max_tiles) if method == "rings"
+                 else _build_tiles(q, p, n_p, features, tile_rows, max_tiles))
+        found = _tile_search(q, p, index, k, features, block_points, block_queries, told)
     return _merge_top(found, k).selectExpr("q_id", "rank", "nn_id", "sqrt(d2) as distance", "nn_label", "nn_v")

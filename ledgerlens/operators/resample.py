@@ -59,11 +59,29 @@ def even_copies(seeds: DataFrame, total: int, n_seeds: int, seed: int) -> DataFr
             .selectExpr("* except (_c)", f"{each}L + int(struct({order} as h, {schema.KEY} as id) <= _c) as copies"))
 
 
+COPY_BLOCK = 10_000
+
+
+def _dealt(rows: DataFrame, block: int | None = None) -> DataFrame:
+    """`rows` with `first` and `last` instead of `copies`: one row per block of a seed's copies.
+
+    The blocks of one table are numbered in order of `before`, the copies of all seeds before it, plus their own start;
+    consecutive numbers go to different tasks.  Seeds with a single block stay where they are.
+    """
+    block = block or COPY_BLOCK
+    cut = rows.selectExpr("*", f"explode(sequence(0L, (copies - 1) div {block})) as _j").selectExpr(
+        "* except (copies, _j)", f"_j * {block} + 1 as first", f"least(copies, (_j + 1) * {block}) as last", f"copies > {block} as _many")
+    many = cut.where("_many").withColumn("_deal", expr(f"(before + first - 1) div {block}"))
+    return cut.where("not _many").drop("_many").unionByName(many.repartition("_deal").drop("_many", "_deal"))
+
+
 def interpolate(seeds: DataFrame, nearest: DataFrame, k: int, seed: int,
                 features: Sequence[str] = tuple(schema.FEATURES)) -> DataFrame:
     """One synthetic minority row per copy: seed + gap * (neighbour - seed), one gap for all features of a row.
 
-    The at most k neighbours of a seed are one small array, so the only join is on the unique seed key.
+    The at most k neighbours of a seed are one small array, so the only join is on the unique seed key.  A seed's copies are
+    cut into blocks of COPY_BLOCK numbers that are dealt to tasks before a row is made, so few seeds with many copies
+    are many tasks.
     """
     lists = nearest.groupBy("q_id").agg(expr("sort_array(collect_list(struct(rank, nn_v))) as near"))
     cells = vectors_of(seeds, features).selectExpr("id", f"array({', '.join(features)}) as v")
@@ -71,7 +89,8 @@ def interpolate(seeds: DataFrame, nearest: DataFrame, k: int, seed: int,
                               log_bucket(schema.KEY))
     rows = (numbered.selectExpr(schema.KEY, "copies", "c_copies - copies as before")
             .join(cells, expr(f"{schema.KEY} = id")).join(lists, expr("id = q_id"))
-            .selectExpr("id", "v", "near", "before", "explode(sequence(1L, copies)) as copy"))
+            .selectExpr("id", "v", "near", "before", "copies"))
+    rows = _dealt(rows).selectExpr("id", "v", "near", "before", "explode(sequence(first, last)) as copy")
     rows = rows.selectExpr("id", "v", "before", "copy", f"near[cast({key_hash('id', seed, 'copy', 'pick')} % {k} as int)].nn_v as w",
                            f"{key_unit('id', seed, 'copy', 'gap')} as gap")
     return rows.selectExpr(f"-(before + copy) as {schema.KEY}",

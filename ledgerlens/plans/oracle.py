@@ -321,6 +321,7 @@ ORACLE: dict[str, str] = {
         {"p1": 0.01, "p5": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}.items())
         + ", round(avg(a), 6) as mean, round(stddev_pop(a), 6) as std from (select cast(amount as double) as a from kept)"),
     "knn_tiles": _with(*BASE_TRAIN, MINORITY, _near("nn", "minority", "train", 5), select="select q_id, cast(rank as int) as rank, nn_id, round(sqrt(d2), 4) as distance, nn_label from nn"),
+    "knn_rings": _with(*BASE_TRAIN, MINORITY, _near("nn", "minority", "train", 5), select="select q_id, cast(rank as int) as rank, nn_id, round(sqrt(d2), 4) as distance, nn_label from nn"),
     "fallback_parameters": _with(TX, KEPT, WEIGHT, select=f"""select name, cast(value as double) as value from (values
         {', '.join(f"('{n}', {v})" for n, v in FIXED.items())}) t(name, value)
         union all select 'scale_pos_weight', round(least(w, 50), 6) from weight"""),

@@ -346,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "choose_strategy": _strategy_by_limit,
     "knn": _knn_minority_all,
     "knn_tiles": lambda s, d: _knn_minority_all(s, d, method="tiles", tile_rows=500),
+    "knn_rings": lambda s, d: _knn_minority_all(s, d, method="rings", tile_rows=500),
     "smote": _resampled("smote", _smote_synthetic),
     "borderline_smote": _resampled("borderline_smote", rs.borderline_smote),
     "adasyn": _resampled("adasyn", rs.adasyn),

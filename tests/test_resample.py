@@ -187,3 +187,54 @@ def test_class_weight_is_capped(spark):
     assert sp.class_weight(df, 50).first()[0] == 50.0
     weights = {r.isFraud: r.weight for r in sp.add_class_weight(df, 5.0).select("isFraud", "weight").distinct().collect()}
     assert weights == {0: 1.0, 1: 5.0}
+
+
+def _equal_spread(spark, n=3_000, seed=5):
+    """Rows around 200 places in the space of ten features of equal spread, many of which meet in any two of them."""
+    r = np.random.default_rng(seed)
+    names = schema.FEATURES[:10]
+    places = r.uniform(-100, 100, size=(200, 10))
+    x = places[r.integers(0, 200, n)] + 3 * r.normal(size=(n, 10))
+    x[::50] = x[0]  # equal rows
+    return feature_rows(spark, [(i, int(i % 9 == 0), dict(zip(names, map(float, row)))) for i, row in enumerate(x)]), names
+
+
+def test_rings_find_the_neighbours_and_compare_fewer_pairs(spark):
+    rows, names = _equal_spread(spark)
+    rows = rows.persist()
+    told = {m: {} for m in ("tiles", "rings")}
+    found = {m: sorted(map(tuple, neighbours.knn(rows, rows, 4, names, method=m, tile_rows=60, block_points=500, block_queries=300,
+                                                 told=told.get(m)).select("q_id", "rank", "nn_id", "distance").collect()))
+             for m in ("broadcast", "tiles", "rings")}
+    assert len(found["broadcast"]) == 12_000
+    assert [r[:3] for r in found["rings"]] == [r[:3] for r in found["broadcast"]]
+    assert [r[3] for r in found["rings"]] == pytest.approx([r[3] for r in found["broadcast"]])
+    assert 2 * told["rings"]["pairs"] <= told["tiles"]["pairs"]
+    assert not neighbours._two_are_wide(neighbours.vectors_of(rows, names), names)
+
+
+def test_rings_of_few_equal_and_no_points(spark):
+    few = feature_rows(spark, [(i, 0, {"amount": 5.0}) for i in range(7)])
+    got = neighbours.knn(few, few, 3, method="rings", tile_rows=2).orderBy("q_id", "rank").collect()
+    assert [r.nn_id for r in got][:6] == [1, 2, 3, 0, 2, 3] and all(r.distance == 0 for r in got)
+    assert neighbours.knn(few, few.limit(0), 3, method="rings").count() == 0
+    assert neighbours.knn(few.limit(0), few, 3, method="rings").count() == 0
+    one = neighbours.knn(few.limit(1), few.limit(1), 3, method="rings")
+    assert one.count() == 0
+
+
+def test_copies_of_one_seed_are_many_tasks(spark, monkeypatch):
+    seeds = feature_rows(spark, [(i, 1, {"amount": float(i)}) for i in range(6)])
+    near = neighbours.knn(seeds, seeds, 2)
+    given = seeds.selectExpr("*", "if(tx_id = 3, 5000L, if(tx_id = 5, 2L, 0L)) as copies")
+    whole = rs.interpolate(given, near, 2, 42)
+    monkeypatch.setattr(rs, "COPY_BLOCK", 100)
+    dealt = rs.interpolate(given, near, 2, 42)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, whole.collect())) and dealt.count() == 5_002
+    blocks = rs._dealt(given.where("copies > 0").selectExpr("tx_id as id", "copies", "0L as before"), 100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        tasks = blocks.selectExpr("spark_partition_id() as task", "last - first + 1 as n").groupBy("task").sum("n").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["sum(n)"] for r in tasks) == 5_002 and max(r["sum(n)"] for r in tasks) < 2_500

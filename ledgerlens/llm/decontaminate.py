@@ -180,21 +180,21 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int, seed: int = 42)
 
         out = np.frombuffer(_summed(rows.mapInArrow(multiply, "part binary"), "part", np.float32), np.float32)
         sent.destroy()
-        return out.reshape(-1, width).astype(float) if len(out) else np.zeros((size, width))
+        return out.reshape(-1, width) if len(out) else np.zeros((size, width), np.float32)
 
-    directions = np.random.default_rng(seed).standard_normal((size, width))
+    directions = np.random.default_rng(seed).standard_normal((size, width)).astype(np.float32)
     for _ in range(1 + POWERS):
         directions = np.linalg.qr(product(directions))[0]
         width = directions.shape[1]
-    small = directions.T @ product(directions)
+    small = (directions.T @ product(directions)).astype(float)
     _, vectors = np.linalg.eigh((small + small.T) / 2)
-    return directions @ vectors[:, ::-1][:, :rank]
+    return directions @ np.ascontiguousarray(vectors[:, ::-1][:, :rank]).astype(np.float32)
 
 
 def search(docs: DataFrame, block: Queries, idf: np.ndarray, basis: np.ndarray, key: str = "doc_id",
            text: str = "text") -> DataFrame:
     """(key, item, cosine, common, answer) of every pair that passes the checks, for one block of items."""
-    term_vectors = (idf[:, None] * basis).astype(np.float32)
+    term_vectors = idf.astype(np.float32)[:, None] * basis
     passage = np.stack([term_vectors[p].sum(axis=0) for p in block.passages])
     length = np.linalg.norm(passage, axis=1)
     useful = length > 0

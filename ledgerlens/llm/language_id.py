@@ -107,25 +107,31 @@ class LanguageModel:
 def vectors(counts: np.ndarray) -> np.ndarray:
     """Root of the relative frequencies (unit length) and a constant."""
     total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    out = np.ones((len(counts), counts.shape[1] + 1), counts.dtype if counts.dtype.kind == "f" else float)
+    out = np.ones((len(counts), counts.shape[1] + 1))
     share = np.divide(counts, total, out=out[:, :-1])
     np.sqrt(share, out=share)
     return out
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30, seed: int = 42) -> np.ndarray:
-    """Weights of a linear SVM with squared hinge loss, classes weighted to equal sums, by dual coordinate descent."""
+def linear_svm(x: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None, cost: float = 10.0, rounds: int = 30,
+               seed: int = 42) -> np.ndarray:
+    """Weights of a linear SVM with squared hinge loss, classes weighted to equal sums, by dual coordinate descent.
+
+    `y` are the marks (1 or -1) of the given rows of `x`, by default of all; no part of `x` is copied.
+    """
+    rows = np.arange(len(x)) if rows is None else rows
     share = np.where(y > 0, (y > 0).mean(), (y < 0).mean())
     diagonal = share / cost  # 1 / (2 C_i) with C_i = cost / (2 share)
-    squares = np.einsum("ij,ij->i", x, x) + diagonal
-    alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
+    squares = np.array([x[r] @ x[r] for r in rows]) + diagonal
+    alpha, w = np.zeros(len(rows)), np.zeros(x.shape[1])
     random = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
-        for i in random.permutation(len(x)):
-            new = max(0.0, alpha[i] - (y[i] * (x[i] @ w) - 1 + diagonal[i] * alpha[i]) / squares[i])
+        for i in random.permutation(len(rows)):
+            own = x[rows[i]]
+            new = max(0.0, alpha[i] - (y[i] * (own @ w) - 1 + diagonal[i] * alpha[i]) / squares[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w += (new - alpha[i]) * y[i] * own
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
         if moved < 1e-3:
@@ -133,9 +139,9 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 3
     return w
 
 
-def fit_model(languages: list[str], counts: np.ndarray) -> LanguageModel:
-    """Machines for labelled rows of counts; at least one row is needed."""
-    x, family = vectors(counts), np.array([family_of(n) for n in languages])
+def fit_model(languages: list[str], x: np.ndarray) -> LanguageModel:
+    """Machines for labelled vectors; at least one row is needed."""
+    family = np.array([family_of(n) for n in languages])
     label, families = np.array(languages), sorted(set(family))
     if len(families) == 1:
         tops = np.zeros((x.shape[1], 1))
@@ -148,7 +154,7 @@ def fit_model(languages: list[str], counts: np.ndarray) -> LanguageModel:
         machines = []
         for a, b in combinations(names, 2):
             rows = np.flatnonzero((label == a) | (label == b))
-            machines.append(linear_svm(x[rows], np.where(label[rows] == a, 1.0, -1.0)))
+            machines.append(linear_svm(x, np.where(label[rows] == a, 1.0, -1.0), rows))
         if machines:
             pairs[f] = np.stack(machines, axis=1)
     return LanguageModel(families, tops, members, pairs)
@@ -166,7 +172,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language:
         "language is not null and text is not null")
     sizes = known.groupBy("language").count().collect()  # one row per language
     if not sizes:
-        return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS), np.int64))
+        return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS + 1)))
     each = max(1, rows // len(sizes))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(seed)), F.lit(1 << 30))
     limit = F.create_map(*[c for r in sizes for c in (F.lit(r["language"]), F.lit(int((1 << 30) * min(1.0, each / r["count"]))))])
@@ -190,14 +196,13 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", language:
     pairs = sorted(zip(found.column("language").to_pylist(), found.column("counts").to_pylist()))
     del found
     if not pairs:
-        return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS), np.int64))
-    counts = np.zeros((len(pairs), DIMENSIONS), np.float32)
-    for row, (_, packed) in zip(counts, pairs):
+        return fit_model([UNDETERMINED], np.zeros((1, DIMENSIONS + 1)))
+    x = np.ones((len(pairs), DIMENSIONS + 1), np.float32)  # one matrix, filled row by row, as `vectors` makes it
+    x[:, :-1] = 0
+    for row, (_, packed) in zip(x, pairs):
         cells = np.frombuffer(packed, "<u4").reshape(2, -1)
-        row[cells[0]] = cells[1]
-    names = [p[0] for p in pairs]
-    del pairs
-    return fit_model(names, counts)
+        row[cells[0]] = np.sqrt(cells[1].astype(np.float32) / np.float32(cells[1].sum()))
+    return fit_model([p[0] for p in pairs], x)
 
 
 def _packed(counts: np.ndarray) -> bytes:

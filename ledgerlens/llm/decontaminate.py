@@ -2,13 +2,12 @@
 
   1. Benchmark items are cut into passages of `width` words; their words are the vocabulary.  Document frequencies of
      the vocabulary are counted over all documents.
-  2. A randomised SVD of the TF-IDF passages of the items gives the latent space, with as many directions as passages, so
-     that each passage is kept whole and nothing hangs on a draw.  What a document window has outside this space is at
-     right angles to every passage.  The matrix is a table of sparse rows; each product with it is a sum of partial
+  2. A randomised SVD of the TF-IDF passages of the items gives the latent space, with a quarter as many directions as
+     passages (LEAST_RANK at least).  The matrix is a table of sparse rows; each product with it is a sum of partial
      products per task.
   3. Every window (twice as wide, one `width` after the other) of every document is projected and compared by cosine with
-     the item passages; a window that holds a whole passage is near it, however much else it holds.  Left out before are
-     only items that step 4 cannot count: under PARAPHRASE of their words occur anywhere in the text that it looks at.
+     the item passages, or by its length along a passage, which other words of the window hardly change.  Left out
+     before are only items that step 4 cannot count: under PARAPHRASE of their words occur anywhere in the text that it looks at.
   4. For each (document, item) found, the longest common subsequence of words with the text around the window is the
      check.  An item counts as contained from SAME of its words on; from PARAPHRASE on if its answer is there as well.
 
@@ -36,6 +35,7 @@ BLOCK = 500  # items searched together, and characters of them
 BLOCK_CHARS = 50_000
 SVD_TASKS = 2  # the matrix is small; each task sends terms x rank numbers to the driver
 WIDTH = 16  # words of a passage; less if the shortest item has fewer
+LEAST_RANK, RANK_SHARE = 64, 4  # directions of the latent space: a quarter of the passages, but not fewer than these
 EXTRA = 16  # more random directions than the rank
 POWERS = 2  # further products with the matrix, for separated directions
 NEAR = 0.5  # least cosine in the latent space
@@ -288,6 +288,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         seen, total = document_frequencies(narrow, block.vocabulary, text)
         idf = np.log((1 + total) / (1 + seen)) + 0.1
         matrix = cut_lineage(spark.createDataFrame([(p,) for p in block.passages], "terms array<bigint>"))
-        basis = randomised_svd(matrix, idf, min(len(block.passages), len(block.vocabulary)))
+        rank = max(LEAST_RANK, len(block.passages) // RANK_SHARE)
+        basis = randomised_svd(matrix, idf, min(rank, len(block.passages), len(block.vocabulary)))
         out = out.unionByName(search(narrow, block, idf, basis, key, text))
     return out

@@ -8,6 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import bpe, ordered, queries as q, token_counts as tc, token_files as tf
@@ -168,6 +169,18 @@ def test_token_counts(spark, monkeypatch, frequent):
     assert got == sorted((repr(k), len((t or "").encode()), len(PIECE.encode(t or ""))) for k, t in rows)
 
 
+def test_frequent_words_are_cut_by_their_histogram(spark):
+    rows = [(f"w{i}", 1 + (i % 7) ** 3) for i in range(7_000)] + [("top", 10 ** 12)]
+    words = spark.createDataFrame(rows, "word string, frequency long")
+    for most in (1, 500, 1_001, 3_500, 7_001, 10_000):
+        got = tc.frequent_words(words, most)
+        n, least = got.count(), got.agg(F.min("frequency")).first()[0]
+        assert 0.9 * min(most, 7_001) - 1 <= n <= 1.05 * most
+        assert words.where(F.col("frequency") > least).count() <= n  # whatever is more frequent is there, too
+        assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+    assert tc.frequent_words(words.limit(0), 5).count() == 0
+
+
 def test_token_counts_of_no_rows(spark):
     assert tc.token_counts(frame(spark, []), MODEL).count() == 0
 

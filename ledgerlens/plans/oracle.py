@@ -314,6 +314,29 @@ ORACLE: dict[str, str] = {
         union all select 'train_balanced', (select count(*) from train) + (select count(*) from synthetic)
         union all select 'trials', 2 union all select 'best_params', 1 union all select 'scored_val', n from parts where part = 'val'
         union all select 'scored_test', n from parts where part = 'test' union all select 'package', 1 union all select 'steps', 5"""),
+    "stage_manifest": _with(*_smote(150, 0.15, 5), PARTS, select="""select 'load' as step, 'loaded' as name, (select count(*) from tx) as n_rows, 12 as n_columns, 1 as seq
+        union all select 'features', 'features', (select count(*) from kept), 21, 3
+        union all select 'split', 'splits', (select count(*) from kept) + (select count(*) from synthetic), 23, 4
+        union all select step, name, n_rows, n_columns, seq from (values
+            ('load', 'loaded_profile', 1, 6, 1), ('load', 'loaded_columns', 5, 3, 1), ('load', 'loaded_balance', 1, 5, 1),
+            ('features', 'amount_stats', 1, 9, 3), ('features', 'feature_manifest', 19, 6, 3),
+            ('split', 'removed', 0, 1, 4), ('split', 'split_metadata', 1, 2, 4), ('split', 'moments_train', 19, 3, 4),
+            ('split', 'moments_summary_train', 1, 2, 4), ('split', 'moments_train_balanced', 19, 3, 4),
+            ('split', 'moments_summary_train_balanced', 1, 2, 4), ('split', 'split_balance', 4, 4, 4),
+            ('split', 'split_audit', 4, 5, 4), ('split', 'resample_summary', 2, 5, 4)) t(step, name, n_rows, n_columns, seq)"""),
+    "stored_values": _with(*_smote(150, 0.15, 5), PARTS, f"""facts as (select count(*) as n, count(*) filter (where isFraud = 1) as bad,
+            quantile_cont(cast(amount as double), 0.5) as median, {_cells(ALL_TX)} as missing from tx),
+        balanced as (select count(*) + (select count(*) from synthetic) as n,
+            count(*) filter (where isFraud = 1) + (select count(*) from synthetic) as bad from train),
+        test_part as (select count(*) as n, count(*) filter (where isFraud = 1) as bad from splits where split = 'test')""", select="""
+        select stage, item, round(cast(value as double), 4) as value from (
+            select 'loaded_profile' as stage, unnest([0, 1, 2, 3, 4]) as item, unnest([n, bad, bad / n, median, missing]) as value from facts
+            union all select 'loaded_balance', unnest([0, 1]), unnest([n - bad, 100 * bad / n]) from facts
+            union all select 'amount_stats', unnest([0, 1, 2, 3, 4]), unnest([p1, median, p99, mean, std]) from stats
+            union all select 'search_metadata', unnest([0, 1, 2, 3, 4, 5, 6, 7]), unnest([19, balanced.n, balanced.bad / balanced.n, parts.n, 0, 1, 1, 0.05])
+                from balanced, parts where part = 'val'
+            union all select 'package', unnest([0, 1, 2, 3, 4, 5]), unnest([19, 19, balanced.bad / balanced.n, t.bad, t.n, 1]) from balanced, test_part t)"""),
+    "content_keys": _with(TX, select="select type, isFraud, step, count(*) as n, count(*) as keys, true as positive from tx group by type, isFraud, step"),
     "run_one_step": _with(*_smote(150, 0.15, 5), PARTS, select="""select part, n from parts
         union all select 'train_balanced', (select count(*) from train) + (select count(*) from synthetic)"""),
     "amount_stats_approx": _with(TX, KEPT, select="select " + ", ".join(
@@ -450,3 +473,5 @@ ORACLE: dict[str, str] = {
         round(sum(value), 4) as total_duration, round(avg(value), 4) as mean_duration,
         round(avg(value) * greatest(5 - count(distinct event_id % 5 + 1), 0), 4) as remaining_estimate from events""",
 }
+# The profiles merged from chunks are those of the whole table.
+ORACLE |= {"merged_profile": ORACLE["dataset_profile"], "merged_columns": ORACLE["numeric_profile"]}

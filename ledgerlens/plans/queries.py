@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import expr
 
 from ledgerlens import schema
-from ledgerlens.operators import clean, evaluate, features as fe, neighbours, profile, report, resample as rs
+from ledgerlens.operators import clean, evaluate, features as fe, neighbours, partials, profile, report, resample as rs
 from ledgerlens.operators import split as sp, threshold as th, training as tr
 from ledgerlens.plans import fixture, runner
 from ledgerlens.session import cut_lineage, scratch_path
-from ledgerlens.sources import stages
-from ledgerlens.sources.transactions import append_chunks, read_transactions
+from ledgerlens.sources import publish, stages
+from ledgerlens.sources.transactions import append_chunks, content_keys, read_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -289,6 +289,63 @@ def _one_step(spark: SparkSession, sf: str) -> DataFrame:
     return _counted(spark, {n: stages.read_split(spark, work, n) for n in ("train", "val", "test", "train_balanced")}, "part")
 
 
+def _stage_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """What the manifest tells after the first three steps, the second one run twice."""
+    source, work = _source(spark, sf)
+    for number in (1, 2, 2, 3):
+        record = runner.run_step(spark, number, source, work)
+        if not record["success"]:
+            raise RuntimeError(record["error"])
+    return publish.manifest(spark, work).selectExpr("step", "name", "n_rows", "size(columns) as n_columns", "seq")
+
+
+def _stored_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Contents of the tables that describe a run: profile, statistics, manifest of features, metadata, package."""
+    source, work = _source(spark, sf)
+    for row in runner.run_all(spark, source, work, runner.Settings(n_trials=2)).collect():
+        if not row["success"]:
+            raise RuntimeError(row["error"])
+    wanted = {
+        "loaded_profile": ["total_rows", "fraud_count", "fraud_rate", "amount_stats.median", "data_quality.missing_values"],
+        "loaded_balance": ["legit", "fraud_percent"],
+        "amount_stats": ["p1", "median", "p99", "mean", "std"],
+        "search_metadata": ["feature_count", "train_rows", "train_rate", "validation_rows", "int(is_fallback)",
+                            "int(sampling_method like 'smote%')", "int(space = 'narrow')", "targets['fpr'][1]"],
+        "package": ["feature_count", "size(feature_names)", "balanced_fraud_rate", "metrics.tp + metrics.fn",
+                    "metrics.tp + metrics.fp + metrics.fn + metrics.tn", "int(threshold = metrics.threshold)"],
+    }
+    parts = [stages.read_table(spark, work, name).selectExpr("inline(array(" + ", ".join(
+        f"struct('{name}' as stage, {i} as item, round(cast({e} as double), 4) as value)" for i, e in enumerate(cells)) + "))")
+        for name, cells in wanted.items()]
+    return append_chunks(parts)
+
+
+def _content_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by a content key: the rows as they are, and whether keys are unique and none is below zero."""
+    rows = cut_lineage(content_keys(_tx(spark, sf).select("type", "isFraud", "step")))
+    return rows.groupBy("type", "isFraud", "step").agg(
+        expr("count(*) as n"), expr(f"count(distinct {schema.KEY}) as keys"), expr(f"min({schema.KEY}) >= 0 as positive"))
+
+
+def _merged_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of the whole table from the stored states of five chunks, one of them given twice."""
+    tx, work = _tx(spark, sf), scratch_path(spark)
+    for i in (0, 1, 2, 3, 4, 2):
+        partials.store_chunk(tx.where(f"step % 5 = {i}"), work, f"chunk{i}")
+    state = partials.merged(spark, work)
+    return rounded(partials.profile_of(state).selectExpr(
+        "total_rows", "fraud_count", "fraud_rate", "array_join(transaction_types, ',') as types",
+        "amount_stats.min as amount_min", "amount_stats.max as amount_max", "amount_stats.mean as amount_mean",
+        "amount_stats.median as amount_median", "data_quality.missing_values", "data_quality.duplicates"))
+
+
+def _merged_columns(spark: SparkSession, sf: str) -> DataFrame:
+    tx, work = _tx(spark, sf), scratch_path(spark)
+    for i in range(3):
+        partials.store_chunk(tx.where(f"step % 3 = {i}"), work, f"chunk{i}")
+    return rounded(partials.numeric_profile_of(partials.merged(spark, work)))
+
+
 def _strategy_by_limit(spark: SparkSession, sf: str) -> DataFrame:
     """The measured imbalance and the chosen method for each label variant."""
     parts = [sp.choose_strategy(sp.imbalance(clean.filter_types(_tx(spark, sf, limit)))).selectExpr(
@@ -299,6 +356,7 @@ def _strategy_by_limit(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "read_transactions": _csv_round_trip,
+    "content_keys": _content_keys,
     "append_chunks": _chunks,
     "narrow_floats": lambda s, d: rounded(clean.narrow_floats(_tx(s, d).selectExpr("tx_id", "cast(amount as double) / 3 as third"))),
     "stage_round_trip": _stage_round_trip,
@@ -322,6 +380,8 @@ QUERIES: dict[str, Query] = {
         "total_rows", "fraud_count", "fraud_rate", "array_join(transaction_types, ',') as types",
         "amount_stats.min as amount_min", "amount_stats.max as amount_max", "amount_stats.mean as amount_mean",
         "amount_stats.median as amount_median", "data_quality.missing_values", "data_quality.duplicates")),
+    "merged_profile": _merged_profile,
+    "merged_columns": _merged_columns,
     "split_balance": lambda s, d: rounded(profile.split_balance(_all_parts(s, d))),
     "split_audit": _audit,
     "feature_moments": lambda s, d: rounded(_moments(s, d, lambda m: m), 3),
@@ -400,5 +460,7 @@ QUERIES: dict[str, Query] = {
     "run_all_steps": _full_run,
     "run_log_rows": _run_rows,
     "run_one_step": _one_step,
+    "stage_manifest": _stage_manifest,
+    "stored_values": _stored_values,
     "run_summary": lambda s, d: rounded(runner.run_summary(_run_log(s, d)), 4),
 }

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens import schema
 from ledgerlens.operators import clean, evaluate, features as fe, profile, report, resample as rs, split as sp
 from ledgerlens.operators import threshold as th, training as tr
-from ledgerlens.sources import stages
+from ledgerlens.sources import publish, stages
 from ledgerlens.sources.transactions import read_transactions
 
 
@@ -31,7 +31,7 @@ class Settings:
 
 
 def load_step(spark: SparkSession, source: str, work: str, settings: Settings) -> None:
-    raw = stages.write_table(clean.narrow_floats(read_transactions(spark, source)), work, "loaded")
+    raw = stages.write_table(clean.narrow_floats(read_transactions(spark, source, keys="content")), work, "loaded")
     unlabelled = raw.where(f"{schema.LABEL} is null").count()
     if unlabelled:
         raise ValueError(f"{unlabelled} rows have no {schema.LABEL}")
@@ -133,7 +133,7 @@ def package(spark: SparkSession, work: str, metrics: DataFrame, params: dict[str
             balanced: DataFrame) -> DataFrame:
     """One row: where the model is and everything needed to use and judge it."""
     targets = {n: list(map(float, r)) for n, r in schema.TARGET_RANGES.items()}
-    given = spark.createDataFrame([(f"{work}/model", list(schema.FEATURES), len(schema.FEATURES), params, method, targets)],
+    given = spark.createDataFrame([(publish.locate(spark, work, "model"), list(schema.FEATURES), len(schema.FEATURES), params, method, targets)],
                                   "model_path string, feature_names array<string>, feature_count int, "
                                   "parameters map<string,double>, sampling_method string, target_metrics map<string,array<double>>")
     numbers = metrics.selectExpr(f"struct({', '.join(metrics.columns)})").scalar()
@@ -145,25 +145,50 @@ def package(spark: SparkSession, work: str, metrics: DataFrame, params: dict[str
 
 STEPS: list[tuple[str, Callable]] = [("load", load_step), ("features", feature_step), ("split", split_step),
                                      ("search", search_step), ("train", train_step)]
+READS = {"load": [], "features": ["load"], "split": ["features"], "search": ["split"], "train": ["split", "search"]}
 LOG_TYPES = "step int, module string, success boolean, duration double, error string"
 
 
-def run_step(spark: SparkSession, number: int, source: str, work: str, settings: Settings = Settings()) -> dict:
-    """Run one step (1-5) from the saved tables; returns its log record."""
+def _inputs(spark: SparkSession, source: str, work: str, name: str, settings: Settings) -> str:
+    """A digest of what a step reads: the source's files (path, time, length; not their content) or the published
+    versions of the steps before, and the settings."""
+    if READS[name]:
+        done = publish.current(spark, work)
+        told = [done.get(step, (None,))[0] for step in READS[name]]
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+        told = list(files.selectExpr("count(*)", "bit_xor(xxhash64(path, modificationTime, length))").first())
+    return hashlib.sha256(repr((name, told, settings)).encode()).hexdigest()
+
+
+def run_step(spark: SparkSession, number: int, source: str, work: str, settings: Settings = Settings(),
+             reuse: bool = False) -> dict:
+    """Run one step (1-5) from the saved tables; returns its log record.
+
+    Its tables are published together when it is done; a step that fails leaves the ones published before valid.  With
+    `reuse` a step is left out whose last publication came from the same inputs.
+    """
     name, step = STEPS[number - 1]
     started, error = time.time(), None
     try:
-        step(spark, source, work, settings)
+        inputs = _inputs(spark, source, work, name, settings)
+        if not (reuse and publish.current(spark, work).get(name, ("", ""))[1] == inputs):
+            with publish.publication(spark, work, name, inputs):
+                step(spark, source, work, settings)
     except Exception as problem:
         error = f"{type(problem).__name__}: {problem}"
     return {"step": number, "module": name, "success": error is None, "duration": time.time() - started, "error": error}
 
 
-def run_all(spark: SparkSession, source: str, work: str, settings: Settings = Settings(), first: int = 1) -> DataFrame:
-    """Run the steps in order, stop at the first failure, and return the written run log."""
+def run_all(spark: SparkSession, source: str, work: str, settings: Settings = Settings(), first: int = 1,
+            reuse: bool = True) -> DataFrame:
+    """Run the steps in order, stop at the first failure, and return the written run log.
+
+    Steps that were published from the same inputs are not run again, so a run that died goes on where it was.
+    """
     log = []
     for number in range(first, len(STEPS) + 1):
-        log.append(run_step(spark, number, source, work, settings))
+        log.append(run_step(spark, number, source, work, settings, reuse))
         if not log[-1]["success"]:
             break
     return stages.write_table(spark.createDataFrame(log, LOG_TYPES), work, "run_log")

@@ -8,23 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ledgerlens import schema
 from ledgerlens.operators.boosting import BoostedModel
-
-
-def _path(work: str, name: str) -> str:
-    return f"{work.rstrip('/')}/{name}"
+from ledgerlens.sources.publish import locate, target
 
 
 def write_table(df: DataFrame, work: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Overwrite one stage table and return the written copy."""
+    """Write one stage table and return the written copy: in a publication a new folder, else its plain one again."""
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(_path(work, name))
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target(work, name))
     return read_table(df.sparkSession, work, name, df.schema)
 
 
 def read_table(spark: SparkSession, work: str, name: str, layout: T.StructType | None = None) -> DataFrame:
     """Read a stage table; with a layout, without looking into its files first."""
     reader = spark.read.schema(layout) if layout is not None else spark.read
-    return reader.parquet(_path(work, name))
+    return reader.parquet(locate(spark, work, name))
 
 
 def read_loaded(spark: SparkSession, work: str) -> DataFrame:
@@ -48,7 +45,7 @@ def add_balancing(work: str, synthetic: DataFrame | None, removed: DataFrame | N
     if synthetic is not None:
         order = [f.name for f in schema.split_table_schema().fields][:-2]
         rows = synthetic.selectExpr(*order, "true as is_synthetic", "'synthetic' as split")
-        rows.write.mode("append").partitionBy("split").parquet(_path(work, "splits"))
+        rows.write.mode("append").partitionBy("split").parquet(locate(spark, work, "splits"))
     none = spark.createDataFrame([], f"{schema.KEY} long")
     write_table(none if removed is None else removed.select(schema.KEY).where(f"{schema.KEY} >= 0"), work, "removed")
 
@@ -68,13 +65,14 @@ def read_split(spark: SparkSession, work: str, name: str) -> DataFrame:
 
 def write_model(model: BoostedModel, work: str) -> str:
     """The trees of a model as a table of nodes, and its features."""
-    spark, path = SparkSession.active(), _path(work, "model")
+    spark, path = SparkSession.active(), target(work, "model", "/nodes")
     model.nodes(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
     spark.createDataFrame([(list(model.features),)], "features array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
     return path
 
 
 def read_model(work: str) -> BoostedModel:
-    spark, path = SparkSession.active(), _path(work, "model")
+    spark = SparkSession.active()
+    path = locate(spark, work, "model")
     features = spark.read.parquet(f"{path}/features").first()["features"]
     return BoostedModel.of_nodes(features, spark.read.parquet(f"{path}/nodes"))

@@ -11,11 +11,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlens.llm.common import quoted
+from ledgerlens.operators.evaluate import roc_auc
 from ledgerlens.session import broadcast_if_small, cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FIT_ROWS = 20_000  # distinct labelled URLs that trees are fitted on, chosen by hash per label; statistics count all rows
-SENT_SUFFIXES = 200_000  # up to so many suffixes the statistics are sent to every task, more are joined by a shuffle
+SENT_SUFFIXES = 200_000  # so many suffixes or hosts are sent to every task, the most frequent ones; others are joined by a shuffle
 LEVELS = 4  # suffixes of so many labels have statistics
 PRIOR = 4.0  # pseudo-observations at the overall rate
 FEATURES = ["url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "host_digit_ratio",
@@ -186,14 +188,79 @@ def fit_or_base(labelled: DataFrame, url: str = "url", label: str = "blocked", r
     return UrlModel(trees, rates, base)
 
 
+def _look_up(rows: DataFrame, key: str, table: DataFrame, sent: int) -> DataFrame:
+    """`rows` with the other columns of the stored `table` (__key, __n, ...), which has every key of `rows` once.
+
+    `__n` tells how often a key occurs.  Up to `sent` keys are sent to every task.  Of a larger table the most frequent ones
+    are, cut by a histogram of `__n`; only rows of the others are shuffled, so no frequent key is a task of its own.
+    """
+    step = F.floor(F.log2("__n") * 16)  # some hundred steps at most
+    values = lambda part: part.drop("__n").withColumnRenamed("__key", key)
+    total, cut = 0, None
+    for row in table.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > sent:
+            break
+        cut = row["step"]
+    if total <= sent:
+        return rows.join(F.broadcast(values(table)), key)
+    frequent = F.broadcast(values(table.where(step >= cut if cut is not None else F.lit(False))))
+    rare = values(table.where(step < cut) if cut is not None else table)
+    return rows.join(frequent, key).unionByName(rows.join(F.broadcast(frequent.select(key)), key, "left_anti").join(rare, key))
+
+
+def host_rates(hosts: DataFrame, model: UrlModel) -> DataFrame:
+    """(__key, __n, suffix_1 ... suffix_LEVELS) of the stored distinct hosts (__key, __n)."""
+    levels = [f"__l{i}" for i in range(1, LEVELS + 1)]
+    every = suffixes(F.col("__key"))
+    # a host of fewer labels has an empty name with a zero character, like no suffix
+    named = hosts.select("*", *[F.coalesce(F.get(every, F.size(every) - i), F.lit("\0")).alias(f"__l{i}") for i in range(1, LEVELS + 1)])
+    names = named.select("__n", F.explode(F.array(*levels)).alias("__name")).groupBy("__name").agg(F.sum("__n").alias("__n"))
+    rates = model.rates.select("__suffix", "__all")
+    table = cut_lineage(names.join(rates, F.col("__name") == rates["__suffix"], "left")
+                        .select(F.col("__name").alias("__key"), "__n", F.col("__all").alias("__rate")))
+    out, above = named.withColumnsRenamed({"__key": "__host", "__n": "__times"}), F.lit(model.base)
+    for i, level in enumerate(levels, 1):
+        out = (_look_up(out, level, table, SENT_SUFFIXES).withColumn(f"suffix_{i}", F.coalesce("__rate", above))
+               .drop("__rate", level))
+        above = F.col(f"suffix_{i}")
+    return out.withColumnsRenamed({"__host": "__key", "__times": "__n"})
+
+
 def score(df: DataFrame, model: UrlModel, url: str = "url", out: str = "score") -> DataFrame:
     """`df` with `out`, the model's probability that a URL is to be blocked: without trees its base rate, NULL without one.
 
-    Rows are moved only if there are over SENT_SUFFIXES suffixes.
+    A column named like `out` is replaced; all others stay, whatever their names.  Suffix statistics are joined to distinct
+    hosts, hosts to rows.  Rows are moved only for rare hosts, if there are over SENT_SUFFIXES different ones.
     """
-    kept = [c for c in df.columns if c.lower() != out.lower()]
+    names = [f"__c{i}" for i in range(len(df.columns))]
+    kept = [(c, n) for c, n in zip(names, df.columns) if n.lower() != out.lower()]
+    rows = df.select(F.col(quoted(url)).alias("__url"), "*").toDF("__url", *names)
+    back = [F.col(c).alias(n) for c, n in kept]
     if model.trees is None:
-        return df.select(*kept, F.lit(model.base).cast("double").alias(out))
-    cells = _with_rates(lexical(df.select(*kept), url), model.rates, model.base, F.col("__all"))
+        return rows.select(*back, F.lit(model.base).cast("double").alias(out))
+    hosts = cut_lineage(rows.groupBy(host_of(F.col("__url")).alias("__key")).agg(F.count("*").alias("__n")))
+    table = cut_lineage(host_rates(hosts, model))
+    cells = lexical(_look_up(rows.withColumn("__site", host_of(F.col("__url"))), "__site", table, SENT_SUFFIXES), "__url")
     ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(cells)
-    return model.trees.transform(ready).select(*kept, vector_to_array("probability")[1].alias(out))
+    return model.trees.transform(ready).select(*back, vector_to_array("probability")[1].alias(out))
+
+
+def domain_of(url: Column) -> Column:
+    """The last two labels of the host."""
+    labels = F.split(host_of(url), r"\.", -1)
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
+
+
+def held_out_auc(labelled: DataFrame, url: str = "url", label: str = "blocked", folds: int = 5, **how) -> float | None:
+    """Area under the ROC curve over the domains of one fold of `folds`, of a model fitted on all other domains.
+
+    A domain is held out as a whole, so no statistics of its own labels are known.  None where it has labels of one kind.
+    """
+    rows = labelled.select(F.col(quoted(url)).alias("url"), F.col(quoted(label)).cast("int").alias("label")).where("label is not null")
+    held = F.pmod(F.xxhash64(domain_of(F.col("url"))), F.lit(folds)) == 0
+    model = fit_or_base(rows.where(~held), "url", "label", **how)
+    tested = cut_lineage(score(rows.where(held), model, out="p").select("label", "p"))
+    if tested.select("label").distinct().count() < 2:
+        return None
+    return roc_auc(tested).first()["auc_roc"]

@@ -409,6 +409,68 @@ def test_rare_labels_of_a_large_table_and_one_url_in_many_rows(spark):
     assert dict(map(tuple, scored))[1] > dict(map(tuple, scored))[0]
 
 
+def _labelled_urls(n, seed=8):
+    """Half of the hosts end in one suffix; unwanted hosts have digits and their own suffix, some of them are wanted."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        bad = i % 4 == 0
+        name = f"{r.choice('abcdef')}{i % 97}{r.randint(100, 999) if bad else ''}"
+        end = "com" if i % 2 else "top" if r.random() < 0.9 * bad + 0.05 else "org"
+        rows.append((f"http://{name}.{end}/{'q?x=1&y=2' if bad else 'page'}", int(bad)))
+    return rows + [("http://hot.com/", 0)] * n + [(None, 0), ("", 0), ("no host", 0)]
+
+
+@pytest.mark.parametrize("sent", [0, 5, 40])
+def test_scores_do_not_hang_on_what_is_sent(spark, monkeypatch, sent):
+    df = spark.createDataFrame(_labelled_urls(800), "url string, blocked int")
+    model = uf.fit(df, rows=400, rounds=4)
+    want = sorted(map(repr, uf.score(df, model).collect()))
+    monkeypatch.setattr(uf, "SENT_SUFFIXES", sent)
+    got = uf.score(df, model)
+    assert sorted(map(repr, got.collect())) == want and len(want) == 1_603
+    assert uf.score(df.limit(0), model).count() == 0
+
+
+def test_scores_by_plain_python(spark):
+    rows = _labelled_urls(300)
+    model = uf.fit(spark.createDataFrame(rows, "url string, blocked int"), rows=300, rounds=4)
+    rates, seen = dict(map(tuple, model.rates.select("__suffix", "__all").collect())), {}
+    table = uf.cut_lineage(spark.createDataFrame([(h, 1) for h in ("a.b.c.d.e.com", "hot.com", "", "new.top", "x.unseen")], "__key string, __n long"))
+    for row in uf.host_rates(table, model).collect():
+        labels, rate, want = row["__key"].split("."), model.base, []
+        for i in range(1, uf.LEVELS + 1):
+            rate = rates.get(".".join(labels[-i:]), rate) if i <= len(labels) else rate
+            want.append(rate)
+        assert [row[f"suffix_{i}"] for i in range(1, uf.LEVELS + 1)] == pytest.approx(want)
+        seen[row["__key"]] = want[-1]
+    assert len(seen) == 5 and seen["new.top"] > seen["hot.com"]
+
+
+def test_scores_of_a_table_with_clashing_names(spark):
+    rows = _labelled_urls(200)
+    model = uf.fit(spark.createDataFrame(rows, "url string, blocked int"), rows=200, rounds=3)
+    plain = spark.createDataFrame(rows, "url string, blocked int")
+    clash = ["features", "url_length", "entropy", "probability", "__u", "__key", "__n", "__url", "__c0", "__site", "__rate", "suffix_1",
+             "a.b", "prediction", "rawPrediction", "__suffixes", "host"]
+    df = plain.select("*", *[F.lit(n).alias(n) for n in clash], F.lit("old").alias("SCORE"))
+    got = uf.score(df, model)
+    assert got.columns == ["url", "blocked", *clash, "score"]
+    out = got.collect()
+    assert all(r[n] == n for r in out for n in clash)
+    assert sorted(repr((r.url, r.score)) for r in out) == sorted(repr((r.url, r.score)) for r in uf.score(plain, model).collect())
+    base = uf.score(df, uf.UrlModel(None, None, 0.25))
+    assert base.columns == got.columns and {r.score for r in base.collect()} == {0.25}
+
+
+def test_domains_are_held_out_as_a_whole(spark):
+    df = spark.createDataFrame(_labelled_urls(1_500), "url string, blocked int")
+    assert [r[0] for r in spark.createDataFrame([("http://a.b.co.uk/x",), ("http://one/",), (None,)], "u string").select(
+        uf.domain_of(F.col("u"))).collect()] == ["co.uk", "one", ""]
+    assert uf.held_out_auc(df, rows=1_000, rounds=8) > 0.9  # digits and parameters tell hosts that were never seen
+    assert uf.held_out_auc(df.where("blocked = 0")) is None
+
+
 @pytest.mark.parametrize("words,verdict", [([], "allow"), (["www", "h"], "block")])
 def test_url_query_without_labels_of_both_kinds(spark, monkeypatch, tmp_path, words, verdict):
     monkeypatch.setattr(q, "UNWANTED_WORDS", words or ["none-such"])

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens import schema
 from ledgerlens.operators import clean, features as fe, profile, running
@@ -184,6 +185,36 @@ def test_codes_of_skewed_and_alike_labels(spark):
                                       "else concat('prefix-', id) end as name")
     want = {x: i for i, x in enumerate(sorted({"same", "nan", *(f"prefix-{i}" for i in range(3, 4000, 2))}))}
     assert {r.label: r.code for r in label_codes(df, "name", ranges=16).collect()} == want
-    small, salted = encode_remaining_strings(df), encode_remaining_strings(df, broadcast_rows=10)
-    assert small.exceptAll(salted).count() == 0 and small.count() == 4000
+    small, split = encode_remaining_strings(df), encode_remaining_strings(df, broadcast_rows=10)
+    assert small.exceptAll(split).count() == 0 and split.exceptAll(small).count() == 0 and small.count() == 4000
     assert small.where("tx_id = 1").first()["name"] == want["nan"] and small.where("tx_id = 2").first()["name"] == want["same"]
+
+
+def test_codes_of_over_a_million_labels_with_half_of_the_rows_in_one(spark):
+    """No task gets more than its share, every row keeps its code, and the code table has each label once."""
+    n = 2_200_000
+    df = spark.range(n).selectExpr("id as tx_id", "if(id % 2 = 0, 'same', lpad(cast(id as string), 12, '0')) as name")
+    codes = clean.label_codes(df, "name")
+    assert codes.agg({"code": "max", "n_rows": "max"}).first().asDict() == {"max(code)": n // 2, "max(n_rows)": n // 2}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = clean.encode_remaining_strings(df)  # over the default number of labels
+        right = got.where(f"name = if(tx_id % 2 = 0, {n // 2}, tx_id div 2)")
+        tasks = [r["count"] for r in right.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(tasks) == n and max(tasks) < 1.2 * n / len(tasks) and len(tasks) > 1
+
+
+def test_codes_of_long_clashing_and_missing_labels(spark):
+    """Labels of over 63 characters, one that is the digest of another, columns with a dot, and rows that are alike."""
+    import hashlib
+    long = "x" * 5000
+    texts = [long, hashlib.sha256(long.encode()).hexdigest(), "y" * 64, "y" * 63, "", None, "nan", long, "", "Z"]
+    df = spark.createDataFrame([(t, t, 1) for t in texts], "`a.b` string, b string, code int")
+    want = {t: float(i) for i, t in enumerate(sorted({"nan" if t is None else t for t in texts}))}
+    expected = sorted((want["nan" if t is None else t],) * 2 + (1,) for t in texts)
+    for limit in (1_000_000, 2):
+        got = clean.encode_remaining_strings(df, broadcast_rows=limit)
+        assert got.columns == df.columns and sorted(map(tuple, got.collect())) == expected
+    assert clean.encode_remaining_strings(df.limit(0), broadcast_rows=0).collect() == []

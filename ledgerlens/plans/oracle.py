@@ -307,7 +307,7 @@ ORACLE: dict[str, str] = {
         'COMPLETE' as state, true as rounds_in_range, true as metrics_in_range from draws group by trial"""),
     "model_scores": _with(*BASE_TRAIN, PARTS, select="""select part, n, n as keys, 0 as outside, n as same_after_reload from parts"""),
     "learning_curve": "select part, true as one_row_per_round, true as in_range, true as ends_at_the_model from (values ('train'), ('val')) t(part)",
-    "top_features": "select 15 as n, 15 as known, true as shares_fit, true as in_order",
+    "top_features": "select 15 as n, 15 as known, true as shares_fit, true as in_order, true as as_the_saved_trees",
     "run_all_steps": _with(*_smote(150, 0.15, 5), PARTS, select="""select 'loaded' as stage, count(*) as n from tx
         union all select 'features', count(*) from kept union all select 'train', n from parts where part = 'train'
         union all select 'val', n from parts where part = 'val' union all select 'test', n from parts where part = 'test'

@@ -195,12 +195,22 @@ def _feature_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _top_features(spark: SparkSession, sf: str) -> DataFrame:
-    """What the list of the most important features must fulfil."""
+    """What the list of the most important features must fulfil, its values held against the table of the saved trees."""
     known = ", ".join(f"'{f}'" for f in schema.FEATURES)
-    return _feature_rows(spark, sf).selectExpr("*", "lag(importance) over (order by importance desc, feature) as before").selectExpr(
+    model = _fitted(spark, sf)[0]
+    work = scratch_path(spark)
+    stages.write_model(model, work)
+    saved = spark.read.parquet(f"{stages.locate(spark, work, 'model')}/nodes").where("left >= 0")  # inner nodes
+    names = "array(" + ", ".join(f"'{f}'" for f in model.features) + ")"
+    gains = saved.groupBy(expr(f"{names}[int(feature)] as feature")).agg(expr("avg(gain) as mean"))
+    shares = gains.selectExpr("feature", "mean / sum(mean) over () as share")
+    ranked = tr.top_features(model, spark).join(shares, "feature", "left").selectExpr(
+        "*", "lag(importance) over (order by importance desc, feature) as before")
+    return ranked.selectExpr(
         "count(*) as n", f"count(distinct if(feature in ({known}), feature, null)) as known",
         "min(importance) >= 0 and sum(importance) <= 1.000001D as shares_fit",
-        "coalesce(bool_and(before >= importance), true) as in_order")
+        "coalesce(bool_and(before >= importance), true) as in_order",
+        "bool_and(abs(importance - coalesce(share, 0)) < 1e-9) as as_the_saved_trees")
 
 
 def _curve_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -46,6 +46,30 @@ def test_learning_curve_ends_at_the_model(parts, model):
     assert curve[-1].auc_pr == pytest.approx(ranking_metrics(tr.score(model, parts[2])).first().auc_pr, abs=0.01)
 
 
+def test_curve_of_a_small_model_by_exact_ranking(parts):
+    """Few leaves give few distinct margins, which all have buckets of their own: the curve is the exact one."""
+    small = tr.fit(parts[0], {**FIT, "max_depth": 2.0}, 3, weight_cap=100.0)
+    curve = {r.round: r.auc_pr for r in tr.learning_curve(small, {"test": parts[2]}).collect()}
+    assert sorted(curve) == [1, 2, 3]
+    for rounds, got in curve.items():
+        rows = [(r.p, r.label) for r in tr.score(small.first(rounds), parts[2]).collect()]
+        total, seen, hits, exact = sum(y for _, y in rows), 0, 0, 0.0
+        for p in sorted({p for p, _ in rows}, reverse=True):
+            group = [y for q, y in rows if q == p]
+            seen, hits = seen + len(group), hits + sum(group)
+            exact += sum(group) * hits / seen / total
+        assert got == pytest.approx(exact, abs=1e-9)
+
+
+def test_importances_by_sql_over_the_saved_trees(spark, model, tmp_path):
+    import duckdb
+    path = stages.write_model(model, str(tmp_path))
+    got = dict(duckdb.sql(f"""with gains as (select feature, avg(gain) as mean from '{path}/nodes/*.parquet' where "left" >= 0 group by 1)
+                              select cast(feature as int), mean / sum(mean) over () from gains""").fetchall())
+    top = {r.feature: r.importance for r in tr.top_features(model, spark, len(schema.FEATURES)).collect()}
+    assert {f: pytest.approx(got.get(i, 0.0), abs=1e-12) for i, f in enumerate(model.features)} == top and len(got) > 1
+
+
 def test_top_features(spark, model):
     rows = tr.top_features(model, spark, 5).collect()
     assert len(rows) == 5 and rows[0].importance >= rows[-1].importance

@@ -13,13 +13,14 @@ A split needs a hessian sum of min_child_weight on both sides; splits with a gai
 up.  A tree of limited leaves keeps the splits of greatest gain first (`lossguide`) or level by level.  The job of a
 round's first level also scores the validation rows after the round before, so no round is fitted or scored twice.
 
-Margins are brought up to date every REFRESH rounds, always from the stored blocks, so that a lost executor costs one
-pass.  With a ledger folder the trees of each REFRESH rounds are appended to a table there, and a later call goes on
+Margins are brought up to date every LATE rounds, and at times from the stored blocks, so that a lost executor costs a
+bounded number of passes.  With a ledger folder the trees of each REFRESH rounds are appended to a table there, and a later call goes on
 behind the last stored round.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -28,7 +29,7 @@ from types import ModuleType, SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import RDD, cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -38,10 +39,14 @@ from ledgerlens.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need numpy and pyarrow but not this package
 
 BLOCK_ROWS = 1 << 16
-REFRESH = 16  # rounds between two updates of the stored margins
-FAN = 8  # sums of histograms that reach the driver from one job
+REFRESH = 16  # rounds that are stored together in a ledger
+LATE = 8  # trees that are not in the kept margins yet; with more the margins are brought up to date
+CHAIN = 16  # updates that build on each other; the next one starts from the stored blocks
+FAN = 8  # sums of histograms that reach the driver from one job, if those of all tasks would be more than SENT_BYTES
+SENT_BYTES = 16 << 20
 HISTOGRAM_CELLS = 1 << 20  # of one job; a level with more nodes is several jobs
 EXACT_ROWS = 1 << 16  # validation rows whose margins are sent as they are; more are counted in buckets
+RANGE_ROWS = 1 << 16  # validation rows of a task that evaluates its range of margins exactly
 BUCKETS = 4_096  # equal steps of the margin from -EDGE to EDGE
 EDGE = 24.0
 MOST_DEPTH = 16
@@ -105,10 +110,34 @@ class BoostedModel:
         return dict(zip(self.features, (mean / mean.sum() if mean.sum() else mean).tolist()))
 
 
+FEW_NODES = 32  # rows per node from which on rows are dealt out node by node
+
+
+def dealt(tree: Tree | SimpleNamespace, x: np.ndarray, limit: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each leaf with its rows among `rows`, in their order; leaves without rows are left out.
+
+    Only the column that a node splits on is read there, so `x` is best held column by column.
+    """
+    open_ = [(0, rows)]
+    while open_:
+        node, own = open_.pop()
+        if not len(own):
+            continue
+        if tree.left[node] < 0:
+            yield node, own
+            continue
+        low = x[:, tree.feature[node]].take(own) <= limit[node]
+        open_ += [(tree.right[node], own[~low]), (tree.left[node], own[low])]
+
+
 def leaf_of(tree: Tree, x: np.ndarray, binned: bool = False) -> np.ndarray:
     """The leaf of each row of `x`, feature values or, if `binned`, bin numbers."""
     limit = tree.cut if binned else tree.threshold
     at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+    if len(tree.left) * FEW_NODES <= len(x):
+        for leaf, own in dealt(tree, x, limit, rows):
+            at[own] = leaf
+        return at
     while len(rows):
         rows = rows[tree.left[at[rows]] >= 0]
         here = at[rows]
@@ -196,9 +225,9 @@ def blocks_of(rows: DataFrame, features: Sequence[str], edges: list[np.ndarray],
             for start in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(start, BLOCK_ROWS)
                 columns = [np.asarray(part.column(i)) for i in range(4 + count)]
-                x = np.stack([np.searchsorted(e, c).astype(kind) for e, c in zip(edges, columns[4:])], axis=1)
-                cells = [np.array([number, len(x), x.itemsize], np.int64), columns[1].astype(np.float64), columns[2].astype(np.float64),
-                         columns[3].astype(np.int64), np.zeros(len(x)), x, columns[0].astype(np.uint8)]
+                n, x = part.num_rows, np.stack([np.searchsorted(e, c).astype(kind) for e, c in zip(edges, columns[4:])])  # by column
+                cells = [np.array([number, n, x.itemsize], np.int64), columns[1].astype(np.float64), columns[2].astype(np.float64),
+                         columns[3].astype(np.int64), np.zeros(n), x, columns[0].astype(np.uint8)]
                 yield pa.RecordBatch.from_arrays([pa.array([b"".join(c.tobytes() for c in cells)], pa.binary())], names=["data"])
                 number += 1
 
@@ -212,13 +241,12 @@ class _Block:
     A worker remembers the margins of its latest blocks, so that a job adds only trees that are new to it.
     """
 
-    def __init__(self, cell: pa.Scalar, width: int, run: str = "", base: int = 0, late: Sequence[Tree] = ()):
-        raw = cell.as_buffer()
+    def __init__(self, raw: bytes, width: int, run: str = "", base: int = 0, late: Sequence[Tree] = ()):
         self.number, n, size = np.frombuffer(raw, np.int64, 3).tolist()
         self.label, self.weight, margin = (np.frombuffer(raw, np.float64, n, HEADER + 8 * n * k) for k in (0, 1, 3))
         self.draw = np.frombuffer(raw, np.int64, n, HEADER + 16 * n)
         start = HEADER + 32 * n
-        self.x = np.frombuffer(raw, np.uint8 if size == 1 else np.uint16, n * width, start).reshape(n, width)
+        self.x = np.frombuffer(raw, np.uint8 if size == 1 else np.uint16, n * width, start).reshape(width, n).T
         self.train = np.frombuffer(raw, np.uint8, n, start + n * width * size) > 0
         known = vars(sys.modules.setdefault("_boosting_margins", ModuleType("_boosting_margins"))).setdefault("known", {})
         done, kept = known.pop((run, self.number), (base, margin))
@@ -233,16 +261,14 @@ class _Block:
                 del known[next(iter(known))]
 
 
-def _with_trees(stored: DataFrame, width: int, trees: Sequence[Tree]) -> DataFrame:
-    """Stored blocks whose margins have some trees added."""
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cell in batch.column(0):
-                block, raw = _Block(cell, width, "", 0, trees), cell.as_py()
-                start = HEADER + 24 * len(block.label)
-                whole = raw[:start] + block.margin.tobytes() + raw[start + 8 * len(block.label):]
-                yield pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["data"])
-    return stored.mapInArrow(add, BLOCKS)
+def _with_trees(blocks: RDD, width: int, trees: Sequence[Tree]) -> RDD:
+    """Blocks whose margins have some trees added."""
+    def add(cells: Iterator[bytes]) -> Iterator[bytes]:
+        for raw in cells:
+            block = _Block(raw, width, "", 0, trees)
+            start = HEADER + 24 * len(block.label)
+            yield raw[:start] + block.margin.tobytes() + raw[start + 8 * len(block.label):]
+    return blocks.mapPartitions(add)
 
 
 def _unit(draw: np.ndarray, salt: int) -> np.ndarray:
@@ -253,12 +279,12 @@ def _unit(draw: np.ndarray, salt: int) -> np.ndarray:
     return (z ^ (z >> np.uint64(31))).astype(np.float64) / 2.0 ** 64
 
 
-def _summed(blocks: DataFrame, parts: int, block_of: Callable[[pa.Scalar], _Block], work: Callable[[_Block], list[np.ndarray]],
+def _summed(blocks: RDD, block_of: Callable[[bytes], _Block], work: Callable[[_Block], list[np.ndarray]],
             shapes: list[tuple[int, ...] | None]) -> list[np.ndarray]:
-    """Arrays that `work` makes of each block, summed over all; one whose shape is None is put end to end instead."""
-    names = [f"a{i}" for i in range(len(shapes))]
-    kinds = ", ".join(f"{n} binary" for n in names)
+    """Arrays that `work` makes of each block, summed over all; one whose shape is None is put end to end instead.
 
+    Sums are added in the order of the partitions, so that a result does not hang on which task is done first.
+    """
     def put(held: list, new: list[np.ndarray]) -> None:
         for i, (shape, a) in enumerate(zip(shapes, new)):
             if shape is None:
@@ -266,34 +292,33 @@ def _summed(blocks: DataFrame, parts: int, block_of: Callable[[pa.Scalar], _Bloc
             else:
                 held[i] += a.reshape(shape)
 
-    def packed(held: list) -> pa.RecordBatch:
-        cells = [np.concatenate([np.zeros(0), *h]) if shape is None else h for shape, h in zip(shapes, held)]
-        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], names=names)
+    def joined(held: list) -> list[np.ndarray]:
+        return [np.concatenate([np.zeros(0), *h]) if shape is None else h for shape, h in zip(shapes, held)]
 
     def empty() -> list:
         return [[] if shape is None else np.zeros(shape) for shape in shapes]
 
-    def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sum_blocks(number: int, cells: Iterator[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
         held = empty()
-        for batch in batches:
-            for cell in batch.column(0):
-                put(held, work(block_of(cell)))
-        yield packed(held)
+        for raw in cells:
+            put(held, work(block_of(raw)))
+        yield number, joined(held)
 
-    def sum_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def in_order(found: list[tuple[int, list[np.ndarray]]]) -> list[np.ndarray]:
         held = empty()
-        for batch in batches:
-            for row in range(batch.num_rows):
-                put(held, [np.frombuffer(batch.column(n)[row].as_buffer()) for n in names])
-        yield packed(held)
+        for _, arrays in sorted(found, key=lambda f: f[0]):
+            put(held, arrays)
+        return joined(held)
 
-    sums = blocks.mapInArrow(sum_blocks, kinds)
-    if parts > FAN:
-        sums = sums.repartition(FAN).mapInArrow(sum_sums, kinds)
-    held = empty()
-    for r in sums.collect():  # at most FAN rows, each of HISTOGRAM_CELLS pairs at most
-        put(held, [np.frombuffer(bytes(c)) for c in r])
-    return [np.concatenate([np.zeros(0), *h]) if shape is None else h for shape, h in zip(shapes, held)]
+    def sum_sums(found: Iterator[tuple[int, tuple[int, list[np.ndarray]]]]) -> Iterator[tuple[int, list[np.ndarray]]]:
+        own = [f for _, f in found]  # of one partition in FAN
+        if own:
+            yield min(n for n, _ in own), in_order(own)
+
+    parts, sums = blocks.getNumPartitions(), blocks.mapPartitionsWithIndex(sum_blocks)
+    if parts > FAN and parts * sum(8 * math.prod(s) for s in shapes if s) > SENT_BYTES:
+        sums = sums.map(lambda f: (f[0] % FAN, f)).partitionBy(FAN, int).mapPartitions(sum_sums)
+    return in_order(sums.collect())  # SENT_BYTES at most, or FAN sums of HISTOGRAM_CELLS pairs
 
 
 # --- rounds
@@ -383,32 +408,80 @@ def best_splits(histogram: np.ndarray, columns: np.ndarray, s: Settings) -> list
 @dataclass
 class _State:
     """Stored blocks, the margins after `base` trees, and the trees that these do not have yet."""
-    stored: DataFrame
-    blocks: DataFrame
-    parts: int
+    stored: RDD
+    blocks: RDD
     width: int
     edges: list[np.ndarray]
     exact: bool
     base: int = 0
     late: list[Tree] = field(default_factory=list)
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
+    links: int = 0
 
     def job(self, work, shapes, late: Sequence[Tree] | None = None) -> list[np.ndarray]:
         width, run, base, some = self.width, self.run, self.base, list(self.late if late is None else late)
-        return _summed(self.blocks, self.parts, lambda cell: _Block(cell, width, run, base, some), work, shapes)
+        return _summed(self.blocks, lambda raw: _Block(raw, width, run, base, some), work, shapes)
 
     def validation(self, late: Sequence[Tree] | None = None) -> np.ndarray:
         exact = self.exact
         return self.job(lambda block: [_validated(block, exact)], [None if exact else (2 * BUCKETS,)], late)[0]
 
     def refreshed(self, trees: list[Tree]) -> None:
-        """Bring the margins up to date, from the stored blocks."""
-        old, self.blocks = self.blocks, _with_trees(self.stored, self.width, trees).persist(StorageLevel.MEMORY_AND_DISK)
-        self.base, self.late = len(trees), []
+        """Bring the margins up to date: the kept ones by the trees they lack, after CHAIN times the stored ones by all."""
+        onward = self.blocks is not self.stored and self.links < CHAIN and self.base <= len(trees)
+        old, (start, new) = self.blocks, (self.blocks, trees[self.base:]) if onward else (self.stored, trees)
+        self.blocks = _with_trees(start, self.width, new).persist(StorageLevel.MEMORY_AND_DISK)
+        self.base, self.late, self.links = len(trees), [], self.links + 1 if onward else 0
         self.blocks.count()
         if old is not self.stored:
             old.unpersist()
 
+    def precision(self, counts: np.ndarray, late: Sequence[Tree] | None = None) -> float | None:
+        """The exact average precision of the validation rows, counted before per bucket and label.
+
+        Distinct margins with their counts go to tasks by ranges of buckets; the rows above a range are known from the
+        counts, so each task adds up its own share.
+        """
+        each = counts.sum(axis=1)
+        ranges = max(1, min(self.blocks.getNumPartitions(), int(each.sum()) // RANGE_ROWS + 1))
+        number = np.minimum((np.cumsum(each) - each) * ranges // max(each.sum(), 1), ranges - 1).astype(np.int64)  # of a bucket's range
+        own = np.stack([np.bincount(number, counts[:, k], ranges) for k in range(2)], axis=1)
+        above = own.sum(axis=0) - np.cumsum(own, axis=0)
+        width, run, base, some = self.width, self.run, self.base, list(self.late if late is None else late)
+
+        def counted(cells: Iterator[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
+            for raw in cells:
+                block = _Block(raw, width, run, base, some)
+                columns = _distinct(block.margin[~block.train], block.label[~block.train])
+                place = number[_bucket(columns[0])]
+                for r in np.unique(place).tolist():
+                    yield r, [c[place == r] for c in columns]
+
+        def shares(found: Iterator[tuple[int, list[np.ndarray]]]) -> Iterator[float]:
+            held: dict[int, list[list[np.ndarray]]] = {}
+            for r, columns in found:
+                held.setdefault(r, []).append(columns)
+            for r, own in held.items():
+                margin, negative, positive = (np.concatenate(c) for c in zip(*own))
+                order = np.argsort(-margin, kind="stable")
+                last = np.append(np.diff(margin[order]) != 0, True)
+                tp, fp = above[r, 1] + np.cumsum(positive[order])[last], above[r, 0] + np.cumsum(negative[order])[last]
+                yield math.fsum(np.diff(tp, prepend=above[r, 1]) * tp / (tp + fp))
+
+        found = self.blocks.mapPartitions(counted).partitionBy(ranges, int).mapPartitions(shares).collect()  # a number per range
+        total = counts[:, 1].sum()
+        return float(math.fsum(found) / total) if total else None
+
+
+def _bucket(margin: np.ndarray) -> np.ndarray:
+    return ((np.clip(margin / EDGE, -1, 1) + 1) / 2 * (BUCKETS - 1)).astype(np.int64)
+
+
+def _distinct(margin: np.ndarray, label: np.ndarray) -> list[np.ndarray]:
+    """Distinct margins with the numbers of their rows of label 0 and 1."""
+    value, place = np.unique(margin, return_inverse=True)
+    return [value, *(np.bincount(place, (label > 0.5) == k, len(value)).astype(np.float64) for k in (False, True))]
+
 
 def _validated(block: _Block, exact: bool) -> np.ndarray:
     """Margins and labels of the validation rows of a block, or their counts per label and bucket."""
@@ -416,8 +489,7 @@ def _validated(block: _Block, exact: bool) -> np.ndarray:
     margin, label = block.margin[own], block.label[own]
     if exact:
         return np.stack([margin, label], axis=1).ravel()
-    bucket = ((np.clip(margin / EDGE, -1, 1) + 1) / 2 * (BUCKETS - 1)).astype(np.int64)
-    return np.bincount(2 * bucket + (label > 0.5), minlength=2 * BUCKETS).astype(float)
+    return np.bincount(2 * _bucket(margin) + (label > 0.5), minlength=2 * BUCKETS).astype(float)
 
 
 def _grown(state: _State, number: int, s: Settings) -> tuple[Tree, np.ndarray]:
@@ -437,13 +509,14 @@ def _grown(state: _State, number: int, s: Settings) -> tuple[Tree, np.ndarray]:
 
             def work(block: _Block) -> list[np.ndarray]:
                 rows = np.flatnonzero(block.train & (_unit(block.draw, s.seed * 1_000_003 + number) < s.subsample))
-                where = place[leaf_of(so_far, block.x[rows], True)]
-                rows, where = rows[where >= 0], where[where >= 0]
-                p = 1 / (1 + np.exp(-block.margin[rows]))
-                sums = block.weight[rows] * (p - block.label[rows]), block.weight[rows] * np.maximum(p * (1 - p), 1e-16)
+                parts = [(place[node], own) for node, own in dealt(so_far, block.x, so_far.cut, rows) if place[node] >= 0]
+                rows = np.concatenate([np.zeros(0, np.int64), *[own for _, own in parts]])  # by node, in their order there
+                start_of = np.repeat(np.array([k * bins for k, _ in parts], np.int64), [len(own) for _, own in parts])
+                weight, p = block.weight[rows], 1 / (1 + np.exp(-block.margin[rows]))
+                sums = weight * (p - block.label[rows]), weight * np.maximum(p * (1 - p), 1e-16)
                 out = np.zeros((*shape[:2], bins, 2))
                 for c, feature in enumerate(some):
-                    key = where * bins + block.x[rows, feature]
+                    key = start_of + block.x[:, feature].take(rows)
                     for k in range(2):
                         out[:, c, :, k] = np.bincount(key, sums[k], len(nodes) * bins).reshape(len(nodes), bins)
                 return [out, _validated(block, exact)] if first else [out]
@@ -494,14 +567,14 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
         raise ValueError(f"max_depth must be from 1 to {MOST_DEPTH} and max_bin at least 2")
     parts = max(1, min(-(-total // BLOCK_ROWS), 8 * spark.sparkContext.defaultParallelism))
     edges = bin_edges(rows.where("train"), features, settings.bins)
-    stored = blocks_of(rows, features, edges, parts)
-    state = _State(stored, stored, parts, len(features), edges, total - train <= EXACT_ROWS)
+    stored = blocks_of(rows, features, edges, parts).rdd.map(lambda r: bytes(r[0]))
+    state = _State(stored, stored, len(features), edges, total - train <= EXACT_ROWS)
     trees = _read_ledger(spark, ledger, features, edges)[:rounds] if ledger else []
     known, curve, best, top = len(trees), [], 0, -np.inf
     state.refreshed([])
 
-    def seen(told: np.ndarray) -> None:
-        """Take in the validation rows after the latest round."""
+    def seen(told: np.ndarray, late: Sequence[Tree] | None = None) -> None:
+        """Take in the validation rows after the latest round, whose margins have the trees `late` besides the stored ones."""
         nonlocal best, top
         number, value = len(curve) + 1, None
         if state.exact:
@@ -511,7 +584,7 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
             counts = told.reshape(-1, 2)[::-1]
             bounds = bounds_of_precision(counts[:, 1].astype(np.int64), counts[:, 0].astype(np.int64))
             if bounds is not None and bounds[1] > top:
-                value = _exact(rows.where("not train"), BoostedModel(list(features), trees[:number]))
+                value = state.precision(told.reshape(-1, 2), late)
         curve.append(value)
         if value is not None and value > top:
             best, top = number, value
@@ -521,7 +594,7 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
 
     if patience is not None:  # the curve of stored rounds
         for number in range(1, known + 1):
-            seen(state.validation(trees[:number]))
+            seen(state.validation(trees[:number]), trees[:number])
             if ended():
                 trees = trees[:number]
                 break
@@ -536,7 +609,7 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
                 break
         trees.append(tree)
         state.late.append(tree)
-        if len(state.late) == REFRESH:
+        if len(state.late) == LATE:
             state.refreshed(trees)
         if ledger and (len(trees) % REFRESH == 0 or len(trees) == rounds):
             stored_rounds = (len(trees) - 1) // REFRESH * REFRESH
@@ -548,13 +621,6 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
     return Fitted(model, max(best, 1) if patience is not None else model.rounds, curve)
 
 
-def _exact(rows: DataFrame, model: BoostedModel) -> float | None:
-    """The average precision of a model, by running sums over the distinct scores."""
-    from ledgerlens.operators.evaluate import average_precision as of_scores
-    scored = with_margin(rows, model).selectExpr("cast(label as int) as label", "margin as p")
-    return of_scores(scored).first()[0]
-
-
 def with_margin(rows: DataFrame, model: BoostedModel) -> DataFrame:
     """`rows` with `margin`, the sum of the model's leaf values for their features."""
     kept = [f for f in rows.schema if f.name != "margin"]
@@ -566,7 +632,7 @@ def with_margin(rows: DataFrame, model: BoostedModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, places = sent.value
         for batch in batches:
-            x = np.stack([np.asarray(batch.column(i), float) for i in places], axis=1)
+            x = np.stack([np.asarray(batch.column(i), float) for i in places]).T
             margin = np.zeros(batch.num_rows)
             for tree in trees:
                 margin += tree_values(tree, x)

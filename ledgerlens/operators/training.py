@@ -301,12 +301,12 @@ def learning_curve(model: BoostedModel, parts: dict[str, DataFrame],
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            x = np.stack([np.asarray(batch.column(f)) for f in features], axis=1)
+            x = np.stack([np.asarray(batch.column(f)) for f in features]).T  # by column
             label = (np.asarray(batch.column("label")) > 0.5).astype(np.int64)
             names = np.asarray(batch.column("part").to_pylist())
             for name in sorted(set(names.tolist())):
                 own = names == name
-                mine, marks = x[own], label[own]
+                mine, marks = (x, label) if own.all() else (x[own], label[own])
                 counts = held.setdefault(name, np.zeros((len(trees), 2 * CURVE_BUCKETS), np.int64))
                 margin = np.zeros(len(mine))
                 for i, tree in enumerate(trees):

@@ -116,6 +116,31 @@ def test_the_chosen_round_is_that_of_the_exact_curve(spark, monkeypatch):
         assert all(c is None or c == pytest.approx(e) for c, e in zip(counted.curve, exact.curve))
 
 
+def test_exact_values_come_from_the_stored_blocks(spark, monkeypatch):
+    """Validation rows are not read and scored by all trees again for each round that may be the best."""
+    data = table(spark, 400, 5, 150).persist()
+    s = bo.Settings(depth=2, rate=0.5, subsample=0.8)
+    exact = bo.boost(data, NAMES, 12, s, patience=12)
+
+    def read_again(*_):
+        raise AssertionError("the rows are scored again")
+
+    for name, value in {"EXACT_ROWS": 0, "RANGE_ROWS": 20, "BLOCK_ROWS": 50, "LATE": 2, "CHAIN": 2, "with_margin": read_again}.items():
+        monkeypatch.setattr(bo, name, value)
+    counted = bo.boost(data, NAMES, 12, s, patience=12)
+    assert counted.best == exact.best and counted.curve.count(None) < 12
+    assert all(c is None or c == pytest.approx(e, rel=1e-12) for c, e in zip(counted.curve, exact.curve))
+    assert all(alike(of(a), of(b)) for a, b in zip(counted.model.trees, exact.model.trees))
+
+
+def test_rows_dealt_out_by_node_are_in_the_leaves_found_row_by_row(rows, monkeypatch):
+    tree = bo.boost(rows, NAMES, 1, bo.Settings(depth=4)).model.trees[0]
+    x = np.append(rows.select(*NAMES).toPandas().to_numpy(), [[np.nan] * 3], axis=0)
+    by_node = bo.leaf_of(tree, np.repeat(x, 3, axis=0))
+    monkeypatch.setattr(bo, "FEW_NODES", 1 << 30)
+    assert (by_node == bo.leaf_of(tree, np.repeat(x, 3, axis=0))).all() and len(set(by_node)) > 4
+
+
 def test_average_precision_and_its_bounds(spark):
     r = np.random.default_rng(3)
     margin, label = np.round(r.normal(size=300), 1), (r.random(300) < 0.2).astype(float)

@@ -275,6 +275,21 @@ def test_copies_do_not_take_an_unmarked_article_away(spark, monkeypatch, per_ran
     assert got == {k: "\n".join(v) for k, v in want.items()}
 
 
+@pytest.mark.parametrize("per_range", [4, 1_000])
+def test_a_page_among_many_edited_copies_is_compared_with_a_different_one(spark, monkeypatch, per_range):
+    monkeypatch.setattr(pt, "ROWS_PER_RANGE", per_range)
+    page = lambda lines: "".join(f"<div>{x}</div>" for x in ["top of the host", "menu", *lines, "end of the host"])
+    body = [f"line {i} of an article that is long enough to be told from its frame" for i in range(12)]
+    own = {n: [*body, f"edited {n}"] for n in range(100, 140)}  # copies of each other, far more than are put beside a range
+    own |= {n: [f"{n} {x}" for x in body] for n in (1, 200)}
+    rows = [(n, f"http://h.example/{n:03d}", page(own[n])) for n in own]
+    rows += [(n, f"http://only.example/{n}", page(own[n - 200])) for n in range(300, 320)]  # nothing but copies
+    got = {r.page_id: r.text for r in pt.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = {n: "\n".join(x) for n, x in own.items()}
+    want |= {n: "\n".join(["top of the host", "menu", *own[n - 200], "end of the host"]) for n in range(300, 320)}
+    assert got == want
+
+
 def test_one_url_in_many_rows_is_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(pt, "ROWS_PER_RANGE", 10)
     light = spark.createDataFrame([("", "", i) for i in range(200)] + [("", "", None)], "host string, path string, key long")

@@ -28,7 +28,7 @@ def read_transactions(spark: SparkSession, path: str | Sequence[str], mode: str
     return {"dense": dense_keys, "content": content_keys}[keys](raw)
 
 
-def dense_keys(df: DataFrame, key: str = schema.KEY, block: int = 100_000) -> DataFrame:
+def dense_keys(df: DataFrame, key: str = schema.KEY, block: int = 10_000) -> DataFrame:
     """Add `key`, 0 to n - 1 in the order of a 64-bit hash of the row and then of its columns.
 
     Equal rows collapse map-side to one row with their number and are interchangeable; they take consecutive keys and
@@ -42,11 +42,10 @@ def dense_keys(df: DataFrame, key: str = schema.KEY, block: int = 100_000) -> Da
         "_b", "coalesce(sum(_s) over (order by _b rows between unbounded preceding and 1 preceding), 0L) as _o"))
     inside = "sum(_n) over (partition by _b order by _h, " + ", ".join(names) + " rows between unbounded preceding and current row)"
     placed = rows.selectExpr("*", f"{inside} - _n as _w").join(offsets, "_b").selectExpr(*names, "_n", "_w + _o as _k")
-    few = placed.where(f"_n <= {block}").selectExpr(f"explode(sequence(_k, _k + _n - 1)) as `{key}`", *names)
-    many = (placed.where(f"_n > {block}").selectExpr("_k", "_n", f"explode(sequence(0L, (_n - 1) div {block})) as _j", *names)
-            .repartition("_k", "_j")
-            .selectExpr(f"explode(sequence(_k + _j * {block}, _k + least(_n, (_j + 1) * {block}) - 1)) as `{key}`", *names))
-    return few.unionByName(many)
+    blocks = placed.selectExpr("_k", "_n", f"explode(sequence(0L, (_n - 1) div {block})) as _j", *names)
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    return (blocks.repartition(parts, "_k", "_j")  # a given number: few distinct rows would be put together again in one task
+            .selectExpr(f"explode(sequence(_k + _j * {block}L, _k + least(_n, (_j + 1) * {block}L) - 1)) as `{key}`", *names))
 
 
 def content_keys(df: DataFrame, key: str = schema.KEY, most: int = 2_000_000) -> DataFrame:

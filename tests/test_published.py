@@ -1,6 +1,7 @@
 """Stages published as a whole, content keys, profiles merged from chunks."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens import schema
 from ledgerlens.operators import features as fe, partials, profile
@@ -118,3 +119,10 @@ def test_merged_states_of_no_rows(spark, tmp_path):
     partials.store_chunk(tx, str(tmp_path), "none")
     got = partials.profile_of(partials.merged(spark, str(tmp_path))).first()
     assert (got.total_rows, got.fraud_rate, got.amount_stats.median, got.data_quality.duplicates) == (0, None, None, 0)
+
+
+def test_rows_of_few_contents_are_numbered_by_many_tasks(spark):
+    rows = content_keys(spark.range(400_000).selectExpr("id % 2 as a"))
+    per_task = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 400_000 and max(per_task) <= 200_000
+    assert rows.agg(F.countDistinct("tx_id")).first()[0] == 400_000

@@ -13,7 +13,7 @@ A split needs a hessian sum of min_child_weight on both sides; splits with a gai
 up.  A tree of limited leaves keeps the splits of greatest gain first (`lossguide`) or level by level.  The job of a
 round's first level also scores the validation rows after the round before, so no round is fitted or scored twice.
 
-Margins are brought up to date every LATE rounds, and at times from the stored blocks, so that a lost executor costs a
+Margins are brought up to date every LATE rounds, when the exact values of these rounds are found, too, and at times from the stored blocks, so that a lost executor costs a
 bounded number of passes.  With a ledger folder the trees of each REFRESH rounds are appended to a table there, and a later call goes on
 behind the last stored round.
 """
@@ -41,6 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need nump
 BLOCK_ROWS = 1 << 16
 REFRESH = 16  # rounds that are stored together in a ledger
 LATE = 8  # trees that are not in the kept margins yet; with more the margins are brought up to date
+TASK_BLOCKS = 16  # blocks of a task, so that a job is one wave of tasks as long as it can be
 CHAIN = 16  # updates that build on each other; the next one starts from the stored blocks
 FAN = 8  # sums of histograms that reach the driver from one job, if those of all tasks would be more than SENT_BYTES
 SENT_BYTES = 16 << 20
@@ -111,6 +112,7 @@ class BoostedModel:
 
 
 FEW_NODES = 32  # rows per node from which on rows are dealt out node by node
+FEW_SPLITS = 48  # splits up to which each is held against its whole column, in numbers of one byte
 
 
 def dealt(tree: Tree | SimpleNamespace, x: np.ndarray, limit: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -130,14 +132,20 @@ def dealt(tree: Tree | SimpleNamespace, x: np.ndarray, limit: np.ndarray, rows:
         open_ += [(tree.right[node], own[~low]), (tree.left[node], own[low])]
 
 
-def leaf_of(tree: Tree, x: np.ndarray, binned: bool = False) -> np.ndarray:
-    """The leaf of each row of `x`, feature values or, if `binned`, bin numbers."""
+def leaf_of(tree: Tree, x: np.ndarray, binned: bool = False, rows: np.ndarray | None = None) -> np.ndarray:
+    """The leaf of each row of `x`, feature values or, if `binned`, bin numbers; with `rows` of these only."""
     limit = tree.cut if binned else tree.threshold
-    at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
     if len(tree.left) * FEW_NODES <= len(x):
-        for leaf, own in dealt(tree, x, limit, rows):
-            at[own] = leaf
-        return at
+        if len(tree.left) <= 2 * FEW_SPLITS + 1:
+            at = _leaf_by_columns(tree, x, limit.tolist())
+        else:
+            at = np.zeros(len(x), np.int64)
+            for leaf, own in dealt(tree, x, limit, np.arange(len(x)) if rows is None else rows):
+                at[own] = leaf
+        return at if rows is None else at[rows]
+    if rows is not None:
+        return leaf_of(tree, x[rows], binned)
+    at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
     while len(rows):
         rows = rows[tree.left[at[rows]] >= 0]
         here = at[rows]
@@ -145,6 +153,20 @@ def leaf_of(tree: Tree, x: np.ndarray, binned: bool = False) -> np.ndarray:
     return at
 
 
+def _leaf_by_columns(tree: Tree, x: np.ndarray, limit: list) -> np.ndarray:
+    """The leaf of each row, by one comparison of a whole column per split; steps between nodes are taken modulo 256."""
+    at, open_ = np.zeros(len(x), np.uint8), [0]
+    while open_:
+        node = open_.pop()
+        left, right = int(tree.left[node]), int(tree.right[node])
+        if left >= 0:
+            here, low = at == node, x[:, tree.feature[node]] <= limit[node]
+            at += here.view(np.uint8) * np.uint8((right - node) % 256)
+            at += (here & low).view(np.uint8) * np.uint8((left - right) % 256)
+            open_ += [left, right]
+    return at
+
+
 def tree_values(tree: Tree, x: np.ndarray, binned: bool = False) -> np.ndarray:
     return tree.value[leaf_of(tree, x, binned)]
 
@@ -201,8 +223,9 @@ def bounds_of_precision(positive: np.ndarray, negative: np.ndarray) -> tuple[flo
 
 # --- blocks
 
-BLOCKS = "data binary"  # number, rows, bytes of a bin number, bin numbers, labels, weights, draws, margins, train flags
-HEADER = 24
+BLOCKS = "data binary"  # number, rows, bytes of a bin number, distinct weights (0: each row has its own), then COLUMNS
+COLUMNS = "margins, draws, bin numbers by column, flags (1: train, 2: label), weights or distinct ones and their places"
+HEADER = 32
 REMEMBERED = 64  # blocks whose margins a Python worker remembers from job to job
 
 
@@ -213,21 +236,39 @@ def bin_edges(train: DataFrame, features: Sequence[str], bins: int) -> list[np.n
     return [np.unique(np.array(q or [], float)) for q in found]
 
 
-def blocks_of(rows: DataFrame, features: Sequence[str], edges: list[np.ndarray], parts: int) -> DataFrame:
-    """`rows` (key, label, weight, train, features) as stored blocks of binned rows."""
+def blocks_of(rows: DataFrame, features: Sequence[str], edges: list[np.ndarray], parts: int, least: int = 1) -> DataFrame:
+    """`rows` (key, label, weight, train, features) as stored blocks of binned rows.
+
+    Batches of a task are put together until they have `least` rows, or the task ends.
+    """
     count = len(features)
     kind = np.uint8 if max((len(e) for e in edges), default=0) < 256 else np.uint16
 
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | pa.Table]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= least:
+                yield held[0] if len(held) == 1 else pa.Table.from_batches(held)
+                held, n = [], 0
+        if held:
+            yield pa.Table.from_batches(held)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in gathered(batches):
             for start in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(start, BLOCK_ROWS)
                 columns = [np.asarray(part.column(i)) for i in range(4 + count)]
                 n, x = part.num_rows, np.stack([np.searchsorted(e, c).astype(kind) for e, c in zip(edges, columns[4:])])  # by column
-                cells = [np.array([number, n, x.itemsize], np.int64), columns[1].astype(np.float64), columns[2].astype(np.float64),
-                         columns[3].astype(np.int64), np.zeros(n), x, columns[0].astype(np.uint8)]
+                weight = columns[2].astype(np.float64)
+                few, place = np.unique(weight, return_inverse=True)
+                weights = [few, place.astype(np.uint8)] if len(few) < 256 else [weight]
+                flags = (columns[0] > 0) + 2 * (columns[1] > 0.5)
+                cells = [np.array([number, n, x.itemsize, len(few) if len(weights) > 1 else 0], np.int64), np.zeros(n),
+                         columns[3].astype(np.int64), x, flags.astype(np.uint8), *weights]
                 yield pa.RecordBatch.from_arrays([pa.array([b"".join(c.tobytes() for c in cells)], pa.binary())], names=["data"])
                 number += 1
 
@@ -242,12 +283,16 @@ class _Block:
     """
 
     def __init__(self, raw: bytes, width: int, run: str = "", base: int = 0, late: Sequence[Tree] = ()):
-        self.number, n, size = np.frombuffer(raw, np.int64, 3).tolist()
-        self.label, self.weight, margin = (np.frombuffer(raw, np.float64, n, HEADER + 8 * n * k) for k in (0, 1, 3))
-        self.draw = np.frombuffer(raw, np.int64, n, HEADER + 16 * n)
-        start = HEADER + 32 * n
+        self.number, n, size, few = np.frombuffer(raw, np.int64, 4).tolist()
+        margin, self.draw = np.frombuffer(raw, np.float64, n, HEADER), np.frombuffer(raw, np.int64, n, HEADER + 8 * n)
+        start = HEADER + 16 * n
         self.x = np.frombuffer(raw, np.uint8 if size == 1 else np.uint16, n * width, start).reshape(width, n).T
-        self.train = np.frombuffer(raw, np.uint8, n, start + n * width * size) > 0
+        start += n * width * size
+        flags = np.frombuffer(raw, np.uint8, n, start)
+        self.train, self.label = (flags & 1) > 0, (flags >> 1).astype(np.float64)
+        self.weight = np.frombuffer(raw, np.float64, few or n, start + n)
+        if few:
+            self.weight = self.weight[np.frombuffer(raw, np.uint8, n, start + n + 8 * few)]
         known = vars(sys.modules.setdefault("_boosting_margins", ModuleType("_boosting_margins"))).setdefault("known", {})
         done, kept = known.pop((run, self.number), (base, margin))
         if not base <= done <= base + len(late):
@@ -266,8 +311,7 @@ def _with_trees(blocks: RDD, width: int, trees: Sequence[Tree]) -> RDD:
     def add(cells: Iterator[bytes]) -> Iterator[bytes]:
         for raw in cells:
             block = _Block(raw, width, "", 0, trees)
-            start = HEADER + 24 * len(block.label)
-            yield raw[:start] + block.margin.tobytes() + raw[start + 8 * len(block.label):]
+            yield raw[:HEADER] + block.margin.tobytes() + raw[HEADER + 8 * len(block.label):]
     return blocks.mapPartitions(add)
 
 
@@ -418,13 +462,13 @@ class _State:
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
     links: int = 0
 
-    def job(self, work, shapes, late: Sequence[Tree] | None = None) -> list[np.ndarray]:
-        width, run, base, some = self.width, self.run, self.base, list(self.late if late is None else late)
+    def job(self, work, shapes) -> list[np.ndarray]:
+        width, run, base, some = self.width, self.run, self.base, list(self.late)
         return _summed(self.blocks, lambda raw: _Block(raw, width, run, base, some), work, shapes)
 
-    def validation(self, late: Sequence[Tree] | None = None) -> np.ndarray:
+    def validation(self) -> np.ndarray:
         exact = self.exact
-        return self.job(lambda block: [_validated(block, exact)], [None if exact else (2 * BUCKETS,)], late)[0]
+        return self.job(lambda block: [_validated(block, exact)], [None if exact else (2 * BUCKETS,)])[0]
 
     def refreshed(self, trees: list[Tree]) -> None:
         """Bring the margins up to date: the kept ones by the trees they lack, after CHAIN times the stored ones by all."""
@@ -436,41 +480,55 @@ class _State:
         if old is not self.stored:
             old.unpersist()
 
-    def precision(self, counts: np.ndarray, late: Sequence[Tree] | None = None) -> float | None:
-        """The exact average precision of the validation rows, counted before per bucket and label.
+    def precision(self, asked: dict[int, np.ndarray]) -> dict[int, float | None]:
+        """The exact average precision of the validation rows after rounds from `base` on, counted before per bucket and label.
 
-        Distinct margins with their counts go to tasks by ranges of buckets; the rows above a range are known from the
-        counts, so each task adds up its own share.
+        One job for all rounds: distinct margins with their counts go to tasks by rounds and ranges of buckets; the rows
+        above a range are known from the counts, so each task adds up its own shares.
         """
-        each = counts.sum(axis=1)
-        ranges = max(1, min(self.blocks.getNumPartitions(), int(each.sum()) // RANGE_ROWS + 1))
-        number = np.minimum((np.cumsum(each) - each) * ranges // max(each.sum(), 1), ranges - 1).astype(np.int64)  # of a bucket's range
-        own = np.stack([np.bincount(number, counts[:, k], ranges) for k in range(2)], axis=1)
-        above = own.sum(axis=0) - np.cumsum(own, axis=0)
-        width, run, base, some = self.width, self.run, self.base, list(self.late if late is None else late)
-
-        def counted(cells: Iterator[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
+        rows = int(next(iter(asked.values())).sum())
+        ranges = rows // RANGE_ROWS + 1
+        places, above = {}, {}
+        for r, counts in asked.items():
+            each = counts.sum(axis=1)
+            number = np.minimum((np.cumsum(each) - each) * ranges // max(each.sum(), 1), ranges - 1).astype(np.int32)  # of a bucket's range
+            own = np.stack([np.bincount(number, counts[:, k], ranges) for k in range(2)], axis=1)
+            places[r], above[r] = number, own.sum(axis=0) - np.cumsum(own, axis=0)
+        width, base, late, first = self.width, self.base, list(self.late), min(asked)
+
+        def counted(cells: Iterator[bytes]) -> Iterator[tuple[int, tuple[int, int, list[np.ndarray]]]]:
             for raw in cells:
-                block = _Block(raw, width, run, base, some)
-                columns = _distinct(block.margin[~block.train], block.label[~block.train])
-                place = number[_bucket(columns[0])]
-                for r in np.unique(place).tolist():
-                    yield r, [c[place == r] for c in columns]
-
-        def shares(found: Iterator[tuple[int, list[np.ndarray]]]) -> Iterator[float]:
-            held: dict[int, list[list[np.ndarray]]] = {}
-            for r, columns in found:
-                held.setdefault(r, []).append(columns)
-            for r, own in held.items():
+                block = _Block(raw, width)
+                own = ~block.train
+                margin, label, x = block.margin[own], block.label[own], block.x.T[:, own].T
+                for r in range(base, max(places) + 1):
+                    if r > base:
+                        margin = margin + tree_values(late[r - base - 1], x, True)
+                    if r in places:
+                        columns = _distinct(margin, label)
+                        place = places[r][_bucket(columns[0])]  # rises with the margin, so a range is a slice
+                        ends = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
+                        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                            k = int(place[a])
+                            yield (r - first) * ranges + k, (r, k, [c[a:b] for c in columns])
+
+        def shares(found: Iterator[tuple[int, tuple[int, int, list[np.ndarray]]]]) -> Iterator[tuple[int, float]]:
+            held: dict[tuple[int, int], list[list[np.ndarray]]] = {}
+            for _, (r, k, columns) in found:
+                held.setdefault((r, k), []).append(columns)
+            for (r, k), own in held.items():
                 margin, negative, positive = (np.concatenate(c) for c in zip(*own))
                 order = np.argsort(-margin, kind="stable")
                 last = np.append(np.diff(margin[order]) != 0, True)
-                tp, fp = above[r, 1] + np.cumsum(positive[order])[last], above[r, 0] + np.cumsum(negative[order])[last]
-                yield math.fsum(np.diff(tp, prepend=above[r, 1]) * tp / (tp + fp))
+                before = above[r][k]
+                tp, fp = before[1] + np.cumsum(positive[order])[last], before[0] + np.cumsum(negative[order])[last]
+                yield r, math.fsum(np.diff(tp, prepend=before[1]) * tp / (tp + fp))
 
-        found = self.blocks.mapPartitions(counted).partitionBy(ranges, int).mapPartitions(shares).collect()  # a number per range
-        total = counts[:, 1].sum()
-        return float(math.fsum(found) / total) if total else None
+        cores, cells = self.blocks.context.defaultParallelism, ranges * len(asked)
+        parts = min(cells, max(cores, cells // 8))  # at most 8 ranges of a task, if they are more than the cores
+        found = self.blocks.mapPartitions(counted).partitionBy(parts, int).mapPartitions(shares).collect()  # a number per round and range
+        totals = {r: counts[:, 1].sum() for r, counts in asked.items()}
+        return {r: float(math.fsum(v for q, v in found if q == r) / n) if n else None for r, n in totals.items()}
 
 
 def _bucket(margin: np.ndarray) -> np.ndarray:
@@ -505,24 +563,28 @@ def _grown(state: _State, number: int, s: Settings) -> tuple[Tree, np.ndarray]:
             nodes, first, exact = active[start:start + at_once], level == 0 and start == 0, state.exact
             place, so_far = np.full(len(tree.feature), -1), tree.arrays()
             place[nodes] = np.arange(len(nodes))
-            shape = (len(nodes), len(some), bins)
+            counts = [len(state.edges[f]) + 1 for f in some]  # bins of each column
+            ends = np.cumsum(counts)
 
             def work(block: _Block) -> list[np.ndarray]:
                 rows = np.flatnonzero(block.train & (_unit(block.draw, s.seed * 1_000_003 + number) < s.subsample))
-                parts = [(place[node], own) for node, own in dealt(so_far, block.x, so_far.cut, rows) if place[node] >= 0]
-                rows = np.concatenate([np.zeros(0, np.int64), *[own for _, own in parts]])  # by node, in their order there
-                start_of = np.repeat(np.array([k * bins for k, _ in parts], np.int64), [len(own) for _, own in parts])
+                node = place[leaf_of(so_far, block.x, True, rows)]
+                if node.size and node.min() < 0:  # rows of leaves
+                    rows, node = rows[node >= 0], node[node >= 0]
                 weight, p = block.weight[rows], 1 / (1 + np.exp(-block.margin[rows]))
                 sums = weight * (p - block.label[rows]), weight * np.maximum(p * (1 - p), 1e-16)
-                out = np.zeros((*shape[:2], bins, 2))
-                for c, feature in enumerate(some):
-                    key = start_of + block.x[:, feature].take(rows)
+                out = np.zeros((len(nodes), ends[-1], 2))
+                for feature, n, end in zip(some, counts, ends):
+                    key = node * n + block.x[:, feature].take(rows)
                     for k in range(2):
-                        out[:, c, :, k] = np.bincount(key, sums[k], len(nodes) * bins).reshape(len(nodes), bins)
+                        out[:, end - n:end, k] = np.bincount(key, sums[k], len(nodes) * n).reshape(len(nodes), n)
                 return [out, _validated(block, exact)] if first else [out]
 
-            shapes = [(*shape, 2), *([None if exact else (2 * BUCKETS,)] if first else [])]
-            histogram, *rest = state.job(work, shapes)
+            shapes = [(len(nodes), int(ends[-1]), 2), *([None if exact else (2 * BUCKETS,)] if first else [])]
+            packed, *rest = state.job(work, shapes)
+            histogram = np.zeros((len(nodes), len(some), bins, 2))
+            for c, (n, end) in enumerate(zip(counts, ends)):
+                histogram[:, c, :n] = packed[:, end - n:end]
             told = rest[0] if first else told
             if level == 0:
                 tree.gradient[0], tree.hessian[0] = histogram[0, 0].sum(axis=0)
@@ -565,41 +627,64 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
         raise ValueError(f"{odd} of {total} rows have a label that is not 0 or 1" if odd else "there is no row to fit on")
     if not 1 <= settings.depth <= MOST_DEPTH or settings.bins < 2:
         raise ValueError(f"max_depth must be from 1 to {MOST_DEPTH} and max_bin at least 2")
-    parts = max(1, min(-(-total // BLOCK_ROWS), 8 * spark.sparkContext.defaultParallelism))
+    blocks, cores = -(-total // BLOCK_ROWS), spark.sparkContext.defaultParallelism
+    parts = blocks if blocks <= cores else cores * min(8, -(-blocks // (cores * TASK_BLOCKS)))
     edges = bin_edges(rows.where("train"), features, settings.bins)
-    stored = blocks_of(rows, features, edges, parts).rdd.map(lambda r: bytes(r[0]))
+    stored = blocks_of(rows, features, edges, parts, BLOCK_ROWS if blocks > 1 else 1).rdd.map(lambda r: bytes(r[0]))
     state = _State(stored, stored, len(features), edges, total - train <= EXACT_ROWS)
     trees = _read_ledger(spark, ledger, features, edges)[:rounds] if ledger else []
     known, curve, best, top = len(trees), [], 0, -np.inf
     state.refreshed([])
 
-    def seen(told: np.ndarray, late: Sequence[Tree] | None = None) -> None:
-        """Take in the validation rows after the latest round, whose margins have the trees `late` besides the stored ones."""
-        nonlocal best, top
-        number, value = len(curve) + 1, None
+    open_: dict[int, np.ndarray] = {}  # counts of rounds that are not evaluated yet
+
+    def seen(told: np.ndarray) -> None:
+        """Take in the validation rows after the latest round."""
+        curve.append(None)
         if state.exact:
             pairs = told.reshape(-1, 2)
-            value = average_precision(pairs[:, 0], pairs[:, 1])
-        else:
-            counts = told.reshape(-1, 2)[::-1]
-            bounds = bounds_of_precision(counts[:, 1].astype(np.int64), counts[:, 0].astype(np.int64))
-            if bounds is not None and bounds[1] > top:
-                value = state.precision(told.reshape(-1, 2), late)
-        curve.append(value)
+            taken(len(curve), average_precision(pairs[:, 0], pairs[:, 1]))
+            return
+        open_[len(curve)] = told.reshape(-1, 2)
+        if ended():  # if none of the open rounds is a rise
+            evaluate()
+
+    def taken(number: int, value: float | None) -> None:
+        nonlocal best, top
+        curve[number - 1] = value
         if value is not None and value > top:
             best, top = number, value
 
+    def evaluate() -> None:
+        """The exact values of the open rounds whose upper bound reaches the best value before them, by one job."""
+        falling = {r: told[::-1].astype(np.int64) for r, told in open_.items()}
+        bounds = {r: bounds_of_precision(told[:, 1], told[:, 0]) for r, told in falling.items()}
+        asked = {r: open_[r] for r, b in bounds.items() if b is not None and b[1] > top}
+        values = state.precision(asked) if asked else {}
+        for r in asked:
+            if bounds[r][1] > top:
+                taken(r, values[r])
+        open_.clear()
+
+    def renewed() -> None:
+        evaluate()
+        state.refreshed(trees[:state.base + len(state.late)])
+
     def ended() -> bool:
         return patience is not None and len(curve) - max(best, 0) >= patience and len(curve) > 0
 
     if patience is not None:  # the curve of stored rounds
         for number in range(1, known + 1):
-            seen(state.validation(trees[:number]), trees[:number])
+            state.late.append(trees[number - 1])
+            seen(state.validation())
             if ended():
                 trees = trees[:number]
                 break
+            if len(state.late) == LATE:
+                renewed()
     done = patience is not None and ended()
     if known and not done:
+        evaluate()
         state.refreshed(trees)
     while not done and len(trees) < rounds:
         tree, told = _grown(state, len(trees), settings)
@@ -610,12 +695,13 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
         trees.append(tree)
         state.late.append(tree)
         if len(state.late) == LATE:
-            state.refreshed(trees)
+            renewed()
         if ledger and (len(trees) % REFRESH == 0 or len(trees) == rounds):
             stored_rounds = (len(trees) - 1) // REFRESH * REFRESH
             BoostedModel(list(features), trees).nodes(spark, max(known, stored_rounds)).coalesce(1).write.mode("append").parquet(f"{ledger}/trees")
     if patience is not None and not done and len(curve) < len(trees):
         seen(state.validation())
+    evaluate()
     state.blocks.unpersist()
     model = BoostedModel(list(features), trees)
     return Fitted(model, max(best, 1) if patience is not None else model.rounds, curve)

@@ -141,6 +141,52 @@ def test_rows_dealt_out_by_node_are_in_the_leaves_found_row_by_row(rows, monkeyp
     assert (by_node == bo.leaf_of(tree, np.repeat(x, 3, axis=0))).all() and len(set(by_node)) > 4
 
 
+def test_leaves_by_columns_by_dealing_and_of_some_rows_agree(rows, monkeypatch):
+    tree = bo.boost(rows, NAMES, 1, bo.Settings(depth=5, gamma=0.0)).model.trees[0]
+    x = np.asfortranarray(np.repeat(np.random.default_rng(5).normal(size=(2000, 3)), 2, axis=0))
+    some = np.flatnonzero(np.arange(len(x)) % 3 == 0)
+    by_columns, of_some = bo.leaf_of(tree, x), bo.leaf_of(tree, x, rows=some)
+    assert by_columns.dtype == np.uint8 and (of_some == by_columns[some]).all()
+    monkeypatch.setattr(bo, "FEW_SPLITS", 0)
+    assert (bo.leaf_of(tree, x) == by_columns).all() and (bo.leaf_of(tree, x, rows=some) == of_some).all()
+
+
+def test_exact_values_of_the_rounds_between_two_updates_come_from_one_job(spark, monkeypatch):
+    rows, s = table(spark, 500, 11, 200), bo.Settings(depth=2, rate=0.2, bins=16)
+    asked, plain, brute = [], bo._State.precision, bo.boost(rows, NAMES, 11, s, patience=50).curve
+
+    def counted(state, rounds):
+        asked.append(list(rounds))
+        return plain(state, rounds)
+
+    for name, value in {"EXACT_ROWS": 0, "LATE": 4}.items():
+        monkeypatch.setattr(bo, name, value)
+    monkeypatch.setattr(bo._State, "precision", counted)
+    found = bo.boost(rows, NAMES, 11, s, patience=50)
+    assert 1 <= len(asked) <= 3  # before: one for every round that may be a rise
+    exact = {n: v for n, v in enumerate(found.curve, 1) if v is not None}
+    assert exact == pytest.approx({n: brute[n - 1] for n in exact}) and found.best == int(np.argmax(brute)) + 1
+
+
+def test_patience_ends_a_fit_at_the_same_round_whether_values_are_found_late(spark, monkeypatch):
+    rows, s = table(spark, 400, 12, 150), bo.Settings(depth=3, rate=0.5, bins=16)
+    at_once = bo.boost(rows, NAMES, 40, s, patience=3)
+    monkeypatch.setattr(bo, "EXACT_ROWS", 0)
+    late = bo.boost(rows, NAMES, 40, s, patience=3)
+    assert (late.best, late.model.rounds, len(late.curve)) == (at_once.best, at_once.model.rounds, len(at_once.curve)) and late.model.rounds < 40
+
+
+def test_batches_are_put_together_to_whole_blocks(spark):
+    rows = spark.range(25_000).selectExpr("id as key", "double(id % 2) as label", "double(id % 3) as weight", "id % 5 > 0 as train",
+                                          "double(id % 7) as a")
+    edges = [np.arange(6.0)]
+    raw = [bytes(r[0]) for r in bo.blocks_of(rows, ["a"], edges, 1, bo.BLOCK_ROWS).collect()]
+    assert len(raw) == 1  # before: a block per batch of 10,000 rows
+    block = bo._Block(raw[0], 1)
+    key = {r[0]: r[1:] for r in rows.selectExpr("xxhash64(key)", "label", "weight", "train", "a").collect()}
+    assert [key[d] for d in block.draw.tolist()] == list(zip(block.label, block.weight, block.train, block.x[:, 0]))
+
+
 def test_average_precision_and_its_bounds(spark):
     r = np.random.default_rng(3)
     margin, label = np.round(r.normal(size=300), 1), (r.random(300) < 0.2).astype(float)

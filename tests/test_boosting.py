@@ -180,7 +180,7 @@ def test_a_block_gives_back_its_rows(spark):
     rows = spark.range(5_000).selectExpr("id as key", "double(id % 2) as label", "double(id % 3) as weight", "id % 5 > 0 as train",
                                           "double(id % 7) as a")
     edges = [np.arange(6.0)]
-    raw = [bytes(r[0]) for r in bo.blocks_of(rows, ["a"], edges, 1, bo.BLOCK_ROWS).collect()]
+    raw = [bytes(r[0]) for r in bo.blocks_of(rows, ["a"], edges, 1).collect()]
     assert len(raw) == 1 and len(raw[0]) < 24 * 5_000  # before: 34 bytes a row
     block = bo._Block(raw[0], 1)
     key = {r[0]: r[1:] for r in rows.selectExpr("xxhash64(key)", "label", "weight", "train", "a").collect()}

@@ -153,16 +153,16 @@ def leaf_of(tree: Tree, x: np.ndarray, binned: bool = False, rows: np.ndarray |
 
 
 def _leaf_by_columns(tree: Tree, x: np.ndarray, limit: list) -> np.ndarray:
-    """The leaf of each row, by one comparison of a whole column per split; steps between nodes are taken modulo 256."""
-    at, open_ = np.zeros(len(x), np.uint8), [0]
+    """The leaf of each row, by one comparison of a whole column per split; marks of a node's rows go down to its leaves."""
+    feature, left, right = (a.tolist() for a in (tree.feature, tree.left, tree.right))
+    at, open_ = np.zeros(len(x), np.uint8), [(0, None)]
     while open_:
-        node = open_.pop()
-        left, right = int(tree.left[node]), int(tree.right[node])
-        if left >= 0:
-            here, low = at == node, x[:, tree.feature[node]] <= limit[node]
-            at += here.view(np.uint8) * np.uint8((right - node) % 256)
-            at += (here & low).view(np.uint8) * np.uint8((left - right) % 256)
-            open_ += [left, right]
+        node, here = open_.pop()
+        if left[node] >= 0:
+            low = x[:, feature[node]] <= limit[node]
+            open_ += [(left[node], low if here is None else here & low), (right[node], ~low if here is None else here > low)]
+        elif here is not None:
+            at |= here.view(np.uint8) * np.uint8(node)  # a row has one leaf
     return at
 
 
@@ -225,7 +225,7 @@ def bounds_of_precision(positive: np.ndarray, negative: np.ndarray) -> tuple[flo
 BLOCKS = "data binary"  # number, rows, bytes of a bin number, distinct weights (0: each row has its own), then COLUMNS
 COLUMNS = "margins, draws, bin numbers by column, flags (1: train, 2: label), weights or distinct ones and their places"
 HEADER = 32
-REMEMBERED = 64  # blocks whose margins a Python worker remembers from job to job
+REMEMBERED_BYTES = 64 << 20  # of margins that a Python worker remembers from job to job
 
 
 def bin_edges(train: DataFrame, features: Sequence[str], bins: int) -> list[np.ndarray]:
@@ -274,21 +274,66 @@ class _Block:
         self.x = np.frombuffer(raw, np.uint8 if size == 1 else np.uint16, n * width, start).reshape(width, n).T
         start += n * width * size
         flags = np.frombuffer(raw, np.uint8, n, start)
-        self.train, self.label = (flags & 1) > 0, (flags >> 1).astype(np.float64)
-        self.weight = np.frombuffer(raw, np.float64, few or n, start + n)
-        if few:
-            self.weight = self.weight[np.frombuffer(raw, np.uint8, n, start + n + 8 * few)]
-        known = vars(sys.modules.setdefault("_boosting_margins", ModuleType("_boosting_margins"))).setdefault("known", {})
-        done, kept = known.pop((run, self.number), (base, margin))
-        if not base <= done <= base + len(late):
-            done, kept = base, margin
-        self.margin = kept.copy()
-        for tree in late[done - base:]:
-            self.margin += tree_values(tree, self.x, True)
-        if run:
-            known[run, self.number] = base + len(late), self.margin
-            while len(known) > REMEMBERED:
-                del known[next(iter(known))]
+        self.train, self.positive = (flags & 1) > 0, flags >> 1
+        self.weights = np.frombuffer(raw, np.float64, few or n, start + n)
+        self.place = np.frombuffer(raw, np.uint8, n, start + n + 8 * few) if few else None  # of a row's weight
+        self.margin = _remembered(run, self.number, margin, self.x, base, late) if run else _added(margin.copy(), self.x, late)
+
+
+    @property
+    def label(self) -> np.ndarray:
+        return self.positive.astype(np.float64)
+
+    @property
+    def weight(self) -> np.ndarray:
+        return self.weights if self.place is None else self.weights[self.place]
+
+    def sums(self, rows: np.ndarray, spare: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Weighted gradients and hessians of some rows, in `spare` arrays until the next call."""
+        p, h, weight = (_spare(spare, name, len(rows)) for name in ("p", "h", "weight"))
+        np.take(self.weights, rows if self.place is None else self.place.take(rows), out=weight, mode="clip")
+        np.negative(np.take(self.margin, rows, out=p, mode="clip"), out=p)
+        np.exp(p, out=p)
+        p += 1
+        np.divide(1, p, out=p)
+        np.subtract(1, p, out=h)
+        h *= p
+        np.maximum(h, 1e-16, out=h)
+        h *= weight
+        p -= self.positive.take(rows)
+        p *= weight
+        return p, h
+
+
+def _spare(kept: dict, name: str, n: int, kind: type = np.float64) -> np.ndarray:
+    """An array that is used again from block to block: fresh memory costs more than the sums that are put into it."""
+    if name not in kept or len(kept[name]) < n:
+        kept[name] = np.empty(n, kind)
+    return kept[name][:n]
+
+
+def _added(margin: np.ndarray, x: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
+    """`margin` itself, with the values of the trees added."""
+    place, value = np.empty(len(x), np.int64), np.empty(len(x))
+    for tree in trees:
+        place[:] = leaf_of(tree, x, True)
+        margin += np.take(tree.value, place, out=value, mode="clip")
+    return margin
+
+
+def _remembered(run: str, number: int, margin: np.ndarray, x: np.ndarray, base: int, late: Sequence[Tree]) -> np.ndarray:
+    """The margins of a block with the late trees, from the newest ones that this worker remembers."""
+    kept = vars(sys.modules.setdefault("_boosting_margins", ModuleType("_boosting_margins")))
+    known = kept.setdefault("known", {})
+    done, old = known.pop((run, number), (base, None))
+    kept["bytes"] = kept.get("bytes", 0) - (0 if old is None else old.nbytes)
+    if old is None or not base <= done <= base + len(late):
+        done, old = base, margin.copy()
+    known[run, number] = base + len(late), _added(old, x, late[done - base:])
+    kept["bytes"] += old.nbytes
+    while kept["bytes"] > REMEMBERED_BYTES and len(known) > 1:
+        kept["bytes"] -= known.pop(next(iter(known)))[1].nbytes
+    return old
 
 
 def _with_trees(blocks: RDD, width: int, trees: Sequence[Tree]) -> RDD:
@@ -302,10 +347,12 @@ def _with_trees(blocks: RDD, width: int, trees: Sequence[Tree]) -> RDD:
 
 def _unit(draw: np.ndarray, salt: int) -> np.ndarray:
     """A number from 0 to 1 per row, from the hash of its key and the round."""
-    z = draw.astype(np.uint64) ^ np.uint64((salt * 0x9E3779B97F4A7C15) % (1 << 64))
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (z ^ (z >> np.uint64(31))).astype(np.float64) / 2.0 ** 64
+    z = draw.view(np.uint64) ^ np.uint64((salt * 0x9E3779B97F4A7C15) % (1 << 64))
+    moved = np.empty_like(z)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        z ^= np.right_shift(z, np.uint64(shift), out=moved)
+        z *= np.uint64(factor)
+    return np.divide(z, 2.0 ** 64, out=moved.view(np.float64))
 
 
 def _summed(blocks: RDD, block_of: Callable[[bytes], _Block], work: Callable[[_Block], list[np.ndarray]],
@@ -459,7 +506,7 @@ class _State:
         """Bring the margins up to date: the kept ones by the trees they lack, after CHAIN times the stored ones by all."""
         onward = self.blocks is not self.stored and self.links < CHAIN and self.base <= len(trees)
         old, (start, new) = self.blocks, (self.blocks, trees[self.base:]) if onward else (self.stored, trees)
-        self.blocks = _with_trees(start, self.width, new).persist(StorageLevel.MEMORY_AND_DISK)
+        self.blocks = _with_trees(start, self.width, new).persist(StorageLevel.MEMORY_AND_DISK_DESER)  # read by each job
         self.base, self.late, self.links = len(trees), [], self.links + 1 if onward else 0
         self.blocks.count()
         if old is not self.stored:
@@ -550,20 +597,26 @@ def _grown(state: _State, number: int, s: Settings) -> tuple[Tree, np.ndarray]:
             place[nodes] = np.arange(len(nodes))
             counts = [len(state.edges[f]) + 1 for f in some]  # bins of each column
             ends = np.cumsum(counts)
+            spare: dict[str, np.ndarray] = {}  # of a task
 
             def work(block: _Block) -> list[np.ndarray]:
+                shape, told = (len(nodes), int(ends[-1]), 2), [_validated(block, exact)] if first else []
+                if not block.train.any():
+                    return [np.zeros(shape), *told]
                 rows = np.flatnonzero(block.train & (_unit(block.draw, s.seed * 1_000_003 + number) < s.subsample))
-                node = place[leaf_of(so_far, block.x, True, rows)]
-                if node.size and node.min() < 0:  # rows of leaves
-                    rows, node = rows[node >= 0], node[node >= 0]
-                weight, p = block.weight[rows], 1 / (1 + np.exp(-block.margin[rows]))
-                sums = weight * (p - block.label[rows]), weight * np.maximum(p * (1 - p), 1e-16)
-                out = np.zeros((len(nodes), ends[-1], 2))
+                leaf = leaf_of(so_far, block.x, True, rows)
+                if (place < 0).any():  # rows of leaves go
+                    inner = place[leaf] >= 0
+                    rows, leaf = rows[inner], leaf[inner]
+                sums, key = block.sums(rows, spare), _spare(spare, "key", len(rows), np.int64)
+                starts = {n: np.take(place * n, leaf, out=_spare(spare, f"starts {n}", len(rows), np.int64), mode="clip")
+                          for n in set(counts)}  # of the bins of each row's node
+                out = _spare(spare, "out", math.prod(shape)).reshape(shape)
                 for feature, n, end in zip(some, counts, ends):
-                    key = node * n + block.x[:, feature].take(rows)
+                    np.add(starts[n], block.x[:, feature].take(rows), out=key)
                     for k in range(2):
                         out[:, end - n:end, k] = np.bincount(key, sums[k], len(nodes) * n).reshape(len(nodes), n)
-                return [out, _validated(block, exact)] if first else [out]
+                return [out, *told]
 
             shapes = [(len(nodes), int(ends[-1]), 2), *([None if exact else (2 * BUCKETS,)] if first else [])]
             packed, *rest = state.job(work, shapes)

@@ -272,3 +272,41 @@ def test_a_search_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
     assert [(r.trial, r.score, r.seconds) for r in again[:2]] == [(r.trial, r.score, r.seconds) for r in sorted(first)]
     other = tr.search(rows, rows, 2, seed=7, **how)  # other parameters are other trials
     assert ran == [0, 1, 2, 3, 0, 1] and other.count() == 2
+
+
+def test_a_worker_remembers_the_margins_of_many_small_blocks(spark, monkeypatch):
+    """No tree is added to a block's margins twice, as long as all margins of a worker are small together."""
+    data = table(spark, 600, 3, 150)
+    tree = bo.boost(data, NAMES, 1, bo.Settings(depth=2, rate=0.5)).model.trees[0]
+    edges = bo.bin_edges(data.where("train"), NAMES, 256)
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 5)
+    raws = [bytes(r.data) for r in bo.blocks_of(data, NAMES, edges, 2).collect()]
+    asked, leaf_of = [], bo.leaf_of
+    monkeypatch.setattr(bo, "leaf_of", lambda *how: asked.append(1) or leaf_of(*how))
+    read = lambda trees: [bo._Block(raw, 3, "a run", 0, trees).margin.copy() for raw in raws]
+    once, again = read([tree]), read([tree, tree])
+    assert len(raws) > 100 and len(asked) == 2 * len(raws)
+    assert all((2 * a == b).all() for a, b in zip(once, again)) and any(a.any() for a in once)
+
+
+def test_kept_blocks_are_held_as_they_are_read(spark):
+    stored = spark.sparkContext.parallelize([], 1)
+    state = bo._State(stored, stored, 3, [], True)
+    state.refreshed([])
+    level = state.blocks.getStorageLevel()
+    state.blocks.unpersist()
+    assert level.deserialized and level.useMemory and level.useDisk
+
+
+def test_gradient_sums_equal_the_closed_form_whatever_the_spare_arrays_held(spark):
+    data = table(spark, 300, 4, 100)
+    edges = bo.bin_edges(data.where("train"), NAMES, 256)
+    raw, spare = bytes(bo.blocks_of(data, NAMES, edges, 1).first().data), {}
+    block = bo._Block(raw, 3)
+    block.margin = np.linspace(-3, 3, 300)
+    weight = block.weight
+    for rows in (np.arange(300), np.arange(0, 300, 7), np.arange(0)):
+        p = 1 / (1 + np.exp(-block.margin[rows]))
+        g, h = block.sums(rows, spare)
+        assert (g == weight[rows] * (p - block.label[rows])).all() and (h == weight[rows] * np.maximum(p * (1 - p), 1e-16)).all()
+    assert set(weight) == {1.0, 2.0, 3.0}

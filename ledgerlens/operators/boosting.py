@@ -45,6 +45,10 @@ CHAIN = 16  # updates that build on each other; the next one starts from the sto
 FAN = 8  # sums of histograms that reach the driver from one job, if those of all tasks would be more than SENT_BYTES
 SENT_BYTES = 16 << 20
 HISTOGRAM_CELLS = 1 << 20  # of one job; a level with more nodes is several jobs
+JOINT_CELLS = 1 << 10  # of features with few bins that are counted together, per node
+JOINT_NODES = 1 << 6  # nodes up to which that many cells are counted; with more nodes fewer cells
+SAMPLED_ROWS = 4_096  # training rows, about, that tell which of two siblings is the smaller one
+TASK_ROWS = 1 << 22  # of one task; with fewer there are as many tasks as cores
 EXACT_ROWS = 1 << 16  # validation rows whose margins are sent as they are; more are counted in buckets
 RANGE_ROWS = 1 << 16  # validation rows of a task that evaluates its range of margins exactly
 BUCKETS = 4_096  # equal steps of the margin from -EDGE to EDGE
@@ -356,12 +360,16 @@ def _unit(draw: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _summed(blocks: RDD, block_of: Callable[[bytes], _Block], work: Callable[[_Block], list[np.ndarray]],
-            shapes: list[tuple[int, ...] | None]) -> list[np.ndarray]:
+            shapes: list[tuple[int, ...] | None],
+            spread: tuple[tuple[int, ...], Callable[[np.ndarray], np.ndarray]] | None = None) -> list[np.ndarray]:
     """Arrays that `work` makes of each block, summed over all; one whose shape is None is put end to end instead.
 
-    Sums are added in the order of the partitions, so that a result does not hang on which task is done first.
+    Sums are added in the order of the partitions, so that a result does not hang on which task is done first.  With
+    `spread` the first array has another shape inside a task, and a function that turns a task's sum into the shape given.
     """
-    def put(held: list, new: list[np.ndarray]) -> None:
+    own = shapes if spread is None else [spread[0], *shapes[1:]]  # inside a task
+
+    def put(held: list, new: list[np.ndarray], shapes: list = shapes) -> None:
         for i, (shape, a) in enumerate(zip(shapes, new)):
             if shape is None:
                 held[i].append(a)
@@ -371,13 +379,15 @@ def _summed(blocks: RDD, block_of: Callable[[bytes], _Block], work: Callable[[_B
     def joined(held: list) -> list[np.ndarray]:
         return [np.concatenate([np.zeros(0), *h]) if shape is None else h for shape, h in zip(shapes, held)]
 
-    def empty() -> list:
+    def empty(shapes: list = shapes) -> list:
         return [[] if shape is None else np.zeros(shape) for shape in shapes]
 
     def sum_blocks(number: int, cells: Iterator[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
-        held = empty()
+        held = empty(own)
         for raw in cells:
-            put(held, work(block_of(raw)))
+            put(held, work(block_of(raw)), own)
+        if spread is not None:
+            held[0] = spread[1](held[0])
         yield number, joined(held)
 
     def in_order(found: list[tuple[int, list[np.ndarray]]]) -> list[np.ndarray]:
@@ -387,9 +397,9 @@ def _summed(blocks: RDD, block_of: Callable[[bytes], _Block], work: Callable[[_B
         return joined(held)
 
     def sum_sums(found: Iterator[tuple[int, tuple[int, list[np.ndarray]]]]) -> Iterator[tuple[int, list[np.ndarray]]]:
-        own = [f for _, f in found]  # of one partition in FAN
-        if own:
-            yield min(n for n, _ in own), in_order(own)
+        sums = [f for _, f in found]  # of one partition in FAN
+        if sums:
+            yield min(n for n, _ in sums), in_order(sums)
 
     parts, sums = blocks.getNumPartitions(), blocks.mapPartitionsWithIndex(sum_blocks)
     if parts > FAN and parts * sum(8 * math.prod(s) for s in shapes if s) > SENT_BYTES:
@@ -481,9 +491,48 @@ def best_splits(histogram: np.ndarray, columns: np.ndarray, s: Settings) -> list
     return out
 
 
+def bundles(counts: Sequence[int], limit: int) -> list[list[int]]:
+    """Columns with these numbers of bins, in groups that have at most `limit` joint cells or are one column: the first
+    group where a column fits, greatest ones first."""
+    groups, cells = [], []
+    for c in sorted(range(len(counts)), key=lambda c: -counts[c]):
+        at = next((g for g, n in enumerate(cells) if n * counts[c] <= limit), len(groups))
+        if at == len(groups):
+            groups.append([])
+            cells.append(1)
+        groups[at].append(c)
+        cells[at] *= counts[c]
+    return groups
+
+
+def _joint(x: np.ndarray, features: Sequence[int], counts: Sequence[int]) -> np.ndarray:
+    """The joint cell of each row in some features with these numbers of bins."""
+    column = x[:, features[0]]
+    for f, n in zip(features[1:], counts[1:]):
+        column = column.astype(np.uint16, copy=False) * np.uint16(n) + x[:, f]
+    return column
+
+
+def _spread(sums: np.ndarray, groups: list[list[int]], counts: Sequence[int]) -> np.ndarray:
+    """Sums by node, column and bin, of those by node and joint cell of each group."""
+    ends, end = np.cumsum(counts), 0
+    out = np.empty((len(sums), int(ends[-1]), 2))
+    for group in groups:
+        shape = [counts[c] for c in group]
+        part, end = sums[:, end:end + math.prod(shape)].reshape(len(sums), *shape, 2), end + math.prod(shape)
+        for i, c in enumerate(group):
+            out[:, ends[c] - counts[c]:ends[c]] = part.sum(axis=tuple(1 + k for k in range(len(group)) if k != i))
+    return out
+
+
 @dataclass
 class _State:
-    """Stored blocks, the margins after `base` trees, and the trees that these do not have yet."""
+    """Stored blocks, the margins after `base` trees, and the trees that these do not have yet.
+
+    With a `sample` (bin numbers of some training rows, see `sampled`) features with few bins are counted together, and of
+    two siblings only the smaller one is counted.  That adds the same numbers in another order.  A table that fits one
+    block goes without: its jobs are short anyway, and its sums stay those of one pass.
+    """
     stored: RDD
     blocks: RDD
     width: int
@@ -493,10 +542,20 @@ class _State:
     late: list[Tree] = field(default_factory=list)
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
     links: int = 0
+    sample: np.ndarray | None = None
 
-    def job(self, work, shapes) -> list[np.ndarray]:
+    def job(self, work, shapes, spread=None) -> list[np.ndarray]:
         width, run, base, some = self.width, self.run, self.base, list(self.late)
-        return _summed(self.blocks, lambda raw: _Block(raw, width, run, base, some), work, shapes)
+        return _summed(self.blocks, lambda raw: _Block(raw, width, run, base, some), work, shapes, spread)
+
+    def sampled(self, train: int) -> None:
+        """Draw the sample by hash from the training rows; it only directs which rows are read."""
+        share = SAMPLED_ROWS / train
+
+        def work(block: _Block) -> list[np.ndarray]:
+            return [block.x[block.train & (_unit(block.draw, -1) < share)].astype(np.float64).ravel()]
+
+        self.sample = np.asfortranarray(self.job(work, [None])[0].reshape(-1, self.width).astype(np.int64))
 
     def validation(self) -> np.ndarray:
         exact = self.exact
@@ -587,54 +646,74 @@ def _grown(state: _State, number: int, s: Settings) -> tuple[Tree, np.ndarray]:
     tree, active, told = _Growing(), [0], np.zeros(0)
     columns = _sampled(np.arange(state.width), s.by_tree, [s.seed, number])
     bins = max(len(e) for e in state.edges) + 1
+    above: dict[int, np.ndarray] = {}  # left child: the histogram of its parent
     for level in range(max(s.depth, 1)):
         some = _sampled(columns, s.by_level, [s.seed, number, level])
-        at_once = max(1, HISTOGRAM_CELLS // (len(some) * bins))
-        made: list[int] = []
+        counts = [len(state.edges[f]) + 1 for f in some]  # bins of each column
+        limit = 0 if state.sample is None else min(JOINT_CELLS, JOINT_CELLS * JOINT_NODES // len(active))
+        groups = [[c] for c in range(len(some))] if not limit else bundles(counts, limit)
+        cells = [math.prod(counts[c] for c in group) for group in groups]
+        ends = np.cumsum(cells)
+        rest = _differences(state.sample, tree, active, above) if above else {}
+        at_once = max(1, HISTOGRAM_CELLS // max(len(some) * bins, int(ends[-1])))
+        at_once += at_once % 2 if rest else 0  # siblings stay together
+        # sides without rows have sums of rounding errors only in a difference, and must not pass for heavy enough
+        keeps = state.sample is not None and len(active) <= at_once and len(some) == len(columns) and s.least_weight >= 1
+        made, above = [], {}
         for start in range(0, len(active), at_once):
             nodes, first, exact = active[start:start + at_once], level == 0 and start == 0, state.exact
+            read = [n for n in nodes if n not in rest]
             place, so_far = np.full(len(tree.feature), -1), tree.arrays()
-            place[nodes] = np.arange(len(nodes))
-            counts = [len(state.edges[f]) + 1 for f in some]  # bins of each column
-            ends = np.cumsum(counts)
+            place[read] = np.arange(len(read))
             spare: dict[str, np.ndarray] = {}  # of a task
+            shape = len(read), int(ends[-1]), 2
 
             def work(block: _Block) -> list[np.ndarray]:
-                shape, told = (len(nodes), int(ends[-1]), 2), [_validated(block, exact)] if first else []
+                told = [_validated(block, exact)] if first else []
                 if not block.train.any():
                     return [np.zeros(shape), *told]
                 rows = np.flatnonzero(block.train & (_unit(block.draw, s.seed * 1_000_003 + number) < s.subsample))
                 leaf = leaf_of(so_far, block.x, True, rows)
-                if (place < 0).any():  # rows of leaves go
+                if (place < 0).any():  # rows of leaves and of larger siblings go
                     inner = place[leaf] >= 0
                     rows, leaf = rows[inner], leaf[inner]
                 sums, key = block.sums(rows, spare), _spare(spare, "key", len(rows), np.int64)
                 starts = {n: np.take(place * n, leaf, out=_spare(spare, f"starts {n}", len(rows), np.int64), mode="clip")
-                          for n in set(counts)}  # of the bins of each row's node
+                          for n in set(cells)}  # of the bins of each row's node
                 out = _spare(spare, "out", math.prod(shape)).reshape(shape)
-                for feature, n, end in zip(some, counts, ends):
-                    np.add(starts[n], block.x[:, feature].take(rows), out=key)
+                for group, n, end in zip(groups, cells, ends):
+                    column = _joint(block.x, [some[c] for c in group], [counts[c] for c in group])
+                    np.add(starts[n], column.take(rows), out=key)
                     for k in range(2):
-                        out[:, end - n:end, k] = np.bincount(key, sums[k], len(nodes) * n).reshape(len(nodes), n)
+                        out[:, end - n:end, k] = np.bincount(key, sums[k], len(read) * n).reshape(len(read), n)
                 return [out, *told]
 
-            shapes = [(len(nodes), int(ends[-1]), 2), *([None if exact else (2 * BUCKETS,)] if first else [])]
-            packed, *rest = state.job(work, shapes)
-            histogram = np.zeros((len(nodes), len(some), bins, 2))
-            for c, (n, end) in enumerate(zip(counts, ends)):
-                histogram[:, c, :n] = packed[:, end - n:end]
-            told = rest[0] if first else told
+            shapes = [(len(read), sum(counts), 2), *([None if exact else (2 * BUCKETS,)] if first else [])]
+            packed, *told_now = state.job(work, shapes, (shape, lambda sums: _spread(sums, groups, counts)) if limit else None)
+            counted = np.zeros((len(read), len(some), bins, 2))
+            for c, (n, end) in enumerate(zip(counts, np.cumsum(counts))):
+                counted[:, c, :n] = packed[:, end - n:end]
+            histogram = counted if not rest else np.stack([
+                rest[n][1] - counted[place[rest[n][0]]] if n in rest else counted[place[n]] for n in nodes])
+            told = told_now[0] if first else told
             if level == 0:
                 tree.gradient[0], tree.hessian[0] = histogram[0, 0].sum(axis=0)
-            for node, best in zip(nodes, best_splits(histogram, some, s)):
+            for node, own, best in zip(nodes, histogram, best_splits(histogram, some, s)):
                 if best is not None:
                     made += tree.split(node, *best[:3], list(best[3:]))
+                    above |= {tree.left[node]: own} if keeps else {}
         active = made if level + 1 < s.depth else []
         if not active:
             break
     return tree.limited(s).arrays(state.edges, s), told
 
 
+def _differences(sample: np.ndarray, tree: _Growing, active: list[int], above: dict[int, np.ndarray]) -> dict[int, tuple[int, np.ndarray]]:
+    """The larger one of each two siblings with the smaller one and the histogram of both, by their rows in the sample."""
+    size = np.bincount(leaf_of(tree.arrays(), sample, True), minlength=len(tree.feature))
+    return {(a if size[a] > size[b] else b): (b if size[a] > size[b] else a, above[a]) for a, b in zip(active[::2], active[1::2])}
+
+
 def _read_ledger(spark: SparkSession, folder: str, features: Sequence[str], edges: list[np.ndarray]) -> list[Tree]:
     try:
         return BoostedModel.of_nodes(features, spark.read.schema(NODES).parquet(f"{folder}/trees"), edges).trees
@@ -665,13 +744,15 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
         raise ValueError(f"{odd} of {total} rows have a label that is not 0 or 1" if odd else "there is no row to fit on")
     if not 1 <= settings.depth <= MOST_DEPTH or settings.bins < 2:
         raise ValueError(f"max_depth must be from 1 to {MOST_DEPTH} and max_bin at least 2")
-    parts = max(1, min(-(-total // BLOCK_ROWS), 8 * spark.sparkContext.defaultParallelism))
+    parts = max(1, min(-(-total // BLOCK_ROWS), spark.sparkContext.defaultParallelism), -(-total // TASK_ROWS))
     edges = bin_edges(rows.where("train"), features, settings.bins)
     stored = blocks_of(rows, features, edges, parts).rdd.map(lambda r: bytes(r[0]))
     state = _State(stored, stored, len(features), edges, total - train <= EXACT_ROWS)
     trees = _read_ledger(spark, ledger, features, edges)[:rounds] if ledger else []
     known, curve, best, top = len(trees), [], 0, -np.inf
     state.refreshed([])
+    if total > BLOCK_ROWS:
+        state.sampled(train)
 
     open_: dict[int, np.ndarray] = {}  # counts of rounds that are not evaluated yet
 

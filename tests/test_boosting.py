@@ -310,3 +310,54 @@ def test_gradient_sums_equal_the_closed_form_whatever_the_spare_arrays_held(spar
         g, h = block.sums(rows, spare)
         assert (g == weight[rows] * (p - block.label[rows])).all() and (h == weight[rows] * np.maximum(p * (1 - p), 1e-16)).all()
     assert set(weight) == {1.0, 2.0, 3.0}
+
+
+def few_bins(spark, n=900, seed=21, validation=300):
+    """Rows with three more features of 2, 3 and 5 values that tell nothing."""
+    more = [f"double(pmod(xxhash64(key, {k}), {k})) as {name}" for name, k in (("d", 2), ("e", 3), ("f", 5))]
+    return table(spark, n, seed, validation).selectExpr("*", *more), [*NAMES, "d", "e", "f"]
+
+
+@pytest.mark.parametrize("least, read", [(2.0, 4), (0.5, 8)])
+def test_of_two_siblings_the_smaller_one_is_read(spark, monkeypatch, least, read):
+    data, names = few_bins(spark)
+    s = bo.Settings(depth=4, subsample=0.9, bins=32, least_weight=least)
+    one = bo.boost(data, names, 3, s, patience=50)
+    nodes, plain = [], bo._State.job
+
+    def counted(state, work, shapes, *spread):
+        nodes.append(shapes[0][0] if shapes[0] and len(shapes[0]) == 3 else 0)
+        return plain(state, work, shapes, *spread)
+
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(bo._State, "job", counted)
+    many = bo.boost(data, names, 3, s, patience=50)
+    assert all(alike(of(a), of(b)) for a, b in zip(one.model.trees, many.model.trees))
+    assert many.curve == pytest.approx(one.curve) and max(nodes) == read
+
+
+def test_features_with_few_bins_are_counted_together():
+    r, counts, n = np.random.default_rng(5), [40, 2, 5, 3, 31, 1], 2_000
+    x = np.asfortranarray(np.stack([r.integers(0, c, n) for c in counts], axis=1).astype(np.uint8))
+    node, sums = r.integers(0, 3, n), r.integers(-9, 9, (n, 2))
+    plain = np.concatenate([np.stack([[np.bincount(x[node == k, f], sums[node == k, i], c) for i in range(2)] for k in range(3)])
+                            for f, c in enumerate(counts)], axis=2).transpose(0, 2, 1)
+    for limit, size in ((1_024, 2), (30, 3), (0, 6)):
+        groups = bo.bundles(counts, limit)
+        assert sorted(sum(groups, [])) == list(range(6)) and len(groups) == size
+        assert all(len(g) == 1 or np.prod([counts[c] for c in g]) <= limit for g in groups)
+        joint = [bo._joint(x, g, [counts[c] for c in g]) for g in groups]
+        cells = [int(np.prod([counts[c] for c in g])) for g in groups]
+        held = np.concatenate([np.stack([[np.bincount(j[node == k], sums[node == k, i], c) for i in range(2)] for k in range(3)])
+                               for j, c in zip(joint, cells)], axis=2).transpose(0, 2, 1)
+        assert (bo._spread(held, groups, counts) == plain).all()
+
+
+def test_a_table_of_several_blocks_has_at_most_a_task_per_core(spark, monkeypatch):
+    parts, plain = [], bo.blocks_of
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(bo, "blocks_of", lambda *how: parts.append(how[-1]) or plain(*how))
+    bo.boost(table(spark, 300, 4, 100), NAMES, 1, bo.Settings(depth=1))
+    monkeypatch.setattr(bo, "TASK_ROWS", 20)
+    bo.boost(table(spark, 300, 4, 100), NAMES, 1, bo.Settings(depth=1))
+    assert parts == [spark.sparkContext.defaultParallelism, 15]

@@ -21,6 +21,7 @@ behind the last stored round.
 from __future__ import annotations
 
 import math
+import pickle
 import sys
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -29,7 +30,7 @@ from types import ModuleType, SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, cloudpickle
+from pyspark import Broadcast, RDD, cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -359,49 +360,43 @@ def _unit(draw: np.ndarray, salt: int) -> np.ndarray:
     return np.divide(z, 2.0 ** 64, out=moved.view(np.float64))
 
 
-def _summed(blocks: RDD, block_of: Callable[[bytes], _Block], work: Callable[[_Block], list[np.ndarray]],
-            shapes: list[tuple[int, ...] | None],
-            spread: tuple[tuple[int, ...], Callable[[np.ndarray], np.ndarray]] | None = None) -> list[np.ndarray]:
-    """Arrays that `work` makes of each block, summed over all; one whose shape is None is put end to end instead.
+Shapes = Sequence[tuple[int, ...] | None]  # of arrays that are added up; those whose shape is None are put end to end
 
-    Sums are added in the order of the partitions, so that a result does not hang on which task is done first.  With
-    `spread` the first array has another shape inside a task, and a function that turns a task's sum into the shape given.
-    """
-    own = shapes if spread is None else [spread[0], *shapes[1:]]  # inside a task
 
-    def put(held: list, new: list[np.ndarray], shapes: list = shapes) -> None:
+def _added_up(found: Iterator[list[np.ndarray]], shapes: Shapes) -> list[np.ndarray]:
+    held = [[] if shape is None else np.zeros(shape) for shape in shapes]
+    for new in found:
         for i, (shape, a) in enumerate(zip(shapes, new)):
             if shape is None:
                 held[i].append(a)
             else:
                 held[i] += a.reshape(shape)
+    return [np.concatenate([np.zeros(0), *h]) if shape is None else h for shape, h in zip(shapes, held)]
 
-    def joined(held: list) -> list[np.ndarray]:
-        return [np.concatenate([np.zeros(0), *h]) if shape is None else h for shape, h in zip(shapes, held)]
 
-    def empty(shapes: list = shapes) -> list:
-        return [[] if shape is None else np.zeros(shape) for shape in shapes]
+def _of_task(found: Iterator[list[np.ndarray]], shapes: Shapes, plan: SimpleNamespace | None) -> list[np.ndarray]:
+    """The sums of a task's blocks; those of the plan's joint cells become sums by column."""
+    if plan is None or not plan.joint:
+        return _added_up(found, shapes)
+    first, *others = _added_up(found, [plan.shape, *shapes[1:]])
+    return [_spread(first, plan.groups, plan.counts), *others]
 
-    def sum_blocks(number: int, cells: Iterator[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
-        held = empty(own)
-        for raw in cells:
-            put(held, work(block_of(raw)), own)
-        if spread is not None:
-            held[0] = spread[1](held[0])
-        yield number, joined(held)
 
+def _summed(blocks: RDD, task: Callable[[int, Iterator[bytes]], Iterator[tuple[int, list[np.ndarray]]]],
+            shapes: Shapes) -> list[np.ndarray]:
+    """The sums that `task` gives with the number of its partition, added up.
+
+    Sums are added in the order of the partitions, so that a result does not hang on which task is done first.
+    """
     def in_order(found: list[tuple[int, list[np.ndarray]]]) -> list[np.ndarray]:
-        held = empty()
-        for _, arrays in sorted(found, key=lambda f: f[0]):
-            put(held, arrays)
-        return joined(held)
+        return _added_up((arrays for _, arrays in sorted(found, key=lambda f: f[0])), shapes)
 
     def sum_sums(found: Iterator[tuple[int, tuple[int, list[np.ndarray]]]]) -> Iterator[tuple[int, list[np.ndarray]]]:
-        sums = [f for _, f in found]  # of one partition in FAN
-        if sums:
-            yield min(n for n, _ in sums), in_order(sums)
+        own = [f for _, f in found]  # of one partition in FAN
+        if own:
+            yield min(n for n, _ in own), in_order(own)
 
-    parts, sums = blocks.getNumPartitions(), blocks.mapPartitionsWithIndex(sum_blocks)
+    parts, sums = blocks.getNumPartitions(), blocks.mapPartitionsWithIndex(task)
     if parts > FAN and parts * sum(8 * math.prod(s) for s in shapes if s) > SENT_BYTES:
         sums = sums.map(lambda f: (f[0] % FAN, f)).partitionBy(FAN, int).mapPartitions(sum_sums)
     return in_order(sums.collect())  # SENT_BYTES at most, or FAN sums of HISTOGRAM_CELLS pairs
@@ -544,22 +539,39 @@ class _State:
     links: int = 0
     sample: np.ndarray | None = None
 
-    def job(self, work, shapes, spread=None) -> list[np.ndarray]:
-        width, run, base, some = self.width, self.run, self.base, list(self.late)
-        return _summed(self.blocks, lambda raw: _Block(raw, width, run, base, some), work, shapes, spread)
+    codes: dict[Callable, Broadcast] = field(default_factory=dict)
 
-    def sampled(self, train: int) -> None:
-        """Draw the sample by hash from the training rows; it only directs which rows are read."""
-        share = SAMPLED_ROWS / train
+    def job(self, work: Callable, shapes: Shapes, plan=None) -> list[np.ndarray]:
+        """The arrays that `work`, a function of this module, makes of each block and the plan, added up.
+
+        What tasks run is pickled and sent once in a fit, since that takes longer than the sums of many a block; a job
+        only sends its plan and the late trees, as plain objects.
+        """
+        if work not in self.codes:
+            self.codes[work] = self.blocks.context.broadcast(cloudpickle.dumps((_of_task, _Block, work)))
+        code, width, run, base = self.codes[work], self.width, self.run, self.base
+        late = [SimpleNamespace(**vars(t)) for t in self.late]
+
+        def task(number: int, cells: Iterator[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
+            of_task, block, work = pickle.loads(code.value)
+            yield number, of_task((work(block(raw, width, run, base, late), plan) for raw in cells), shapes,
+                                  plan if hasattr(plan, "joint") else None)
 
-        def work(block: _Block) -> list[np.ndarray]:
-            return [block.x[block.train & (_unit(block.draw, -1) < share)].astype(np.float64).ravel()]
+        return _summed(self.blocks, task, shapes)
 
-        self.sample = np.asfortranarray(self.job(work, [None])[0].reshape(-1, self.width).astype(np.int64))
+    def sampled(self, train: int) -> None:
+        """Draw the sample by hash from the training rows; it only directs which rows are read."""
+        drawn = self.job(_drawn, [None], SAMPLED_ROWS / train)[0].reshape(-1, self.width)
+        self.sample = np.asfortranarray(drawn.astype(np.int64))
 
     def validation(self) -> np.ndarray:
-        exact = self.exact
-        return self.job(lambda block: [_validated(block, exact)], [None if exact else (2 * BUCKETS,)])[0]
+        return self.job(_judged, [None if self.exact else (2 * BUCKETS,)], self.exact)[0]
+
+    def ended(self) -> None:
+        """Let go of what executors keep."""
+        self.blocks.unpersist()
+        for code in self.codes.values():
+            code.destroy()
 
     def refreshed(self, trees: list[Tree]) -> None:
         """Bring the margins up to date: the kept ones by the trees they lack, after CHAIN times the stored ones by all."""
@@ -641,6 +653,39 @@ def _validated(block: _Block, exact: bool) -> np.ndarray:
     return np.bincount(2 * _bucket(margin) + (label > 0.5), minlength=2 * BUCKETS).astype(float)
 
 
+def _judged(block: _Block, exact: bool) -> list[np.ndarray]:
+    return [_validated(block, exact)]
+
+
+def _drawn(block: _Block, share: float) -> list[np.ndarray]:
+    """Bin numbers of a share of the training rows."""
+    return [block.x[block.train & (_unit(block.draw, -1) < share)].astype(np.float64).ravel()]
+
+
+def _histograms(block: _Block, plan: SimpleNamespace) -> list[np.ndarray]:
+    """Sums of gradients and hessians per node, group of columns and joint cell; in a round's first job what the
+    validation rows say, too."""
+    told = [_validated(block, plan.exact)] if plan.first else []
+    if not block.train.any():
+        return [np.zeros(plan.shape), *told]
+    rows = np.flatnonzero(block.train & (_unit(block.draw, plan.salt) < plan.subsample))
+    leaf, place, spare = leaf_of(plan.tree, block.x, True, rows), plan.place, vars(plan.spare)
+    if (place < 0).any():  # rows of leaves and of larger siblings go
+        inner = place[leaf] >= 0
+        rows, leaf = rows[inner], leaf[inner]
+    sums, key = block.sums(rows, spare), _spare(spare, "key", len(rows), np.int64)
+    starts = {n: np.take(place * n, leaf, out=_spare(spare, f"starts {n}", len(rows), np.int64), mode="clip")
+              for n in set(plan.cells)}  # of the bins of each row's node
+    out, end = _spare(spare, "out", math.prod(plan.shape)).reshape(plan.shape), 0
+    for group, n in zip(plan.groups, plan.cells):
+        column = _joint(block.x, [plan.features[c] for c in group], [plan.counts[c] for c in group])
+        np.add(starts[n], column.take(rows), out=key)
+        for k in range(2):
+            out[:, end:end + n, k] = np.bincount(key, sums[k], plan.shape[0] * n).reshape(-1, n)
+        end += n
+    return [out, *told]
+
+
 def _grown(state: _State, number: int, s: Settings) -> tuple[Tree, np.ndarray]:
     """The tree of round `number`, and what the validation rows say about the rounds before it."""
     tree, active, told = _Growing(), [0], np.zeros(0)
@@ -653,43 +698,23 @@ def _grown(state: _State, number: int, s: Settings) -> tuple[Tree, np.ndarray]:
         limit = 0 if state.sample is None else min(JOINT_CELLS, JOINT_CELLS * JOINT_NODES // len(active))
         groups = [[c] for c in range(len(some))] if not limit else bundles(counts, limit)
         cells = [math.prod(counts[c] for c in group) for group in groups]
-        ends = np.cumsum(cells)
         rest = _differences(state.sample, tree, active, above) if above else {}
-        at_once = max(1, HISTOGRAM_CELLS // max(len(some) * bins, int(ends[-1])))
+        at_once = max(1, HISTOGRAM_CELLS // max(len(some) * bins, sum(cells)))
         at_once += at_once % 2 if rest else 0  # siblings stay together
         # sides without rows have sums of rounding errors only in a difference, and must not pass for heavy enough
         keeps = state.sample is not None and len(active) <= at_once and len(some) == len(columns) and s.least_weight >= 1
         made, above = [], {}
         for start in range(0, len(active), at_once):
-            nodes, first, exact = active[start:start + at_once], level == 0 and start == 0, state.exact
+            nodes, first = active[start:start + at_once], level == 0 and start == 0
             read = [n for n in nodes if n not in rest]
-            place, so_far = np.full(len(tree.feature), -1), tree.arrays()
+            place = np.full(len(tree.feature), -1)
             place[read] = np.arange(len(read))
-            spare: dict[str, np.ndarray] = {}  # of a task
-            shape = len(read), int(ends[-1]), 2
-
-            def work(block: _Block) -> list[np.ndarray]:
-                told = [_validated(block, exact)] if first else []
-                if not block.train.any():
-                    return [np.zeros(shape), *told]
-                rows = np.flatnonzero(block.train & (_unit(block.draw, s.seed * 1_000_003 + number) < s.subsample))
-                leaf = leaf_of(so_far, block.x, True, rows)
-                if (place < 0).any():  # rows of leaves and of larger siblings go
-                    inner = place[leaf] >= 0
-                    rows, leaf = rows[inner], leaf[inner]
-                sums, key = block.sums(rows, spare), _spare(spare, "key", len(rows), np.int64)
-                starts = {n: np.take(place * n, leaf, out=_spare(spare, f"starts {n}", len(rows), np.int64), mode="clip")
-                          for n in set(cells)}  # of the bins of each row's node
-                out = _spare(spare, "out", math.prod(shape)).reshape(shape)
-                for group, n, end in zip(groups, cells, ends):
-                    column = _joint(block.x, [some[c] for c in group], [counts[c] for c in group])
-                    np.add(starts[n], column.take(rows), out=key)
-                    for k in range(2):
-                        out[:, end - n:end, k] = np.bincount(key, sums[k], len(read) * n).reshape(len(read), n)
-                return [out, *told]
-
-            shapes = [(len(read), sum(counts), 2), *([None if exact else (2 * BUCKETS,)] if first else [])]
-            packed, *told_now = state.job(work, shapes, (shape, lambda sums: _spread(sums, groups, counts)) if limit else None)
+            plan = SimpleNamespace(
+                tree=SimpleNamespace(**vars(tree.arrays())), place=place, features=some.tolist(), counts=counts, groups=groups,
+                cells=cells, shape=(len(read), sum(cells), 2), joint=limit > 0, first=first, exact=state.exact,
+                salt=s.seed * 1_000_003 + number, subsample=s.subsample, spare=SimpleNamespace())  # arrays of a task
+            shapes = [(len(read), sum(counts), 2), *([None if state.exact else (2 * BUCKETS,)] if first else [])]
+            packed, *told_now = state.job(_histograms, shapes, plan)
             counted = np.zeros((len(read), len(some), bins, 2))
             for c, (n, end) in enumerate(zip(counts, np.cumsum(counts))):
                 counted[:, c, :n] = packed[:, end - n:end]
@@ -820,7 +845,7 @@ def boost(rows: DataFrame, features: Sequence[str], rounds: int, settings: Setti
     if patience is not None and not done and len(curve) < len(trees):
         seen(state.validation())
     evaluate()
-    state.blocks.unpersist()
+    state.ended()
     model = BoostedModel(list(features), trees)
     return Fitted(model, max(best, 1) if patience is not None else model.rounds, curve)
 

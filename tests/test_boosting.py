@@ -325,9 +325,9 @@ def test_of_two_siblings_the_smaller_one_is_read(spark, monkeypatch, least, read
     one = bo.boost(data, names, 3, s, patience=50)
     nodes, plain = [], bo._State.job
 
-    def counted(state, work, shapes, *spread):
+    def counted(state, work, shapes, *plan):
         nodes.append(shapes[0][0] if shapes[0] and len(shapes[0]) == 3 else 0)
-        return plain(state, work, shapes, *spread)
+        return plain(state, work, shapes, *plan)
 
     monkeypatch.setattr(bo, "BLOCK_ROWS", 50)
     monkeypatch.setattr(bo._State, "job", counted)

@@ -3,7 +3,8 @@
 Rows are binned once (edges from quantiles of the training rows) and stored in blocks of at most BLOCK_ROWS rows: bin
 numbers, labels, weights and margins as packed columns.  A round grows one tree level by level.  Each level is one job:
 a task sums gradients and hessians of the logistic loss per node, feature and bin over its blocks, and only these
-histograms leave it.  Splits, leaf values and pruning follow the closed forms of a second-order loss with an L1 and an L2
+histograms leave it.  In tables of several blocks only the smaller one of two siblings is counted, the other is the
+parent's histogram less it.  Splits, leaf values and pruning follow the closed forms of a second-order loss with an L1 and an L2
 term, as in Chen and Guestrin, "XGBoost: a scalable tree boosting system" (2016):
 
     score(G, H) = soft(G, alpha)^2 / (H + lambda)       gain = (score(left) + score(right) - score(node)) / 2
